@@ -10,6 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from crashlake.operators import dashboard as D
 from crashlake.operators import rankings
 from crashlake.plans import params as P
 from crashlake.sources.fixtures import fixture_tables
@@ -29,4 +30,37 @@ QUERIES: dict[str, Query] = {
         lambda t: rankings.street_severity_rank(t, P.Q1_FROM, P.Q1_TO, 10)),
     "q2_factor_fatality_rank": _on_tables(rankings.factor_fatality_rank),
     "q3_vehicle_severity_rank": _on_tables(rankings.vehicle_severity_rank),
+    "d1_kpi_summary_all": _on_tables(
+        lambda t: D.kpi_summary(t, P.DASH_START, P.DASH_END, "All")),
+    "d1_kpi_summary_borough": _on_tables(
+        lambda t: D.kpi_summary(t, P.DASH_START, P.DASH_END, P.DASH_BOROUGH)),
+    "d1_kpi_summary_empty": _on_tables(
+        lambda t: D.kpi_summary(t, "1990-01-01", "1990-12-31", "All")),
+    "d2_daily_trend": _on_tables(
+        lambda t: D.daily_trend(t, P.DASH_START, P.DASH_END, "All")),
+    "d2_daily_trend_borough": _on_tables(
+        lambda t: D.daily_trend(t, P.DASH_START, P.DASH_END, P.DASH_BOROUGH)),
+    "d3_trend_metric": _on_tables(
+        lambda t: D.trend_metric(t, P.DASH_START, P.DASH_END, P.DASH_BOROUGH, "Persons Injured")),
+    "d4_crashes_by_borough": _on_tables(
+        lambda t: D.crashes_by_borough(t, P.DASH_START, P.DASH_END)),
+    "d5_top_factors": _on_tables(
+        lambda t: D.top_factors(t, P.DASH_START, P.DASH_END, "All", P.TOP_N)),
+    "d5_top_factors_borough": _on_tables(
+        lambda t: D.top_factors(t, P.DASH_START, P.DASH_END, P.DASH_BOROUGH, 5)),
+    "d6_latest_collisions": _on_tables(
+        lambda t: D.latest_collisions(t, P.DASH_START, P.DASH_END, "All")),
+    "d6_latest_collisions_borough": _on_tables(
+        lambda t: D.latest_collisions(t, P.DASH_START, P.DASH_END, P.DASH_BOROUGH)),
+    "d7_date_bounds": _on_tables(D.date_bounds),
+    "d8_borough_list": _on_tables(D.borough_list),
+    "d9_default_window": _on_tables(D.default_window),
+    "d9_default_window_chosen_end": _on_tables(lambda t: D.default_window(t, P.D9_END)),
+    "s5_run_sql": lambda spark, sf_dir: D.run_sql(
+        spark, fixture_tables(spark, sf_dir),
+        "SELECT b.borough_name, count(*) AS crashes FROM collisions c "
+        "JOIN boroughs b ON c.borough_id = b.borough_id "
+        "WHERE c.crash_date BETWEEN :start AND :end GROUP BY b.borough_name",
+        {"start": __import__("datetime").date.fromisoformat(P.DASH_START),
+         "end": __import__("datetime").date.fromisoformat(P.DASH_END)}),
 }
