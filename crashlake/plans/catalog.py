@@ -9,11 +9,13 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from crashlake.operators import dashboard as D
+from crashlake.operators import normalize as N
 from crashlake.operators import rankings
 from crashlake.plans import params as P
-from crashlake.sources.fixtures import fixture_tables
+from crashlake.sources.fixtures import fixture_tables, fx_raw
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -25,6 +27,67 @@ def _on_tables(fn) -> Query:
     return run
 
 
+def _on_feed(fn) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return fn(N.clean_feed(fx_raw(spark, sf_dir), order_col="src_seq"))
+    run.__doc__ = fn.__doc__
+    return run
+
+
+def _clean_view(feed: DataFrame) -> DataFrame:
+    from crashlake.schema import COUNT_COLUMNS
+    return feed.select(
+        "collision_id", F.col(N.ORDER_COL).alias("src_seq"), "crash_date", "crash_time", "borough",
+        "zip_code", "latitude", "longitude", "off_street_name", *COUNT_COLUMNS,
+        F.array_join(N.ISSUES_COL, ",").alias("issues"))
+
+
+def _collisions_view(feed: DataFrame) -> DataFrame:
+    from crashlake.schema import COUNT_COLUMNS
+    boroughs = N.extend_dimension(None, N.borough_names(feed), "borough_name", "borough_id")
+    rows = N.collisions_table(feed, boroughs).join(boroughs, "borough_id", "left")
+    return rows.select(
+        "collision_id", "crash_date", "crash_time", "borough_name", "zip_code", "latitude",
+        "longitude", "on_street_name", "cross_street_name", "off_street_name", *COUNT_COLUMNS,
+        F.array_join(N.ISSUES_COL, ",").alias("issues"))
+
+
+def _dimension_ids(feed: DataFrame) -> DataFrame:
+    """Ids are dense and unique: per dimension, rows = distinct ids = max id, min id = 1."""
+    dims = {
+        "boroughs": N.extend_dimension(None, N.borough_names(feed), "borough_name", "borough_id")
+        .select(F.col("borough_id").alias("id")),
+        "vehicle_types": N.extend_dimension(None, N.vehicle_values(feed), "vehicle_type_desc",
+                                            "vehicle_type_id").select(F.col("vehicle_type_id").alias("id")),
+        "factors": N.extend_dimension(None, N.factor_values(feed), "factor_desc", "factor_id")
+        .select(F.col("factor_id").alias("id")),
+    }
+    out = None
+    for name, d in dims.items():
+        row = d.agg(F.lit(name).alias("dimension"), F.count(F.lit(1)).alias("n_rows"),
+                    F.countDistinct("id").alias("n_ids"), F.min("id").cast("bigint").alias("min_id"),
+                    F.max("id").cast("bigint").alias("max_id"))
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+def _load_summary(feed: DataFrame) -> DataFrame:
+    res = N.normalize_feed(feed)
+    parts = [df.agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("n_rows"))
+             for name, df in res.new.items()]
+    parts.append(res.rejects.agg(F.lit("rejects").alias("table_name"), F.count(F.lit(1)).alias("n_rows")))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def _load_vehicles_named(feed: DataFrame) -> DataFrame:
+    res = N.normalize_feed(feed)
+    return (res.new.collision_vehicles.join(res.dims.vehicle_types, "vehicle_type_id")
+            .select("collision_id", "vehicle_order", "vehicle_type_desc"))
+
+
 QUERIES: dict[str, Query] = {
     "q1_street_severity_rank": _on_tables(
         lambda t: rankings.street_severity_rank(t, P.Q1_FROM, P.Q1_TO, 10)),
@@ -63,4 +126,15 @@ QUERIES: dict[str, Query] = {
         "WHERE c.crash_date BETWEEN :start AND :end GROUP BY b.borough_name",
         {"start": __import__("datetime").date.fromisoformat(P.DASH_START),
          "end": __import__("datetime").date.fromisoformat(P.DASH_END)}),
+    "c1_c5_clean_feed": _on_feed(_clean_view),
+    "n1_borough_names": _on_feed(N.borough_names),
+    "n2_collisions_table": _on_feed(_collisions_view),
+    "n3_vehicles_long": _on_feed(N.vehicles_long),
+    "n4_factors_long": _on_feed(N.factors_long),
+    "n5_vehicle_types": _on_feed(lambda f: N.extend_dimension(
+        None, N.vehicle_values(f), "vehicle_type_desc", "vehicle_type_id").select("vehicle_type_desc")),
+    "n5_dimension_ids": _on_feed(_dimension_ids),
+    "n6_normalize_feed": _on_feed(_load_summary),
+    "n6_rejects": _on_feed(lambda f: N.normalize_feed(f).rejects),
+    "n6_collision_vehicles": _on_feed(_load_vehicles_named),
 }

@@ -213,3 +213,135 @@ FROM fx_collisions c JOIN fx_boroughs b ON c.borough_id = b.borough_id
 WHERE c.crash_date BETWEEN DATE '{P.DASH_START}' AND DATE '{P.DASH_END}'
 GROUP BY b.borough_name""",
 })
+
+
+# --- the dirty feed and its cleaning, in DuckDB terms ------------------------------
+
+from crashlake.schema import COUNT_COLUMNS, FACTOR_COLUMNS, NA_TOKENS, VEHICLE_COLUMNS  # noqa: E402
+
+
+def _na(col: str) -> str:
+    tokens = ", ".join("'" + t.replace("'", "''") + "'" for t in NA_TOKENS)
+    return f"(CASE WHEN {col} IN ({tokens}) THEN NULL ELSE {col} END)"
+
+
+def _strip(expr: str) -> str:
+    return f"NULLIF(regexp_replace({expr}, '^\\s+|\\s+$', '', 'g'), '')"
+
+
+_DATE_FMTS = "['%m/%d/%Y', '%Y-%m-%d', '%Y-%m-%dT%H:%M:%S.%g', '%Y-%m-%dT%H:%M:%S', '%Y-%m-%d %H:%M:%S']"
+_TIME_FMTS = "['%H:%M', '%H:%M:%S', '%I:%M %p', '%I:%M:%S %p']"
+
+_slot_pivot = ", ".join(f"{sql} AS {name}" for name, sql in fx.SLOT_PIVOT)
+_raw_cols = ",\n    ".join(f"{sql} AS {name}" for name, sql in fx.RAW_COLUMNS + fx.raw_slot_columns())
+
+CTE["fx_raw"] = f"""SELECT {_raw_cols}
+  FROM (SELECT *, unnest(CASE WHEN o_orderkey % 20 = 0 THEN [0, 1] ELSE [0] END) AS c
+        FROM orders JOIN customer ON o_custkey = c_custkey
+        JOIN nation ON c_nationkey = n_nationkey
+        JOIN region ON n_regionkey = r_regionkey
+        LEFT JOIN (SELECT collision_id AS slot_key, {_slot_pivot} FROM fx_lines GROUP BY collision_id) s
+          ON o_orderkey = s.slot_key) wide"""
+
+
+def _count(c: str) -> str:
+    return f"TRY_CAST(round(TRY_CAST({_na(c)} AS DOUBLE)) AS INT)"
+
+
+def _issue_list() -> str:
+    checks = [
+        (f"{_na('latitude')} IS NOT NULL AND TRY_CAST({_na('latitude')} AS DECIMAL(9,6)) IS NULL", "latitude_invalid"),
+        (f"{_na('longitude')} IS NOT NULL AND TRY_CAST({_na('longitude')} AS DECIMAL(9,6)) IS NULL", "longitude_invalid"),
+        (f"length(regexp_replace({_na('zip_code')}, '^(\\d+)\\.0+$', '\\1')) > 10", "zip_code_too_long"),
+        (f"length({_strip(_na('borough'))}) > 50", "borough_too_long"),
+    ]
+    for c in COUNT_COLUMNS:
+        checks.append((f"{_na(c)} IS NOT NULL AND {_count(c)} IS NULL", f"{c}_invalid"))
+        checks.append((f"{_count(c)} < 0", f"{c}_negative"))
+    items = ", ".join(f"CASE WHEN {cond} THEN '{code}' END" for cond, code in checks)
+    return f"concat_ws(',', {items})"
+
+
+CTE["fx_feed"] = f"""SELECT * FROM (SELECT src_seq,
+    CAST(trunc(TRY_CAST({_na('collision_id')} AS DOUBLE)) AS BIGINT) AS collision_id,
+    CAST(try_strptime({_na('crash_date')}, {_DATE_FMTS}) AS DATE) AS crash_date,
+    strftime(try_strptime({_na('crash_time')}, {_TIME_FMTS}), '%H:%M:%S') AS crash_time,
+    {_strip(_na('borough'))} AS borough,
+    regexp_replace({_na('zip_code')}, '^(\\d+)\\.0+$', '\\1') AS zip_code,
+    TRY_CAST({_na('latitude')} AS DECIMAL(9,6)) AS latitude,
+    TRY_CAST({_na('longitude')} AS DECIMAL(9,6)) AS longitude,
+    {_na('location')} AS location,
+    {_na('on_street_name')} AS on_street_name,
+    {_na('off_street_name')} AS off_street_name,
+    {_na('cross_street_name')} AS cross_street_name,
+    {', '.join(f'{_count(c)} AS {c}' for c in COUNT_COLUMNS)},
+    {', '.join(f'{_na(c)} AS {c}' for c in VEHICLE_COLUMNS + FACTOR_COLUMNS)},
+    {_issue_list()} AS issues
+  FROM fx_raw) typed
+ WHERE collision_id IS NOT NULL"""
+
+CTE["fx_first"] = """SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY collision_id ORDER BY src_seq) AS rn
+  FROM fx_feed) numbered WHERE rn = 1"""
+
+
+def _long(columns, slot_col: str, value_col: str, extra: str = "") -> str:
+    arms = " UNION ALL ".join(
+        f"SELECT collision_id, src_seq, {i} AS {slot_col}, {_strip(c)} AS {value_col} FROM fx_feed"
+        for i, c in enumerate(columns, start=1))
+    return f"SELECT * FROM ({arms}) slots WHERE {value_col} IS NOT NULL{extra}"
+
+
+CTE["fx_vvalues"] = _long(VEHICLE_COLUMNS, "vehicle_order", "vehicle_type_desc")
+CTE["fx_fvalues"] = _long(FACTOR_COLUMNS, "factor_order", "factor_desc",
+                          " AND upper(factor_desc) <> 'UNSPECIFIED'")
+CTE["fx_vlong"] = """SELECT collision_id, vehicle_order, vehicle_type_desc FROM (
+  SELECT *, row_number() OVER (PARTITION BY collision_id, vehicle_order ORDER BY src_seq) AS rn
+  FROM fx_vvalues) numbered WHERE rn = 1"""
+CTE["fx_flong"] = """SELECT collision_id, factor_order, factor_desc FROM (
+  SELECT *, row_number() OVER (PARTITION BY collision_id, factor_order ORDER BY src_seq) AS rn
+  FROM fx_fvalues) numbered WHERE rn = 1"""
+CTE["fx_bnames"] = "SELECT DISTINCT borough AS borough_name FROM fx_feed WHERE borough IS NOT NULL AND length(borough) <= 50"
+CTE["fx_bad"] = "SELECT collision_id, issues FROM fx_first WHERE issues <> ''"
+
+_ORDER += ["fx_raw", "fx_feed", "fx_first", "fx_vvalues", "fx_fvalues", "fx_vlong", "fx_flong",
+           "fx_bnames", "fx_bad"]
+_DEPS.update({
+    "fx_raw": ["fx_lines"], "fx_feed": ["fx_lines", "fx_raw"],
+    "fx_first": ["fx_lines", "fx_raw", "fx_feed"],
+    "fx_vvalues": ["fx_lines", "fx_raw", "fx_feed"], "fx_fvalues": ["fx_lines", "fx_raw", "fx_feed"],
+    "fx_vlong": ["fx_lines", "fx_raw", "fx_feed", "fx_vvalues"],
+    "fx_flong": ["fx_lines", "fx_raw", "fx_feed", "fx_fvalues"],
+    "fx_bnames": ["fx_lines", "fx_raw", "fx_feed"],
+    "fx_bad": ["fx_lines", "fx_raw", "fx_feed", "fx_first"],
+})
+
+_COUNTS = ", ".join(COUNT_COLUMNS)
+
+ORACLE.update({
+    "c1_c5_clean_feed": with_fixtures("fx_feed") + f"""SELECT collision_id, src_seq, crash_date, crash_time,
+       borough, zip_code, latitude, longitude, off_street_name, {_COUNTS}, issues FROM fx_feed""",
+    "n1_borough_names": with_fixtures("fx_bnames") + "SELECT borough_name FROM fx_bnames",
+    "n2_collisions_table": with_fixtures("fx_first", "fx_bnames") + f"""SELECT collision_id, crash_date, crash_time,
+       b.borough_name, zip_code, latitude, longitude, on_street_name, cross_street_name, off_street_name,
+       {_COUNTS}, issues
+FROM fx_first f LEFT JOIN fx_bnames b ON f.borough = b.borough_name""",
+    "n3_vehicles_long": with_fixtures("fx_vlong") + "SELECT * FROM fx_vlong",
+    "n4_factors_long": with_fixtures("fx_flong") + "SELECT * FROM fx_flong",
+    "n5_vehicle_types": with_fixtures("fx_vvalues") + "SELECT DISTINCT vehicle_type_desc FROM fx_vvalues",
+    "n5_dimension_ids": with_fixtures("fx_bnames", "fx_vvalues", "fx_fvalues") + """SELECT dimension, n AS n_rows, n AS n_ids,
+       CAST(CASE WHEN n > 0 THEN 1 END AS BIGINT) AS min_id, CAST(CASE WHEN n > 0 THEN n END AS BIGINT) AS max_id
+FROM (SELECT 'boroughs' AS dimension, COUNT(*) AS n FROM fx_bnames
+      UNION ALL SELECT 'vehicle_types', COUNT(DISTINCT vehicle_type_desc) FROM fx_vvalues
+      UNION ALL SELECT 'factors', COUNT(DISTINCT factor_desc) FROM fx_fvalues) d""",
+    "n6_normalize_feed": with_fixtures("fx_bnames", "fx_first", "fx_vvalues", "fx_fvalues", "fx_vlong",
+                                       "fx_flong", "fx_bad") + """SELECT 'boroughs' AS table_name, COUNT(*) AS n_rows FROM fx_bnames
+UNION ALL SELECT 'collisions', COUNT(*) FROM fx_first WHERE issues = ''
+UNION ALL SELECT 'vehicle_types', COUNT(DISTINCT vehicle_type_desc) FROM fx_vvalues
+UNION ALL SELECT 'collision_vehicles', COUNT(*) FROM fx_vlong WHERE collision_id NOT IN (SELECT collision_id FROM fx_bad)
+UNION ALL SELECT 'factors', COUNT(DISTINCT factor_desc) FROM fx_fvalues
+UNION ALL SELECT 'collision_factors', COUNT(*) FROM fx_flong WHERE collision_id NOT IN (SELECT collision_id FROM fx_bad)
+UNION ALL SELECT 'rejects', COUNT(*) FROM (SELECT unnest(string_split(issues, ',')) FROM fx_bad) r""",
+    "n6_rejects": with_fixtures("fx_bad") + "SELECT collision_id, unnest(string_split(issues, ',')) AS reason FROM fx_bad",
+    "n6_collision_vehicles": with_fixtures("fx_vlong", "fx_bad") + """SELECT collision_id, vehicle_order, vehicle_type_desc
+FROM fx_vlong WHERE collision_id NOT IN (SELECT collision_id FROM fx_bad)""",
+})
