@@ -13,7 +13,9 @@ from pyspark.sql import functions as F
 
 from crashlake.operators import dashboard as D
 from crashlake.operators import normalize as N
+from crashlake.operators import quality as K
 from crashlake.operators import rankings
+from crashlake.operators import star as T
 from crashlake.plans import params as P
 from crashlake.sources.fixtures import fixture_tables, fx_raw
 
@@ -88,6 +90,55 @@ def _load_vehicles_named(feed: DataFrame) -> DataFrame:
             .select("collision_id", "vehicle_order", "vehicle_type_desc"))
 
 
+def _unchecked(feed: DataFrame):
+    """Tables straight from the cleaned feed with nothing deduplicated or
+    quarantined: what the integrity checks are meant to catch."""
+    from crashlake.tables import CollisionTables
+    boroughs = N.extend_dimension(None, N.borough_names(feed), "borough_name", "borough_id")
+    vt = N.extend_dimension(None, N.vehicle_values(feed), "vehicle_type_desc", "vehicle_type_id")
+    fd = N.extend_dimension(None, N.factor_values(feed), "factor_desc", "factor_id")
+    collisions = N.collision_columns(feed.join(
+        boroughs.select(F.col("borough_name").alias("borough"), "borough_id"), "borough", "left"))
+    return CollisionTables(
+        boroughs=boroughs, collisions=collisions, vehicle_types=vt,
+        collision_vehicles=N.vehicle_values(feed).join(vt, "vehicle_type_desc")
+        .select("collision_id", "vehicle_order", "vehicle_type_id"),
+        factors=fd,
+        collision_factors=N.factor_values(feed).join(fd, "factor_desc")
+        .select("collision_id", "factor_order", "factor_id"))
+
+
+def _delete_cascade_summary(t) -> DataFrame:
+    gone = t.collisions.filter(F.col("crash_date") < F.lit(P.DELETE_BEFORE).cast("date"))
+    kept = K.delete_cascade(t, gone)
+    out = None
+    for name in ("collisions", "collision_vehicles", "collision_factors"):
+        row = getattr(kept, name).agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("n_rows"))
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+def _star_fact(t) -> DataFrame:
+    fact = T.fact_collisions(t)
+    return fact.select(*[c for c in fact.columns if c != "location_key"],
+                       F.col("location_key").isNotNull().alias("has_location_key"))
+
+
+def _star_child(t, kind: str) -> DataFrame:
+    fact = T.fact_collisions(t)
+    if kind == "vehicles":
+        rows = T.fact_collision_vehicles(t, fact).join(T.dim_vehicle(t), "vehicle_key")
+        return rows.select("collision_id", "vehicle_order", "vehicle_type_desc", "date_key", "borough_key")
+    rows = T.fact_collision_factors(t, fact).join(T.dim_factor(t), "factor_key")
+    return rows.select("collision_id", "factor_order", "factor_desc", "date_key", "borough_key")
+
+
+def _location_keys(t) -> DataFrame:
+    d = T.dim_location(T.stg_tables(t).collisions)
+    return d.agg(F.count(F.lit(1)).alias("n_rows"), F.countDistinct("location_key").alias("n_ids"),
+                 F.min("location_key").alias("min_id"), F.max("location_key").alias("max_id"))
+
+
 QUERIES: dict[str, Query] = {
     "q1_street_severity_rank": _on_tables(
         lambda t: rankings.street_severity_rank(t, P.Q1_FROM, P.Q1_TO, 10)),
@@ -137,4 +188,19 @@ QUERIES: dict[str, Query] = {
     "n6_normalize_feed": _on_feed(_load_summary),
     "n6_rejects": _on_feed(lambda f: N.normalize_feed(f).rejects),
     "n6_collision_vehicles": _on_feed(_load_vehicles_named),
+    "k1_k4_validate_raw": _on_feed(lambda f: K.validate(_unchecked(f))),
+    "k1_k4_validate_fixture": _on_tables(K.validate),
+    "k5_delete_cascade": _on_tables(_delete_cascade_summary),
+    "t1_dim_date": _on_tables(lambda t: T.dim_date(t.collisions)),
+    "t2_dim_borough": _on_tables(T.dim_borough),
+    "t3_dim_location": _on_tables(
+        lambda t: T.dim_location(T.stg_tables(t).collisions).select(*T.LOCATION_COLUMNS)),
+    "t3_location_keys": _on_tables(_location_keys),
+    "t4_dim_vehicle": _on_tables(lambda t: T.dim_vehicle(t).select("vehicle_type_desc")),
+    "t5_dim_factor": _on_tables(lambda t: T.dim_factor(t).select("factor_desc")),
+    "t6_stg_collisions": _on_tables(lambda t: T.stg_tables(t).collisions),
+    "t7_fact_collisions": _on_tables(_star_fact),
+    "t7_fact_grain": _on_tables(lambda t: T.fact_grain_check(T.fact_collisions(t), t.collisions)),
+    "t8_fact_collision_vehicles": _on_tables(lambda t: _star_child(t, "vehicles")),
+    "t8_fact_collision_factors": _on_tables(lambda t: _star_child(t, "factors")),
 }

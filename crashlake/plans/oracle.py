@@ -345,3 +345,108 @@ UNION ALL SELECT 'rejects', COUNT(*) FROM (SELECT unnest(string_split(issues, ',
     "n6_collision_vehicles": with_fixtures("fx_vlong", "fx_bad") + """SELECT collision_id, vehicle_order, vehicle_type_desc
 FROM fx_vlong WHERE collision_id NOT IN (SELECT collision_id FROM fx_bad)""",
 })
+
+
+# --- integrity checks ---------------------------------------------------------------
+
+def _k_raw() -> str:
+    """Violations of the unchecked feed tables: duplicate ids and duplicate
+    (id, slot) pairs, negative counts.  (Dimensions are distinct by
+    construction and every other rule holds on this feed.)"""
+    neg = " UNION ALL ".join(
+        f"SELECT 'collisions' AS table_name, 'range({c}>=0)' AS rule, CAST(collision_id AS VARCHAR) AS key, "
+        f"CAST(1 AS BIGINT) AS n_rows FROM fx_feed WHERE {c} < 0" for c in COUNT_COLUMNS)
+    return with_fixtures("fx_feed", "fx_vvalues", "fx_fvalues") + f"""SELECT 'collisions' AS table_name, 'unique(collision_id)' AS rule,
+       CAST(collision_id AS VARCHAR) AS key, COUNT(*) AS n_rows
+FROM fx_feed GROUP BY collision_id HAVING COUNT(*) > 1
+UNION ALL
+SELECT 'collision_vehicles', 'unique(collision_id,vehicle_order)', collision_id || '|' || vehicle_order, COUNT(*)
+FROM fx_vvalues GROUP BY collision_id, vehicle_order HAVING COUNT(*) > 1
+UNION ALL
+SELECT 'collision_factors', 'unique(collision_id,factor_order)', collision_id || '|' || factor_order, COUNT(*)
+FROM fx_fvalues GROUP BY collision_id, factor_order HAVING COUNT(*) > 1
+UNION ALL {neg}"""
+
+
+def _k_fixture() -> str:
+    """On the fixture tables only references can fail: lines whose order
+    is missing from orders."""
+    arms = []
+    for table, cte in (("collision_vehicles", "fx_vehicles"), ("collision_factors", "fx_factors")):
+        arms.append(f"""SELECT '{table}' AS table_name, 'foreign_key(collision_id->collisions.collision_id)' AS rule,
+       CAST(collision_id AS VARCHAR) AS key, COUNT(*) AS n_rows
+FROM {cte} WHERE collision_id NOT IN (SELECT collision_id FROM fx_collisions)
+GROUP BY collision_id""")
+    return with_fixtures("fx_collisions", "fx_vehicles", "fx_factors") + "\nUNION ALL\n".join(arms)
+
+
+_DELETE = f"""gone AS (SELECT collision_id FROM fx_collisions WHERE crash_date < DATE '{P.DELETE_BEFORE}')"""
+
+ORACLE.update({
+    "k1_k4_validate_raw": _k_raw(),
+    "k1_k4_validate_fixture": _k_fixture(),
+    "k5_delete_cascade": with_fixtures("fx_collisions", "fx_vehicles", "fx_factors", extra=_DELETE) + """SELECT 'collisions' AS table_name, COUNT(*) AS n_rows FROM fx_collisions WHERE collision_id NOT IN (SELECT collision_id FROM gone)
+UNION ALL SELECT 'collision_vehicles', COUNT(*) FROM fx_vehicles WHERE collision_id NOT IN (SELECT collision_id FROM gone)
+UNION ALL SELECT 'collision_factors', COUNT(*) FROM fx_factors WHERE collision_id NOT IN (SELECT collision_id FROM gone)""",
+})
+
+
+# --- star schema ---------------------------------------------------------------------
+
+_STG = """stg AS (
+    SELECT c.collision_id, c.crash_date, c.crash_time, b.borough_name AS borough, b.borough_id,
+           c.zip_code, c.on_street_name, c.cross_street_name, c.latitude, c.longitude,
+           c.number_of_persons_injured AS persons_injured, c.number_of_persons_killed AS persons_killed,
+           c.number_of_pedestrians_injured AS pedestrians_injured,
+           c.number_of_pedestrians_killed AS pedestrians_killed,
+           c.number_of_cyclist_injured AS cyclists_injured, c.number_of_cyclist_killed AS cyclists_killed,
+           c.number_of_motorist_injured AS motorists_injured, c.number_of_motorist_killed AS motorists_killed
+    FROM fx_collisions c LEFT JOIN fx_boroughs b ON c.borough_id = b.borough_id
+)"""
+
+_DATE_KEY = "CAST(year({d}) * 10000 + month({d}) * 100 + day({d}) AS INT)"
+
+_FACT = _STG + """, veh AS (
+    SELECT collision_id, COUNT(*) AS vehicle_count FROM fx_vehicles GROUP BY collision_id
+), fac AS (
+    SELECT collision_id, COUNT(DISTINCT factor_desc) AS factor_count FROM fx_factors GROUP BY collision_id
+), fact AS (
+    SELECT s.collision_id, """ + _DATE_KEY.format(d="s.crash_date") + """ AS date_key,
+           s.borough_id AS borough_key,
+           persons_injured, persons_killed, pedestrians_injured, pedestrians_killed,
+           cyclists_injured, cyclists_killed, motorists_injured, motorists_killed,
+           CAST(COALESCE(vehicle_count, 0) AS BIGINT) AS vehicle_count,
+           CAST(COALESCE(factor_count, 0) AS BIGINT) AS factor_count
+    FROM stg s LEFT JOIN veh ON s.collision_id = veh.collision_id
+    LEFT JOIN fac ON s.collision_id = fac.collision_id
+)"""
+
+_LOC = "zip_code, on_street_name, cross_street_name, latitude, longitude"
+
+ORACLE.update({
+    "t1_dim_date": with_fixtures("fx_collisions", extra=_BOUNDS) + """SELECT """ + _DATE_KEY.format(d="d") + """ AS date_key,
+       CAST(d AS DATE) AS full_date, CAST(year(d) AS INT) AS year, CAST(month(d) AS INT) AS month,
+       CAST(day(d) AS INT) AS day, CAST(isodow(d) AS INT) AS day_of_week, isodow(d) >= 6 AS is_weekend
+FROM (SELECT unnest(generate_series(CAST(min_date AS TIMESTAMP), CAST(max_date AS TIMESTAMP), INTERVAL 1 DAY)) AS d
+      FROM bounds) days""",
+    "t2_dim_borough": with_fixtures("fx_boroughs") + "SELECT borough_id AS borough_key, borough_name FROM fx_boroughs",
+    "t3_dim_location": with_fixtures("fx_collisions") + f"SELECT DISTINCT {_LOC} FROM fx_collisions",
+    "t3_location_keys": with_fixtures("fx_collisions") + f"""SELECT COUNT(*) AS n_rows, COUNT(*) AS n_ids,
+       CAST(CASE WHEN COUNT(*) > 0 THEN 1 END AS BIGINT) AS min_id, CAST(CASE WHEN COUNT(*) > 0 THEN COUNT(*) END AS BIGINT) AS max_id
+FROM (SELECT DISTINCT {_LOC} FROM fx_collisions) l""",
+    "t4_dim_vehicle": with_fixtures("fx_vehicles") + "SELECT DISTINCT vehicle_type_desc FROM fx_vehicles",
+    "t5_dim_factor": with_fixtures("fx_factors") + "SELECT DISTINCT factor_desc FROM fx_factors",
+    "t6_stg_collisions": with_fixtures("fx_boroughs", "fx_collisions", extra=_STG) + "SELECT * FROM stg",
+    "t7_fact_collisions": with_fixtures("fx_boroughs", "fx_collisions", "fx_vehicles", "fx_factors", extra=_FACT)
+    + "SELECT *, TRUE AS has_location_key FROM fact",
+    "t7_fact_grain": with_fixtures("fx_boroughs", "fx_collisions", "fx_vehicles", "fx_factors", extra=_FACT)
+    + """SELECT 'fact_rows' AS metric, COUNT(*) AS value FROM fact
+UNION ALL SELECT 'duplicate_keys', COUNT(*) FROM (SELECT collision_id FROM fact GROUP BY collision_id HAVING COUNT(*) > 1) d
+UNION ALL SELECT 'collision_rows', COUNT(*) FROM fx_collisions""",
+    "t8_fact_collision_vehicles": with_fixtures("fx_boroughs", "fx_collisions", "fx_vehicles", "fx_factors", extra=_FACT)
+    + """SELECT v.collision_id, v.vehicle_order, v.vehicle_type_desc, f.date_key, f.borough_key
+FROM fx_vehicles v LEFT JOIN fact f ON v.collision_id = f.collision_id""",
+    "t8_fact_collision_factors": with_fixtures("fx_boroughs", "fx_collisions", "fx_vehicles", "fx_factors", extra=_FACT)
+    + """SELECT x.collision_id, x.factor_order, x.factor_desc, f.date_key, f.borough_key
+FROM fx_factors x LEFT JOIN fact f ON x.collision_id = f.collision_id""",
+})

@@ -5,3 +5,4 @@ DASH_START, DASH_END = "1997-01-01", "1997-12-31"  # inclusive
 DASH_BOROUGH = "ASIA"
 TOP_N = 10
 D9_END = "1997-06-15"
+DELETE_BEFORE = "1996-01-01"
