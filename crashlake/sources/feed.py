@@ -30,6 +30,8 @@ def select_feed_columns(raw: DataFrame, with_file_order: bool = False) -> DataFr
     present = set(raw.columns)
     cols = [F.col(f"`{c}`").cast("string").alias(c) if c in present
             else F.lit(None).cast("string").alias(c) for c in FEED_COLUMNS]
+    if ORDER_COL in present and not with_file_order:
+        cols.append(F.col(ORDER_COL))
     if with_file_order:
         cols.append(F.struct(
             F.col("_metadata.file_path").alias("file"),

@@ -26,6 +26,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from crashlake import schema as S
 from crashlake.operators.filters import YEAR_PARTITION
@@ -86,8 +87,8 @@ def read_tables(spark: SparkSession, root: str) -> CollisionTables:
     carries the ``crash_year`` partition column)."""
     def read(name: str) -> DataFrame:
         sch = S.TABLES[name]
-        if name == "collisions":
-            sch = sch.add(YEAR_PARTITION, "int")
+        if name == "collisions":  # a new StructType: .add() would modify the shared one
+            sch = T.StructType(sch.fields + [T.StructField(YEAR_PARTITION, T.IntegerType())])
         return spark.read.schema(sch).parquet(table_path(root, name))
     return CollisionTables(**{name: read(name) for name in S.TABLES})
 
