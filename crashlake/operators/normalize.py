@@ -42,38 +42,39 @@ def clean_feed(raw: DataFrame, order_col: str = ORDER_COL,
     non-numeric or out-of-range coordinates and counts, negative counts,
     over-long zip or borough.  Dates and times that do not parse are just
     NULL, as in the reference."""
-    na = {c: C.na_to_null(F.col(c)) for c in raw.columns if c != order_col}
-    lat, lon = C.parse_coordinate(na["latitude"]), C.parse_coordinate(na["longitude"])
-    counts = {c: C.parse_count(na[c]) for c in COUNT_COLUMNS}
-    zip_code = C.parse_zip(na["zip_code"])
-    borough = C.stripped_or_null(na["borough"])
+    # step 1: NA spellings -> NULL once per column (later steps reuse the column)
+    text = [c for c in raw.columns if c != order_col]
+    nulled = raw.select(*[C.na_to_null(c).alias(c) for c in text], F.col(order_col).alias(ORDER_COL))
+    # step 2: typed values
+    typed = nulled.select(
+        C.parse_id("collision_id").alias("collision_id"),
+        C.parse_date("crash_date", date_formats).alias("crash_date"),
+        C.parse_time("crash_time", time_formats).alias("crash_time"),
+        C.stripped_or_null("borough").alias("borough"),
+        C.parse_zip("zip_code").alias("zip_code"),
+        C.parse_coordinate("latitude").alias("latitude"),
+        C.parse_coordinate("longitude").alias("longitude"),
+        "location", "on_street_name", "off_street_name", "cross_street_name",
+        *[C.parse_count(c).alias(c) for c in COUNT_COLUMNS],
+        *[F.col(c).alias(f"_raw_{c}") for c in ("latitude", "longitude", *COUNT_COLUMNS)],
+        *VEHICLE_COLUMNS, *FACTOR_COLUMNS, ORDER_COL,
+    ).filter(F.col("collision_id").isNotNull())
+    # step 3: rule violations from the typed values and their raw text
     checks = [
-        (C.invalid(na["latitude"], lat), "latitude_invalid"),
-        (C.invalid(na["longitude"], lon), "longitude_invalid"),
-        (F.length(zip_code) > ZIP_CODE_MAX, "zip_code_too_long"),
-        (F.length(borough) > BOROUGH_NAME_MAX, "borough_too_long"),
+        (C.invalid(F.col("_raw_latitude"), F.col("latitude")), "latitude_invalid"),
+        (C.invalid(F.col("_raw_longitude"), F.col("longitude")), "longitude_invalid"),
+        (F.length("zip_code") > ZIP_CODE_MAX, "zip_code_too_long"),
+        (F.length("borough") > BOROUGH_NAME_MAX, "borough_too_long"),
     ]
     for c in COUNT_COLUMNS:
-        checks.append((C.invalid(na[c], counts[c]), f"{c}_invalid"))
-        checks.append((counts[c] < 0, f"{c}_negative"))
+        checks.append((C.invalid(F.col(f"_raw_{c}"), F.col(c)), f"{c}_invalid"))
+        checks.append((F.col(c) < 0, f"{c}_negative"))
     issues = F.array_compact(F.array(*[F.when(cond, F.lit(code)) for cond, code in checks]))
-    return raw.select(
-        C.parse_id(na["collision_id"]).alias("collision_id"),
-        C.parse_date(na["crash_date"], date_formats).alias("crash_date"),
-        C.parse_time(na["crash_time"], time_formats).alias("crash_time"),
-        borough.alias("borough"),
-        zip_code.alias("zip_code"),
-        lat.alias("latitude"),
-        lon.alias("longitude"),
-        na["location"].alias("location"),
-        na["on_street_name"].alias("on_street_name"),
-        na["off_street_name"].alias("off_street_name"),
-        na["cross_street_name"].alias("cross_street_name"),
-        *[counts[c].alias(c) for c in COUNT_COLUMNS],
-        *[na[c].alias(c) for c in VEHICLE_COLUMNS + FACTOR_COLUMNS],
-        issues.alias(ISSUES_COL),
-        F.col(order_col).alias(ORDER_COL),
-    ).filter(F.col("collision_id").isNotNull())
+    return typed.select(
+        "collision_id", "crash_date", "crash_time", "borough", "zip_code", "latitude", "longitude",
+        "location", "on_street_name", "off_street_name", "cross_street_name", *COUNT_COLUMNS,
+        *VEHICLE_COLUMNS, *FACTOR_COLUMNS, issues.alias(ISSUES_COL), ORDER_COL,
+    )
 
 
 def borough_names(feed: DataFrame) -> DataFrame:
@@ -156,6 +157,51 @@ def _anti(df: DataFrame, existing: DataFrame | None, keys: list[str]) -> DataFra
     return df if existing is None else df.join(existing.select(*keys), keys, "left_anti")
 
 
+def new_collision_candidates(feed: DataFrame, boroughs: DataFrame,
+                             existing: DataFrame | None = None) -> DataFrame:
+    """First-wins collision rows whose id is not stored yet, with borough ids
+    and ``_issues`` (insert-if-absent: a stored row always wins)."""
+    return _anti(collisions_table(feed, boroughs), existing, ["collision_id"])
+
+
+def rejects_of(candidates: DataFrame) -> DataFrame:
+    """(collision_id, reason) for candidates that break a table rule."""
+    return candidates.filter(F.size(ISSUES_COL) > 0).select(
+        "collision_id", F.explode(ISSUES_COL).alias("reason"))
+
+
+def accepted(candidates: DataFrame) -> DataFrame:
+    return collision_columns(candidates.filter(F.size(ISSUES_COL) == 0))
+
+
+def new_vehicle_rows(feed: DataFrame, vehicle_types: DataFrame, existing: DataFrame | None = None,
+                     rejected_ids: DataFrame | None = None) -> DataFrame:
+    """collision_vehicles rows to insert: first value per new (id, slot),
+    not belonging to a rejected collision, with the type id."""
+    rows = _anti(vehicles_long(feed), existing, ["collision_id", "vehicle_order"])
+    rows = _anti(rows, rejected_ids, ["collision_id"])
+    return rows.join(vehicle_types, "vehicle_type_desc").select(
+        "collision_id", F.col("vehicle_order").cast("int"), "vehicle_type_id")
+
+
+def new_factor_rows(feed: DataFrame, factors: DataFrame, existing: DataFrame | None = None,
+                    rejected_ids: DataFrame | None = None) -> DataFrame:
+    rows = _anti(factors_long(feed), existing, ["collision_id", "factor_order"])
+    rows = _anti(rows, rejected_ids, ["collision_id"])
+    return rows.join(factors, "factor_desc").select(
+        "collision_id", F.col("factor_order").cast("int"), "factor_id")
+
+
+def dimensions(feed: DataFrame, existing: CollisionTables | None = None):
+    """(boroughs, vehicle_types, factors): existing rows plus new values."""
+    ex = existing
+    return (
+        extend_dimension(ex and ex.boroughs, borough_names(feed), "borough_name", "borough_id"),
+        extend_dimension(ex and ex.vehicle_types, vehicle_values(feed), "vehicle_type_desc", "vehicle_type_id"),
+        extend_dimension(ex and ex.factors, factor_values(feed), "factor_desc", "factor_id"),
+    )
+
+
 def normalize_feed(feed: DataFrame, existing: CollisionTables | None = None,
                    mode: str = "quarantine") -> LoadResult:
     """The whole load in dependency order - boroughs, collisions,
@@ -164,32 +210,21 @@ def normalize_feed(feed: DataFrame, existing: CollisionTables | None = None,
     Only keys not yet stored are produced (insert-if-absent), so running the
     same feed twice adds nothing.  ``mode='quarantine'`` diverts collisions
     that break a table rule (and their vehicle/factor rows) to ``rejects``;
-    ``mode='fail'`` raises instead, like the reference's aborted transaction."""
+    ``mode='fail'`` raises instead, like the reference's aborted transaction.
+    (plans.load runs the same steps against a store, materialising each
+    table before the next one reads it.)"""
     if mode not in ("quarantine", "fail"):
         raise ValueError("mode must be 'quarantine' or 'fail'")
     ex = existing
-    boroughs = extend_dimension(ex and ex.boroughs, borough_names(feed), "borough_name", "borough_id")
-    vehicle_types = extend_dimension(ex and ex.vehicle_types, vehicle_values(feed),
-                                     "vehicle_type_desc", "vehicle_type_id")
-    factors = extend_dimension(ex and ex.factors, factor_values(feed), "factor_desc", "factor_id")
-
-    candidates = _anti(collisions_table(feed, boroughs), ex and ex.collisions, ["collision_id"])
-    bad = candidates.filter(F.size(ISSUES_COL) > 0)
-    rejects = bad.select("collision_id", F.explode(ISSUES_COL).alias("reason"))
-    if mode == "fail" and rejects.limit(1).count() > 0:
-        sample = [r.asDict() for r in rejects.limit(5).collect()]
-        raise ValueError(f"feed breaks table rules, e.g. {sample}")
-    bad_ids = bad.select("collision_id")
-    collisions = collision_columns(candidates.filter(F.size(ISSUES_COL) == 0))
-
-    vehicles = (_anti(vehicles_long(feed), ex and ex.collision_vehicles, ["collision_id", "vehicle_order"])
-                .join(bad_ids, "collision_id", "left_anti")
-                .join(vehicle_types, "vehicle_type_desc")
-                .select("collision_id", F.col("vehicle_order").cast("int"), "vehicle_type_id"))
-    factors_rows = (_anti(factors_long(feed), ex and ex.collision_factors, ["collision_id", "factor_order"])
-                    .join(bad_ids, "collision_id", "left_anti")
-                    .join(factors, "factor_desc")
-                    .select("collision_id", F.col("factor_order").cast("int"), "factor_id"))
+    boroughs, vehicle_types, factors = dimensions(feed, ex)
+    candidates = new_collision_candidates(feed, boroughs, ex and ex.collisions)
+    rejects = rejects_of(candidates)
+    if mode == "fail":
+        raise_on_rejects(rejects)
+    bad_ids = candidates.filter(F.size(ISSUES_COL) > 0).select("collision_id")
+    collisions = accepted(candidates)
+    vehicles = new_vehicle_rows(feed, vehicle_types, ex and ex.collision_vehicles, bad_ids)
+    factor_rows = new_factor_rows(feed, factors, ex and ex.collision_factors, bad_ids)
 
     def only_new(dim: DataFrame, old: DataFrame | None, key: str) -> DataFrame:
         return _anti(dim, old, [key])
@@ -200,8 +235,15 @@ def normalize_feed(feed: DataFrame, existing: CollisionTables | None = None,
         vehicle_types=only_new(vehicle_types, ex and ex.vehicle_types, "vehicle_type_id"),
         collision_vehicles=vehicles,
         factors=only_new(factors, ex and ex.factors, "factor_id"),
-        collision_factors=factors_rows,
+        collision_factors=factor_rows,
     )
     dims = CollisionTables(boroughs=boroughs, collisions=collisions, vehicle_types=vehicle_types,
-                           collision_vehicles=vehicles, factors=factors, collision_factors=factors_rows)
+                           collision_vehicles=vehicles, factors=factors, collision_factors=factor_rows)
     return LoadResult(new=new, rejects=rejects, dims=dims)
+
+
+def raise_on_rejects(rejects: DataFrame) -> None:
+    """'fail' mode: stop at the first rule violation (a bounded look)."""
+    sample = [r.asDict() for r in rejects.limit(5).collect()]
+    if sample:
+        raise ValueError(f"feed breaks table rules, e.g. {sample}")

@@ -6,8 +6,9 @@ Order of work (each step one Spark job, parents before children):
    file order column is fixed once);
 2. append new dimension values, then read the dimensions back, so every
    fact row joins to ids that are already on disk (ids never recomputed);
-3. append new collisions, then their vehicle and factor rows; rejected
-   collisions go to ``_rejects``.
+3. write rejected collisions to ``_rejects`` (partition = load id), append
+   the accepted ones, then their vehicle and factor rows - skipping rejected
+   ids by reading this load's small reject partition back.
 
 Every append is insert-if-absent, so a crashed load is repaired by running
 it again, and replaying a feed adds nothing.
@@ -20,10 +21,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crashlake.operators.normalize import clean_feed, normalize_feed
+from crashlake.operators import normalize as N
 from crashlake.sources import store
 from crashlake.sources.feed import read_feed
-from crashlake.tables import CollisionTables
 
 DIMENSIONS = ("boroughs", "vehicle_types", "factors")
 
@@ -32,26 +32,37 @@ def load_feed(spark: SparkSession, feed: DataFrame | str, root: str, mode: str =
               order_col: str = "_order", num_files: int | None = None) -> str:
     """Load one feed (a path to CSV, or an all-string DataFrame with an order
     column) into the store at ``root``.  Returns the load id."""
+    if mode not in ("quarantine", "fail"):
+        raise ValueError("mode must be 'quarantine' or 'fail'")
     if isinstance(feed, str):
         feed = read_feed(spark, feed)
     if not store.exists(spark, root):
         store.create_tables(spark, root)
     load_id = uuid.uuid4().hex
-    staged = store.stage(clean_feed(feed, order_col=order_col), root, f"feed-{load_id}")
-
+    staged = store.stage(N.clean_feed(feed, order_col=order_col), root, f"feed-{load_id}")
     before = store.read_tables(spark, root)
-    first = normalize_feed(staged, before, mode)
-    for name in DIMENSIONS:
-        store.write_table(name, getattr(first.new, name), root, num_files=num_files)
-
-    dims = store.read_tables(spark, root)
-    current = CollisionTables(
-        boroughs=dims.boroughs, vehicle_types=dims.vehicle_types, factors=dims.factors,
-        collisions=before.collisions, collision_vehicles=before.collision_vehicles,
-        collision_factors=before.collision_factors)
-    res = normalize_feed(staged, current, mode)
-    for name in ("collisions", "collision_vehicles", "collision_factors"):
-        store.write_table(name, getattr(res.new, name), root, num_files=num_files)
-    (res.rejects.withColumn("load_id", F.lit(load_id))
-     .write.mode("append").parquet(store.table_path(root, "_rejects")))
+
+    # 1. dimensions: new values only, then read back (ids are fixed on disk)
+    for name, dim in zip(DIMENSIONS, N.dimensions(staged, before)):
+        key = dim.columns[0]
+        new_rows = dim.join(getattr(before, name).select(key), key, "left_anti")
+        store.write_table(name, new_rows, root, num_files=num_files)
+    now = store.read_tables(spark, root)
+
+    # 2. collisions: rejects first, so children can skip them by a small read
+    candidates = N.new_collision_candidates(staged, now.boroughs, before.collisions)
+    rejects = N.rejects_of(candidates)
+    if mode == "fail":
+        N.raise_on_rejects(rejects)
+    rejects_path = store.table_path(root, "_rejects")
+    rejects.withColumn("load_id", F.lit(load_id)).write.mode("append").partitionBy("load_id").parquet(rejects_path)
+    store.write_table("collisions", N.accepted(candidates), root, num_files=num_files)
+    bad_ids = (spark.read.parquet(rejects_path).filter(F.col("load_id") == load_id)
+               .select("collision_id").distinct())
+
+    # 3. children of accepted collisions
+    store.write_table("collision_vehicles", N.new_vehicle_rows(
+        staged, now.vehicle_types, before.collision_vehicles, bad_ids), root, num_files=num_files)
+    store.write_table("collision_factors", N.new_factor_rows(
+        staged, now.factors, before.collision_factors, bad_ids), root, num_files=num_files)
     return load_id

@@ -12,7 +12,7 @@ Layout (S6, in place of the reference's B-tree indexes):
   and id filters skip row groups.  ``write_bucketed`` additionally offers
   catalog tables bucketed on ``collision_id`` (same bucket count for the
   three tables) for shuffle-free joins where a metastore is available.
-* dimensions are range-partitioned and sorted on their id.
+* dimensions are hash-partitioned on their id (few, adaptive-sized files).
 
 Appends are insert-if-absent (S2): the normaliser only emits keys the store
 does not have, so replaying a feed is a no-op, and a load that died half way
@@ -53,8 +53,11 @@ def layout(name: str, df: DataFrame, num_files: int | None = None) -> DataFrame:
         return _by_range(df, ["crash_date", "collision_id"], num_files).sortWithinPartitions("crash_date")
     if name in ("collision_vehicles", "collision_factors"):
         return _by_range(df, ["collision_id"], num_files).sortWithinPartitions("collision_id")
+    # dimensions: hash on the id (no sampling pass); adaptive execution packs
+    # the few new values of a load into one or a handful of files
     key = df.columns[0]
-    return _by_range(df, [key], num_files).sortWithinPartitions(key)
+    by_key = df.repartition(num_files, key) if num_files else df.repartition(key)
+    return by_key.sortWithinPartitions(key)
 
 
 def write_table(name: str, df: DataFrame, root: str, mode: str = "append",
@@ -72,7 +75,9 @@ def create_tables(spark: SparkSession, root: str) -> None:
         empty = spark.createDataFrame([], S.TABLES[name])
         if name == "collisions":
             empty = empty.withColumn(YEAR_PARTITION, F.lit(None).cast("int"))
-        write_table(name, empty, root, mode="overwrite")
+            empty.write.mode("overwrite").partitionBy(YEAR_PARTITION).parquet(table_path(root, name))
+        else:
+            empty.write.mode("overwrite").parquet(table_path(root, name))
 
 
 def exists(spark: SparkSession, root: str) -> bool:
