@@ -6,9 +6,9 @@ Order of work (each step one Spark job, parents before children):
    file order column is fixed once);
 2. append new dimension values, then read the dimensions back, so every
    fact row joins to ids that are already on disk (ids never recomputed);
-3. write rejected collisions to ``_rejects`` (partition = load id), append
-   the accepted ones, then their vehicle and factor rows - skipping rejected
-   ids by reading this load's small reject partition back.
+3. stage the first-wins collision candidates once; write the rejected ones
+   to ``_rejects`` (partition = load id), append the accepted ones, then
+   their vehicle and factor rows, skipping rejected ids.
 
 Every append is insert-if-absent, so a crashed load is repaired by running
 it again, and replaying a feed adds nothing.
@@ -49,16 +49,17 @@ def load_feed(spark: SparkSession, feed: DataFrame | str, root: str, mode: str =
         store.write_table(name, new_rows, root, num_files=num_files)
     now = store.read_tables(spark, root)
 
-    # 2. collisions: rejects first, so children can skip them by a small read
-    candidates = N.new_collision_candidates(staged, now.boroughs, before.collisions)
+    # 2. collisions: first-wins candidates staged once, then split into
+    #    rejects and accepted rows (no second aggregation of the feed)
+    candidates = store.stage(N.new_collision_candidates(staged, now.boroughs, before.collisions),
+                             root, f"candidates-{load_id}")
     rejects = N.rejects_of(candidates)
     if mode == "fail":
         N.raise_on_rejects(rejects)
-    rejects_path = store.table_path(root, "_rejects")
-    rejects.withColumn("load_id", F.lit(load_id)).write.mode("append").partitionBy("load_id").parquet(rejects_path)
+    (rejects.withColumn("load_id", F.lit(load_id))
+     .write.mode("append").partitionBy("load_id").parquet(store.table_path(root, "_rejects")))
     store.write_table("collisions", N.accepted(candidates), root, num_files=num_files)
-    bad_ids = (spark.read.parquet(rejects_path).filter(F.col("load_id") == load_id)
-               .select("collision_id").distinct())
+    bad_ids = candidates.filter(F.size(N.ISSUES_COL) > 0).select("collision_id")
 
     # 3. children of accepted collisions
     store.write_table("collision_vehicles", N.new_vehicle_rows(
