@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from crashlake.operators import normalize as N
 from crashlake.sources import store
-from crashlake.sources.feed import read_feed
+from crashlake.sources.feed import compact_order, feed_files, has_file_order, read_feed
 
 DIMENSIONS = ("boroughs", "vehicle_types", "factors")
 
@@ -40,6 +40,8 @@ def load_feed(spark: SparkSession, feed: DataFrame | str, root: str, mode: str =
         store.create_tables(spark, root)
     load_id = uuid.uuid4().hex
     staged = store.stage(N.clean_feed(feed, order_col=order_col), root, f"feed-{load_id}")
+    if has_file_order(staged):
+        staged = compact_order(staged, store.stage(feed_files(staged), root, f"files-{load_id}"))
     before = store.read_tables(spark, root)
 
     # 1. dimensions: new values only, then read back (ids are fixed on disk)

@@ -26,6 +26,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         builder = builder.config(k, v)
     builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     builder = builder.config("spark.driver.memory", os.environ.get("CRASHLAKE_DRIVER_MEMORY", "8g"))
+    # catalog tables of a local run live in a fresh scratch folder, not the cwd
+    builder = builder.config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="crashlake-wh-"))
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)

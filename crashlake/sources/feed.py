@@ -12,7 +12,7 @@ order, so the generated id alone is not enough.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from crashlake.schema import FEED_COLUMNS
@@ -39,3 +39,26 @@ def select_feed_columns(raw: DataFrame, with_file_order: bool = False) -> DataFr
             F.monotonically_increasing_id().alias("row"),
         ).alias(ORDER_COL))
     return raw.select(*cols)
+
+
+def has_file_order(df: DataFrame) -> bool:
+    """True when ``_order`` is the (file path, split start, row) struct."""
+    field = next((f for f in df.schema.fields if f.name == ORDER_COL), None)
+    return field is not None and getattr(field.dataType, "names", None) == ["file", "block", "row"]
+
+
+def feed_files(df: DataFrame) -> DataFrame:
+    """(file, file_rank): the feed's input files in path order.  One row per
+    input file - bounded by the load's file listing, not by the data."""
+    files = df.select(F.col(f"{ORDER_COL}.file").alias("file")).distinct()
+    return files.select("file", F.row_number().over(Window.orderBy("file")).cast("int").alias("file_rank"))
+
+
+def compact_order(df: DataFrame, files: DataFrame) -> DataFrame:
+    """Swap the file path inside ``_order`` for its rank, so the shuffles
+    that pick first rows move three numbers per row instead of a path."""
+    f = files.select(F.col("file").alias("_file"), "file_rank")
+    joined = df.join(F.broadcast(f), df[f"{ORDER_COL}.file"] == f["_file"])
+    return joined.withColumn(ORDER_COL, F.struct(
+        F.col("file_rank").alias("file"), F.col(f"{ORDER_COL}.block").alias("block"),
+        F.col(f"{ORDER_COL}.row").alias("row"))).drop("_file", "file_rank")
