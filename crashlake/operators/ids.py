@@ -38,11 +38,17 @@ def assign_ids(
     existing: DataFrame | None = None,
     id_type: str = "int",
     num_partitions: int | None = None,
+    count_col: str | None = None,
 ) -> DataFrame:
     """Rows (id_col, *keys) for every distinct key tuple of ``values`` that is
-    not in ``existing``; ids continue after ``max(existing[id_col])``."""
+    not in ``existing``; ids continue after ``max(existing[id_col])``.
+    With ``count_col`` the rows also carry how many input rows had the key
+    (the same partial aggregate that finds the distinct keys)."""
     spark = values.sparkSession
-    new = values.select(*keys).distinct()
+    if count_col:
+        new = values.groupBy(*keys).agg(F.count(F.lit(1)).alias(count_col))
+    else:
+        new = values.select(*keys).distinct()
     if existing is not None:
         old = existing.select(*keys)
         new = new.join(old, _null_safe_on(new, old, keys), "left_anti")
@@ -67,7 +73,8 @@ def assign_ids(
         "_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off")
     )
     return numbered.join(F.broadcast(offsets), "_pid").select(
-        (F.col("_off") + F.col("_local") + 1).cast(id_type).alias(id_col), *keys
+        (F.col("_off") + F.col("_local") + 1).cast(id_type).alias(id_col), *keys,
+        *([count_col] if count_col else []),
     )
 
 

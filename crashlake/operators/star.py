@@ -84,13 +84,20 @@ def dim_borough(t: CollisionTables) -> DataFrame:
     return t.boroughs.select(F.col("borough_id").alias("borough_key"), "borough_name")
 
 
-def dim_location(stg_collisions: DataFrame) -> DataFrame:
+# A location with more collisions than this is joined on the map side (see
+# _attach_location).  At most total_rows / HOT_LOCATION_ROWS keys qualify.
+HOT_LOCATION_ROWS = 1_000_000
+
+
+def dim_location(stg_collisions: DataFrame, with_counts: bool = False) -> DataFrame:
     """Distinct (zip, on street, cross street, lat, lon) with a dense
     key.  Can be nearly as large as collisions, so keys come from the
     per-partition offset numbering, never a global window.  Persist (write
-    and read back) before joining so keys are not recomputed."""
+    and read back) before joining so keys are not recomputed.  With
+    ``with_counts`` each key also carries ``n_collisions``."""
     locs = stg_collisions.select(*LOCATION_COLUMNS)
-    return assign_ids(locs, list(LOCATION_COLUMNS), "location_key", id_type="bigint")
+    return assign_ids(locs, list(LOCATION_COLUMNS), "location_key", id_type="bigint",
+                      count_col="n_collisions" if with_counts else None)
 
 
 def dim_vehicle(t: CollisionTables) -> DataFrame:
@@ -107,27 +114,55 @@ def _null_safe(left: DataFrame, right: DataFrame, cols) -> F.Column:
     return reduce(lambda a, b: a & b, [left[c].eqNullSafe(right[c]) for c in cols])
 
 
-def fact_collisions(t: CollisionTables, locations: DataFrame | None = None) -> DataFrame:
+def _attach_location(c: DataFrame, locations: DataFrame, hot_rows: int) -> DataFrame:
+    """``c`` plus ``location_key`` (null-safe match on all five columns).
+
+    One location (say, every collision with no location data at all) can
+    hold a third of the rows; a shuffle join would send all of them to one
+    task.  Keys with more than ``hot_rows`` collisions - at most
+    rows / hot_rows of them, so a bounded table - are matched by a broadcast
+    join on the map side; only the remaining rows go through the shuffle
+    join, where no key is larger than ``hot_rows``."""
+    loc = list(LOCATION_COLUMNS)
+    if "n_collisions" not in locations.columns:
+        return c.join(locations, _null_safe(c, locations, loc), "left").select(*c.columns, "location_key")
+
+    def renamed(df: DataFrame, prefix: str) -> DataFrame:
+        return df.select(*[F.col(k).alias(prefix + k) for k in loc], F.col("location_key").alias(prefix + "key"))
+
+    def on(left: DataFrame, right: DataFrame, prefix: str):
+        return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[prefix + k]) for k in loc])
+
+    hot = renamed(locations.filter(F.col("n_collisions") > hot_rows), "_h_")
+    cold = renamed(locations.filter(F.col("n_collisions") <= hot_rows), "_c_")
+    tagged = c.join(F.broadcast(hot), on(c, hot, "_h_"), "left")
+    found = tagged.filter(F.col("_h_key").isNotNull()).select(*c.columns, F.col("_h_key").alias("location_key"))
+    rest = tagged.filter(F.col("_h_key").isNull()).select(*c.columns)
+    rest = rest.join(cold, on(rest, cold, "_c_"), "left").select(*c.columns, F.col("_c_key").alias("location_key"))
+    return found.unionByName(rest)
+
+
+def fact_collisions(t: CollisionTables, locations: DataFrame | None = None,
+                    hot_rows: int = HOT_LOCATION_ROWS) -> DataFrame:
     """One row per collision - date, borough and location keys, eight
     casualty measures, vehicle count (slots filled) and factor count
     (distinct factors).  Children are counted per collision before the join,
     so every join is many-to-one and the grain cannot break."""
     s = stg_tables(t)
-    locations = locations if locations is not None else dim_location(s.collisions)
+    locations = locations if locations is not None else dim_location(s.collisions, with_counts=True)
     vehicles = s.collision_vehicles.groupBy("collision_id").agg(
         F.count(F.lit(1)).alias("vehicle_count"))
     factors = s.collision_factors.groupBy("collision_id").agg(
         F.countDistinct("factor_id").alias("factor_count"))
-    c = s.collisions
-    with_loc = c.join(locations, _null_safe(c, locations, LOCATION_COLUMNS), "left")
+    with_loc = _attach_location(s.collisions, locations, hot_rows)
     return (
         with_loc.join(vehicles, "collision_id", "left").join(factors, "collision_id", "left")
         .select(
-            c["collision_id"],
-            date_key(c["crash_date"]).alias("date_key"),
-            c["borough_id"].alias("borough_key"),
-            locations["location_key"],
-            *[c[dst] for _, dst in MEASURES],
+            "collision_id",
+            date_key("crash_date").alias("date_key"),
+            F.col("borough_id").alias("borough_key"),
+            "location_key",
+            *[dst for _, dst in MEASURES],
             F.coalesce("vehicle_count", F.lit(0)).cast("bigint").alias("vehicle_count"),
             F.coalesce("factor_count", F.lit(0)).cast("bigint").alias("factor_count"),
         )

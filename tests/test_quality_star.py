@@ -74,3 +74,18 @@ def test_assign_ids_dense_unique_and_stable(spark):
     existing = ids.filter(F.col("id") <= 100)
     more = assign_ids(vals, ["v"], "id", existing=existing)
     assert sorted(r[0] for r in more.collect()) == list(range(101, 301))
+
+
+def test_hot_locations_take_the_broadcast_path(spark):
+    coll = [_c(i, zip_code=None, on_street_name=None) for i in range(1, 8)] + [_c(20), _c(21, on_street_name="B")]
+    t = tables(spark, boroughs=[(1, "A")], collisions=coll)
+    plain = rows(T.fact_collisions(t, hot_rows=10**9).select("collision_id", "location_key"), "collision_id")
+    split = rows(T.fact_collisions(t, hot_rows=2).select("collision_id", "location_key"), "collision_id")
+    assert len(split) == 9 and len({k for _, k in split[:7]}) == 1
+    # same grouping of collisions into locations either way
+    def groups(r):
+        by = {}
+        for cid, k in r:
+            by.setdefault(k, set()).add(cid)
+        return sorted(map(sorted, by.values()))
+    assert groups(plain) == groups(split)
