@@ -111,16 +111,17 @@ DETAIL_COLUMNS = (
 def latest_collisions(t: CollisionTables, start, end, borough: str = ALL_BOROUGHS,
                       limit: int = LATEST_LIMIT) -> DataFrame:
     """Newest collisions (date desc, time desc, NULL first; id desc as
-    the tie-break).  Planned as a top-k: each partition keeps its own best
-    ``limit`` rows before the final merge."""
-    c = _filtered(t, start, end, borough)
+    the tie-break).  Planned as a top-k on the collisions alone - each
+    partition keeps its own best ``limit`` rows before the final merge - and
+    only those rows are joined to the borough names."""
+    order = [F.col("crash_date").desc_nulls_first(), F.col("crash_time").desc_nulls_first(),
+             F.col("collision_id").desc_nulls_first()]
+    top = _filtered(t, start, end, borough).orderBy(*order).limit(int(limit))
     return (
-        c.join(t.boroughs, "borough_id", "left")
+        top.join(t.boroughs, "borough_id", "left")
         .withColumnRenamed("borough_name", "borough")
         .select(*DETAIL_COLUMNS)
-        .orderBy(F.col("crash_date").desc_nulls_first(), F.col("crash_time").desc_nulls_first(),
-                 F.col("collision_id").desc_nulls_first())
-        .limit(int(limit))
+        .orderBy(*order)
     )
 
 
