@@ -60,7 +60,8 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     repeats = int(os.environ.get("BENCH_REPEATS", "3"))
-    spark = local_session(cpus, shuffle_partitions=max(8, 2 * cpus), app="crashlake-bench")
+    spark = local_session(cpus, shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", cpus)),
+                          app="crashlake-bench")
     shared = ensure_checkpoint_dir(spark).rstrip("/")
     root = f"{shared}/bench-store-{uuid.uuid4().hex}"
     load_root = f"{shared}/bench-load-{uuid.uuid4().hex}"

@@ -1,20 +1,20 @@
 """Dense surrogate ids without a single-partition window.
 
 The reference allocates ids from a database sequence, one value at a time.
-Here a whole set of new values is numbered at once:
+Here a whole set of new values is numbered at once, and every id is a pure
+function of the data (not of how Spark happens to lay out partitions):
 
 1. distinct values not yet in the dimension (null-safe anti join);
-2. hash-partition them into a fixed number of partitions and sort each one,
-   so partition contents and order are deterministic on recomputation;
-3. the row index inside a partition comes from monotonically_increasing_id
-   (partition index in the upper bits);
-4. per-partition counts (one row per partition) are turned into offsets with a
-   running sum; that table is bounded by the partition count, so it is
-   broadcast back.  The current maximum id of the dimension is folded in as
-   an extra row, so new ids continue after it.
+2. each value falls in one of n buckets by a hash of the value;
+3. inside a bucket, values are numbered in key order (``row_number`` over a
+   window partitioned by bucket - n windows of about distinct/n values);
+4. values per bucket (one row per bucket) become offsets through a running
+   sum; that table has n + 1 rows, so it is broadcast back.  The current
+   maximum id of the dimension is folded in as an extra row, so new ids
+   continue after it.
 
-Id values are dense (1..n after the existing maximum) but carry no meaning;
-natural keys are the contract.
+Ids are dense (1..k after the existing maximum) but carry no meaning; natural
+keys are the contract.
 """
 
 from __future__ import annotations
@@ -24,8 +24,6 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-_LOCAL_BITS = 33  # monotonically_increasing_id keeps the row index in the low 33 bits
-
 
 def _null_safe_on(left: DataFrame, right: DataFrame, keys: list[str]):
     return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[k]) for k in keys])
@@ -54,26 +52,22 @@ def assign_ids(
         new = new.join(old, _null_safe_on(new, old, keys), "left_anti")
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
 
-    numbered = (
-        new.repartition(n, *keys)
-        .sortWithinPartitions(*keys)
-        .withColumn("_mid", F.monotonically_increasing_id())
-        .withColumn("_pid", F.shiftright("_mid", _LOCAL_BITS))
-        .withColumn("_local", F.col("_mid") - F.shiftleft("_pid", _LOCAL_BITS))
-    )
-    counts = numbered.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
+    new = new.withColumn("_bucket", F.pmod(F.xxhash64(*keys), F.lit(n)))
+    in_bucket = Window.partitionBy("_bucket").orderBy(*[F.col(k).asc_nulls_first() for k in keys])
+    numbered = new.withColumn("_local", F.row_number().over(in_bucket))
+    counts = new.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
     if existing is not None:
         base = existing.agg(F.coalesce(F.max(id_col).cast("bigint"), F.lit(0).cast("bigint")).alias("_n"))
     else:
         base = spark.range(1).select(F.lit(0).cast("bigint").alias("_n"))
-    base = base.select(F.lit(-1).cast("bigint").alias("_pid"), "_n")
-    # one row per partition (+1): bounded, so a global window and a broadcast are safe
-    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    base = base.select(F.lit(-1).cast("bigint").alias("_bucket"), "_n")
+    # one row per bucket (+1): bounded by n, so a global window and a broadcast are safe
+    before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.unionByName(base).select(
-        "_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off")
+        "_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off")
     )
-    return numbered.join(F.broadcast(offsets), "_pid").select(
-        (F.col("_off") + F.col("_local") + 1).cast(id_type).alias(id_col), *keys,
+    return numbered.join(F.broadcast(offsets), "_bucket").select(
+        (F.col("_off") + F.col("_local")).cast(id_type).alias(id_col), *keys,
         *([count_col] if count_col else []),
     )
 

@@ -118,14 +118,17 @@ def _attach_location(c: DataFrame, locations: DataFrame, hot_rows: int) -> DataF
     """``c`` plus ``location_key`` (null-safe match on all five columns).
 
     One location (say, every collision with no location data at all) can
-    hold a third of the rows; a shuffle join would send all of them to one
-    task.  Keys with more than ``hot_rows`` collisions - at most
+    hold a third of the rows; a plain shuffle join would send all of them to
+    one task.  Keys with more than ``hot_rows`` collisions - at most
     rows / hot_rows of them, so a bounded table - are matched by a broadcast
-    join on the map side; only the remaining rows go through the shuffle
-    join, where no key is larger than ``hot_rows``."""
+    join on the map side.  Their rows then enter the shuffle join with a
+    route number spread by collision id (and no partner), so they are
+    scattered over all tasks; every other row keeps route 0 and meets its
+    dimension row as usual.  One pass over the collisions, no union."""
     loc = list(LOCATION_COLUMNS)
     if "n_collisions" not in locations.columns:
-        return c.join(locations, _null_safe(c, locations, loc), "left").select(*c.columns, "location_key")
+        return (c.join(locations, _null_safe(c, locations, loc), "left")
+                .select(*[c[k] for k in c.columns], locations["location_key"]))
 
     def renamed(df: DataFrame, prefix: str) -> DataFrame:
         return df.select(*[F.col(k).alias(prefix + k) for k in loc], F.col("location_key").alias(prefix + "key"))
@@ -133,13 +136,14 @@ def _attach_location(c: DataFrame, locations: DataFrame, hot_rows: int) -> DataF
     def on(left: DataFrame, right: DataFrame, prefix: str):
         return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[prefix + k]) for k in loc])
 
+    spread = int(c.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     hot = renamed(locations.filter(F.col("n_collisions") > hot_rows), "_h_")
-    cold = renamed(locations.filter(F.col("n_collisions") <= hot_rows), "_c_")
-    tagged = c.join(F.broadcast(hot), on(c, hot, "_h_"), "left")
-    found = tagged.filter(F.col("_h_key").isNotNull()).select(*c.columns, F.col("_h_key").alias("location_key"))
-    rest = tagged.filter(F.col("_h_key").isNull()).select(*c.columns)
-    rest = rest.join(cold, on(rest, cold, "_c_"), "left").select(*c.columns, F.col("_c_key").alias("location_key"))
-    return found.unionByName(rest)
+    cold = renamed(locations.filter(F.col("n_collisions") <= hot_rows), "_c_").withColumn("_c_route", F.lit(0))
+    tagged = c.join(F.broadcast(hot), on(c, hot, "_h_"), "left").withColumn(
+        "_route", F.when(F.col("_h_key").isNull(), F.lit(0))
+        .otherwise(F.lit(1) + F.pmod(F.xxhash64("collision_id"), F.lit(spread))))
+    joined = tagged.join(cold, on(tagged, cold, "_c_") & (tagged["_route"] == cold["_c_route"]), "left")
+    return joined.select(*c.columns, F.coalesce("_h_key", "_c_key").alias("location_key"))
 
 
 def fact_collisions(t: CollisionTables, locations: DataFrame | None = None,

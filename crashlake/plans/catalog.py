@@ -6,6 +6,7 @@ collected."""
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -175,8 +176,7 @@ QUERIES: dict[str, Query] = {
         "SELECT b.borough_name, count(*) AS crashes FROM collisions c "
         "JOIN boroughs b ON c.borough_id = b.borough_id "
         "WHERE c.crash_date BETWEEN :start AND :end GROUP BY b.borough_name",
-        {"start": __import__("datetime").date.fromisoformat(P.DASH_START),
-         "end": __import__("datetime").date.fromisoformat(P.DASH_END)}),
+        {"start": dt.date.fromisoformat(P.DASH_START), "end": dt.date.fromisoformat(P.DASH_END)}),
     "c1_c5_clean_feed": _on_feed(_clean_view),
     "n1_borough_names": _on_feed(N.borough_names),
     "n2_collisions_table": _on_feed(_collisions_view),

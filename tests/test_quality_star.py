@@ -89,3 +89,16 @@ def test_hot_locations_take_the_broadcast_path(spark):
             by.setdefault(k, set()).add(cid)
         return sorted(map(sorted, by.values()))
     assert groups(plain) == groups(split)
+
+
+def test_ids_do_not_depend_on_physical_partitioning(spark):
+    vals = spark.range(3000).select((F.col("id") * 7 % 1000).cast("string").alias("v"))
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "3")
+        a = rows(assign_ids(vals.repartition(5), ["v"], "id", num_partitions=8), "v")
+        spark.conf.set("spark.sql.shuffle.partitions", "11")
+        b = rows(assign_ids(vals.repartition(2), ["v"], "id", num_partitions=8), "v")
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    assert a == b and sorted(r[0] for r in a) == list(range(1, 1001))
