@@ -36,20 +36,18 @@ def load_feed(spark: SparkSession, feed: DataFrame | str, root: str, mode: str =
         raise ValueError("mode must be 'quarantine' or 'fail'")
     if isinstance(feed, str):
         feed = read_feed(spark, feed)
-    if not store.exists(spark, root):
-        store.create_tables(spark, root)
     load_id = uuid.uuid4().hex
     staged = store.stage(N.clean_feed(feed, order_col=order_col), root, f"feed-{load_id}")
     if has_file_order(staged):
         staged = compact_order(staged, store.stage(feed_files(staged), root, f"files-{load_id}"))
-    before = store.read_tables(spark, root)
+    before = store.read_tables(spark, root, missing_ok=True)  # a first load starts from nothing
 
     # 1. dimensions: new values only, then read back (ids are fixed on disk)
     for name, dim in zip(DIMENSIONS, N.dimensions(staged, before)):
         key = dim.columns[0]
         new_rows = dim.join(getattr(before, name).select(key), key, "left_anti")
         store.write_table(name, new_rows, root, num_files=num_files)
-    now = store.read_tables(spark, root)
+    now = store.read_tables(spark, root, missing_ok=True)
 
     # 2. collisions: first-wins candidates staged once, then split into
     #    rejects and accepted rows (no second aggregation of the feed)

@@ -78,21 +78,28 @@ def create_tables(spark: SparkSession, root: str) -> None:
             empty.write.mode("overwrite").parquet(table_path(root, name))
 
 
-def exists(spark: SparkSession, root: str) -> bool:
+def _path_exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(table_path(root, "collisions"))
-    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(path)
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
+def exists(spark: SparkSession, root: str) -> bool:
+    return _path_exists(spark, table_path(root, "collisions"))
 
 
-def read_tables(spark: SparkSession, root: str) -> CollisionTables:
+def read_tables(spark: SparkSession, root: str, missing_ok: bool = False) -> CollisionTables:
     """The six tables with their declared schemas (``collisions`` also
-    carries the ``crash_year`` partition column)."""
+    carries the ``crash_year`` partition column).  With ``missing_ok`` a
+    table not written yet reads as empty."""
     def read(name: str) -> DataFrame:
         sch = S.TABLES[name]
         if name == "collisions":  # a new StructType: .add() would modify the shared one
             sch = T.StructType(sch.fields + [T.StructField(YEAR_PARTITION, T.IntegerType())])
-        return spark.read.schema(sch).parquet(table_path(root, name))
+        path = table_path(root, name)
+        if missing_ok and not _path_exists(spark, path):
+            return spark.createDataFrame([], sch)
+        return spark.read.schema(sch).parquet(path)
     return CollisionTables(**{name: read(name) for name in S.TABLES})
 
 
