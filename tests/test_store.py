@@ -47,3 +47,18 @@ def test_bucketed_tables_join_without_shuffle(spark, scratch):
         assert j.count() == fx.collisions.join(fx.collision_factors, "collision_id").count()
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_star_build_writes_all_tables_with_the_grain(spark, scratch):
+    from crashlake.plans.star_build import STAR_TABLES, build_star, grain_ok
+    root, out = os.path.join(scratch, "store"), os.path.join(scratch, "star")
+    fx = fixture_tables(spark, SF)
+    for name, df in fx.items():
+        store.write_table(name, df, root, mode="overwrite")
+    paths = build_star(spark, root, out)
+    assert set(paths) == set(STAR_TABLES)
+    assert grain_ok(spark, root, out)
+    fact = spark.read.parquet(paths["fact_collisions"])
+    assert fact.filter(F.col("location_key").isNull()).count() == 0
+    loc = spark.read.parquet(paths["dim_location"])
+    assert loc.select("location_key").distinct().count() == loc.count()
