@@ -7,9 +7,9 @@ Layout (S6, in place of the reference's B-tree indexes):
   prune directories and then row groups through parquet min/max statistics.
   Range partitioning on (date, id) spreads a busy year over many tasks
   instead of funnelling it into one.
-* ``collision_vehicles`` / ``collision_factors`` are hash-partitioned on
-  ``collision_id`` and sorted inside each file (row groups hold narrow id
-  ranges; no sampling pass at write time).  ``write_bucketed`` additionally
+* ``collision_vehicles`` / ``collision_factors`` are range-partitioned and
+  sorted on ``collision_id``: each file and row group covers a narrow id
+  range, so the loader's id-range filter and id lookups skip the rest.  ``write_bucketed`` additionally
   offers catalog tables bucketed on ``collision_id`` (same bucket count for
   the three tables) for shuffle-free joins where a metastore is available.
 * dimensions are hash-partitioned on their id (few, adaptive-sized files).
@@ -51,9 +51,13 @@ def layout(name: str, df: DataFrame, num_files: int | None = None) -> DataFrame:
         if YEAR_PARTITION not in df.columns:
             df = df.withColumn(YEAR_PARTITION, F.year("crash_date"))
         return _by_range(df, ["crash_date", "collision_id"], num_files).sortWithinPartitions("crash_date")
-    # children and dimensions: hash on the key (no sampling pass over the
-    # input), sorted inside each file; adaptive execution sizes the files
-    key = "collision_id" if name in ("collision_vehicles", "collision_factors") else df.columns[0]
+    if name in ("collision_vehicles", "collision_factors"):
+        # id ranges per file: the loader's id-range filter and id lookups
+        # skip whole row groups
+        return _by_range(df, ["collision_id"], num_files).sortWithinPartitions("collision_id")
+    # dimensions: hash on the id (no sampling pass); adaptive execution packs
+    # the few new values of a load into one or a handful of files
+    key = df.columns[0]
     by_key = df.repartition(num_files, key) if num_files else df.repartition(key)
     return by_key.sortWithinPartitions(key)
 
