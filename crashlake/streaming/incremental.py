@@ -50,12 +50,13 @@ def _load_batch(root: str, mode: str):
 def start_incremental_load(spark: SparkSession, landing_dir: str, root: str, *, name: str = "feed",
                            columns=FEED_COLUMNS, mode: str = "quarantine", available_now: bool = True,
                            processing_time: str | None = None,
-                           checkpoint_location: str | None = None) -> StreamingQuery:
+                           checkpoint_location: str | None = None,
+                           max_files_per_trigger: int | None = None) -> StreamingQuery:
     """Start the stream.  ``available_now`` processes what is there and stops
     (scheduled runs); otherwise it polls every ``processing_time``."""
     if checkpoint_location is None:
         checkpoint_location = f"{ensure_checkpoint_dir(spark).rstrip('/')}/crashlake-stream-{name}"
-    stream = feed_stream(spark, landing_dir, columns)
+    stream = feed_stream(spark, landing_dir, columns, max_files_per_trigger)
     writer = (stream.writeStream.queryName(f"crashlake_{name}")
               .option("checkpointLocation", checkpoint_location)
               .foreachBatch(_load_batch(root, mode)))
