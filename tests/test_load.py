@@ -92,3 +92,19 @@ def test_incremental_stream(spark, scratch):
     t = store.read_tables(spark, root)
     assert sorted(r.collision_id for r in t.collisions.collect()) == [1, 2, 10]
     assert [str(r.crash_date) for r in t.collisions.filter("collision_id = 1").collect()] == ["2023-01-15"]
+
+
+def test_file_order_survives_many_splits_and_files(spark, scratch):
+    """First-wins needs file order; with tiny splits Spark packs the
+    pieces of two files into tasks out of order, the order key must not care."""
+    for i, rng in enumerate((range(0, 1500), range(1500, 2200))):
+        write_csv(os.path.join(scratch, f"part-{i}.csv"), [base_row(str(k)) for k in rng])
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        f = read_feed(spark, scratch)
+        assert f.rdd.getNumPartitions() > 17
+        ids = [int(r.collision_id) for r in f.orderBy("_order").select("collision_id").collect()]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert ids == list(range(2200))
