@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from crashlake.functions import clean as C
 from crashlake.operators.ids import extend_dimension
+from crashlake.operators.lookup import lookup_ids
 from crashlake.schema import (
     BOROUGH_NAME_MAX, COLLISIONS, COUNT_COLUMNS, FACTOR_COLUMNS, UNSPECIFIED_FACTOR,
     VEHICLE_COLUMNS, ZIP_CODE_MAX,
@@ -180,7 +181,8 @@ def new_vehicle_rows(feed: DataFrame, vehicle_types: DataFrame, existing: DataFr
     not belonging to a rejected collision, with the type id."""
     rows = _anti(vehicles_long(feed), existing, ["collision_id", "vehicle_order"])
     rows = _anti(rows, rejected_ids, ["collision_id"])
-    return rows.join(vehicle_types, "vehicle_type_desc").select(
+    return lookup_ids(rows, vehicle_types, "vehicle_type_desc", "vehicle_type_id",
+                      ["collision_id", "vehicle_order"]).select(
         "collision_id", F.col("vehicle_order").cast("int"), "vehicle_type_id")
 
 
@@ -188,7 +190,8 @@ def new_factor_rows(feed: DataFrame, factors: DataFrame, existing: DataFrame | N
                     rejected_ids: DataFrame | None = None) -> DataFrame:
     rows = _anti(factors_long(feed), existing, ["collision_id", "factor_order"])
     rows = _anti(rows, rejected_ids, ["collision_id"])
-    return rows.join(factors, "factor_desc").select(
+    return lookup_ids(rows, factors, "factor_desc", "factor_id",
+                      ["collision_id", "factor_order"]).select(
         "collision_id", F.col("factor_order").cast("int"), "factor_id")
 
 

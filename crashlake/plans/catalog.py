@@ -17,6 +17,7 @@ from crashlake.operators import normalize as N
 from crashlake.operators import quality as K
 from crashlake.operators import rankings
 from crashlake.operators import star as T
+from crashlake.operators.lookup import lookup_ids
 from crashlake.plans import params as P
 from crashlake.schema import COUNT_COLUMNS
 from crashlake.sources.fixtures import fixture_tables, fx_raw
@@ -101,10 +102,12 @@ def _unchecked(feed: DataFrame):
         boroughs.select(F.col("borough_name").alias("borough"), "borough_id"), "borough", "left"))
     return CollisionTables(
         boroughs=boroughs, collisions=collisions, vehicle_types=vt,
-        collision_vehicles=N.vehicle_values(feed).join(vt, "vehicle_type_desc")
+        collision_vehicles=lookup_ids(N.vehicle_values(feed), vt, "vehicle_type_desc", "vehicle_type_id",
+                                      ["collision_id", "vehicle_order", N.ORDER_COL])
         .select("collision_id", "vehicle_order", "vehicle_type_id"),
         factors=fd,
-        collision_factors=N.factor_values(feed).join(fd, "factor_desc")
+        collision_factors=lookup_ids(N.factor_values(feed), fd, "factor_desc", "factor_id",
+                                     ["collision_id", "factor_order", N.ORDER_COL])
         .select("collision_id", "factor_order", "factor_id"))
 
 

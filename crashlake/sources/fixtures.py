@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from crashlake.operators.ids import extend_dimension
+from crashlake.operators.lookup import lookup_ids
 from crashlake.tables import CollisionTables
 
 # --- clean tables (fx_*) ------------------------------------------------------
@@ -239,10 +240,12 @@ def fixture_tables(spark: SparkSession, sf_dir: str) -> CollisionTables:
         boroughs=fx_boroughs(spark, sf_dir),
         collisions=fx_collisions(spark, sf_dir),
         vehicle_types=vehicle_types,
-        collision_vehicles=vehicles.join(vehicle_types, "vehicle_type_desc")
+        collision_vehicles=lookup_ids(vehicles, vehicle_types, "vehicle_type_desc", "vehicle_type_id",
+                                      ["collision_id", "vehicle_order"])
         .select("collision_id", "vehicle_order", "vehicle_type_id"),
         factors=factor_dim,
-        collision_factors=factors.join(factor_dim, "factor_desc")
+        collision_factors=lookup_ids(factors, factor_dim, "factor_desc", "factor_id",
+                                     ["collision_id", "factor_order"])
         .select("collision_id", "factor_order", "factor_id"),
     )
 

@@ -102,3 +102,17 @@ def test_ids_do_not_depend_on_physical_partitioning(spark):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
     assert a == b and sorted(r[0] for r in a) == list(range(1, 1001))
+
+
+def test_lookup_ids_hot_and_cold_paths_agree(spark):
+    from crashlake.operators.lookup import lookup_ids
+    rows_df = spark.createDataFrame(
+        [(i, 1, "Sedan") for i in range(50)] + [(i, 2, "Bus") for i in range(5)] + [(99, 1, "Nope")],
+        "collision_id long, vehicle_order int, vehicle_type_desc string")
+    dim = spark.createDataFrame([(1, "Sedan"), (2, "Bus")], "vehicle_type_id int, vehicle_type_desc string")
+    def run(hot):
+        return rows(lookup_ids(rows_df, dim, "vehicle_type_desc", "vehicle_type_id",
+                               ["collision_id", "vehicle_order"], hot_rows=hot)
+                    .select("collision_id", "vehicle_order", "vehicle_type_id"), "collision_id", "vehicle_order")
+    assert run(10) == run(10**9)
+    assert len(run(10)) == 55 and {r[2] for r in run(10)} == {1, 2}
