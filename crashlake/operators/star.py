@@ -92,7 +92,7 @@ HOT_LOCATION_ROWS = 1_000_000
 def dim_location(stg_collisions: DataFrame, with_counts: bool = False) -> DataFrame:
     """Distinct (zip, on street, cross street, lat, lon) with a dense
     key.  Can be nearly as large as collisions, so keys come from the
-    per-partition offset numbering, never a global window.  Persist (write
+    bucketed numbering of operators.ids, never a global window.  Persist (write
     and read back) before joining so keys are not recomputed.  With
     ``with_counts`` each key also carries ``n_collisions``."""
     locs = stg_collisions.select(*LOCATION_COLUMNS)
