@@ -8,6 +8,7 @@ import pandas as pd
 import pytest
 
 import __spark_entry__ as E
+from crashlake.plans.catalog import QUERIES
 
 SF = "/root/testdata/sf0.001"
 TABLES = ("region nation customer supplier part orders lineitem events documents "
@@ -40,7 +41,7 @@ def duck():
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.oracle_sql()) == set(E.queries())
+    assert set(E.oracle_sql()) >= set(QUERIES)
 
 
 def test_entry_smoke(spark):
@@ -50,7 +51,7 @@ def test_entry_smoke(spark):
                           "fatality_rank"]
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_matches_oracle(spark, duck, name):
     sdf = E.queries()[name](spark, SF)
     got = pd.DataFrame([tuple(r) for r in sdf.collect()], columns=sdf.columns, dtype=object)
