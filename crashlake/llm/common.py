@@ -19,7 +19,7 @@ from crashlake.session import ensure_checkpoint_dir
 #: ASCII white space between words: \x20 and \x09-\x0D.
 BLANKS = " \t\n\x0b\f\r"
 #: Rows and bytes of text that one numpy step holds.
-CHUNK_ROWS, CHUNK_BYTES = 2000, 8 << 20
+CHUNK_ROWS, CHUNK_BYTES = 2000, 4 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

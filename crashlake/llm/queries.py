@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crashlake.llm import op1_simhash
-from crashlake.llm.common import table
+from crashlake.llm import op1_simhash, op2_topk, op3_langid, op4_lm_score, op7_rules, op10_quality
+from crashlake.llm.common import held_out, table
 
 
 def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -14,7 +14,45 @@ def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op2_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = op2_topk.integer_vectors(table(spark, sf_dir, "embeddings"))
+    return op2_topk.top_k(vectors, vectors.where(F.col("vec_id") % 100 == 0), 10)
+
+
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = op3_langid.train(docs.where(~held_out(F.col("doc_id"))))
+    found = docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), op3_langid.language(F.col("text"), model, spark).alias("x"))
+    return found.select("doc_id", "held_out", F.col("x.lang").alias("lang_pred"), F.col("x.score").alias("score"), F.col("x.ambiguous").alias("ambiguous"))
+
+
+def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    good = table(spark, sf_dir, "labels").where("quality = 1 and toxic = 0").select("doc_id").distinct().withColumn("good", F.lit(True))
+    models = op4_lm_score.train(docs.select("doc_id", "text").join(good, "doc_id", "left"), F.col("good"))
+    return docs.select("doc_id", op4_lm_score.cross_entropy_difference(F.col("text"), models, spark).alias("x")).select("doc_id", "x.*")
+
+
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    rows = op7_rules.with_statistics(docs).withColumn("doc_id", F.col("doc.doc_id")).drop("doc")
+    return op7_rules.judge(rows).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", F.round("d2", 6).alias("distance2"))
+
+
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    labels = table(spark, sf_dir, "labels").where(~held_out(F.col("doc_id")))
+    model = op10_quality.train(docs, labels)
+    scored = docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), op10_quality.quality(F.col("text"), model, spark).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
+
+
 QUERIES = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
+    "op2_exact_topk": op2_exact_topk,
+    "op3_language_id": op3_language_id,
+    "op4_lm_scoring": op4_lm_scoring,
+    "op7_quality_rules": op7_quality_rules,
+    "op10_quality_classifier": op10_quality_classifier,
 }
 ORACLE: dict[str, str] = {}
