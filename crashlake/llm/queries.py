@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crashlake.llm import op1_simhash, op2_topk, op3_langid, op4_lm_score, op7_rules, op10_quality
+from crashlake.llm import op1_simhash, op2_topk, op3_langid, op4_lm_score, op5_packing, op6_url_filter, op7_rules, op8_mixing, op9_sharding, op10_quality
 from crashlake.llm.common import held_out, table
 
 
@@ -33,12 +34,32 @@ def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", op4_lm_score.cross_entropy_difference(F.col("text"), models, spark).alias("x")).select("doc_id", "x.*")
 
 
+def op5_packing_ffd(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packed = op5_packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return packed.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+
+
+def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = op6_url_filter.judge(table(spark, sf_dir, "pages"))
+    return judged.select(F.col("doc.page_id").alias("page_id"), "host", "path", "rule", "verdict", "trust", "distrust")
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
     rows = op7_rules.with_statistics(docs).withColumn("doc_id", F.col("doc.doc_id")).drop("doc")
     return op7_rules.judge(rows).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", F.round("d2", 6).alias("distance2"))
 
 
+def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = op8_mixing.mix(table(spark, sf_dir, "documents"))
+    return mixed.select(F.col("doc.doc_id").alias("doc_id"), "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
+
+
+def op9_byte_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = op9_sharding.shard_by_bytes(table(spark, sf_dir, "documents"))
+    return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
 def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     labels = table(spark, sf_dir, "labels").where(~held_out(F.col("doc_id")))
@@ -52,7 +73,11 @@ QUERIES = {
     "op2_exact_topk": op2_exact_topk,
     "op3_language_id": op3_language_id,
     "op4_lm_scoring": op4_lm_scoring,
+    "op5_packing_ffd": op5_packing_ffd,
+    "op6_url_filters": op6_url_filters,
     "op7_quality_rules": op7_quality_rules,
+    "op8_source_mixing": op8_source_mixing,
+    "op9_byte_shards": op9_byte_shards,
     "op10_quality_classifier": op10_quality_classifier,
 }
 ORACLE: dict[str, str] = {}
