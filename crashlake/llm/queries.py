@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from crashlake.llm import op1_simhash, op2_topk, op3_langid, op4_lm_score, op5_packing, op6_url_filter, op7_rules, op8_mixing, op9_sharding, op10_quality
 from crashlake.llm.common import held_out, table
+from crashlake.llm.oracle import ORACLE  # noqa: F401
 
 
 def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -80,4 +81,4 @@ QUERIES = {
     "op9_byte_shards": op9_byte_shards,
     "op10_quality_classifier": op10_quality_classifier,
 }
-ORACLE: dict[str, str] = {}
+
