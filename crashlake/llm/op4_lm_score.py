@@ -1,16 +1,16 @@
 """Cross-entropy difference of matched n-gram models.
 
-The target model learns from the target rows, the background model from every
-row. Both are interpolated word-bigram models over one shared vocabulary: a
-lower-cased word (or pair of words) belongs to one of WORDS (PAIRS) hash
+The target model learns from a target table, the background model from every
+document. Both are interpolated word-bigram models over one shared vocabulary:
+a lower-cased word (or pair of words) belongs to one of WORDS (PAIRS) hash
 classes, so every word of the corpus has its place and the models' size does
 not depend on the corpus. Background counts are scaled to the target's number
 of words, so both are smoothed alike. A document's score is the mean over its
 words of target loss minus background loss: lower is closer to the target.
 
-Both models are fitted twice, on two halves of the texts dealt by a hash of
-the whole text, and a document is scored by the models of the other half: no
-text, and no exact copy of it, is scored by counts it gave itself."""
+The background is counted in two halves of the texts, dealt by a hash of the
+whole text, and a document is scored against the half it is not in: no text,
+and no exact copy of it, is scored by counts it gave itself."""
 
 from __future__ import annotations
 
@@ -50,19 +50,23 @@ def halves(text: pa.Array) -> np.ndarray:
     return np.fromiter(((xxhash.xxh64_intdigest(t or b"") & 1) for t in text.cast(pa.large_binary()).to_pylist()), dtype=np.int64, count=len(text))
 
 
+#: Rows of the count table: the target, then the halves of the background.
+TABLES = 3
+
+
 def _counter(batches):
-    """Counts of one task, in parts of PART classes, words then pairs: of the first half's target and all rows, then the second's."""
-    sums = np.zeros((4, WORDS + PAIRS), dtype=np.int64)
+    """Counts of one task, in parts of PART classes (words, then pairs) of all TABLES."""
+    sums = np.zeros((TABLES, WORDS + PAIRS), dtype=np.int64)
     for batch in batches:
         for at, rows in chunks(batch.column("text")):
             text = batch.column("text").slice(at, rows)
             words, sizes = word_classes(text)
             pairs = pair_classes(words, sizes)[1]
-            half = np.repeat(halves(text), sizes)
-            good = np.repeat(np.asarray(batch.column("target").slice(at, rows)).astype(bool), sizes)
-            for k, which in ((0, (half == 0) & good), (1, half == 0), (2, (half == 1) & good), (3, half == 1)):
-                sums[k, :WORDS] += np.bincount(words[which], minlength=WORDS)
-                sums[k, WORDS:] += np.bincount(pairs[which], minlength=PAIRS)
+            target = np.asarray(batch.column("target").slice(at, rows)).astype(bool)
+            table = np.repeat(np.where(target, 0, 1 + halves(text)), sizes)
+            for k in range(TABLES):
+                sums[k, :WORDS] += np.bincount(words[table == k], minlength=WORDS)
+                sums[k, WORDS:] += np.bincount(pairs[table == k], minlength=PAIRS)
     for part in range((WORDS + PAIRS) // PART):
         own = sums[:, part * PART:(part + 1) * PART]
         if own.any():
@@ -77,14 +81,14 @@ def _adder(batches):
             if now != part:
                 if part is not None:
                     yield pa.record_batch({"part": [part], "counts": pa.array([total.tobytes()], pa.binary())})
-                part, total = now, np.zeros(4 * PART, dtype=np.int64)
+                part, total = now, np.zeros(TABLES * PART, dtype=np.int64)
             total += np.frombuffer(counts, dtype=np.int64)
     if part is not None:
         yield pa.record_batch({"part": [part], "counts": pa.array([total.tobytes()], pa.binary())})
 
 
 class Models:
-    """Tables of the target and the background model of one half."""
+    """Tables of the target model and of one half's background model."""
 
     def __init__(self, counts: np.ndarray):
         words, pairs = counts[:, :WORDS].astype(float), counts[:, WORDS:].astype(float)
@@ -105,17 +109,17 @@ class Models:
         return -np.log(prob)
 
 
-def train(docs: DataFrame, target: Column, text: str = "text") -> list[Models]:
-    """Count every row's words and pairs in Spark, those of ``target`` rows apart;
-    the driver gets WORDS + PAIRS sums of four models, however many rows. Returns
-    the models that score each half, fitted on the other."""
-    rows = docs.select(F.col(text).alias("text"), F.coalesce(target, F.lit(False)).alias("target"))
+def train(docs: DataFrame, target: DataFrame, text: str = "text") -> list[Models]:
+    """Count the words and pairs of every row of ``target`` and ``docs`` in Spark;
+    the driver gets WORDS + PAIRS sums of each table, however many rows. Returns
+    the models that score each half, with the background of the other."""
+    rows = docs.select(F.col(text).alias("text"), F.lit(False).alias("target")).union(target.select(F.col(text), F.lit(True)))
     parts = rows.mapInArrow(_counter, "part bigint, counts binary")
     sums = parts.repartition("part").sortWithinPartitions("part").mapInArrow(_adder, "part bigint, counts binary")
-    counts = np.zeros((4, WORDS + PAIRS), dtype=np.int64)
+    counts = np.zeros((TABLES, WORDS + PAIRS), dtype=np.int64)
     for part, own in sums.toLocalIterator():
-        counts[:, part * PART:(part + 1) * PART] = np.frombuffer(bytes(own), dtype=np.int64).reshape(4, PART)
-    return [Models(counts[2:]), Models(counts[:2])]
+        counts[:, part * PART:(part + 1) * PART] = np.frombuffer(bytes(own), dtype=np.int64).reshape(TABLES, PART)
+    return [Models(counts[[0, 2]]), Models(counts[[0, 1]])]
 
 
 def cross_entropy_difference(text: Column | str, models: list[Models], spark) -> Column:

@@ -30,8 +30,7 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    good = table(spark, sf_dir, "labels").where("quality = 1 and toxic = 0").select("doc_id").distinct().withColumn("good", F.lit(True))
-    models = op4_lm_score.train(docs.select("doc_id", "text").join(good, "doc_id", "left"), F.col("good"))
+    models = op4_lm_score.train(docs, table(spark, sf_dir, "benchmark"))
     return docs.select("doc_id", op4_lm_score.cross_entropy_difference(F.col("text"), models, spark).alias("x")).select("doc_id", "x.*")
 
 
