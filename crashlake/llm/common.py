@@ -52,19 +52,22 @@ def held_out(doc_id: Column) -> Column:
 
 
 def chunks(text: pa.Array):
-    """(first row, rows) of slices holding at most CHUNK_ROWS rows and about CHUNK_BYTES bytes (one longer text stands alone)."""
+    """(first row, texts) of slices holding at most CHUNK_ROWS rows and about CHUNK_BYTES bytes (one longer text stands alone)."""
+    # cast before slicing: an Arrow cast of a slice keeps offsets that some kernels then misread
+    parts = text.chunks if isinstance(text, pa.ChunkedArray) else [text]
+    text = pa.concat_arrays([*parts, pa.array([], text.type)]).cast(pa.large_string())
     ends = np.cumsum(np.asarray(pc.fill_null(pc.binary_length(text), 0), dtype=np.int64))
     at = 0
     while at < len(ends):
         base = ends[at - 1] if at else 0
         to = min(at + CHUNK_ROWS, max(at + 1, int(np.searchsorted(ends, base + CHUNK_BYTES, "right"))))
-        yield at, to - at
+        yield at, text.slice(at, to - at)
         at = to
 
 
 def split_words(text: pa.Array) -> tuple[pa.Array, np.ndarray]:
-    """All words of the texts in one flat array, and each text's number of words (null: 0)."""
-    lists = pc.ascii_split_whitespace(pc.fill_null(text.cast(pa.large_string()), ""))
+    """All words of the texts (a slice of :func:`chunks`) in one flat array, and each text's number of words (null: 0)."""
+    lists = pc.ascii_split_whitespace(pc.fill_null(text, ""))
     flat = lists.flatten()
     real = np.asarray(pc.not_equal(pc.binary_length(flat), 0))
     sums = np.concatenate([[0], np.cumsum(real)])

@@ -126,7 +126,7 @@ def train(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str =
 
 
 def _features(batch: pa.Array) -> pa.Array:
-    parts = [counts(batch.slice(at, rows)) for at, rows in chunks(batch)] or [np.zeros((0, FEATURES), np.int64)]
+    parts = [counts(some) for _, some in chunks(batch)] or [np.zeros((0, FEATURES), np.int64)]
     flat = np.concatenate(parts)
     return pa.ListArray.from_arrays(pa.array(np.arange(len(flat) + 1, dtype=np.int32) * FEATURES), pa.array(flat.ravel()))
 
@@ -138,7 +138,7 @@ def quality(text: Column | str, model: Neighbours, spark) -> Column:
 
     @F.arrow_udf("double")
     def neighbour_vote(batch: pa.Array) -> pa.Array:
-        parts = [shared.value.score(counts(batch.slice(at, rows))) for at, rows in chunks(batch)]
+        parts = [shared.value.score(counts(some)) for _, some in chunks(batch)]
         return pa.array(np.concatenate(parts) if parts else np.empty(0), pa.float64())
 
     return neighbour_vote(text)

@@ -43,8 +43,8 @@ def _signed(x: int) -> int:
 def fingerprints(text: pa.Array, shingle: int = SHINGLE) -> np.ndarray:
     """uint64 fingerprints of an Arrow array of texts."""
     out = np.zeros(len(text), dtype=np.uint64)
-    for at, rows in chunks(text):
-        flat, sizes = split_words(pc.ascii_lower(text.slice(at, rows)))
+    for at, some in chunks(text):
+        flat, sizes = split_words(pc.ascii_lower(some))
         if not len(flat):
             continue
         ends = np.cumsum(sizes)
@@ -75,8 +75,6 @@ def fingerprint(text: Column | str, shingle: int = SHINGLE) -> Column:
 
     @F.arrow_udf("bigint")
     def simhash64(batch: pa.Array) -> pa.Array:
-        if isinstance(batch, pa.ChunkedArray):
-            batch = batch.combine_chunks()
         return pa.array(fingerprints(batch, shingle).view(np.int64))
 
     return simhash64(text)

@@ -115,10 +115,10 @@ def _counter(index: dict[str, int]):
     def count(batches):
         sums = np.zeros(len(index) * FEATURES, dtype=np.int64)
         for batch in batches:
-            text, lang = batch.column("text"), batch.column("lang")
-            for at, rows in chunks(text):
-                h, size = grams([t or "" for t in text.slice(at, rows).to_pylist()])
-                of = np.fromiter((index[x] for x in lang.slice(at, rows).to_pylist()), dtype=np.int64, count=rows)
+            lang = batch.column("lang").to_pylist()
+            for at, some in chunks(batch.column("text")):
+                h, size = grams([t or "" for t in some.to_pylist()])
+                of = np.fromiter((index[x] for x in lang[at:at + len(some)]), dtype=np.int64, count=len(some))
                 sums += np.bincount(np.repeat(of, size) * FEATURES + h, minlength=len(sums))
         at = np.flatnonzero(sums)
         yield pa.record_batch({"lang": at // FEATURES, "feature": at % FEATURES, "n": sums[at]})
@@ -147,8 +147,8 @@ def language(text: Column | str, model: CodeModel, spark) -> Column:
     @F.arrow_udf("struct<lang:string,score:double,ambiguous:boolean>")
     def language_code(batch: pa.Array) -> pa.Array:
         langs, scores, unsure = [], [], []
-        for at, rows in chunks(batch):
-            got = shared.value.predict([t or "" for t in batch.slice(at, rows).to_pylist()])
+        for _, some in chunks(batch):
+            got = shared.value.predict([t or "" for t in some.to_pylist()])
             for out, part in zip((langs, scores, unsure), got):
                 out.extend(part)
         return pa.StructArray.from_arrays([pa.array(langs, pa.string()), pa.array(scores, pa.float64()), pa.array(unsure, pa.bool_())], ["lang", "score", "ambiguous"])

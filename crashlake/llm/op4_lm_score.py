@@ -58,12 +58,11 @@ def _counter(batches):
     """Counts of one task, in parts of PART classes (words, then pairs) of all TABLES."""
     sums = np.zeros((TABLES, WORDS + PAIRS), dtype=np.int64)
     for batch in batches:
-        for at, rows in chunks(batch.column("text")):
-            text = batch.column("text").slice(at, rows)
+        every = np.asarray(batch.column("target")).astype(bool)
+        for at, text in chunks(batch.column("text")):
             words, sizes = word_classes(text)
             pairs = pair_classes(words, sizes)[1]
-            target = np.asarray(batch.column("target").slice(at, rows)).astype(bool)
-            table = np.repeat(np.where(target, 0, 1 + halves(text)), sizes)
+            table = np.repeat(np.where(every[at:at + len(text)], 0, 1 + halves(text)), sizes)
             for k in range(TABLES):
                 sums[k, :WORDS] += np.bincount(words[table == k], minlength=WORDS)
                 sums[k, WORDS:] += np.bincount(pairs[table == k], minlength=PAIRS)
@@ -130,11 +129,10 @@ def cross_entropy_difference(text: Column | str, models: list[Models], spark) ->
     @F.arrow_udf("struct<n_words:bigint,target_loss:double,background_loss:double,score:double>")
     def lm_loss(batch: pa.Array) -> pa.Array:
         sizes_all, means = [np.empty(0, np.int64)], [np.empty((2, 0))]
-        for at, rows in chunks(batch):
-            text = batch.slice(at, rows)
+        for _, text in chunks(batch):
             words, sizes = word_classes(text)
             half = halves(text)
-            mean = np.full((2, rows), np.nan)
+            mean = np.full((2, len(text)), np.nan)
             for h in (0, 1):
                 some = (sizes > 0) & (half == h)
                 if some.any():

@@ -36,7 +36,7 @@ def word_ids(text: pa.Array, definition: str) -> tuple[np.ndarray, np.ndarray]:
     pretokens, as does a letter before one of ``.,;:!?%$*#&``, so each distinct
     word is encoded once and its ids are gathered."""
     tokenizer, known = _tokenizer(definition)
-    spread = pc.replace_substring_regex(pc.ascii_lower(text.cast(pa.large_string())), r"([a-zß-öø-ÿ])([.,;:!?%$*#&])", r"\1 \2")
+    spread = pc.replace_substring_regex(pc.ascii_lower(text), r"([a-zß-öø-ÿ])([.,;:!?%$*#&])", r"\1 \2")
     flat, sizes = split_words(spread)
     if not len(flat):
         return np.empty(0, np.uint32), np.zeros(len(text), np.int64)
@@ -66,8 +66,8 @@ def pieces(text: Column | str, definition: str, length: int = LENGTH) -> Column:
     def tokenised(batch: pa.Array) -> pa.Array:
         tokens, counts, starts, lengths, sums = [], [0], [], [], []
         end = np.array([END], dtype=np.uint32).tobytes()
-        for at, rows in chunks(batch):
-            ids, sizes = word_ids(batch.slice(at, rows), definition)
+        for _, some in chunks(batch):
+            ids, sizes = word_ids(some, definition)
             whole, to = ids.tobytes(), 0
             for n in sizes.tolist():
                 own = memoryview(whole)[4 * to:4 * (to + n)]
