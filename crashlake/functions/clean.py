@@ -43,11 +43,18 @@ def stripped_or_null(c: Column | str) -> Column:
     return F.when(s != "", s)
 
 
+def number_text(c: Column | str) -> Column:
+    """The text if it is a plain decimal number, else NULL: a cast alone would
+    also take the JVM's suffixed and hexadecimal forms ('12d', '0x1p3')."""
+    c = _c(c)
+    return F.when(c.rlike(r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"), c)
+
+
 def parse_id(c: Column | str) -> Column:
     """Integer ids; decimals are truncated ('12.0' -> 12, '3.7' -> 3),
     anything non-numeric is NULL.  The exact integer parse is tried first so
     ids above 2^53 keep every digit."""
-    c = _c(c)
+    c = number_text(c)
     return F.coalesce(c.try_cast("bigint"), c.try_cast("double").try_cast("bigint"))
 
 
@@ -67,13 +74,13 @@ def parse_time(c: Column | str, formats=TIME_FORMATS) -> Column:
 def parse_coordinate(c: Column | str) -> Column:
     """numeric(9,6); out-of-range or non-numeric text is NULL (and is
     reported by ``invalid``)."""
-    return _c(c).try_cast(f"decimal({COORD_PRECISION},{COORD_SCALE})")
+    return number_text(c).try_cast(f"decimal({COORD_PRECISION},{COORD_SCALE})")
 
 
 def parse_count(c: Column | str) -> Column:
     """Integer count; '2.0' -> 2, halves round away from zero as the
     database does when a decimal meets an integer column."""
-    return F.round(_c(c).try_cast("double")).try_cast("int")
+    return F.round(number_text(c).try_cast("double")).try_cast("int")
 
 
 def parse_zip(c: Column | str) -> Column:

@@ -2,9 +2,12 @@
 
 The reference ships no data, so the registered queries run on a deterministic
 mapping of the driver tables (region, nation, customer, part, orders,
-lineitem) onto the collision schema.  Every row of orders / lineitem is used;
-modulo tests on the order key only decide which *values* a row gets (NULLs,
-dirty spellings, duplicates), never whether a row is kept.
+lineitem) onto the collision schema.  Every row of orders / lineitem appears
+exactly once in the clean tables: the lines of an order are numbered, a
+collision takes five of them (the feed has five slots), and further lines go
+to further collisions of the same order.  Modulo tests on the keys only decide
+which *values* a row gets (NULLs, dirty spellings, blank factors, duplicates),
+never whether a row is kept.
 
 Each column is one SQL expression understood by both Spark SQL and DuckDB, so
 the oracle statements (plans/oracle.py) build the very same inputs.
@@ -27,9 +30,12 @@ BOROUGH_COLUMNS = (
     ("borough_name", "r_name"),
 )
 
-# orders JOIN customer JOIN nation -> collisions.  k = o_orderkey.
+# orders JOIN customer JOIN nation -> collisions.  e numbers an order's
+# collisions from 0; ids of further ones lie beyond every order key.
+ID_STRIDE = 2**40
+COLLISION_ID = f"o_orderkey + e * {ID_STRIDE}"
 COLLISION_COLUMNS = (
-    ("collision_id", "o_orderkey"),
+    ("collision_id", COLLISION_ID),
     ("crash_date", "CAST(o_orderdate AS DATE)"),
     ("crash_time", "CASE WHEN o_orderkey % 29 = 0 THEN CAST(NULL AS STRING) ELSE "
                    "concat(lpad(CAST(o_orderkey * 37 % 24 AS STRING), 2, '0'), ':', "
@@ -59,29 +65,34 @@ COLLISION_COLUMNS = (
     ("number_of_motorist_killed", "CAST(CASE WHEN o_orderkey % 227 = 0 THEN 1 ELSE 0 END AS INT)"),
 )
 
-# lineitem JOIN part, lines 1-5 only (the feed has five slots).  One
-# (order, line) pair can repeat in the driver data; the first by
-# (l_partkey, l_suppkey, l_shipdate, l_extendedprice) is kept.
-LINE_ORDER = ("l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice")
+# lineitem JOIN part.  An order's lines in the order of these columns have
+# positions 0, 1, ...: slot = position % 5 + 1 of its collision position / 5.
+LINE_ORDER = ("l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice")
 LINE_PAYLOAD = ("p_partkey", "p_name", "p_brand", "p_type")
-SLOT_FILTER = "l_linenumber <= 5"
+LINE_POSITION = f"row_number() OVER (PARTITION BY l_orderkey ORDER BY {', '.join(LINE_ORDER)}) - 1"
+LINE_COLUMNS = (
+    ("collision_id", f"l_orderkey + CAST(floor(position / 5) AS BIGINT) * {ID_STRIDE}"),
+    ("slot", "CAST(position % 5 + 1 AS INT)"),
+)
 
 VEHICLE_DESC = "CASE WHEN p_partkey % 5 = 0 THEN p_brand ELSE p_type END"
-FACTOR_FILTER = "p_name NOT LIKE 'blue%'"
 FACTOR_DESC = "p_name"
 
 # --- dirty wide feed (fx_raw) ---------------------------------------------------
-# Rows of orders JOIN customer JOIN nation JOIN region, plus a second copy of
-# every order with k % 20 = 0 (c = 1).  Slots come from the lines above.
+# A row per collision above, plus a second copy of those of every order with
+# k % 20 = 0 (c = 1).  Slots come from the lines above; some of their texts are
+# blank or unspecified here, so that the load has something to drop.
 
 RAW_COPIES = "CASE WHEN o_orderkey % 20 = 0 THEN array(0, 1) ELSE array(0) END"
 
 RAW_COLUMNS = (
-    ("src_seq", "o_orderkey * 2 + c"),
+    ("src_seq", f"({COLLISION_ID}) * 2 + c"),
     ("collision_id", "CASE WHEN o_orderkey % 101 = 0 THEN 'n/a' "
-                     "WHEN o_orderkey % 103 = 0 THEN concat(CAST(o_orderkey AS STRING), '.0') "
-                     "WHEN o_orderkey % 107 = 0 THEN concat(CAST(o_orderkey AS STRING), '.7') "
-                     "ELSE CAST(o_orderkey AS STRING) END"),
+                     f"WHEN o_orderkey % 103 = 0 THEN concat(CAST({COLLISION_ID} AS STRING), '.0') "
+                     f"WHEN o_orderkey % 107 = 0 THEN concat(CAST({COLLISION_ID} AS STRING), '.7') "
+                     f"WHEN o_orderkey % 109 = 0 THEN concat(CAST({COLLISION_ID} AS STRING), 'd') "
+                     "WHEN o_orderkey % 113 = 0 THEN '0x1p3' "
+                     f"ELSE CAST({COLLISION_ID} AS STRING) END"),
     ("crash_date", "CASE WHEN o_orderkey % 37 = 0 THEN '02/30/1997' "
                    "WHEN c = 1 THEN '01/01/2000' "
                    "WHEN o_orderkey % 5 = 1 THEN concat(CAST(month(o_orderdate) AS STRING), '/', "
@@ -116,6 +127,7 @@ RAW_COLUMNS = (
     ("off_street_name", "CASE WHEN o_orderkey % 9 = 0 THEN 'null' ELSE CAST(NULL AS STRING) END"),
     ("number_of_persons_injured", "CASE WHEN o_orderkey % 23 = 0 THEN CAST(NULL AS STRING) "
                                   "WHEN o_orderkey % 97 = 0 THEN '-1' "
+                                  "WHEN o_orderkey % 89 = 0 THEN '3.7f' "
                                   "WHEN o_orderkey % 6 = 1 THEN concat(CAST(o_orderkey * 7 % 5 AS STRING), '.0') "
                                   "ELSE CAST(o_orderkey * 7 % 5 AS STRING) END"),
     ("number_of_persons_killed", "CASE WHEN o_orderkey % 31 = 0 THEN 'N/A' "
@@ -147,6 +159,7 @@ def raw_factor_value(slot: int) -> str:
              f"WHEN {p}_partkey % 9 = 0 THEN 'Unspecified' "
              f"WHEN {p}_partkey % 10 = 0 THEN ' UNSPECIFIED ' "
              f"WHEN {p}_partkey % 11 = 0 THEN '' "
+             f"WHEN {p}_name LIKE 'blue%' THEN 'unspecified' "
              f"ELSE concat({p}_name, ' ') END")
     return _blank_first_slot(slot, value)
 
@@ -194,26 +207,25 @@ def _orders_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
             .join(nation, customer.c_nationkey == nation.n_nationkey))
 
 
+def _collisions_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row per collision: each order ``e = 0 ..`` as often as its lines fill five slots, at least once."""
+    lines = _read(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n"))
+    orders = _orders_wide(spark, sf_dir)
+    last = F.expr("greatest(CAST(ceil(coalesce(n, 0) / 5) AS BIGINT), 1) - 1")
+    return (orders.join(lines, orders.o_orderkey == lines.l_orderkey, "left")
+            .withColumn("e", F.explode(F.sequence(F.lit(0).cast("bigint"), last))))
+
+
 def fx_collisions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _select(_orders_wide(spark, sf_dir), COLLISION_COLUMNS)
+    return _select(_collisions_wide(spark, sf_dir), COLLISION_COLUMNS)
 
 
 def fx_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(collision_id, slot, p_partkey, p_name, p_brand, p_type), one row per
-    (order, line).  First-wins dedupe is a min over a struct whose leading
-    fields are the ordering keys: partial aggregation on the map side, so an
-    order repeated many times never lands whole in one task."""
-    lineitem = _read(spark, sf_dir, "lineitem").filter(F.expr(SLOT_FILTER))
+    """(collision_id, slot, p_partkey, p_name, p_brand, p_type), one row per line."""
+    lineitem = _read(spark, sf_dir, "lineitem")
     part = _read(spark, sf_dir, "part")
-    joined = lineitem.join(part, lineitem.l_partkey == part.p_partkey)
-    first = joined.groupBy("l_orderkey", "l_linenumber").agg(
-        F.min(F.struct(*LINE_ORDER, *LINE_PAYLOAD)).alias("_first")
-    )
-    return first.select(
-        F.col("l_orderkey").alias("collision_id"),
-        F.col("l_linenumber").cast("int").alias("slot"),
-        *[F.col(f"_first.{c}").alias(c) for c in LINE_PAYLOAD],
-    )
+    placed = lineitem.join(part, lineitem.l_partkey == part.p_partkey).withColumn("position", F.expr(LINE_POSITION))
+    return placed.select(*[F.expr(sql).alias(name) for name, sql in LINE_COLUMNS], *LINE_PAYLOAD)
 
 
 def fx_vehicles(spark: SparkSession, sf_dir: str, lines: DataFrame | None = None) -> DataFrame:
@@ -224,7 +236,7 @@ def fx_vehicles(spark: SparkSession, sf_dir: str, lines: DataFrame | None = None
 
 def fx_factors(spark: SparkSession, sf_dir: str, lines: DataFrame | None = None) -> DataFrame:
     lines = lines if lines is not None else fx_lines(spark, sf_dir)
-    return lines.filter(F.expr(FACTOR_FILTER)).select(
+    return lines.select(
         "collision_id", F.col("slot").alias("factor_order"), F.expr(FACTOR_DESC).alias("factor_desc"))
 
 
@@ -255,7 +267,7 @@ def fx_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     slots = fx_lines(spark, sf_dir).groupBy("collision_id").agg(
         *[F.expr(sql).alias(name) for name, sql in SLOT_PIVOT])
     region = _read(spark, sf_dir, "region")
-    wide = _orders_wide(spark, sf_dir).join(region, F.col("n_regionkey") == region.r_regionkey)
-    wide = wide.join(slots, wide.o_orderkey == slots.collision_id, "left").drop("collision_id")
+    wide = _collisions_wide(spark, sf_dir).join(region, F.col("n_regionkey") == region.r_regionkey)
+    wide = wide.join(slots, F.expr(COLLISION_ID) == slots.collision_id, "left").drop("collision_id")
     wide = wide.withColumn("c", F.explode(F.expr(RAW_COPIES)))
     return _select(wide, RAW_COLUMNS + raw_slot_columns())

@@ -71,3 +71,10 @@ def test_clean_feed_issues_and_dropped_ids(spark):
     assert got[3]["number_of_persons_killed"] is None
     assert got[3]["zip_code"] == "11201"
     assert got[3]["borough"] == "BRONX"
+
+
+def test_only_plain_numbers_are_numbers(spark):
+    odd = ["12d", "3.7f", "0x1p3", "1L", "Infinity", "NaN", "1e2", "+4", ".5", "5."]
+    assert one_col(spark, odd, C.parse_id) == [None] * 6 + [100, 4, 0, 5]
+    assert one_col(spark, odd, C.parse_count) == [None] * 6 + [100, 4, 1, 5]
+    assert one_col(spark, odd[:4], C.parse_coordinate) == [None] * 4

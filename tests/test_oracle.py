@@ -46,7 +46,7 @@ def test_every_query_has_an_oracle():
 
 def test_entry_smoke(spark):
     df = E.entry(spark)
-    assert df.count() == 26
+    assert df.count() == 48
     assert df.columns == ["factor_desc", "factor_collision_count", "fatal_collisions", "fatal_rate_pct",
                           "fatality_rank"]
 
