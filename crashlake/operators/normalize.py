@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from crashlake.functions import clean as C
-from crashlake.operators.ids import extend_dimension
+from crashlake.operators.ids import assign_ids, extend_dimension
 from crashlake.operators.lookup import lookup_ids
 from crashlake.schema import (
     BOROUGH_NAME_MAX, COLLISIONS, COUNT_COLUMNS, FACTOR_COLUMNS, UNSPECIFIED_FACTOR,
@@ -33,6 +33,7 @@ from crashlake.tables import CollisionTables
 
 ORDER_COL = "_order"
 ISSUES_COL = "_issues"
+CORRUPT_COL, CORRUPT_ISSUE = "_corrupt_record", "corrupt_record"
 
 
 def clean_feed(raw: DataFrame, order_col: str = ORDER_COL,
@@ -42,10 +43,12 @@ def clean_feed(raw: DataFrame, order_col: str = ORDER_COL,
     ``_issues`` lists the rules a row breaks (value present but not storable):
     non-numeric or out-of-range coordinates and counts, negative counts,
     over-long zip or borough.  Dates and times that do not parse are just
-    NULL, as in the reference."""
+    NULL, as in the reference.  Rows that the reader marked as broken are kept
+    with that issue, even without an id, for :func:`whole_rows` to part."""
     # step 1: NA spellings -> NULL once per column (later steps reuse the column)
-    text = [c for c in raw.columns if c != order_col]
-    nulled = raw.select(*[C.na_to_null(c).alias(c) for c in text], F.col(order_col).alias(ORDER_COL))
+    text = [c for c in raw.columns if c not in (order_col, CORRUPT_COL)]
+    corrupt = F.col(CORRUPT_COL).isNotNull() if CORRUPT_COL in raw.columns else F.lit(False)
+    nulled = raw.select(*[C.na_to_null(c).alias(c) for c in text], F.col(order_col).alias(ORDER_COL), corrupt.alias("_corrupt"))
     # step 2: typed values
     typed = nulled.select(
         C.parse_id("collision_id").alias("collision_id"),
@@ -58,10 +61,11 @@ def clean_feed(raw: DataFrame, order_col: str = ORDER_COL,
         "location", "on_street_name", "off_street_name", "cross_street_name",
         *[C.parse_count(c).alias(c) for c in COUNT_COLUMNS],
         *[F.col(c).alias(f"_raw_{c}") for c in ("latitude", "longitude", *COUNT_COLUMNS)],
-        *VEHICLE_COLUMNS, *FACTOR_COLUMNS, ORDER_COL,
-    ).filter(F.col("collision_id").isNotNull())
+        *VEHICLE_COLUMNS, *FACTOR_COLUMNS, ORDER_COL, "_corrupt",
+    ).filter(F.col("collision_id").isNotNull() | F.col("_corrupt"))
     # step 3: rule violations from the typed values and their raw text
     checks = [
+        (F.col("_corrupt"), CORRUPT_ISSUE),
         (C.invalid(F.col("_raw_latitude"), F.col("latitude")), "latitude_invalid"),
         (C.invalid(F.col("_raw_longitude"), F.col("longitude")), "longitude_invalid"),
         (F.length("zip_code") > ZIP_CODE_MAX, "zip_code_too_long"),
@@ -78,6 +82,12 @@ def clean_feed(raw: DataFrame, order_col: str = ORDER_COL,
     )
 
 
+def whole_rows(feed: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(rows read whole, broken rows as rejects: collision_id if it could be read, reason)."""
+    broken = F.array_contains(ISSUES_COL, CORRUPT_ISSUE)
+    return feed.filter(~broken), feed.filter(broken).select("collision_id", F.lit(CORRUPT_ISSUE).alias("reason"))
+
+
 def borough_names(feed: DataFrame) -> DataFrame:
     """Distinct trimmed, non-blank borough names (storable length)."""
     return (feed.select(F.col("borough").alias("borough_name"))
@@ -102,8 +112,8 @@ def collisions_table(feed: DataFrame, boroughs: DataFrame) -> DataFrame:
     """Collisions rows with borough ids looked up by (trimmed) name;
     an unknown name gives a NULL id.  Keeps ``borough`` and ``_issues`` for
     the caller; ``collision_columns`` projects the table."""
-    return first_records(feed).join(
-        boroughs.select(F.col("borough_name").alias("borough"), "borough_id"), "borough", "left")
+    return lookup_ids(first_records(feed), boroughs.select(F.col("borough_name").alias("borough"), "borough_id"),
+                      "borough", "borough_id", ["collision_id"], keep_unmatched=True)
 
 
 def collision_columns(df: DataFrame) -> DataFrame:
@@ -205,6 +215,16 @@ def dimensions(feed: DataFrame, existing: CollisionTables | None = None):
     )
 
 
+def new_dimension_rows(feed: DataFrame, existing: CollisionTables | None = None):
+    """(boroughs, vehicle_types, factors): only the rows that ``existing`` lacks."""
+    ex = existing
+    return (
+        assign_ids(borough_names(feed), ["borough_name"], "borough_id", ex and ex.boroughs),
+        assign_ids(vehicle_values(feed).select("vehicle_type_desc"), ["vehicle_type_desc"], "vehicle_type_id", ex and ex.vehicle_types),
+        assign_ids(factor_values(feed).select("factor_desc"), ["factor_desc"], "factor_id", ex and ex.factors),
+    )
+
+
 def normalize_feed(feed: DataFrame, existing: CollisionTables | None = None,
                    mode: str = "quarantine") -> LoadResult:
     """The whole load in dependency order - boroughs, collisions,
@@ -223,7 +243,7 @@ def normalize_feed(feed: DataFrame, existing: CollisionTables | None = None,
     candidates = new_collision_candidates(feed, boroughs, ex and ex.collisions)
     rejects = rejects_of(candidates)
     if mode == "fail":
-        raise_on_rejects(rejects)
+        raise_on_rejects(rejects_of(feed))
     bad_ids = candidates.filter(F.size(ISSUES_COL) > 0).select("collision_id")
     collisions = accepted(candidates)
     vehicles = new_vehicle_rows(feed, vehicle_types, ex and ex.collision_vehicles, bad_ids)

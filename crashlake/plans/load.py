@@ -3,19 +3,26 @@
 Order of work (each step one Spark job, parents before children):
 
 1. clean the feed and stage it as parquet in the store (lineage cut; the
-   file order column is fixed once);
+   file order column is fixed once); in ``fail`` mode any row that breaks a
+   rule, also one that would lose to another or is stored already, stops the
+   load here, before anything is written;
 2. append new dimension values, then read the dimensions back, so every
    fact row joins to ids that are already on disk (ids never recomputed);
 3. stage the first-wins collision candidates once; write the rejected ones
-   to ``_rejects`` (partition = load id), append the accepted ones, then
-   their vehicle and factor rows, skipping rejected ids.
+   to ``_rejects`` (partition = load id, replaced as a whole), append the
+   accepted ones, then their vehicle and factor rows, skipping rejected ids;
+4. remove the run's staging folder.
 
-Every append is insert-if-absent, so a crashed load is repaired by running
-it again, and replaying a feed adds nothing.
+The load id is a function of the input (a feed's file list, a stream's batch),
+every append is insert-if-absent, so a crashed load is repaired by running
+it again, and replaying a feed adds nothing and leaves its rejects as they
+were.  New ids continue after the largest stored one: a store takes one load
+at a time, and a load that finds another's lock refuses to start.
 """
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,17 +36,32 @@ DIMENSIONS = ("boroughs", "vehicle_types", "factors")
 
 
 def load_feed(spark: SparkSession, feed: DataFrame | str, root: str, mode: str = "quarantine",
-              order_col: str = "_order", num_files: int | None = None) -> str:
+              order_col: str = "_order", num_files: int | None = None, load_id: str | None = None) -> str:
     """Load one feed (a path to CSV, or an all-string DataFrame with an order
-    column) into the store at ``root``.  Returns the load id."""
+    column, whose ``load_id`` the caller names if replays are to be known) into
+    the store at ``root``.  Returns the load id."""
     if mode not in ("quarantine", "fail"):
         raise ValueError("mode must be 'quarantine' or 'fail'")
     if isinstance(feed, str):
         feed = read_feed(spark, feed)
-    load_id = uuid.uuid4().hex
-    staged = store.stage(N.clean_feed(feed, order_col=order_col), root, f"feed-{load_id}")
+        load_id = load_id or hashlib.sha256("\n".join(sorted(feed.inputFiles())).encode()).hexdigest()[:32]
+    load_id = load_id or uuid.uuid4().hex
+    with store.one_load(spark, root, load_id):
+        staging = store.Staging(spark, root, load_id)
+        try:
+            _load(spark, feed, root, mode, order_col, num_files, load_id, staging)
+        finally:
+            staging.close()
+    return load_id
+
+
+def _load(spark: SparkSession, feed: DataFrame, root: str, mode: str, order_col: str, num_files: int | None,
+          load_id: str, staging: store.Staging) -> None:
+    staged, broken = N.whole_rows(staging.write(N.clean_feed(feed, order_col=order_col), "feed"))
+    if mode == "fail":
+        N.raise_on_rejects(broken.unionByName(N.rejects_of(staged)))
     if has_file_order(staged):
-        staged = compact_order(staged, store.stage(feed_files(staged), root, f"files-{load_id}"))
+        staged = compact_order(staged, staging.write(feed_files(staged), "files"))
     before = store.read_tables(spark, root, missing_ok=True)  # a first load starts from nothing
     # Stored rows can only conflict inside the feed's id range: two numbers
     # come back to the driver and become a filter pushed into the parquet
@@ -51,21 +73,15 @@ def load_feed(spark: SparkSession, feed: DataFrame | str, root: str, mode: str =
         return df.filter(F.col("collision_id").between(lo, hi)) if lo is not None else df.limit(0)
 
     # 1. dimensions: new values only, then read back (ids are fixed on disk)
-    for name, dim in zip(DIMENSIONS, N.dimensions(staged, before)):
-        key = dim.columns[0]
-        new_rows = dim.join(getattr(before, name).select(key), key, "left_anti")
+    for name, new_rows in zip(DIMENSIONS, N.new_dimension_rows(staged, before)):
         store.write_table(name, new_rows, root, num_files=num_files)
     now = store.read_tables(spark, root, missing_ok=True)
 
     # 2. collisions: first-wins candidates staged once, then split into
     #    rejects and accepted rows (no second aggregation of the feed)
-    candidates = store.stage(N.new_collision_candidates(staged, now.boroughs, near(before.collisions)),
-                             root, f"candidates-{load_id}")
-    rejects = N.rejects_of(candidates)
-    if mode == "fail":
-        N.raise_on_rejects(rejects)
-    (rejects.withColumn("load_id", F.lit(load_id))
-     .write.mode("append").partitionBy("load_id").parquet(store.table_path(root, "_rejects")))
+    candidates = staging.write(N.new_collision_candidates(staged, now.boroughs, near(before.collisions)), "candidates")
+    rejects = N.rejects_of(candidates).unionByName(broken)
+    rejects.write.mode("overwrite").parquet(f"{store.table_path(root, '_rejects')}/load_id={load_id}")
     store.write_table("collisions", N.accepted(candidates), root, num_files=num_files)
     bad_ids = candidates.filter(F.size(N.ISSUES_COL) > 0).select("collision_id")
 
@@ -74,4 +90,3 @@ def load_feed(spark: SparkSession, feed: DataFrame | str, root: str, mode: str =
         staged, now.vehicle_types, near(before.collision_vehicles), bad_ids), root, num_files=num_files)
     store.write_table("collision_factors", N.new_factor_rows(
         staged, now.factors, near(before.collision_factors), bad_ids), root, num_files=num_files)
-    return load_id

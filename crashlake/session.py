@@ -38,10 +38,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster that setting names shared storage and is used as is; only
-    when it is unset (local tests) a fresh scratch folder is chosen."""
+    when it is unset (local tests) and the context has no folder of its own, a
+    fresh scratch folder is chosen, once for the context."""
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
-    if not conf_dir:
-        conf_dir = tempfile.mkdtemp(prefix="crashlake-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", conf_dir)
-    spark.sparkContext.setCheckpointDir(conf_dir)
-    return conf_dir
+    known = conf_dir or spark.sparkContext.getCheckpointDir()
+    if known:
+        if conf_dir:
+            spark.sparkContext.setCheckpointDir(conf_dir)
+        return known
+    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="crashlake-ckpt-"))
+    return spark.sparkContext.getCheckpointDir()

@@ -1,9 +1,12 @@
 """Read the wide collision feed (header CSV) as all-string rows.
 
-Columns are taken by header name, so column order in the file does not
-matter; a column the file lacks is NULL (the reference reads rows with
-``dict.get``).  A missing path is an error.  Nothing is inferred: every
-column is text until the cleaning step types it.
+Columns are taken by each file's own header, so column order does not matter,
+not even between the files of one feed; a column a file lacks is NULL (the
+reference reads rows with ``dict.get``).  Quoted fields may hold commas,
+doubled quotes and line ends.  A row with too many or too few fields keeps
+its text in ``_corrupt_record``, which the load turns into a reject.  A missing
+path, or a file whose header names no collision id, is an error.  Nothing is
+inferred: every column is text until the cleaning step types it.
 
 ``_order`` records file order (path, split start, position inside the split),
 which "first row wins" needs: splits can be packed into tasks out of file
@@ -12,18 +15,49 @@ order, so the generated id alone is not enough.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from crashlake.schema import FEED_COLUMNS
 
 ORDER_COL = "_order"
-
-
-def read_feed(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    raw = (spark.read.option("header", True).option("inferSchema", False)
-           .option("mode", "PERMISSIVE").csv(path))
-    return select_feed_columns(raw, with_file_order=True)
+CORRUPT_COL = "_corrupt_record"
+ID_COLUMN = "collision_id"
+#: Quoted CSV as spreadsheets and databases write it; every column is parsed, so that broken rows show.
+CSV_OPTIONS = {"quote": '"', "escape": '"', "mode": "PERMISSIVE", "columnPruning": False, "columnNameOfCorruptRecord": CORRUPT_COL}
+
+
+def header_files(spark: SparkSession, path: str | list[str]) -> list[list[str]]:
+    """The feed's files grouped by equal header line.  Headers are found by a
+    distributed scan for lines that name the id column at a file's start; the
+    driver gets a file name and a header per file, as for any file listing."""
+    text = spark.read.text(path)
+    files = sorted(text.inputFiles())
+    if len(files) < 2:
+        return [files]
+    lines = text.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+                        F.monotonically_increasing_id().alias("row"), "value").where(F.col("value").contains(ID_COLUMN) & (F.col("block") == 0))
+    first = lines.groupBy("file").agg(F.min_by("value", "row").alias("header"))
+    groups = [sorted(r.files) for r in first.groupBy("header").agg(F.collect_list("file").alias("files")).collect()]
+    if sum(map(len, groups)) != len(files):
+        raise ValueError(f"some of the {len(files)} feed files have no header that names {ID_COLUMN}")
+    return sorted(groups)
+
+
+def read_feed(spark: SparkSession, path: str | list[str], multi_line: bool = True) -> DataFrame:
+    """``multi_line``: quoted fields may hold line ends, and a file is one split;
+    without it large files are split, and a record with a line end in a field
+    is reported as broken."""
+    found = []
+    for files in header_files(spark, path):
+        reader = spark.read.options(**CSV_OPTIONS).option("header", True).option("multiLine", multi_line)
+        names = [c for c in reader.csv(files[0]).columns if c != CORRUPT_COL]
+        schema = T.StructType([T.StructField(c, T.StringType()) for c in [*names, CORRUPT_COL]])
+        found.append(select_feed_columns(reader.schema(schema).csv(files), with_file_order=True))
+    return reduce(DataFrame.unionByName, found)
 
 
 def select_feed_columns(raw: DataFrame, with_file_order: bool = False) -> DataFrame:
@@ -32,6 +66,8 @@ def select_feed_columns(raw: DataFrame, with_file_order: bool = False) -> DataFr
             else F.lit(None).cast("string").alias(c) for c in FEED_COLUMNS]
     if ORDER_COL in present and not with_file_order:
         cols.append(F.col(ORDER_COL))
+    if CORRUPT_COL in present:
+        cols.append(F.col(CORRUPT_COL))
     if with_file_order:
         cols.append(F.struct(
             F.col("_metadata.file_path").alias("file"),
@@ -50,6 +86,7 @@ def has_file_order(df: DataFrame) -> bool:
 def feed_files(df: DataFrame) -> DataFrame:
     """(file, file_rank): the feed's input files in path order.  One row per
     input file - bounded by the load's file listing, not by the data."""
+    # (sorted in one task: fine for the millions of files a listing can hold)
     files = df.select(F.col(f"{ORDER_COL}.file").alias("file")).distinct()
     return files.select("file", F.row_number().over(Window.orderBy("file")).cast("int").alias("file_rank"))
 

@@ -21,8 +21,8 @@ is finished by simply running it again.
 
 from __future__ import annotations
 
-import os
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -82,14 +82,16 @@ def create_tables(spark: SparkSession, root: str) -> None:
             empty.write.mode("overwrite").parquet(table_path(root, name))
 
 
-def _path_exists(spark: SparkSession, path: str) -> bool:
+def path_exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
-def exists(spark: SparkSession, root: str) -> bool:
-    return _path_exists(spark, table_path(root, "collisions"))
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of this run's own making."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def read_tables(spark: SparkSession, root: str, missing_ok: bool = False) -> CollisionTables:
@@ -101,7 +103,7 @@ def read_tables(spark: SparkSession, root: str, missing_ok: bool = False) -> Col
         if name == "collisions":  # a new StructType: .add() would modify the shared one
             sch = T.StructType(sch.fields + [T.StructField(YEAR_PARTITION, T.IntegerType())])
         path = table_path(root, name)
-        if missing_ok and not _path_exists(spark, path):
+        if missing_ok and not path_exists(spark, path):
             return spark.createDataFrame([], sch)
         return spark.read.schema(sch).parquet(path)
     return CollisionTables(**{name: read(name) for name in S.TABLES})
@@ -113,14 +115,39 @@ def append_new(new: CollisionTables, root: str, num_files: int | None = None) ->
         write_table(name, getattr(new, name), root, mode="append", num_files=num_files)
 
 
-def stage(df: DataFrame, root: str, label: str = "feed") -> DataFrame:
-    """Materialise an intermediate result as parquet in the store's shared
-    folder and read it back: cuts the lineage (a lost executor re-reads the
-    file instead of re-parsing the source) and fixes values that must not be
-    recomputed."""
-    path = table_path(root, f"_staging/{label}-{uuid.uuid4().hex}")
-    df.write.mode("error").parquet(path)
-    return df.sparkSession.read.parquet(path)
+@contextmanager
+def one_load(spark: SparkSession, root: str, run: str):
+    """Holds the store's lock: ids continue after the largest stored one, so two
+    loads must not run at once.  A load that died leaves its lock; the same
+    load takes it over, another one needs it removed."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(table_path(root, f"_lock/{run}"))
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.mkdirs(p)
+    others = [x.getPath().getName() for x in fs.listStatus(p.getParent()) if x.getPath().getName() != run]
+    if others:
+        fs.delete(p, True)
+        raise RuntimeError(f"another load holds {root}: {others}")
+    try:
+        yield
+    finally:
+        fs.delete(p, True)
+
+
+class Staging:
+    """Intermediate results of one run as parquet in the store's shared folder:
+    cuts the lineage (a lost executor re-reads the file instead of re-parsing
+    the source) and fixes values that must not be recomputed.  ``close``
+    removes what the run staged."""
+
+    def __init__(self, spark: SparkSession, root: str, run: str):
+        self.spark, self.path = spark, table_path(root, f"_staging/{run}-{uuid.uuid4().hex}")
+
+    def write(self, df: DataFrame, label: str) -> DataFrame:
+        df.write.mode("error").parquet(f"{self.path}/{label}")
+        return self.spark.read.schema(df.schema).parquet(f"{self.path}/{label}")
+
+    def close(self) -> None:
+        remove(self.spark, self.path)
 
 
 def export_csv(df: DataFrame, path: str) -> None:
@@ -131,14 +158,16 @@ def export_csv(df: DataFrame, path: str) -> None:
 
 def write_bucketed(spark: SparkSession, t: CollisionTables, database: str, buckets: int) -> None:
     """S6 (catalog variant): the three fact tables bucketed and sorted on
-    collision_id with one bucket count, so joins among them need no shuffle."""
+    collision_id with one bucket count, so joins among them need no shuffle.
+    Rows are dealt by the bucket key first: one file per bucket."""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     for name in FACT_TABLES:
-        (getattr(t, name).write.mode("overwrite").bucketBy(buckets, "collision_id")
-         .sortBy("collision_id").saveAsTable(f"{database}.{name}"))
+        (getattr(t, name).repartition(buckets, "collision_id").write.mode("overwrite")
+         .bucketBy(buckets, "collision_id").sortBy("collision_id").saveAsTable(f"{database}.{name}"))
     for name in ("boroughs", "vehicle_types", "factors"):
         getattr(t, name).write.mode("overwrite").saveAsTable(f"{database}.{name}")
 
 
-def default_root() -> str:
-    return os.environ.get("CRASHLAKE_STORE", "")
+def read_bucketed(spark: SparkSession, database: str) -> CollisionTables:
+    """The six tables of :func:`write_bucketed`."""
+    return CollisionTables(**{name: spark.table(f"{database}.{name}") for name in S.TABLES})

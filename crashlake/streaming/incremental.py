@@ -20,16 +20,16 @@ from pyspark.sql.streaming import StreamingQuery
 
 from crashlake.plans.load import load_feed
 from crashlake.schema import FEED_COLUMNS
-from crashlake.session import ensure_checkpoint_dir
-from crashlake.sources.feed import ORDER_COL, select_feed_columns
+from crashlake.sources.feed import CORRUPT_COL, CSV_OPTIONS, ORDER_COL, select_feed_columns
 
 
 def feed_stream(spark: SparkSession, landing_dir: str, columns=FEED_COLUMNS,
                 max_files_per_trigger: int | None = None) -> DataFrame:
     """Streaming CSV reader.  A stream needs its schema up front: ``columns``
     lists the header names in file order (all read as text)."""
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
-    reader = spark.readStream.schema(schema).option("header", True)
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in (*columns, CORRUPT_COL)])
+    reader = (spark.readStream.schema(schema).options(**CSV_OPTIONS).option("header", True).option("multiLine", True)
+              .option("enforceSchema", False))  # a file with another header is an error
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     raw = reader.csv(landing_dir)
@@ -37,13 +37,13 @@ def feed_stream(spark: SparkSession, landing_dir: str, columns=FEED_COLUMNS,
                       F.col("_metadata.file_block_start").alias("_block"))
 
 
-def _load_batch(root: str, mode: str):
+def _load_batch(root: str, mode: str, name: str):
     def run(batch: DataFrame, epoch_id: int) -> None:
         ordered = batch.withColumn(ORDER_COL, F.struct(
             F.col("_file").alias("file"), F.col("_block").alias("block"),
             F.monotonically_increasing_id().alias("row")))
         feed = select_feed_columns(ordered.drop("_file", "_block"))
-        load_feed(batch.sparkSession, feed, root, mode=mode, order_col=ORDER_COL)
+        load_feed(batch.sparkSession, feed, root, mode=mode, order_col=ORDER_COL, load_id=f"{name}-{epoch_id}")
     return run
 
 
@@ -55,11 +55,14 @@ def start_incremental_load(spark: SparkSession, landing_dir: str, root: str, *,
     """Start the stream.  ``available_now`` processes what is there and stops
     (scheduled runs); otherwise it polls every ``processing_time``."""
     if checkpoint_location is None:
-        checkpoint_location = f"{ensure_checkpoint_dir(spark).rstrip('/')}/crashlake-stream-{name}"
+        shared = spark.conf.get("spark.checkpoint.dir", None)
+        if not shared:  # a folder of this session would forget the files already loaded
+            raise ValueError("name a checkpoint_location, or set spark.checkpoint.dir to a shared folder")
+        checkpoint_location = f"{shared.rstrip('/')}/crashlake-stream-{name}"
     stream = feed_stream(spark, landing_dir, columns, max_files_per_trigger)
     writer = (stream.writeStream.queryName(f"crashlake_{name}")
               .option("checkpointLocation", checkpoint_location)
-              .foreachBatch(_load_batch(root, mode)))
+              .foreachBatch(_load_batch(root, mode, name)))
     writer = writer.trigger(availableNow=True) if available_now else \
         writer.trigger(processingTime=processing_time or "1 minute")
     return writer.start()
