@@ -7,8 +7,10 @@
   python -m crashlake star     --store ROOT --out ROOT2
 
 Query names: q1 q2 q3 kpi trend metric by-borough top-factors latest bounds
-boroughs window.  ``--show`` prints the first rows; ``--csv`` has the
-executors write the full result.
+boroughs window.  Dates left out take the dashboard's default window (q1: its
+own default range).  Results are printed whole - each is bounded by days,
+names or a limit - unless ``--show N`` asks for the first N, which says how
+many there are; ``--csv`` has the executors write the result.
 """
 
 from __future__ import annotations
@@ -19,12 +21,12 @@ import sys
 from crashlake.operators import dashboard as D
 from crashlake.operators import quality as K
 from crashlake.operators import rankings as R
-from crashlake.schema import ALL_BOROUGHS, TOP_FACTORS_DEFAULT
+from crashlake.schema import ALL_BOROUGHS, RANKING_FROM, RANKING_TO, TOP_FACTORS_DEFAULT
 
 
 def _queries(a):
     return {
-        "q1": lambda t: R.street_severity_rank(t, a.start, a.end, a.k),
+        "q1": lambda t: R.street_severity_rank(t, a.start or RANKING_FROM, a.end or RANKING_TO, a.k),
         "q2": R.factor_fatality_rank,
         "q3": R.vehicle_severity_rank,
         "kpi": lambda t: D.kpi_summary(t, a.start, a.end, a.borough),
@@ -35,7 +37,7 @@ def _queries(a):
         "latest": lambda t: D.latest_collisions(t, a.start, a.end, a.borough),
         "bounds": D.date_bounds,
         "boroughs": D.borough_list,
-        "window": lambda t: D.default_window(t, a.end),
+        "window": lambda t: D.default_window(t, a.end, start=a.start),
     }
 
 
@@ -58,7 +60,7 @@ def main(argv=None) -> int:
     qu.add_argument("--k", type=int, default=10)
     qu.add_argument("--metric", default="Crashes")
     qu.add_argument("--csv")
-    qu.add_argument("--show", type=int, default=20)
+    qu.add_argument("--show", type=int)
     st = sub.add_parser("star")
     st.add_argument("--store", required=True)
     st.add_argument("--out", required=True)
@@ -82,11 +84,17 @@ def main(argv=None) -> int:
         queries = _queries(a)
         if a.name not in queries:
             p.error(f"unknown query {a.name!r}; one of {sorted(queries)}")
-        df = queries[a.name](store.read_tables(spark, a.store))
+        tables = store.read_tables(spark, a.store)
+        if a.name not in ("q1", "q2", "q3", "bounds", "boroughs", "window"):
+            window = D.default_window(tables, a.end, start=a.start).first()
+            a.start, a.end = window.start_date, window.end_date
+        df = queries[a.name](tables)
         if a.csv:
             store.export_csv(df, a.csv)
-        if a.show:
-            df.show(a.show, truncate=False)
+        rows = df.count()
+        shown = rows if a.show is None else min(a.show, rows)
+        df.show(max(shown, 1), truncate=False)
+        print(f"{shown} of {rows} rows")
     elif a.cmd == "star":
         from crashlake.plans.star_build import build_star, grain_ok
         for name, path in build_star(spark, a.store, a.out).items():

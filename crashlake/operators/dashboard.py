@@ -139,18 +139,22 @@ def borough_list(t: CollisionTables) -> DataFrame:
 
 
 def default_window(t: CollisionTables, end: str | dt.date | None = None,
-                   days: int = DEFAULT_WINDOW_DAYS) -> DataFrame:
-    """The dashboard's default range.  end defaults to the last crash
-    date; start = later of the first crash date and end - days.  A chosen end
-    outside the data range is an error (raised when the row is computed)."""
+                   days: int = DEFAULT_WINDOW_DAYS, start: str | dt.date | None = None) -> DataFrame:
+    """The dashboard's range.  end defaults to the last crash date, start
+    to the later of the first crash date and end - days.  A chosen end outside
+    the data, or a chosen start outside first date .. end, is an error
+    (raised when the row is computed)."""
     b = date_bounds(t)
     end_col = F.col("max_date") if end is None else F.lit(to_date(end))
     in_range = (end_col >= F.col("min_date")) & (end_col <= F.col("max_date"))
     checked_end = F.when(in_range, end_col).otherwise(
         F.raise_error(F.lit("end date outside the data range")).cast("date"))
+    default_start = F.greatest(F.col("min_date"), F.date_sub(checked_end, days))
+    chosen = F.lit(to_date(start)) if start is not None else default_start
+    checked_start = chosen if start is None else F.when((chosen >= F.col("min_date")) & (chosen <= checked_end), chosen).otherwise(
+        F.raise_error(F.lit("start date outside first date .. end date")).cast("date"))
     return b.select(
-        "min_date", "max_date",
-        F.greatest(F.col("min_date"), F.date_sub(checked_end, days)).alias("start_date"),
+        "min_date", "max_date", checked_start.alias("start_date"),
         checked_end.alias("end_date"),
     )
 

@@ -57,9 +57,6 @@ FOREIGN_KEYS = (
     ("collision_factors", "factor_id", "factors", "factor_id"),
 )
 
-# |value| < 10^(precision - scale) for numeric(9,6)
-_COORD_LIMIT = 1000
-
 
 def _key_text(cols) -> F.Column:
     return F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("<null>")) for c in cols])
@@ -75,21 +72,10 @@ def _shape(df: DataFrame, table: str, rule: F.Column | str, key: F.Column, n: F.
                      key.alias("key"), n.cast("bigint").alias("n_rows"))
 
 
-def check_unique(t: CollisionTables) -> DataFrame:
-    """K1: primary and unique keys."""
-    frames = []
-    for table, keys in UNIQUE_KEYS:
-        dup = getattr(t, table).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
-        frames.append(_shape(dup, table, f"unique({','.join(keys)})", _key_text(keys), F.col("_n")))
-    return _union(frames)
-
-
 def _row_rules(df: DataFrame, table: str, keys, rules) -> DataFrame:
     """Row-level rules of one table in a single pass: rows breaking any rule
     are selected once (the OR of the rules is pushed to the scan) and emit
     one violation per rule they break."""
-    if not rules:
-        return None
     conds = [F.coalesce(cond, F.lit(False)) for cond, _ in rules]
     labels = F.array_compact(F.array(*[F.when(c, F.lit(r)) for c, (_, r) in zip(conds, rules)]))
     return (df.filter(reduce(lambda a, b: a | b, conds))
@@ -97,47 +83,83 @@ def _row_rules(df: DataFrame, table: str, keys, rules) -> DataFrame:
                     _key_text(keys).alias("key"), F.lit(1).cast("bigint").alias("n_rows")))
 
 
-def check_not_null(t: CollisionTables) -> DataFrame:
-    """K2: NOT NULL columns."""
-    per_table: dict[str, tuple] = {}
-    for table, keys, col in NOT_NULL:
-        per_table.setdefault(table, (keys, []))[1].append((F.col(col).isNull(), f"not_null({col})"))
-    return _union([_row_rules(getattr(t, tb), tb, keys, rules) for tb, (keys, rules) in per_table.items()])
+def _null_rules() -> dict[str, list]:
+    rules: dict[str, list] = {}
+    for table, _, col in NOT_NULL:
+        rules.setdefault(table, []).append((F.col(col).isNull(), f"not_null({col})"))
+    return rules
 
 
-def check_foreign_keys(t: CollisionTables) -> DataFrame:
-    """K3: every non-NULL reference exists in its parent table."""
+def _range_rules() -> dict[str, list]:
+    """K4: counts >= 0, slots 1..5, text lengths.  (Coordinates are decimal(9,6)
+    columns, which cannot hold a value out of range; the cleaning step rejects
+    such text.)"""
+    slots = [("collision_vehicles", "vehicle_order"), ("collision_factors", "factor_order")]
+    return {
+        "collisions": [(F.col(c) < 0, f"range({c}>=0)") for c in COUNT_COLUMNS]
+        + [(F.length("zip_code") > ZIP_CODE_MAX, f"length(zip_code<={ZIP_CODE_MAX})")],
+        "boroughs": [(F.length("borough_name") > BOROUGH_NAME_MAX, f"length(borough_name<={BOROUGH_NAME_MAX})")],
+        **{table: [(~F.col(slot).between(1, SLOTS), f"range({slot} 1..{SLOTS})")] for table, slot in slots},
+    }
+
+
+def _check_rows(t: CollisionTables, *rule_sets: dict[str, list]) -> DataFrame:
+    keys = {table: keys for table, keys, _ in NOT_NULL}
+    per_table = {table: [r for rules in rule_sets for r in rules.get(table, [])] for table in keys}
+    return _union([_row_rules(getattr(t, table), table, keys[table], rules) for table, rules in per_table.items() if rules])
+
+
+def _counts(t: CollisionTables) -> dict[tuple, DataFrame]:
+    """Rows per unique key, one aggregate each; the references of a child's key
+    column to its collision are summed from them, not counted anew."""
+    out = {(table, keys): getattr(t, table).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")) for table, keys in UNIQUE_KEYS}
+    for child, col, _, _ in FOREIGN_KEYS:
+        wider = next((k for k in out if k[0] == child and k[1][0] == col and len(k[1]) > 1), None)
+        out[(child, (col,))] = (out[wider].groupBy(col).agg(F.sum("_n").alias("_n")) if wider
+                                else getattr(t, child).groupBy(col).agg(F.count(F.lit(1)).alias("_n")))
+    return out
+
+
+def _duplicates(counts: dict[tuple, DataFrame]) -> DataFrame:
+    return _union([_shape(counts[(table, keys)].filter("_n > 1"), table, f"unique({','.join(keys)})", _key_text(keys), F.col("_n"))
+                   for table, keys in UNIQUE_KEYS])
+
+
+def _orphans(t: CollisionTables, counts: dict[tuple, DataFrame]) -> DataFrame:
     frames = []
     for child, col, parent, pcol in FOREIGN_KEYS:
-        per_value = (getattr(t, child).filter(F.col(col).isNotNull())
-                     .groupBy(col).agg(F.count(F.lit(1)).alias("_n")))
         parents = getattr(t, parent).select(F.col(pcol).alias(col))
-        orphans = per_value.join(parents, col, "left_anti")
+        orphans = counts[(child, (col,))].filter(F.col(col).isNotNull()).join(parents, col, "left_anti")
         frames.append(_shape(orphans, child, f"foreign_key({col}->{parent}.{pcol})",
                              F.col(col).cast("string"), F.col("_n")))
     return _union(frames)
 
 
+def check_unique(t: CollisionTables) -> DataFrame:
+    """K1: primary and unique keys."""
+    return _duplicates(_counts(t))
+
+
+def check_not_null(t: CollisionTables) -> DataFrame:
+    """K2: NOT NULL columns."""
+    return _check_rows(t, _null_rules())
+
+
+def check_foreign_keys(t: CollisionTables) -> DataFrame:
+    """K3: every non-NULL reference exists in its parent table."""
+    return _orphans(t, _counts(t))
+
+
 def check_ranges(t: CollisionTables) -> DataFrame:
-    """K4: counts >= 0, slots 1..5, text lengths, coordinate range."""
-    collision_rules = [(F.col(c) < 0, f"range({c}>=0)") for c in COUNT_COLUMNS]
-    collision_rules += [(F.abs(F.col(c)) >= _COORD_LIMIT, f"range({c} numeric(9,6))")
-                        for c in ("latitude", "longitude")]
-    collision_rules.append((F.length("zip_code") > ZIP_CODE_MAX, f"length(zip_code<={ZIP_CODE_MAX})"))
-    frames = [
-        _row_rules(t.collisions, "collisions", ["collision_id"], collision_rules),
-        _row_rules(t.boroughs, "boroughs", ["borough_id"],
-                   [(F.length("borough_name") > BOROUGH_NAME_MAX, f"length(borough_name<={BOROUGH_NAME_MAX})")]),
-    ]
-    for table, slot in (("collision_vehicles", "vehicle_order"), ("collision_factors", "factor_order")):
-        frames.append(_row_rules(getattr(t, table), table, ["collision_id", slot],
-                                 [(~F.col(slot).between(1, SLOTS), f"range({slot} 1..{SLOTS})")]))
-    return _union(frames)
+    """K4: counts >= 0, slots 1..5, text lengths."""
+    return _check_rows(t, _range_rules())
 
 
 def validate(t: CollisionTables) -> DataFrame:
-    """K1-K4 together: the full violation report."""
-    return _union([check_unique(t), check_not_null(t), check_foreign_keys(t), check_ranges(t)])
+    """K1-K4 together, the full violation report: one pass over each table for
+    the rules on single rows, one aggregate for each key."""
+    counts = _counts(t)
+    return _union([_duplicates(counts), _orphans(t, counts), _check_rows(t, _null_rules(), _range_rules())])
 
 
 def delete_cascade(t: CollisionTables, collision_ids: DataFrame) -> CollisionTables:

@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from crashlake.operators.ids import assign_ids
+from crashlake.operators.lookup import HOT_KEYS
 from crashlake.tables import CollisionTables
 
 LOCATION_COLUMNS = ("zip_code", "on_street_name", "cross_street_name", "latitude", "longitude")
@@ -85,19 +86,30 @@ def dim_borough(t: CollisionTables) -> DataFrame:
 
 
 # A location with more collisions than this is joined on the map side (see
-# _attach_location).  At most total_rows / HOT_LOCATION_ROWS keys qualify.
+# _attach_location); of those at most HOT_KEYS, the largest.
 HOT_LOCATION_ROWS = 1_000_000
 
 
-def dim_location(stg_collisions: DataFrame, with_counts: bool = False) -> DataFrame:
+def dim_location(stg_collisions: DataFrame, with_counts: bool = False,
+                 existing: DataFrame | None = None) -> DataFrame:
     """Distinct (zip, on street, cross street, lat, lon) with a dense
     key.  Can be nearly as large as collisions, so keys come from the
     bucketed numbering of operators.ids, never a global window.  Persist (write
     and read back) before joining so keys are not recomputed.  With
-    ``with_counts`` each key also carries ``n_collisions``."""
+    ``with_counts`` each key also carries ``n_collisions``; locations of an
+    ``existing`` dimension keep their keys."""
     locs = stg_collisions.select(*LOCATION_COLUMNS)
-    return assign_ids(locs, list(LOCATION_COLUMNS), "location_key", id_type="bigint",
-                      count_col="n_collisions" if with_counts else None)
+    count = "n_collisions" if with_counts else None
+    new = assign_ids(locs, list(LOCATION_COLUMNS), "location_key", existing=existing, id_type="bigint", count_col=count)
+    if existing is None:
+        return new
+    old = existing.select("location_key", *LOCATION_COLUMNS)
+    if with_counts:
+        seen = locs.groupBy(*LOCATION_COLUMNS).agg(F.count(F.lit(1)).alias("_n")).withColumnsRenamed(
+            {c: f"_s_{c}" for c in LOCATION_COLUMNS})
+        match = reduce(lambda a, b: a & b, [old[c].eqNullSafe(seen[f"_s_{c}"]) for c in LOCATION_COLUMNS])
+        old = old.join(seen, match, "left").select(*old.columns, F.coalesce("_n", F.lit(0)).alias("n_collisions"))
+    return old.unionByName(new)
 
 
 def dim_vehicle(t: CollisionTables) -> DataFrame:
@@ -110,25 +122,19 @@ def dim_factor(t: CollisionTables) -> DataFrame:
     return t.factors.select(F.col("factor_id").alias("factor_key"), "factor_desc")
 
 
-def _null_safe(left: DataFrame, right: DataFrame, cols) -> F.Column:
-    return reduce(lambda a, b: a & b, [left[c].eqNullSafe(right[c]) for c in cols])
-
-
 def _attach_location(c: DataFrame, locations: DataFrame, hot_rows: int) -> DataFrame:
     """``c`` plus ``location_key`` (null-safe match on all five columns).
 
     One location (say, every collision with no location data at all) can
     hold a third of the rows; a plain shuffle join would send all of them to
-    one task.  Keys with more than ``hot_rows`` collisions - at most
-    rows / hot_rows of them, so a bounded table - are matched by a broadcast
-    join on the map side.  Their rows then enter the shuffle join with a
+    one task.  The HOT_KEYS largest keys of more than ``hot_rows``
+    collisions are matched by a broadcast join on the map side.  Their rows then enter the shuffle join with a
     route number spread by collision id (and no partner), so they are
     scattered over all tasks; every other row keeps route 0 and meets its
     dimension row as usual.  One pass over the collisions, no union."""
     loc = list(LOCATION_COLUMNS)
     if "n_collisions" not in locations.columns:
-        return (c.join(locations, _null_safe(c, locations, loc), "left")
-                .select(*[c[k] for k in c.columns], locations["location_key"]))
+        raise ValueError("locations need n_collisions (dim_location(..., with_counts=True))")
 
     def renamed(df: DataFrame, prefix: str) -> DataFrame:
         return df.select(*[F.col(k).alias(prefix + k) for k in loc], F.col("location_key").alias(prefix + "key"))
@@ -137,8 +143,9 @@ def _attach_location(c: DataFrame, locations: DataFrame, hot_rows: int) -> DataF
         return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[prefix + k]) for k in loc])
 
     spread = int(c.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    hot = renamed(locations.filter(F.col("n_collisions") > hot_rows), "_h_")
-    cold = renamed(locations.filter(F.col("n_collisions") <= hot_rows), "_c_").withColumn("_c_route", F.lit(0))
+    hot = renamed(locations.filter(F.col("n_collisions") > hot_rows)
+                  .orderBy(F.desc("n_collisions"), "location_key").limit(HOT_KEYS), "_h_")
+    cold = renamed(locations, "_c_").withColumn("_c_route", F.lit(0))
     tagged = c.join(F.broadcast(hot), on(c, hot, "_h_"), "left").withColumn(
         "_route", F.when(F.col("_h_key").isNull(), F.lit(0))
         .otherwise(F.lit(1) + F.pmod(F.xxhash64("collision_id"), F.lit(spread))))

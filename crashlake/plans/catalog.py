@@ -7,7 +7,9 @@ collected."""
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,7 +21,11 @@ from crashlake.operators import rankings
 from crashlake.operators import star as T
 from crashlake.operators.lookup import lookup_ids
 from crashlake.plans import params as P
-from crashlake.schema import COUNT_COLUMNS
+from crashlake.plans.load import load_feed
+from crashlake.schema import COUNT_COLUMNS, FEED_COLUMNS
+from crashlake.session import ensure_checkpoint_dir
+from crashlake.sources import store
+from crashlake.sources.feed import read_feed
 from crashlake.sources.fixtures import fixture_tables, fx_raw
 from crashlake.tables import CollisionTables
 
@@ -92,6 +98,17 @@ def _load_vehicles_named(feed: DataFrame) -> DataFrame:
             .select("collision_id", "vehicle_order", "vehicle_type_desc"))
 
 
+def _load_collisions(feed: DataFrame) -> DataFrame:
+    res = N.normalize_feed(feed)
+    return res.new.collisions.join(res.dims.boroughs, "borough_id", "left").drop("borough_id")
+
+
+def _load_factors_named(feed: DataFrame) -> DataFrame:
+    res = N.normalize_feed(feed)
+    return (res.new.collision_factors.join(res.dims.factors, "factor_id")
+            .select("collision_id", "factor_order", "factor_desc"))
+
+
 def _unchecked(feed: DataFrame):
     """Tables straight from the cleaned feed with nothing deduplicated or
     quarantined: what the integrity checks are meant to catch."""
@@ -111,29 +128,112 @@ def _unchecked(feed: DataFrame):
         .select("collision_id", "factor_order", "factor_id"))
 
 
-def _delete_cascade_summary(t) -> DataFrame:
+def _planted(t: CollisionTables) -> CollisionTables:
+    """The clean tables with a violation of every kind of rule."""
+    def where(n: int, yes: str, no: str):
+        return F.expr(f"CASE WHEN collision_id % {n} = 0 THEN {yes} ELSE {no} END")
+
+    again = t.collision_factors.filter("collision_id % 547 = 0")
+    return CollisionTables(
+        boroughs=t.boroughs.withColumn("borough_name", F.expr("CASE WHEN borough_id = 1 THEN repeat(borough_name, 20) ELSE borough_name END")),
+        collisions=t.collisions.withColumn("zip_code", where(503, "repeat('9', 11)", "zip_code"))
+        .withColumn("number_of_persons_injured", where(509, "-1", "number_of_persons_injured"))
+        .withColumn("collision_id", where(499, "CAST(NULL AS BIGINT)", "collision_id")),
+        vehicle_types=t.vehicle_types,
+        collision_vehicles=t.collision_vehicles.withColumn("vehicle_order", where(521, "vehicle_order + 5", "vehicle_order"))
+        .withColumn("vehicle_type_id", where(523, "CAST(NULL AS INT)", "vehicle_type_id"))
+        .withColumn("collision_id", where(541, f"collision_id + {2**50}", "collision_id")),
+        factors=t.factors, collision_factors=t.collision_factors.unionByName(again))
+
+
+def _delete_cascade_rows(t) -> DataFrame:
     gone = t.collisions.filter(F.col("crash_date") < F.lit(P.DELETE_BEFORE).cast("date"))
     kept = K.delete_cascade(t, gone)
-    out = None
-    for name in ("collisions", "collision_vehicles", "collision_factors"):
-        row = getattr(kept, name).agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("n_rows"))
-        out = row if out is None else out.unionByName(row)
-    return out
+    slots = {"collisions": F.lit(0), "collision_vehicles": F.col("vehicle_order"), "collision_factors": F.col("factor_order")}
+    return reduce(DataFrame.unionByName, [
+        getattr(kept, name).select(F.lit(name).alias("table_name"), "collision_id", slot.cast("int").alias("slot"))
+        for name, slot in slots.items()])
+
+
+def _located(t, facts: DataFrame) -> DataFrame:
+    """Facts with the natural columns of their location in place of its key."""
+    return facts.join(T.dim_location(T.stg_tables(t).collisions), "location_key", "left").drop("location_key")
 
 
 def _star_fact(t) -> DataFrame:
-    fact = T.fact_collisions(t)
-    return fact.select(*[c for c in fact.columns if c != "location_key"],
-                       F.col("location_key").isNotNull().alias("has_location_key"))
+    return _located(t, T.fact_collisions(t))
 
 
 def _star_child(t, kind: str) -> DataFrame:
     fact = T.fact_collisions(t)
     if kind == "vehicles":
-        rows = T.fact_collision_vehicles(t, fact).join(T.dim_vehicle(t), "vehicle_key")
-        return rows.select("collision_id", "vehicle_order", "vehicle_type_desc", "date_key", "borough_key")
-    rows = T.fact_collision_factors(t, fact).join(T.dim_factor(t), "factor_key")
-    return rows.select("collision_id", "factor_order", "factor_desc", "date_key", "borough_key")
+        rows = T.fact_collision_vehicles(t, fact).join(T.dim_vehicle(t), "vehicle_key").drop("vehicle_key")
+    else:
+        rows = T.fact_collision_factors(t, fact).join(T.dim_factor(t), "factor_key").drop("factor_key")
+    return _located(t, rows)
+
+
+def _scratch(spark: SparkSession, name: str) -> str:
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/crashlake-{name}-{uuid.uuid4().hex}"
+
+
+def quoted_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The dirty feed with commas, quotes and line ends inside a street name."""
+    street = F.expr("CASE WHEN src_seq % 3 = 0 THEN concat(on_street_name, ' \"A\", \"\"') "
+                    "WHEN src_seq % 3 = 1 THEN concat(on_street_name, ',\n', on_street_name) ELSE on_street_name END")
+    return fx_raw(spark, sf_dir).withColumn("on_street_name", street)
+
+
+def _read_back(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quoted feed written as two CSV folders of different column order, and read as one feed."""
+    feed, paths = quoted_feed(spark, sf_dir), []
+    for half, columns in enumerate((FEED_COLUMNS, FEED_COLUMNS[::-1])):
+        paths.append(_scratch(spark, "feed"))
+        writer = feed.filter(F.col("src_seq") % 2 == half).select(*columns).write.option("header", True)
+        writer.options(escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(paths[-1])
+    return read_feed(spark, paths).select(*FEED_COLUMNS, F.col("_corrupt_record").isNotNull().alias("broken"))
+
+
+def _append_new(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feed's first rows loaded, loaded again, then the whole feed; what the store holds."""
+    root, feed = _scratch(spark, "store"), fx_raw(spark, sf_dir)
+    first = feed.filter(F.col("src_seq") < P.S2_FIRST_BATCH)
+    for rows, load_id in ((first, "first"), (first, "first"), (feed, "whole")):
+        load_feed(spark, rows, root, order_col="src_seq", load_id=load_id)
+    t = store.read_tables(spark, root)
+    rejects = spark.read.parquet(f"{root}/_rejects/load_id=whole")
+    shape = ["table_name", "collision_id", "slot", "value"]
+    parts = [
+        t.collisions.select(F.lit("collisions"), "collision_id", F.lit(0), F.col("crash_date").cast("string")),
+        t.collision_vehicles.join(t.vehicle_types, "vehicle_type_id").select(F.lit("collision_vehicles"), "collision_id", "vehicle_order", "vehicle_type_desc"),
+        t.collision_factors.join(t.factors, "factor_id").select(F.lit("collision_factors"), "collision_id", "factor_order", "factor_desc"),
+        rejects.select(F.lit("rejects"), "collision_id", F.lit(0), "reason")]
+    return reduce(DataFrame.union, parts).toDF(*shape)
+
+
+def _create_and_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S3: six empty tables with their declared columns, then filled from the clean ones."""
+    root = _scratch(spark, "store")
+    store.create_tables(spark, root)
+    empty = {name: df.count() for name, df in store.read_tables(spark, root).items()}
+    store.append_new(fixture_tables(spark, sf_dir), root)
+    rows = [df.agg(F.lit(name).alias("table_name"), F.lit(empty[name]).cast("bigint").alias("n_before"), F.count(F.lit(1)).alias("n_rows"))
+            for name, df in store.read_tables(spark, root).items()]
+    return reduce(DataFrame.unionByName, rows)
+
+
+def _export(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The latest collisions written as CSV with a header and read again."""
+    latest, path = D.latest_collisions(fixture_tables(spark, sf_dir), P.DASH_START, P.DASH_END), _scratch(spark, "export")
+    store.export_csv(latest, path)
+    return spark.read.schema(latest.schema).option("header", True).csv(path)
+
+
+def _bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The tables stored in buckets of the collision id, and Q2 over them."""
+    database = f"crashlake_{uuid.uuid4().hex}"
+    store.write_bucketed(spark, fixture_tables(spark, sf_dir), database, 8)
+    return rankings.factor_fatality_rank(store.read_bucketed(spark, database))
 
 
 def _location_keys(t) -> DataFrame:
@@ -172,7 +272,13 @@ QUERIES: dict[str, Query] = {
     "d7_date_bounds": _on_tables(D.date_bounds),
     "d8_borough_list": _on_tables(D.borough_list),
     "d9_default_window": _on_tables(D.default_window),
+    "d9_default_window_chosen_start": _on_tables(lambda t: D.default_window(t, P.D9_END, start=P.D9_START)),
     "d9_default_window_chosen_end": _on_tables(lambda t: D.default_window(t, P.D9_END)),
+    "s1_read_feed": _read_back,
+    "s2_append_new": _append_new,
+    "s3_create_tables": _create_and_fill,
+    "s4_export_csv": _export,
+    "s6_layout": _bucketed,
     "s5_run_sql": lambda spark, sf_dir: D.run_sql(
         spark, fixture_tables(spark, sf_dir),
         "SELECT b.borough_name, count(*) AS crashes FROM collisions c "
@@ -190,9 +296,12 @@ QUERIES: dict[str, Query] = {
     "n6_normalize_feed": _on_feed(_load_summary),
     "n6_rejects": _on_feed(lambda f: N.normalize_feed(f).rejects),
     "n6_collision_vehicles": _on_feed(_load_vehicles_named),
+    "n6_collisions": _on_feed(_load_collisions),
+    "n6_collision_factors": _on_feed(_load_factors_named),
+    "k1_k4_validate_planted": _on_tables(lambda t: K.validate(_planted(t))),
     "k1_k4_validate_raw": _on_feed(lambda f: K.validate(_unchecked(f))),
     "k1_k4_validate_fixture": _on_tables(K.validate),
-    "k5_delete_cascade": _on_tables(_delete_cascade_summary),
+    "k5_delete_cascade": _on_tables(_delete_cascade_rows),
     "t1_dim_date": _on_tables(lambda t: T.dim_date(t.collisions)),
     "t2_dim_borough": _on_tables(T.dim_borough),
     "t3_dim_location": _on_tables(
@@ -201,6 +310,9 @@ QUERIES: dict[str, Query] = {
     "t4_dim_vehicle": _on_tables(lambda t: T.dim_vehicle(t).select("vehicle_type_desc")),
     "t5_dim_factor": _on_tables(lambda t: T.dim_factor(t).select("factor_desc")),
     "t6_stg_collisions": _on_tables(lambda t: T.stg_tables(t).collisions),
+    "t6_stg_vehicles": _on_tables(lambda t: T.stg_tables(t).collision_vehicles.join(t.vehicle_types, "vehicle_type_id").drop("vehicle_type_id")),
+    "t6_stg_factors": _on_tables(lambda t: T.stg_tables(t).collision_factors.join(t.factors, "factor_id").drop("factor_id")),
+    "t6_stg_boroughs": _on_tables(lambda t: T.stg_tables(t).boroughs),
     "t7_fact_collisions": _on_tables(_star_fact),
     "t7_fact_grain": _on_tables(lambda t: T.fact_grain_check(T.fact_collisions(t), t.collisions)),
     "t8_fact_collision_vehicles": _on_tables(lambda t: _star_child(t, "vehicles")),

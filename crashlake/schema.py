@@ -144,3 +144,6 @@ TABLES = {
 # Parents before children: the order tables are written in.
 LOAD_ORDER = ("boroughs", "vehicle_types", "factors", "collisions",
               "collision_vehicles", "collision_factors")
+
+# Default half-open range of the street ranking (fixed values).
+RANKING_FROM, RANKING_TO = "2023-01-01", "2025-01-01"

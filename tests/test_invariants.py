@@ -5,7 +5,9 @@ from pyspark.sql import functions as F
 from crashlake.operators import dashboard as D
 from crashlake.operators import normalize as N
 from crashlake.operators import quality as K
+from crashlake.operators import rankings
 from crashlake.plans import params as P
+from crashlake.sources import store
 from crashlake.sources.fixtures import fixture_tables, fx_raw
 
 SF = "/root/testdata/sf0.001"
@@ -32,3 +34,32 @@ def test_load_output_satisfies_every_table_rule(spark):
 
 def test_fixture_tables_satisfy_every_rule(spark):
     assert K.validate(fixture_tables(spark, SF)).count() == 0
+
+
+def test_every_line_is_one_child_row(spark):
+    """No row of lineitem or orders is lost or doubled on the way to the tables."""
+    t, lines = fixture_tables(spark, SF), spark.read.parquet(f"{SF}/lineitem.parquet")
+    assert t.collision_vehicles.count() == t.collision_factors.count() == lines.count()
+    assert t.collision_vehicles.select("collision_id", "vehicle_order").distinct().count() == lines.count()
+    assert t.collisions.filter("collision_id < 1099511627776").count() == spark.read.parquet(f"{SF}/orders.parquet").count()
+    assert t.collision_vehicles.join(t.collisions, "collision_id", "left_anti").count() == 0
+
+
+def test_rankings_join_the_facts_once(spark, scratch):
+    """Q2 and Q3 rank a rate they have just counted: the counts are shuffled once and read twice."""
+    root = f"{scratch}/store"
+    for name, df in fixture_tables(spark, SF).items():
+        store.write_table(name, df, root, mode="overwrite")
+    t = store.read_tables(spark, root)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for query in (rankings.factor_fatality_rank, rankings.vehicle_severity_rank):
+            df = query(t)
+            df.collect()
+            plan = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+            assert plan.count("ReusedExchange") >= 1
+            scans = [x for x in plan.splitlines() if "FileScan" in x and f"{root}/collisions" in x]
+            assert len(scans) == 1, plan
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)

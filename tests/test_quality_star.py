@@ -116,3 +116,44 @@ def test_lookup_ids_hot_and_cold_paths_agree(spark):
                     .select("collision_id", "vehicle_order", "vehicle_type_id"), "collision_id", "vehicle_order")
     assert run(10) == run(10**9)
     assert len(run(10)) == 55 and {r[2] for r in run(10)} == {1, 2}
+
+
+def test_lookup_keeps_unmatched_rows_when_asked(spark):
+    from crashlake.operators.lookup import lookup_ids
+    rows_df = spark.createDataFrame([(1, "A"), (2, "B"), (3, None), (4, "Z")] + [(i, "A") for i in range(10, 40)], "id long, name string")
+    dim = spark.createDataFrame([(1, "A"), (2, "B")], "dim_id int, name string")
+    for hot in (5, 10**9):
+        got = rows(lookup_ids(rows_df, dim, "name", "dim_id", ["id"], hot_rows=hot, keep_unmatched=True).select("id", "dim_id"), "id")
+        assert got[:4] == [(1, 1), (2, 2), (3, None), (4, None)] and len(got) == 34
+
+
+def test_locations_without_counts_are_refused(spark):
+    import pytest
+    t = tables(spark, boroughs=[(1, "A")], collisions=[_c(1)])
+    with pytest.raises(ValueError, match="n_collisions"):
+        T.fact_collisions(t, locations=T.dim_location(T.stg_tables(t).collisions))
+
+
+def test_rebuilt_star_keeps_location_keys_and_its_readers(spark, scratch):
+    from crashlake.plans.star_build import build_star, current_version, grain_ok, read_star
+    from crashlake.sources import store
+    root, out = f"{scratch}/store", f"{scratch}/star"
+
+    def put(collisions):
+        for name, df in tables(spark, boroughs=[(1, "A")], collisions=collisions).items():
+            store.write_table(name, df, root, mode="overwrite")
+
+    def keys():
+        return {r[0]: r[1:] for r in rows(read_star(spark, out)["dim_location"].select("on_street_name", "location_key"))}
+
+    put([_c(1, on_street_name="M"), _c(2, on_street_name="Z")])
+    build_star(spark, root, out)
+    first, version = keys(), current_version(spark, out)
+    put([_c(1, on_street_name="M"), _c(2, on_street_name="Z"), _c(3, on_street_name="B"), _c(4, on_street_name=None)])
+    build_star(spark, root, out)
+    assert current_version(spark, out) != version and {k: v for k, v in keys().items() if k in first} == first
+    assert len(set(keys().values())) == 4 and grain_ok(spark, root, out)
+    star = read_star(spark, out)
+    assert star["dim_location"].columns == ["location_key", *T.LOCATION_COLUMNS]
+    placed = star["fact_collisions"].join(star["dim_location"], "location_key")
+    assert sorted((r.collision_id, r.on_street_name) for r in placed.collect()) == [(1, "M"), (2, "Z"), (3, "B"), (4, None)]
