@@ -235,14 +235,15 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def classes(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """(fp, first_id, component_id) for every distinct fingerprint of ``prints``
-    (id, fp): the smallest id that has it and the smallest id of its component."""
+    """(fp, first_id, component_id, class) for every distinct fingerprint of
+    ``prints`` (id, fp): the smallest id that has it, the smallest id of its
+    component, and the component's key (ids that repeat can lie in several)."""
     nodes = stage(prints.groupBy("fp").agg(F.min("id").alias("first_id")), "nodes")
     roots = components(links(nodes, radius))
     member = nodes.join(roots, nodes.fp == roots.node, "left").select(
         "fp", "first_id", "root", F.coalesce("root", "fp").alias("class"))
     lowest = member.groupBy("class").agg(F.min("first_id").alias("component_id"))
-    return member.join(lowest, "class").select("fp", "first_id", "component_id")
+    return member.join(lowest, "class").select("fp", "first_id", "component_id", "class")
 
 
 def simhash_groups(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
@@ -261,6 +262,6 @@ def deduplicate(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", shi
     its id and fingerprint one stays. A null id stays only where its whole
     component has no other."""
     rows = stage(docs.select(F.struct("*").alias("doc"), F.col(doc_id).alias("id"), fingerprint(F.col(text), shingle).alias("fp")), "documents")
-    keep = classes(rows.select("id", "fp"), radius).where(F.col("first_id").eqNullSafe(F.col("component_id"))).groupBy("component_id").agg(F.min("fp").alias("kept_fp"))
+    keep = classes(rows.select("id", "fp"), radius).where(F.col("first_id").eqNullSafe(F.col("component_id"))).groupBy("class", "component_id").agg(F.min("fp").alias("kept_fp"))
     stay = rows.join(keep, rows.id.eqNullSafe(keep.component_id) & (rows.fp == keep.kept_fp), "left_semi")
     return stay.groupBy("id", "fp").agg(F.first("doc").alias("doc")).select("doc.*")
