@@ -7,6 +7,8 @@ try_to_timestamp throughout.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -58,17 +60,26 @@ def parse_id(c: Column | str) -> Column:
     return F.coalesce(c.try_cast("bigint"), c.try_cast("double").try_cast("bigint"))
 
 
+def _tried(c: Column, formats) -> Column:
+    """The first format that parses.  A failed parse costs an exception, so a
+    format is tried only on text with as many slashes, colons and letters as
+    it writes itself."""
+    def like(f: str) -> Column:
+        marks = "".join(m for m in re.sub("'T'", "T", f) if m in "/:T-")
+        letters = " a" in f
+        return (F.regexp_replace(c, "[^/:T-]", "") == marks) & (c.rlike("[A-Za-z]$") if letters else ~c.rlike("[A-SU-Za-z]"))
+
+    return F.coalesce(*[F.when(like(f), F.try_to_timestamp(c, F.lit(f))) for f in formats])
+
+
 def parse_date(c: Column | str, formats=DATE_FORMATS) -> Column:
     """Calendar date; unparsable text (or an impossible date) is NULL."""
-    c = _c(c)
-    return F.coalesce(*[F.try_to_timestamp(c, F.lit(f)) for f in formats]).cast("date")
+    return _tried(_c(c), formats).cast("date")
 
 
 def parse_time(c: Column | str, formats=TIME_FORMATS) -> Column:
     """C4: time of day as zero-padded HH:mm:ss text (sorts like a TIME)."""
-    c = _c(c)
-    ts = F.coalesce(*[F.try_to_timestamp(c, F.lit(f)) for f in formats])
-    return F.date_format(ts, "HH:mm:ss")
+    return F.date_format(_tried(_c(c), formats), "HH:mm:ss")
 
 
 def parse_coordinate(c: Column | str) -> Column:

@@ -5,13 +5,18 @@ value.  Here each table is one set-based job:
 
 * boroughs / vehicle types / factors: distinct cleaned values, new ones get
   ids from the get-or-create operator (operators.ids);
-* collisions: one row per id, the first in file order wins (``min_by`` over
-  the order column - a partial aggregate, so a heavily duplicated id is
-  collapsed on the map side);
+* collisions: one row per id, the first in file order wins;
 * vehicles / factors: the five slot columns become rows, blanks are dropped,
   and per (id, slot) the first non-blank value wins - so a slot left blank by
   the first copy of an id is filled by a later copy, as in the reference.
 
+Ids are almost unique, so the wide rows are not shuffled to find that out: a
+count per id (one narrow hash aggregate) gives the repeated ids, and only
+their rows meet in an aggregate (``min_by`` over the order column - partial on
+the map side, so a heavily repeated id is collapsed there).  The rows of all
+other ids pass through an anti join with those ids, which Spark broadcasts
+while they are few.
+
 Nothing is iterated on the driver.
 """
 
@@ -99,20 +104,32 @@ def borough_names(feed: DataFrame) -> DataFrame:
 _RECORD = [f.name for f in COLLISIONS.fields if f.name not in ("collision_id", "borough_id")]
 
 
-def first_records(feed: DataFrame) -> DataFrame:
+def repeated_ids(feed: DataFrame) -> DataFrame:
+    """Ids of more than one row (stage it where several steps need it)."""
+    return (feed.groupBy("collision_id").agg(F.count(F.lit(1)).alias("_n"))
+            .filter("_n > 1").select("collision_id"))
+
+
+def _once_and_again(feed: DataFrame, repeated: DataFrame | None) -> tuple[DataFrame, DataFrame]:
+    """(rows of ids that occur once, rows of repeated ids)."""
+    ids = repeated if repeated is not None else repeated_ids(feed)
+    return feed.join(ids, "collision_id", "left_anti"), feed.join(ids, "collision_id", "left_semi")
+
+
+def first_records(feed: DataFrame, repeated: DataFrame | None = None) -> DataFrame:
     """One row per collision id: the first in file order (all its fields,
     NULLs included), plus its borough name and issues."""
-    rec = F.struct(*_RECORD, "borough", ISSUES_COL)
-    return (feed.groupBy("collision_id")
-            .agg(F.min_by(rec, F.col(ORDER_COL)).alias("_r"))
-            .select("collision_id", "_r.*"))
+    columns = [*_RECORD, "borough", ISSUES_COL]
+    once, again = _once_and_again(feed, repeated)
+    first = again.groupBy("collision_id").agg(F.min_by(F.struct(*columns), F.col(ORDER_COL)).alias("_r"))
+    return once.select("collision_id", *columns).unionByName(first.select("collision_id", "_r.*"))
 
 
-def collisions_table(feed: DataFrame, boroughs: DataFrame) -> DataFrame:
+def collisions_table(feed: DataFrame, boroughs: DataFrame, repeated: DataFrame | None = None) -> DataFrame:
     """Collisions rows with borough ids looked up by (trimmed) name;
     an unknown name gives a NULL id.  Keeps ``borough`` and ``_issues`` for
     the caller; ``collision_columns`` projects the table."""
-    return lookup_ids(first_records(feed), boroughs.select(F.col("borough_name").alias("borough"), "borough_id"),
+    return lookup_ids(first_records(feed, repeated), boroughs.select(F.col("borough_name").alias("borough"), "borough_id"),
                       "borough", "borough_id", ["collision_id"], keep_unmatched=True)
 
 
@@ -129,9 +146,10 @@ def _slots_long(feed: DataFrame, columns, slot_col: str, value_col: str) -> Data
             .filter(F.col(value_col).isNotNull()))
 
 
-def _first_per_slot(long: DataFrame, slot_col: str, value_col: str) -> DataFrame:
-    return (long.groupBy("collision_id", slot_col)
-            .agg(F.min_by(value_col, F.col(ORDER_COL)).alias(value_col)))
+def _first_per_slot(values, feed: DataFrame, repeated: DataFrame | None, slot_col: str, value_col: str) -> DataFrame:
+    once, again = _once_and_again(feed, repeated)
+    first = values(again).groupBy("collision_id", slot_col).agg(F.min_by(value_col, F.col(ORDER_COL)).alias(value_col))
+    return values(once).select("collision_id", slot_col, value_col).unionByName(first)
 
 
 def vehicle_values(feed: DataFrame) -> DataFrame:
@@ -145,15 +163,15 @@ def factor_values(feed: DataFrame) -> DataFrame:
         F.upper("factor_desc") != F.lit(UNSPECIFIED_FACTOR))
 
 
-def vehicles_long(feed: DataFrame) -> DataFrame:
+def vehicles_long(feed: DataFrame, repeated: DataFrame | None = None) -> DataFrame:
     """(collision_id, vehicle_order, vehicle_type_desc), first non-blank
     value per slot.  Case is kept: 'Sedan' and 'SEDAN' are two types."""
-    return _first_per_slot(vehicle_values(feed), "vehicle_order", "vehicle_type_desc")
+    return _first_per_slot(vehicle_values, feed, repeated, "vehicle_order", "vehicle_type_desc")
 
 
-def factors_long(feed: DataFrame) -> DataFrame:
+def factors_long(feed: DataFrame, repeated: DataFrame | None = None) -> DataFrame:
     """As N3 for factors, without 'Unspecified' in any case."""
-    return _first_per_slot(factor_values(feed), "factor_order", "factor_desc")
+    return _first_per_slot(factor_values, feed, repeated, "factor_order", "factor_desc")
 
 
 @dataclass(frozen=True)
@@ -169,10 +187,10 @@ def _anti(df: DataFrame, existing: DataFrame | None, keys: list[str]) -> DataFra
 
 
 def new_collision_candidates(feed: DataFrame, boroughs: DataFrame,
-                             existing: DataFrame | None = None) -> DataFrame:
+                             existing: DataFrame | None = None, repeated: DataFrame | None = None) -> DataFrame:
     """First-wins collision rows whose id is not stored yet, with borough ids
     and ``_issues`` (insert-if-absent: a stored row always wins)."""
-    return _anti(collisions_table(feed, boroughs), existing, ["collision_id"])
+    return _anti(collisions_table(feed, boroughs, repeated), existing, ["collision_id"])
 
 
 def rejects_of(candidates: DataFrame) -> DataFrame:
@@ -186,10 +204,10 @@ def accepted(candidates: DataFrame) -> DataFrame:
 
 
 def new_vehicle_rows(feed: DataFrame, vehicle_types: DataFrame, existing: DataFrame | None = None,
-                     rejected_ids: DataFrame | None = None) -> DataFrame:
+                     rejected_ids: DataFrame | None = None, repeated: DataFrame | None = None) -> DataFrame:
     """collision_vehicles rows to insert: first value per new (id, slot),
     not belonging to a rejected collision, with the type id."""
-    rows = _anti(vehicles_long(feed), existing, ["collision_id", "vehicle_order"])
+    rows = _anti(vehicles_long(feed, repeated), existing, ["collision_id", "vehicle_order"])
     rows = _anti(rows, rejected_ids, ["collision_id"])
     return lookup_ids(rows, vehicle_types, "vehicle_type_desc", "vehicle_type_id",
                       ["collision_id", "vehicle_order"]).select(
@@ -197,8 +215,8 @@ def new_vehicle_rows(feed: DataFrame, vehicle_types: DataFrame, existing: DataFr
 
 
 def new_factor_rows(feed: DataFrame, factors: DataFrame, existing: DataFrame | None = None,
-                    rejected_ids: DataFrame | None = None) -> DataFrame:
-    rows = _anti(factors_long(feed), existing, ["collision_id", "factor_order"])
+                    rejected_ids: DataFrame | None = None, repeated: DataFrame | None = None) -> DataFrame:
+    rows = _anti(factors_long(feed, repeated), existing, ["collision_id", "factor_order"])
     rows = _anti(rows, rejected_ids, ["collision_id"])
     return lookup_ids(rows, factors, "factor_desc", "factor_id",
                       ["collision_id", "factor_order"]).select(

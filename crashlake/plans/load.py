@@ -79,7 +79,8 @@ def _load(spark: SparkSession, feed: DataFrame, root: str, mode: str, order_col:
 
     # 2. collisions: first-wins candidates staged once, then split into
     #    rejects and accepted rows (no second aggregation of the feed)
-    candidates = staging.write(N.new_collision_candidates(staged, now.boroughs, near(before.collisions)), "candidates")
+    repeated = staging.write(N.repeated_ids(staged), "repeated")
+    candidates = staging.write(N.new_collision_candidates(staged, now.boroughs, near(before.collisions), repeated), "candidates")
     rejects = N.rejects_of(candidates).unionByName(broken)
     rejects.write.mode("overwrite").parquet(f"{store.table_path(root, '_rejects')}/load_id={load_id}")
     store.write_table("collisions", N.accepted(candidates), root, num_files=num_files)
@@ -87,6 +88,6 @@ def _load(spark: SparkSession, feed: DataFrame, root: str, mode: str, order_col:
 
     # 3. children of accepted collisions
     store.write_table("collision_vehicles", N.new_vehicle_rows(
-        staged, now.vehicle_types, near(before.collision_vehicles), bad_ids), root, num_files=num_files)
+        staged, now.vehicle_types, near(before.collision_vehicles), bad_ids, repeated), root, num_files=num_files)
     store.write_table("collision_factors", N.new_factor_rows(
-        staged, now.factors, near(before.collision_factors), bad_ids), root, num_files=num_files)
+        staged, now.factors, near(before.collision_factors), bad_ids, repeated), root, num_files=num_files)
