@@ -4,13 +4,16 @@
   python -m crashlake validate --store ROOT
   python -m crashlake query    NAME --store ROOT [--start D --end D --borough B
                                --top-n N --metric M] [--csv OUT] [--show N]
+  python -m crashlake bucket   --store ROOT --database DB [--buckets N]
   python -m crashlake star     --store ROOT --out ROOT2
 
 Query names: q1 q2 q3 kpi trend metric by-borough top-factors latest bounds
 boroughs window.  Dates left out take the dashboard's default window (q1: its
 own default range).  Results are printed whole - each is bounded by days,
 names or a limit - unless ``--show N`` asks for the first N, which says how
-many there are; ``--csv`` has the executors write the result.
+many there are; ``--csv`` has the executors write the result.  ``bucket`` stores the tables in buckets of the
+collision id; a query with ``--database`` reads those, and joins the facts
+without a shuffle.
 """
 
 from __future__ import annotations
@@ -52,7 +55,9 @@ def main(argv=None) -> int:
     va.add_argument("--store", required=True)
     qu = sub.add_parser("query")
     qu.add_argument("name")
-    qu.add_argument("--store", required=True)
+    at = qu.add_mutually_exclusive_group(required=True)
+    at.add_argument("--store")
+    at.add_argument("--database")
     qu.add_argument("--start")
     qu.add_argument("--end")
     qu.add_argument("--borough", default=ALL_BOROUGHS)
@@ -61,6 +66,10 @@ def main(argv=None) -> int:
     qu.add_argument("--metric", default="Crashes")
     qu.add_argument("--csv")
     qu.add_argument("--show", type=int)
+    bu = sub.add_parser("bucket")
+    bu.add_argument("--store", required=True)
+    bu.add_argument("--database", required=True)
+    bu.add_argument("--buckets", type=int, default=200)
     st = sub.add_parser("star")
     st.add_argument("--store", required=True)
     st.add_argument("--out", required=True)
@@ -84,7 +93,7 @@ def main(argv=None) -> int:
         queries = _queries(a)
         if a.name not in queries:
             p.error(f"unknown query {a.name!r}; one of {sorted(queries)}")
-        tables = store.read_tables(spark, a.store)
+        tables = store.read_tables(spark, a.store) if a.store else store.read_bucketed(spark, a.database)
         if a.name not in ("q1", "q2", "q3", "bounds", "boroughs", "window"):
             window = D.default_window(tables, a.end, start=a.start).first()
             a.start, a.end = window.start_date, window.end_date
@@ -95,6 +104,8 @@ def main(argv=None) -> int:
         shown = rows if a.show is None else min(a.show, rows)
         df.show(max(shown, 1), truncate=False)
         print(f"{shown} of {rows} rows")
+    elif a.cmd == "bucket":
+        store.write_bucketed(spark, store.read_tables(spark, a.store), a.database, a.buckets)
     elif a.cmd == "star":
         from crashlake.plans.star_build import build_star, grain_ok
         for name, path in build_star(spark, a.store, a.out).items():
