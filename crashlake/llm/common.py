@@ -19,13 +19,25 @@ from crashlake.session import ensure_checkpoint_dir
 #: ASCII white space between words: \x20 and \x09-\x0D.
 BLANKS = " \t\n\x0b\f\r"
 #: Rows and bytes of text that one numpy step holds.
-CHUNK_ROWS, CHUNK_BYTES = 2000, 4 << 20
+CHUNK_ROWS, CHUNK_BYTES = 2000, 1 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Folders staged so far by this process.
+STAGED: list[str] = []
+
+
+def drop_staged(spark: SparkSession, since: int) -> None:
+    """Remove what was staged from the ``since``-th folder on, but the last."""
+    for path in STAGED[since:-1]:
+        p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+    del STAGED[since:-1]
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` into the shared checkpoint folder and read it back: cuts the
     lineage, is computed once and survives lost executors."""
@@ -33,6 +45,7 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     root = ensure_checkpoint_dir(spark).rstrip("/")
     path = f"{root}/llm-{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    STAGED.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -51,8 +64,8 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(True))
 
 
-def chunks(text: pa.Array):
-    """(first row, texts) of slices holding at most CHUNK_ROWS rows and about CHUNK_BYTES bytes (one longer text stands alone)."""
+def chunks(text: pa.Array, size: int | None = None):
+    """(first row, texts) of slices holding at most CHUNK_ROWS rows and about ``size`` (CHUNK_BYTES) bytes (one longer text stands alone)."""
     # cast before slicing: an Arrow cast of a slice keeps offsets that some kernels then misread
     parts = text.chunks if isinstance(text, pa.ChunkedArray) else [text]
     text = pa.concat_arrays([*parts, pa.array([], text.type)]).cast(pa.large_string())
@@ -60,7 +73,7 @@ def chunks(text: pa.Array):
     at = 0
     while at < len(ends):
         base = ends[at - 1] if at else 0
-        to = min(at + CHUNK_ROWS, max(at + 1, int(np.searchsorted(ends, base + CHUNK_BYTES, "right"))))
+        to = min(at + CHUNK_ROWS, max(at + 1, int(np.searchsorted(ends, base + (size or CHUNK_BYTES), "right"))))
         yield at, text.slice(at, to - at)
         at = to
 

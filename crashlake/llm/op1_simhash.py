@@ -262,6 +262,8 @@ def deduplicate(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", shi
     its id and fingerprint one stays. A null id stays only where its whole
     component has no other."""
     rows = stage(docs.select(F.struct("*").alias("doc"), F.col(doc_id).alias("id"), fingerprint(F.col(text), shingle).alias("fp")), "documents")
+    # one struct key, in which nulls are equal, serves the join and the grouping: the rows are shuffled once
+    key = F.struct("id", "fp").alias("key")
     keep = classes(rows.select("id", "fp"), radius).where(F.col("first_id").eqNullSafe(F.col("component_id"))).groupBy("class", "component_id").agg(F.min("fp").alias("kept_fp"))
-    stay = rows.join(keep, rows.id.eqNullSafe(keep.component_id) & (rows.fp == keep.kept_fp), "left_semi")
-    return stay.groupBy("id", "fp").agg(F.first("doc").alias("doc")).select("doc.*")
+    stay = rows.select("doc", key).join(keep.select(F.struct(F.col("component_id").alias("id"), F.col("kept_fp").alias("fp")).alias("key")), "key", "left_semi")
+    return stay.groupBy("key").agg(F.first("doc").alias("doc")).select("doc.*")
