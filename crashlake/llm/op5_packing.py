@@ -8,6 +8,8 @@ found in a tournament tree of the sequences' free room."""
 from __future__ import annotations
 
 import functools
+import os
+import re
 import zlib
 
 import numpy as np
@@ -18,15 +20,37 @@ from pyspark.sql import functions as F
 
 from crashlake.llm.common import chunks, split_words, stage
 
-#: Ids of a sequence, the id behind each document, pieces of a group on average, and words remembered by a worker.
-LENGTH, END, GROUP_PIECES, REMEMBERED = 2048, 1, 8192, 300_000
+#: Ids of a sequence, the id behind each document, pieces of a group on average, words
+#: remembered by a worker, and words encoded in one call, and bytes of text taken at once.
+LENGTH, END, GROUP_PIECES, REMEMBERED, TOGETHER, TEXT_BYTES = 2048, 1, 8192, 400_000, 32, 4 << 20
+LETTERS = re.compile("[a-zß-öø-ÿ]+")
 
 
 @functools.lru_cache(maxsize=2)
 def _tokenizer(definition: str):
+    """The tokenizer, which of its ids end a word, and the ids of the words seen so far."""
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
     from tokenizers import Tokenizer
 
-    return Tokenizer.from_str(definition), {}
+    tokenizer = Tokenizer.from_str(definition)
+    ends = np.zeros(tokenizer.get_vocab_size(), dtype=bool)
+    ends[[i for token, i in tokenizer.get_vocab().items() if token.endswith("</w>")]] = True
+    return tokenizer, ends, {}
+
+
+def _learn(tokenizer, ends: np.ndarray, known: dict[str, bytes], new: list[str]) -> None:
+    """Encode the new words. Words of letters are one pretoken each: several go
+    into one call, and the ids that end a word part them again."""
+    plain = [w for w in new if LETTERS.fullmatch(w)]
+    found = tokenizer.encode_batch_fast([" ".join(plain[k:k + TOGETHER]) for k in range(0, len(plain), TOGETHER)], add_special_tokens=False)
+    ids = np.array([i for e in found for i in e.ids], dtype=np.uint32)
+    cuts = np.concatenate([[0], np.flatnonzero(ends[ids]) + 1]).tolist()
+    if len(cuts) == len(plain) + 1:
+        whole = ids.tobytes()
+        known.update(zip(plain, [whole[4 * a:4 * b] for a, b in zip(cuts, cuts[1:])]))
+    rest = [w for w in new if w not in known]
+    for w, e in zip(rest, tokenizer.encode_batch_fast(rest, add_special_tokens=False)):
+        known[w] = np.array(e.ids, dtype=np.uint32).tobytes()
 
 
 def word_ids(text: pa.Array, definition: str) -> tuple[np.ndarray, np.ndarray]:
@@ -35,7 +59,7 @@ def word_ids(text: pa.Array, definition: str) -> tuple[np.ndarray, np.ndarray]:
     For tokenizers that drop white space and lower-case: blanks then separate
     pretokens, as does a letter before one of ``.,;:!?%$*#&``, so each distinct
     word is encoded once and its ids are gathered."""
-    tokenizer, known = _tokenizer(definition)
+    tokenizer, ends, known = _tokenizer(definition)
     spread = pc.replace_substring_regex(pc.ascii_lower(text), r"([a-zß-öø-ÿ])([.,;:!?%$*#&])", r"\1 \2")
     flat, sizes = split_words(spread)
     if not len(flat):
@@ -44,17 +68,15 @@ def word_ids(text: pa.Array, definition: str) -> tuple[np.ndarray, np.ndarray]:
     distinct = coded.dictionary.to_pylist()
     if len(known) > REMEMBERED:
         known.clear()
-    new = [w for w in distinct if w not in known]
-    for w, e in zip(new, tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-        known[w] = np.array(e.ids, dtype=np.uint32).tobytes()
+    _learn(tokenizer, ends, known, [w for w in distinct if w not in known])
     parts = [known[w] for w in distinct]
     ids = np.frombuffer(b"".join(parts), dtype=np.uint32)
     size = np.fromiter(map(len, parts), dtype=np.int64, count=len(parts)) // 4
     first = np.cumsum(size) - size
     word = np.asarray(coded.indices)
     each = size[word]
-    ends = np.cumsum(each)
-    at = np.repeat(first[word] - (ends - each), each) + np.arange(ends[-1])
+    last = np.cumsum(each)
+    at = np.repeat(first[word] - (last - each), each) + np.arange(last[-1])
     of = np.repeat(np.arange(len(sizes)), sizes)
     return ids[at], np.bincount(of, weights=each, minlength=len(sizes)).astype(np.int64)
 
@@ -66,7 +88,7 @@ def pieces(text: Column | str, definition: str, length: int = LENGTH) -> Column:
     def tokenised(batch: pa.Array) -> pa.Array:
         tokens, counts, starts, lengths, sums = [], [0], [], [], []
         end = np.array([END], dtype=np.uint32).tobytes()
-        for _, some in chunks(batch):
+        for _, some in chunks(batch, TEXT_BYTES):
             ids, sizes = word_ids(some, definition)
             whole, to = ids.tobytes(), 0
             for n in sizes.tolist():
