@@ -110,17 +110,16 @@ def repeated_ids(feed: DataFrame) -> DataFrame:
             .filter("_n > 1").select("collision_id"))
 
 
-def _once_and_again(feed: DataFrame, repeated: DataFrame | None) -> tuple[DataFrame, DataFrame]:
+def _once_and_again(rows: DataFrame, repeated: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(rows of ids that occur once, rows of repeated ids)."""
-    ids = repeated if repeated is not None else repeated_ids(feed)
-    return feed.join(ids, "collision_id", "left_anti"), feed.join(ids, "collision_id", "left_semi")
+    return rows.join(repeated, "collision_id", "left_anti"), rows.join(repeated, "collision_id", "left_semi")
 
 
 def first_records(feed: DataFrame, repeated: DataFrame | None = None) -> DataFrame:
     """One row per collision id: the first in file order (all its fields,
     NULLs included), plus its borough name and issues."""
     columns = [*_RECORD, "borough", ISSUES_COL]
-    once, again = _once_and_again(feed, repeated)
+    once, again = _once_and_again(feed, repeated if repeated is not None else repeated_ids(feed))
     first = again.groupBy("collision_id").agg(F.min_by(F.struct(*columns), F.col(ORDER_COL)).alias("_r"))
     return once.select("collision_id", *columns).unionByName(first.select("collision_id", "_r.*"))
 
@@ -146,10 +145,10 @@ def _slots_long(feed: DataFrame, columns, slot_col: str, value_col: str) -> Data
             .filter(F.col(value_col).isNotNull()))
 
 
-def _first_per_slot(values, feed: DataFrame, repeated: DataFrame | None, slot_col: str, value_col: str) -> DataFrame:
-    once, again = _once_and_again(feed, repeated)
-    first = values(again).groupBy("collision_id", slot_col).agg(F.min_by(value_col, F.col(ORDER_COL)).alias(value_col))
-    return values(once).select("collision_id", slot_col, value_col).unionByName(first)
+def _first_per_slot(values: DataFrame, repeated: DataFrame, slot_col: str, value_col: str) -> DataFrame:
+    once, again = _once_and_again(values, repeated)
+    first = again.groupBy("collision_id", slot_col).agg(F.min_by(value_col, F.col(ORDER_COL)).alias(value_col))
+    return once.select("collision_id", slot_col, value_col).unionByName(first)
 
 
 def vehicle_values(feed: DataFrame) -> DataFrame:
@@ -163,15 +162,18 @@ def factor_values(feed: DataFrame) -> DataFrame:
         F.upper("factor_desc") != F.lit(UNSPECIFIED_FACTOR))
 
 
-def vehicles_long(feed: DataFrame, repeated: DataFrame | None = None) -> DataFrame:
+def vehicles_long(feed: DataFrame, repeated: DataFrame | None = None, values: DataFrame | None = None) -> DataFrame:
     """(collision_id, vehicle_order, vehicle_type_desc), first non-blank
-    value per slot.  Case is kept: 'Sedan' and 'SEDAN' are two types."""
-    return _first_per_slot(vehicle_values, feed, repeated, "vehicle_order", "vehicle_type_desc")
+    value per slot.  Case is kept: 'Sedan' and 'SEDAN' are two types.
+    ``repeated`` and ``values``: repeated_ids and vehicle_values of the feed, if staged."""
+    ids = repeated if repeated is not None else repeated_ids(feed)
+    return _first_per_slot(values if values is not None else vehicle_values(feed), ids, "vehicle_order", "vehicle_type_desc")
 
 
-def factors_long(feed: DataFrame, repeated: DataFrame | None = None) -> DataFrame:
+def factors_long(feed: DataFrame, repeated: DataFrame | None = None, values: DataFrame | None = None) -> DataFrame:
     """As N3 for factors, without 'Unspecified' in any case."""
-    return _first_per_slot(factor_values, feed, repeated, "factor_order", "factor_desc")
+    ids = repeated if repeated is not None else repeated_ids(feed)
+    return _first_per_slot(values if values is not None else factor_values(feed), ids, "factor_order", "factor_desc")
 
 
 @dataclass(frozen=True)
@@ -204,10 +206,11 @@ def accepted(candidates: DataFrame) -> DataFrame:
 
 
 def new_vehicle_rows(feed: DataFrame, vehicle_types: DataFrame, existing: DataFrame | None = None,
-                     rejected_ids: DataFrame | None = None, repeated: DataFrame | None = None) -> DataFrame:
+                     rejected_ids: DataFrame | None = None, repeated: DataFrame | None = None,
+                     values: DataFrame | None = None) -> DataFrame:
     """collision_vehicles rows to insert: first value per new (id, slot),
     not belonging to a rejected collision, with the type id."""
-    rows = _anti(vehicles_long(feed, repeated), existing, ["collision_id", "vehicle_order"])
+    rows = _anti(vehicles_long(feed, repeated, values), existing, ["collision_id", "vehicle_order"])
     rows = _anti(rows, rejected_ids, ["collision_id"])
     return lookup_ids(rows, vehicle_types, "vehicle_type_desc", "vehicle_type_id",
                       ["collision_id", "vehicle_order"]).select(
@@ -215,8 +218,9 @@ def new_vehicle_rows(feed: DataFrame, vehicle_types: DataFrame, existing: DataFr
 
 
 def new_factor_rows(feed: DataFrame, factors: DataFrame, existing: DataFrame | None = None,
-                    rejected_ids: DataFrame | None = None, repeated: DataFrame | None = None) -> DataFrame:
-    rows = _anti(factors_long(feed, repeated), existing, ["collision_id", "factor_order"])
+                    rejected_ids: DataFrame | None = None, repeated: DataFrame | None = None,
+                    values: DataFrame | None = None) -> DataFrame:
+    rows = _anti(factors_long(feed, repeated, values), existing, ["collision_id", "factor_order"])
     rows = _anti(rows, rejected_ids, ["collision_id"])
     return lookup_ids(rows, factors, "factor_desc", "factor_id",
                       ["collision_id", "factor_order"]).select(
@@ -233,14 +237,14 @@ def dimensions(feed: DataFrame, existing: CollisionTables | None = None):
     )
 
 
-def new_dimension_rows(feed: DataFrame, existing: CollisionTables | None = None):
-    """(boroughs, vehicle_types, factors): only the rows that ``existing`` lacks."""
-    ex = existing
-    return (
-        assign_ids(borough_names(feed), ["borough_name"], "borough_id", ex and ex.boroughs),
-        assign_ids(vehicle_values(feed).select("vehicle_type_desc"), ["vehicle_type_desc"], "vehicle_type_id", ex and ex.vehicle_types),
-        assign_ids(factor_values(feed).select("factor_desc"), ["factor_desc"], "factor_id", ex and ex.factors),
-    )
+def new_dimension_rows(feed: DataFrame, existing: CollisionTables, vehicles: DataFrame, factors: DataFrame) -> dict[str, DataFrame]:
+    """Per dimension the rows that ``existing`` lacks; ``vehicles`` and ``factors``:
+    vehicle_values and factor_values of the feed."""
+    return {
+        "boroughs": assign_ids(borough_names(feed), ["borough_name"], "borough_id", existing.boroughs),
+        "vehicle_types": assign_ids(vehicles.select("vehicle_type_desc"), ["vehicle_type_desc"], "vehicle_type_id", existing.vehicle_types),
+        "factors": assign_ids(factors.select("factor_desc"), ["factor_desc"], "factor_id", existing.factors),
+    }
 
 
 def normalize_feed(feed: DataFrame, existing: CollisionTables | None = None,

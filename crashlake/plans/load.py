@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import hashlib
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,7 +33,11 @@ from crashlake.operators import normalize as N
 from crashlake.sources import store
 from crashlake.sources.feed import compact_order, feed_files, has_file_order, read_feed
 
-DIMENSIONS = ("boroughs", "vehicle_types", "factors")
+
+def at_once(*jobs):
+    """Results of Spark jobs that do not depend on each other, started together."""
+    with ThreadPoolExecutor(len(jobs)) as pool:
+        return [f.result() for f in [pool.submit(job) for job in jobs]]
 
 
 def load_feed(spark: SparkSession, feed: DataFrame | str, root: str, mode: str = "quarantine",
@@ -72,22 +77,30 @@ def _load(spark: SparkSession, feed: DataFrame, root: str, mode: str, order_col:
     def near(df: DataFrame) -> DataFrame:
         return df.filter(F.col("collision_id").between(lo, hi)) if lo is not None else df.limit(0)
 
-    # 1. dimensions: new values only, then read back (ids are fixed on disk)
-    for name, new_rows in zip(DIMENSIONS, N.new_dimension_rows(staged, before)):
-        store.write_table(name, new_rows, root, num_files=num_files)
+    # 1. what several steps read is written once, tables that do not depend on
+    #    each other at the same time
+    vehicles, factors, repeated = at_once(
+        lambda: staging.write(N.vehicle_values(staged), "vehicle-values"),
+        lambda: staging.write(N.factor_values(staged), "factor-values"),
+        lambda: staging.write(N.repeated_ids(staged), "repeated"))
+
+    # 2. dimensions: new values only, then read back (ids are fixed on disk)
+    new = N.new_dimension_rows(staged, before, vehicles, factors)
+    at_once(*[lambda name=name, rows=rows: store.write_table(name, rows, root, num_files=num_files) for name, rows in new.items()])
     now = store.read_tables(spark, root, missing_ok=True)
 
-    # 2. collisions: first-wins candidates staged once, then split into
+    # 3. collisions: first-wins candidates staged once, then split into
     #    rejects and accepted rows (no second aggregation of the feed)
-    repeated = staging.write(N.repeated_ids(staged), "repeated")
     candidates = staging.write(N.new_collision_candidates(staged, now.boroughs, near(before.collisions), repeated), "candidates")
     rejects = N.rejects_of(candidates).unionByName(broken)
-    rejects.write.mode("overwrite").parquet(f"{store.table_path(root, '_rejects')}/load_id={load_id}")
-    store.write_table("collisions", N.accepted(candidates), root, num_files=num_files)
+    at_once(
+        lambda: rejects.write.mode("overwrite").parquet(f"{store.table_path(root, '_rejects')}/load_id={load_id}"),
+        lambda: store.write_table("collisions", N.accepted(candidates), root, num_files=num_files))
     bad_ids = candidates.filter(F.size(N.ISSUES_COL) > 0).select("collision_id")
 
-    # 3. children of accepted collisions
-    store.write_table("collision_vehicles", N.new_vehicle_rows(
-        staged, now.vehicle_types, near(before.collision_vehicles), bad_ids, repeated), root, num_files=num_files)
-    store.write_table("collision_factors", N.new_factor_rows(
-        staged, now.factors, near(before.collision_factors), bad_ids, repeated), root, num_files=num_files)
+    # 4. children of accepted collisions
+    at_once(
+        lambda: store.write_table("collision_vehicles", N.new_vehicle_rows(
+            staged, now.vehicle_types, near(before.collision_vehicles), bad_ids, repeated, vehicles), root, num_files=num_files),
+        lambda: store.write_table("collision_factors", N.new_factor_rows(
+            staged, now.factors, near(before.collision_factors), bad_ids, repeated, factors), root, num_files=num_files))
