@@ -23,8 +23,9 @@ from pyspark.sql import functions as F
 
 from crashlake.llm.common import chunks, split_words
 
-#: Hash classes of words and of pairs, weight of the smoothing distribution, and counts travelling together.
-WORDS, PAIRS, PRIOR, PART = 1 << 18, 1 << 20, 4.0, 1 << 15
+#: Hash classes of words and of pairs, weight of the smoothing distribution, counts
+#: travelling together, and bytes of text counted at once.
+WORDS, PAIRS, PRIOR, PART, TEXT_BYTES = 1 << 18, 1 << 20, 4.0, 1 << 15, 4 << 20
 
 
 def word_classes(text: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -59,7 +60,7 @@ def _counter(batches):
     sums = np.zeros((TABLES, WORDS + PAIRS), dtype=np.int64)
     for batch in batches:
         every = np.asarray(batch.column("target")).astype(bool)
-        for at, text in chunks(batch.column("text")):
+        for at, text in chunks(batch.column("text"), TEXT_BYTES):
             words, sizes = word_classes(text)
             pairs = pair_classes(words, sizes)[1]
             table = np.repeat(np.where(every[at:at + len(text)], 0, 1 + halves(text)), sizes)
