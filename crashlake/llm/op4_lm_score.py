@@ -1,16 +1,19 @@
 """Cross-entropy difference of matched n-gram models.
 
-The target model learns from a target table, the background model from every
-document. Both are interpolated word-bigram models over one shared vocabulary:
-a lower-cased word (or pair of words) belongs to one of WORDS (PAIRS) hash
-classes, so every word of the corpus has its place and the models' size does
-not depend on the corpus. Background counts are scaled to the target's number
-of words, so both are smoothed alike. A document's score is the mean over its
-words of target loss minus background loss: lower is closer to the target.
-
-The background is counted in two halves of the texts, dealt by a hash of the
-whole text, and a document is scored against the half it is not in: no text,
-and no exact copy of it, is scored by counts it gave itself."""
+The target model learns from target rows, the background model from every
+document. Both are interpolated word-bigram models over one shared vocabulary,
+all lower-cased words that occur. Background counts are scaled to the target's
+number of words, so both are smoothed alike. A document's score is the mean
+over its words of target loss minus background loss: lower is closer to the
+target. The texts are dealt into two halves by a hash of the whole text, and a
+document is scored by the models of the half it is not in: no text, and no
+exact copy of it, is scored by counts it gave itself.
+
+:func:`score` counts words and pairs in Spark, in tables that grow with the
+corpus, and joins each text's pairs to them. :func:`train` and
+:func:`cross_entropy_difference` are the form for scoring a column by a model
+of constant size, over WORDS (PAIRS) hash classes that many words may share:
+its scores lose meaning as the corpus grows, and no query uses it."""
 
 from __future__ import annotations
 
@@ -21,7 +24,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from crashlake.llm.common import chunks, split_words
+from crashlake.llm.common import chunks, split_words, stage
+from crashlake.llm.common import words as word_array
 
 #: Hash classes of words and of pairs, weight of the smoothing distribution, counts
 #: travelling together, and bytes of text counted at once.
@@ -148,3 +152,82 @@ def cross_entropy_difference(text: Column | str, models: list[Models], spark) ->
         return pa.StructArray.from_arrays([pa.array(sizes, pa.int64()), *cols], ["n_words", "target_loss", "background_loss", "score"])
 
     return lm_loss(text)
+
+
+#: Stands before a text's first word; no word's key but by a chance of 1 in 2^64.
+START = 0
+#: Bits of a row's part in counting.
+BACKGROUND, TARGET = 1, 2
+#: Losses are summed in whole 1/FINE, so that sums do not depend on their order.
+FINE = 1 << 20
+GRAMS = "key bigint, part int, word bigint, prev bigint, n int"
+
+
+def _grams(batches):
+    """Rows of GRAMS: each pair of words of each text and part, once for all equal texts of a slice."""
+    for batch in batches:
+        keys, parts = np.asarray(batch.column("key")), np.asarray(batch.column("part"))
+        for at, text in chunks(batch.column("text"), TEXT_BYTES):
+            flat, sizes = split_words(pc.ascii_lower(text))
+            if not len(flat):
+                continue
+            coded = flat.dictionary_encode()
+            known = np.fromiter((xxhash.xxh64_intdigest(w) for w in coded.dictionary.cast(pa.large_binary()).to_pylist()), dtype=np.uint64, count=len(coded.dictionary)).view(np.int64)
+            known = np.append(known, START)
+            words = np.asarray(coded.indices).astype(np.int64)
+            before = np.concatenate([[len(known) - 1], words[:-1]])
+            before[(np.cumsum(sizes) - sizes)[sizes > 0]] = len(known) - 1
+            key, row = np.unique(keys[at:at + len(text)], return_inverse=True)
+            row = np.repeat(row * 4 + parts[at:at + len(text)], sizes)
+            code, n = np.unique((row * len(known) + words) * len(known) + before, return_counts=True)
+            code, prev = np.divmod(code, len(known))
+            row, word = np.divmod(code, len(known))
+            table = pa.table({"key": key[row >> 2], "part": (row & 3).astype(np.int32), "word": known[word], "prev": known[prev], "n": n.astype(np.int32)})
+            yield from table.to_batches(max_chunksize=1 << 16)
+
+
+def counts(grams: DataFrame, *by: str) -> DataFrame:
+    """``by`` and the words of the background (b) and target (t) of either half of the texts."""
+    sums = [F.sum(F.when((F.col("part").bitwiseAND(bit) != 0) & (F.col("key").bitwiseAND(F.lit(1)) == h), F.col("n").cast("long")).otherwise(0)).alias(f"{name}{h}")
+            for h in (0, 1) for name, bit in (("b", BACKGROUND), ("t", TARGET))]
+    return grams.groupBy(*by).agg(*sums)
+
+
+def pair_losses(grams: DataFrame) -> DataFrame:
+    """word, prev, and in 1/FINE the losses lb0, lt0, lb1, lt1 of that pair under the
+    background and the target model of each half. One row for each pair that occurs."""
+    words = stage(counts(grams, "word"), "words")
+    tables = [f"{m}{h}" for h in (0, 1) for m in "bt"]
+    total = words.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in tables], *[F.count(F.when(F.col(f"b{h}") > 0, 1)).alias(f"v{h}") for h in (0, 1)]).first()
+    first = counts(grams.where(F.col("prev") == START)).first()
+    pairs = counts(grams, "word", "prev")
+    pairs = pairs.join(words.select("word", *[F.col(c).alias(f"w{c}") for c in tables]), "word")
+    pairs = pairs.join(words.select(F.col("word").alias("prev"), *[F.col(c).alias(f"p{c}") for c in tables]), "prev", "left")
+    losses = []
+    for c in tables:
+        h, target = c[1], total[f"t{c[1]}"]
+        scale = (target or total[c]) / total[c] if total[c] else 0.0  # matched sizes
+        single = (scale * F.col(f"w{c}") + 1) / (scale * total[c] + max(1, total[f"v{h}"]) + 1)
+        before = F.coalesce(F.col(f"p{c}"), F.lit(first[c] or 0))
+        losses.append(F.round(-FINE * F.log((scale * F.col(c) + PRIOR * single) / (scale * before + PRIOR))).cast("long").alias(f"l{c}"))
+    return stage(pairs.select("word", "prev", *losses), "pairs")
+
+
+def score(docs: DataFrame, learn: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+    """doc_id, n_words, target_loss, background_loss, score of each row of ``docs``.
+
+    ``learn`` (text, part) holds the rows to learn from, those of ``docs`` among
+    them: ``part`` is BACKGROUND, TARGET or the sum of both. Words and pairs are
+    counted under 64-bit keys in written tables that grow with the corpus, and
+    each text's pairs are joined to them. A text is scored by the models of the
+    half it is not in. A null or wordless text has 0 words and null losses."""
+    key = F.xxhash64(F.col(text).cast("string"))
+    rows = learn.select(F.xxhash64(F.col("text")).alias("key"), F.col("part").cast("int").alias("part"), "text")
+    grams = stage(rows.mapInArrow(_grams, GRAMS), "grams")
+    other = lambda m: F.when(F.col("key").bitwiseAND(F.lit(1)) == 0, F.col(f"l{m}1")).otherwise(F.col(f"l{m}0"))
+    joined = grams.join(pair_losses(grams), ["word", "prev"])
+    n = F.col("n").cast("long")
+    sums = joined.groupBy("key").agg(F.sum(n).alias("n"), F.sum(n * other("t")).alias("t"), F.sum(n * other("b")).alias("b"))
+    means = sums.select("key", *[(F.col(m) / (F.col("n") * F.lit(float(FINE)))).alias(name) for m, name in (("t", "target_loss"), ("b", "background_loss"))])
+    out = docs.select(F.col(doc_id).alias("doc_id"), key.alias("key"), F.size(word_array(F.col(text))).cast("long").alias("n_words")).join(means, "key", "left")
+    return out.select("doc_id", "n_words", "target_loss", "background_loss", (F.col("target_loss") - F.col("background_loss")).alias("score"))

@@ -30,8 +30,8 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    models = op4_lm_score.train(docs, table(spark, sf_dir, "benchmark"))
-    return docs.select("doc_id", op4_lm_score.cross_entropy_difference(F.col("text"), models, spark).alias("x")).select("doc_id", "x.*")
+    learn = docs.select("text", F.lit(op4_lm_score.BACKGROUND).alias("part")).union(table(spark, sf_dir, "benchmark").select("text", F.lit(op4_lm_score.TARGET)))
+    return op4_lm_score.score(docs, learn)
 
 
 def op5_packing_ffd(spark: SparkSession, sf_dir: str) -> DataFrame:

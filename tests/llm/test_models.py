@@ -136,3 +136,49 @@ def test_quality_odd_texts_and_no_labels(spark):
         assert len(got) == docs.count() and all(0 <= r.s <= 1 for r in got)
         assert all(r.s == 0 for r in got if not r.text)
     assert len(op10_quality.train(docs, labels).labels) <= 61
+
+
+def plain_scores(rows, spark):
+    """Scores by (text, part) rows, from dictionaries of words and pairs."""
+    key = {t: k for t, k in spark.createDataFrame([(t,) for t, _ in rows], "t string").select("t", F.xxhash64("t")).collect()}
+    lower = lambda t: [w.translate({c: c + 32 for c in range(65, 91)}) for w in word_list(t)]
+    single, pair = {}, {}
+    for t, part in rows:
+        w = lower(t)
+        for m in (1, 2):
+            if part & m:
+                table = (m, key[t] & 1)
+                one, two = single.setdefault(table, {}), pair.setdefault(table, {})
+                for a, b in zip([None, *w], w):
+                    one[b], two[a, b] = one.get(b, 0) + 1, two.get((a, b), 0) + 1
+    out = {}
+    for t, _ in rows:
+        w, h, loss = lower(t), 1 - (key[t] & 1), []
+        for m in (2, 1):
+            one, two = single.get((m, h), {}), pair.get((m, h), {})
+            total, target, used = sum(one.values()), sum(single.get((2, h), {}).values()), max(1, len(single.get((1, h), {}))) + 1
+            scale = (target or total) / total if total else 0
+            starts = sum(n for (a, _), n in two.items() if a is None)
+            loss.append([-np.log((scale * two.get((a, b), 0) + op4_lm_score.PRIOR * (scale * one.get(b, 0) + 1) / (scale * total + used))
+                                 / (scale * (starts if a is None else one.get(a, 0)) + op4_lm_score.PRIOR)) for a, b in zip([None, *w], w)])
+        out[t] = (len(w), *(np.mean(x) if w else None for x in loss))
+    return out
+
+
+def test_lm_scores_rest_on_real_words_and_pairs(spark):
+    rows = documents()
+    rng = random.Random(5)  # more pairs than a fixed number of classes could keep apart
+    rows += [(5000 + i, " ".join(f"w{rng.randrange(10**6)}" for _ in range(3000)), "en", "s1", 0, "", "", "", "", "") for i in range(60)]
+    parts = [(r[1], 3 if r[3] == "s1" else 1) for r in rows]
+    got = op4_lm_score.score(frame(spark, rows), spark.createDataFrame(parts, "text string, part int").repartition(5))
+    want = plain_scores(parts, spark)
+    plain = sorted((str(r[0]), want[r[1]][0], *(None if x is None else round(float(x), 4) for x in want[r[1]][1:])) for r in rows)
+    found = sorted((str(r.doc_id), r.n_words, *(None if x is None else x for x in (r.target_loss, r.background_loss))) for r in got.collect())
+    assert len(plain) == len(found)
+    for p, f in zip(plain, found):
+        assert p[:2] == f[:2] and all((x is None) == (y is None) and (x is None or abs(x - y) < 2e-4) for x, y in zip(p[2:], f[2:]))
+
+
+def test_lm_scores_of_no_rows(spark):
+    docs = frame(spark, documents())
+    assert op4_lm_score.score(docs.limit(0), docs.limit(0).select("text", F.lit(1).alias("part"))).count() == 0
