@@ -30,7 +30,9 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    learn = docs.select("text", F.lit(op4_lm_score.BACKGROUND).alias("part")).union(table(spark, sf_dir, "benchmark").select("text", F.lit(op4_lm_score.TARGET)))
+    good = table(spark, sf_dir, "labels").where("quality = 1 and toxic = 0").select("doc_id").distinct().withColumn("good", F.lit(op4_lm_score.TARGET))
+    learn = docs.select("doc_id", "text").join(good, "doc_id", "left")
+    learn = learn.select((F.coalesce("good", F.lit(0)) + op4_lm_score.BACKGROUND).alias("part"), "text")
     return op4_lm_score.score(docs, learn)
 
 

@@ -182,3 +182,16 @@ def test_lm_scores_rest_on_real_words_and_pairs(spark):
 def test_lm_scores_of_no_rows(spark):
     docs = frame(spark, documents())
     assert op4_lm_score.score(docs.limit(0), docs.limit(0).select("text", F.lit(1).alias("part"))).count() == 0
+
+
+def test_lm_target_is_the_documents_labelled_good(spark, scratch):
+    rng = random.Random(6)
+    rows = [(i, sentence(rng, 80, "en" if i % 2 else "fr"), None, None, 0, "", "", "", "", "") for i in range(200)]
+    frame(spark, rows).write.parquet(f"{scratch}/documents.parquet")
+    frame(spark, rows[::2]).select("doc_id", "text").write.parquet(f"{scratch}/benchmark.parquet")  # French: not the target
+    labels = [(i, i % 2, 0) for i in range(100)] + [(i, 1, 1) for i in range(100, 140, 2)] + [(1, 1, 0), (None, 1, 0), (999, 1, 0)]
+    spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int").write.parquet(f"{scratch}/labels.parquet")
+    got = {r.doc_id: r for r in QUERIES["op4_lm_scoring"](spark, scratch).collect()}
+    want = plain_scores([(r[1], 3 if r[0] < 100 and r[0] % 2 else 1) for r in rows], spark)
+    assert len(got) == 200 and all(got[r[0]].score == pytest.approx(want[r[1]][1] - want[r[1]][2], abs=1e-5) for r in rows)
+    assert np.mean([r.score for i, r in got.items() if i % 2]) < np.mean([r.score for i, r in got.items() if not i % 2]) - 0.2
