@@ -58,10 +58,12 @@ def statistics(text: Column) -> dict[str, Column]:
 #: measure itself); share of rows in the estimate's support, the factor that
 #: makes its covariance consistent for four normal measures, concentration
 #: steps, bins of the distance (a factor of exp(1/BINS) each), and the squared
-#: distance beyond which a row is rejected.
+#: distance beyond which a row is rejected: what one in a thousand rows of four
+#: normal measures exceeds (chi-square). Floor i lets measure i deviate by at most
+#: sqrt(CUTOFF) * FLOORS[i] in a tight group, within what each measure can reach.
 UNIT = 256
 FLOORS = (0.3, 0.25, 0.08, 0.35)
-SUPPORT, CONSISTENT, STEPS, BINS, CUTOFF = 0.75, 1.486, 4, 16, 64.0
+SUPPORT, CONSISTENT, STEPS, BINS, CUTOFF = 0.75, 1.486, 4, 16, 18.467
 P = len(FLOORS)
 
 

@@ -48,6 +48,20 @@ def test_outliers_go_and_plain_texts_stay(spark):
     assert got.select("doc.*").columns == docs.columns
 
 
+def test_each_measure_can_reject_alone(spark):
+    rows = [(i, " ".join(f"w{(i * 997 + 31 * k) % 900 + 100}" for k in range(100)), "en", "s", 0, "", "", "", "", "") for i in range(60)]
+    plain = rows[0][1].split()
+    odd = {100: plain[:56] + plain[:22] + plain[56:78],  # 44 of 100 words in repeated windows
+           101: ["#" + w[1:] for w in plain[:6]] + plain[6:],  # six signs
+           102: [w + "xx" for w in plain]}  # longer words
+    lines = "\n".join(["aaaa bbbb"] * 7 + [" ".join(plain[14 + 8 * k:22 + 8 * k]) for k in range(11)])
+    texts = {k: " ".join(v) for k, v in odd.items()} | {103: lines}
+    got = rules.judge(rules.with_statistics(frame(spark, rows + [(k, t, *rows[0][2:]) for k, t in texts.items()])))
+    out = {r.doc_id: r for r in got.select("doc.doc_id", "base_failed", "kept", "n_repeat_words", "n_symbols").collect()}
+    assert not any(r.base_failed for r in out.values()) and (out[100].n_repeat_words, out[101].n_symbols) == (44, 6)
+    assert {k for k, r in out.items() if not r.kept} == set(texts)
+
+
 def test_rules_on_few_rows_and_none(spark):
     docs = frame(spark, documents())
     assert rules.judge(rules.with_statistics(docs.limit(0))).count() == 0
