@@ -3,9 +3,11 @@
 Every document has a hash of its id. Words are summed by source and by the
 hash's leading bits; in each source the bucket where the running sum passes
 the budget is found, and only that bucket is split by the next bits, level by
-level, until one hash is left. Documents below the threshold are taken once
-more than the rest: the budgets are nested, nothing is sorted, and only the
-boundary bucket is read again. DataFrame functions only."""
+level, until one hash is left. If several rows have that hash, they are split
+in the same way by a hash of the whole row, and rows alike in that too by a
+number that each gets as they are written. Documents below the threshold are
+taken once more than the rest: the budgets are nested, nothing is sorted, and
+only the boundary bucket is read again. DataFrame functions only."""
 
 from __future__ import annotations
 
@@ -25,6 +27,11 @@ def hashed(doc_id: Column) -> Column:
     return F.conv(F.substring(digest, 1, BITS // 4), 16, 10).cast("long")
 
 
+def fine_hash(doc: Column) -> Column:
+    """The first 60 bits of the md5 of the whole row as JSON."""
+    return F.conv(F.substring(F.md5(F.to_json(doc, {"ignoreNullFields": "false"}).cast("binary")), 1, BITS // 4), 16, 10).cast("long")
+
+
 def targets(sizes: DataFrame, weights=WEIGHTS, share: float = SHARE, most: int = MOST) -> DataFrame:
     """source, source_size, target. ``sizes``: source, source_size, one row each.
     Sources by code point, null last, weigh ``weights`` in turn; a target stops at
@@ -48,25 +55,62 @@ def _by_source(rows: DataFrame, sources: DataFrame, how: str = "inner") -> DataF
     return rows.join(sources, F.col("source").eqNullSafe(F.col("__source")), how).drop("__source")
 
 
-def thresholds(rows: DataFrame, weights=WEIGHTS, share: float = SHARE, most: int = MOST) -> DataFrame:
-    """source, source_size, target, whole, cut: documents of hash below ``cut`` are
-    taken whole + 1 times, the others ``whole`` times. ``rows``: source, size, hash."""
-    plan = stage(targets(rows.groupBy("source").agg(F.sum("size").alias("source_size")), weights, share, most), "targets")
-    whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long")
-    plan = plan.withColumn("whole", whole).withColumn("need", F.col("target") - F.col("whole") * F.col("source_size"))
-    at = plan.select("source", "need", F.lit(0).cast("long").alias("prefix"))
+def _boundary(rows: DataFrame, at: DataFrame) -> DataFrame:
+    """source, need, prefix, n, ties: the hash at which the running sum of a source's
+    ``size`` passes ``need``, what is still needed before it, and the words and rows
+    of that hash. ``rows``: source, size, hash; ``at``: source, need."""
+    at = at.select("source", "need", F.lit(0).cast("long").alias("prefix"))
     for level in range(1, BITS // STEP + 1):
         bucket = F.shiftright("hash", BITS - STEP * level)
         inside = _by_source(rows.select("source", "size", "hash"), at).where(F.shiftright("hash", BITS - STEP * (level - 1)) == F.col("prefix"))
-        sums = inside.groupBy("source", "need", bucket.alias("prefix")).agg(F.sum("size").alias("n"))
+        sums = inside.groupBy("source", "need", bucket.alias("prefix")).agg(F.sum("size").alias("n"), F.count(F.when(F.col("size") > 0, 1)).alias("ties"))
         upto = F.sum("n").over(Window.partitionBy("source").orderBy("prefix"))
         passing = sums.withColumn("upto", upto).where("upto > need")
-        first = passing.groupBy("source").agg(F.min(F.struct("prefix", "need", "upto", "n")).alias("x"))
-        at = stage(first.select("source", (F.col("x.need") - (F.col("x.upto") - F.col("x.n"))).alias("need"), F.col("x.prefix").alias("prefix"), F.col("x.n").alias("n")), "boundary")
-        last, at = at, at.drop("n")
-    # the documents of the boundary hash are taken if that is nearer to the target
-    cut = last.select("source", (F.col("prefix") + (F.col("n") - F.col("need") < F.col("need")).cast("long")).alias("cut"))
-    return stage(_by_source(plan.drop("need"), cut, "left").withColumn("cut", F.coalesce("cut", F.lit(0).cast("long"))), "thresholds")
+        first = passing.groupBy("source").agg(F.min(F.struct("prefix", "need", "upto", "n", "ties")).alias("x"))
+        last = stage(first.select("source", (F.col("x.need") - (F.col("x.upto") - F.col("x.n"))).alias("need"), "x.prefix", "x.n", "x.ties"), "boundary")
+        at = last.select("source", "need", "prefix")
+    return last
+
+
+def thresholds(rows: DataFrame, weights=WEIGHTS, share: float = SHARE, most: int = MOST) -> DataFrame:
+    """source, source_size, target, whole, cut, need, n, ties: documents of hash below
+    ``cut`` are taken whole + 1 times, the others ``whole`` times; of those of hash
+    ``cut``, ``ties`` rows of ``n`` words in all, ``need`` words once more. ``rows``:
+    source, size, hash."""
+    plan = stage(targets(rows.groupBy("source").agg(F.sum("size").alias("source_size")), weights, share, most), "targets")
+    whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long")
+    plan = plan.withColumn("whole", whole).withColumn("need", F.col("target") - F.col("whole") * F.col("source_size"))
+    found = _boundary(rows, plan).withColumnRenamed("prefix", "cut")
+    return stage(_by_source(plan.drop("need"), found, "left").withColumn("cut", F.coalesce("cut", F.lit(0).cast("long"))), "thresholds")
+
+
+def _nearer(n: Column, need: Column) -> Column:
+    """1 if taking ``n`` words is nearer to ``need`` than taking none, else 0."""
+    return F.coalesce((n - need < need).cast("long"), F.lit(0).cast("long"))
+
+
+def _split(rows: DataFrame, hot: DataFrame) -> DataFrame:
+    """``rows`` of the hashes in ``hot`` with extra (0 or 1): first by the hash of the
+    row, then, among rows alike, by a number fixed as they are written."""
+    ties = stage(rows.withColumn("fine", fine_hash(F.col("doc"))).withColumn("seq", F.monotonically_increasing_id()), "ties")
+    last = _boundary(ties.select("source", "size", F.col("fine").alias("hash")), hot)
+    last = last.select("source", F.col("need").alias("rest"), F.col("prefix").alias("fine_cut"), (F.col("n") / F.col("ties")).alias("each"))
+    # monotonically_increasing_id: the task that wrote the row, and a number within it
+    ties = _by_source(ties, stage(last, "fine-boundary"), "left")
+    alike = (F.col("fine") == F.col("fine_cut")) & (F.col("size") > 0)
+    equal = ties.where(alike)
+    bucket = F.shiftright("seq", STEP)
+    before = F.sum("m").over(Window.partitionBy("source").orderBy("bucket")) - F.col("m")
+    counts = equal.groupBy("source", bucket.alias("bucket")).agg(F.count("*").alias("m")).withColumn("before", before)
+    number = F.row_number().over(Window.partitionBy("source", "bucket").orderBy("seq"))
+    counts = counts.select(F.col("source").alias("__s"), F.col("bucket").alias("__b"), "before")
+    # the k nearest to need: whole rows that fit, and one more if that is nearer
+    fit = F.floor(F.col("rest") / F.col("each"))
+    most = fit + _nearer(F.col("each"), F.col("rest") - fit * F.col("each"))
+    numbered = equal.withColumn("bucket", bucket).withColumn("number", number).join(counts, F.col("source").eqNullSafe(F.col("__s")) & (F.col("bucket") == F.col("__b")))
+    chosen = numbered.select("doc", "source", "size", "hash", (F.col("before") + F.col("number") <= most).cast("long").alias("extra"))
+    others = ties.where(~F.coalesce(alike, F.lit(False)))
+    return others.select("doc", "source", "size", "hash", F.coalesce((F.col("fine") < F.col("fine_cut")).cast("long"), F.lit(0).cast("long")).alias("extra")).union(chosen)
 
 
 def mix(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", source: str = "source", weights=WEIGHTS, share: float = SHARE, most: int = MOST) -> DataFrame:
@@ -74,12 +118,22 @@ def mix(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", source: str
 
     A null text has size 0; a null source is a source, the last; a source
     without words has target 0 and no copies; rows that repeat an id are taken
-    alike; an empty table gives none. Each source's words differ from its
-    target by at most half the words of one id."""
+    alike but for the id at a source's threshold, whose rows are split; an
+    empty table gives none. Each source's words differ from its target by at
+    most half the words of one row."""
     rows = docs.select(F.struct("*").alias("doc"), F.col(source).alias("source"), hashed(F.col(doc_id)).alias("hash"), F.size(words(F.col(text))).cast("long").alias("size"))
     found = thresholds(stage(rows.select("source", "size", "hash"), "sizes"), weights, share, most)
-    copies = F.col("whole") + (F.col("hash") < F.col("cut")).cast("long")
-    return _by_source(rows, found).select("doc", "size", "source_size", "target", copies.alias("copies"))
+    joined = _by_source(rows, found)
+    tied = F.coalesce(F.col("ties") > 1, F.lit(False))
+    extra = F.when(F.col("hash") < F.col("cut"), 1).when(F.col("hash") == F.col("cut"), _nearer(F.col("n"), F.col("need"))).otherwise(0)
+    columns = ["doc", "size", "source_size", "target"]
+    hot = found.where(tied).select("source", "need", "cut")
+    if hot.isEmpty():
+        return joined.select(*columns, (F.col("whole") + extra).alias("copies"))
+    mark = tied & (F.col("hash") == F.col("cut"))
+    plain = joined.where(~mark).select(*columns, (F.col("whole") + extra).alias("copies"))
+    split = _split(joined.where(mark).select("doc", "source", "size", "hash"), hot.select("source", "need"))
+    return plain.union(_by_source(split, found).select(*columns, (F.col("whole") + F.col("extra")).alias("copies")))
 
 
 def mixed(docs: DataFrame, **columns) -> DataFrame:

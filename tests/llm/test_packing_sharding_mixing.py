@@ -12,7 +12,7 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from crashlake.llm import op5_packing, op8_mixing, op9_sharding
-from tests.llm.helpers import documents, frame, word_list
+from tests.llm.helpers import documents, frame, sentence, word_list
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 DEFINITION = open(PATH, encoding="utf-8").read()
@@ -120,6 +120,25 @@ def test_mix_against_a_plain_sort(spark):
     assert op8_mixing.mixed(docs).count() == sum(r.copies for r in got)
 
 
+@pytest.mark.parametrize("same_text", [True, False])
+@pytest.mark.parametrize("hot", [None, 7])
+def test_mix_splits_the_rows_of_one_id(spark, hot, same_text):
+    rng = random.Random(3)
+    rows = [(1000 + i, sentence(rng, 40 + i % 9), "en", s, 0, "", "", "", "", "") for i in range(60) for s in ("a", "b", None)]
+    text = sentence(rng, 50)
+    rows += [(hot, text if same_text else sentence(rng, rng.randint(30, 60)), "en", s, 0, "", "", "", "", "") for _ in range(400) for s in ("a", "b", None)]
+    docs = frame(spark, rows)
+    got = op8_mixing.mix(docs).collect()
+    taken, target = defaultdict(int), {}
+    for r in got:
+        taken[r.doc.source] += r.size * r.copies
+        target[r.doc.source] = r.target
+    assert len(got) == len(rows)
+    assert all(abs(taken[s] - target[s]) <= 30 for s in target)  # half the longest row
+    again = op8_mixing.mix(docs.repartition(7)).collect()
+    assert sorted(map(str, got)) == sorted(map(str, again))
+
+
 def test_mix_of_sources_without_words(spark):
     rows = [(1, None, "en", "a", 0, "", "", "", "", ""), (2, " ", "en", "b", 0, "", "", "", "", "")]
     assert {(r.size, r.target, r.copies) for r in op8_mixing.mix(frame(spark, rows)).collect()} == {(0, 0.0, 0)}
