@@ -13,6 +13,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from crashlake.session import ensure_checkpoint_dir
 
@@ -49,6 +50,25 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def numbered(rows: DataFrame, by: list[str], order: list[str]) -> DataFrame:
+    """``rows``, written once, with each one's position in the order of ``order``
+    within ``by``, that group's size and a number of the group that follows its order."""
+    keys = [F.col(c).asc_nulls_first() for c in [*by, *order]]
+    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    laid = rows.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+    # ascending over the ranges and within each; fixed by being written
+    laid = stage(laid.withColumn("at", F.monotonically_increasing_id()).withColumn("part", F.spark_partition_id()), "ordered")
+    runs = laid.groupBy(*by, "part").agg(F.min("at").alias("start"), F.count("*").alias("rows"))
+    group = Window.partitionBy(*(by or [F.lit(0)]))  # a row for each group and partition
+    before = F.coalesce(F.sum("rows").over(group.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    runs = runs.select(*[F.col(c).alias(f"__{c}") for c in by], F.col("part").alias("__part"), (F.col("start") - before).alias("zero"),
+                       F.sum("rows").over(group).alias("n"), F.min("start").over(group).alias("tree"))
+    same = F.col("part") == F.col("__part")
+    for c in by:
+        same = same & F.col(c).eqNullSafe(F.col(f"__{c}"))
+    return laid.join(runs, same).withColumn("pos", F.col("at") - F.col("zero")).drop("at", "part", "zero", "__part", *[f"__{c}" for c in by])
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body(value)`` with ``value`` evaluated once, however often the body uses it."""
     return F.get(F.transform(F.array(value), body), F.lit(0))

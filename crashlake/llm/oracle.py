@@ -158,7 +158,79 @@ select doc_id, cast(size as bigint) as size, source_size, target,
   cast(size * (whole + case when upto <= need or (upto - tie <= need and upto - need < need - (upto - tie)) then 1 else 0 end) as bigint) as taken from a"""
 
 
+def checksum(text: str) -> str:
+    """CRC-32 of a short ASCII text, bit by bit."""
+    bits = f"list_transform(range(8 * length({text})), lambda i: (ascii(substr({text}, i // 8 + 1, 1)) >> (i % 8)) & 1)"
+    return f"xor(list_reduce({bits}, lambda c, b: xor(xor(c, b) >> 1, 3988292384 * (xor(c, b) & 1)), 4294967295), 4294967295)"
+
+
+#: Levels of eight children in the statement: more than any table here has.
+MERKLE_LEVELS = 8
+
+
+def merkle() -> str:
+    def field(x: str) -> str:
+        return f"coalesce(octet_length(encode({x}::varchar))::varchar || ':' || {x}::varchar, '-')"
+
+    def leaf(text: str) -> str:
+        return "sha256(" + " || ".join(map(field, ("doc_id", "source", "lang", "n_chars", text))) + ")"
+
+    def climb(t: str, f: str) -> str:
+        out = []
+        for k in range(MERKLE_LEVELS):
+            frame = "over (partition by g, idx // 8 order by idx rows between"
+            out.append(f"""{t}s{k} as (select *, coalesce(string_agg(digest, '') {frame} unbounded preceding and 1 preceding), '') as before,
+  coalesce(string_agg(digest, '') {frame} 1 following and unbounded following), '') as after from {t}{k}
+), {t}{k + 1} as (select g, idx // 8 as idx, case when any_value(n) > 1 then sha256(string_agg(digest, '' order by idx)) else any_value(digest) end as digest, (any_value(n) + 7) // 8 as n
+  from {t}{k} group by g, idx // 8
+), {f}{k + 1} as (select f.* exclude (cur, proof), case when s.n > 1 then sha256(s.before || cur || s.after) else cur end as cur, proof || s.before || s.after as proof
+  from {f}{k} f join {t}s{k} s on f.g is not distinct from s.g and f.pos // {8**k} = s.idx)""")
+        return ", ".join(out)
+
+    return f"""
+with d as (
+  select *, case when {checksum('doc_id::varchar')} % 3 = 0 then translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') else text end as other from documents
+), l as (select doc_id, lang as g, {leaf('text')} as leaf, {leaf('other')} as cur, '' as proof from d
+), a0 as (select *, row_number() over (partition by g order by doc_id nulls first, leaf) - 1 as pos from l
+), t0 as (select g, pos as idx, leaf as digest, count(*) over (partition by g) as n from a0
+), {climb('t', 'a')}, u0 as (select 0 as g, row_number() over (order by g nulls first) - 1 as idx, digest, count(*) over () as n, g as lang from t{MERKLE_LEVELS}
+), b0 as (select a.doc_id, a.leaf, a.cur, a.proof, 0 as g, u.idx as pos, u.digest as subroot from a{MERKLE_LEVELS} a join u0 u on a.g is not distinct from u.lang
+), {climb('u', 'b')}
+select b.doc_id, b.leaf, b.subroot, u.digest as root, sha256(b.proof) as proof_sha256, b.cur as folded_root, b.cur = u.digest as verified
+from b{MERKLE_LEVELS} b join u{MERKLE_LEVELS} u on b.g = u.g"""
+
+
+def collocations() -> str:
+    return """
+with piece as (
+  select coalesce(lang, 'und') as lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) as p from documents
+), w as (select lang, regexp_extract_all(p, '[^\x20\x09]+') as w from piece
+), total as (select lang, cast(sum(len(w)) as bigint) as n from w group by lang
+), gram as (
+  select lang, 1 as m, unnest(w) as phrase from w
+  union all select lang, 2, array_to_string(w[i:i + 1], ' ') from (select lang, w, unnest(range(1, len(w))) as i from w)
+  union all select lang, 3, array_to_string(w[i:i + 2], ' ') from (select lang, w, unnest(range(1, len(w) - 1)) as i from w)
+), f as (select lang, m, phrase, count(*) as a from gram group by all having count(*) >= 10
+), cut as (
+  select lang, phrase, a, k, array_to_string(x[1:k], ' ') as head, array_to_string(x[k + 1:m], ' ') as tail
+  from (select *, string_split(phrase, ' ') as x, unnest(range(1, m)) as k from f where m > 1)
+), scored as (
+  select c.*, h.a as l, t.a as r, cast((1000000::hugeint * c.a * c.a) // (h.a::hugeint * t.a) as bigint) as score
+  from cut c join f h on c.lang = h.lang and c.head = h.phrase join f t on c.lang = t.lang and c.tail = t.phrase
+), least_cut as (select *, row_number() over (partition by lang, phrase order by score, k) as nth from scored
+), inside as (
+  select lang, phrase, max(a) as longer from (
+    select lang, a, array_to_string(x[i:i + 1], ' ') as phrase from (select *, string_split(phrase, ' ') as x, unnest([1, 2]) as i from f where m = 3)) group by all
+), ranked as (
+  select c.lang, c.phrase, c.a, c.l, c.r, c.score, row_number() over (partition by c.lang order by c.score desc, c.a desc, c.phrase) as rank
+  from least_cut c left join inside i on c.lang = i.lang and c.phrase = i.phrase where nth = 1 and (longer is null or 100 * longer < 50 * c.a)
+)
+select lang, rank, phrase, a, l, r, n, score from ranked join total using (lang) where rank <= 2000"""
+
+
 ORACLE = {
+    "op12_merkle_manifest": merkle(),
+    "op13_collocations": collocations(),
     "op2_exact_topk": topk(),
     "op6_url_filters": url_filter(),
     "op7_quality_rules": quality_rules(),

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crashlake.llm import op1_simhash, op2_topk, op3_langid, op4_lm_score, op5_packing, op6_url_filter, op7_rules, op8_mixing, op9_sharding, op10_quality
+from crashlake.llm import op1_simhash, op2_topk, op3_langid, op4_lm_score, op5_packing, op6_url_filter, op7_rules, op8_mixing, op9_sharding, op10_quality, op11_sentencepiece, op12_merkle, op13_collocations
 from crashlake.llm.common import held_out, table
 from crashlake.llm.oracle import ORACLE  # noqa: F401
 
@@ -70,6 +70,22 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
 
 
+def op11_sentencepiece_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    coded = docs.select("doc_id", op11_sentencepiece.encode_decode(F.col("text"), public_tokenizers.path("piece_bpe_32k.model"), spark).alias("x"))
+    ids = F.array_join(F.col("x.ids").cast("array<string>"), " ")
+    return coded.select("doc_id", F.size("x.ids").cast("long").alias("n_tokens"), F.sha2(ids, 256).alias("ids_sha256"), F.sha2("x.text", 256).alias("decoded_sha256"))
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    changed = {"text": op12_merkle.tampered_text(F.col("doc_id"), F.col("text"))}
+    return op12_merkle.manifest(table(spark, sf_dir, "documents"), ["doc_id", "source", "lang", "n_chars", "text"], changed=changed)
+
+
+def op13_collocations_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op13_collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op2_exact_topk": op2_exact_topk,
@@ -81,5 +97,8 @@ QUERIES = {
     "op8_source_mixing": op8_source_mixing,
     "op9_byte_shards": op9_byte_shards,
     "op10_quality_classifier": op10_quality_classifier,
+    "op11_sentencepiece_bpe": op11_sentencepiece_bpe,
+    "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_collocations": op13_collocations_mining,
 }
 
