@@ -5,9 +5,9 @@ reach across (before a word's space sign), and each part is encoded by a
 score-ordered agenda: all adjacent pairs of symbols that form a piece lie in a
 heap, the best one (ties: the leftmost) is merged, and the pairs it forms with its
 neighbours join the agenda, until none is left. Symbols that are no piece
-become their UTF-8 bytes. In each Arrow batch the ids are compared with those of
-the sentencepiece library, and a difference is an error; the ids are decoded
-by the library.
+become their UTF-8 bytes. In each Arrow batch the ids of all parts worked out there are
+compared with those of the sentencepiece library, and a difference is an error;
+the ids are decoded by the library.
 
 A worker remembers the ids of the parts it met; what it remembers is bounded, and
 so is the text worked on at once. A null text is empty, an empty one has the end id
@@ -18,6 +18,7 @@ column, so names in the input cannot clash with it."""
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Callable
 from heapq import heapify, heappop, heappush
 from itertools import chain
@@ -31,8 +32,8 @@ from pyspark.sql import functions as F
 
 from crashlake.llm.common import chunks
 
-#: The library's sign for a space; parts that a worker remembers at most twice over, and their longest.
-SPACE, KNOWN, KNOWN_LENGTH = "▁", 1 << 18, 48
+#: The library's sign for a space; parts that a worker remembers, at most twice over, and their longest.
+SPACE, KNOWN, KNOWN_LENGTH = "▁", 1 << 19, 48
 
 
 def agenda(symbols: list[str], cost: Callable[[str], float | None]) -> list[str]:
@@ -40,16 +41,8 @@ def agenda(symbols: list[str], cost: Callable[[str], float | None]) -> list[str]
     piece; the least goes first, ties from the left."""
     n = len(symbols)
     after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-    waiting: list[tuple[float, int, str]] = []
-
-    def pair(left: int, right: int, add) -> None:
-        merged = symbols[left] + symbols[right]
-        value = cost(merged)
-        if value is not None:
-            add(waiting, (value, left, merged))
-
-    for i in range(n - 1):
-        pair(i, i + 1, list.append)
+    pairs = [a + b for a, b in zip(symbols, symbols[1:])]
+    waiting = [(value, i, pairs[i]) for i, value in enumerate(map(cost, pairs)) if value is not None]
     heapify(waiting)
     while waiting:
         _, left, merged = heappop(waiting)
@@ -57,41 +50,51 @@ def agenda(symbols: list[str], cost: Callable[[str], float | None]) -> list[str]
         if right >= n or not symbols[left] or symbols[left] + symbols[right] != merged:
             continue  # one of the two was merged elsewhere meanwhile
         symbols[left], symbols[right] = merged, ""
-        after[left] = after[right]
-        if after[left] < n:
-            before[after[left]] = left
-            pair(left, after[left], heappush)
-        if before[left] >= 0:
-            pair(before[left], left, heappush)
+        after[left] = following = after[right]
+        if following < n:
+            before[following] = left
+            pair = merged + symbols[following]
+            value = cost(pair)
+            if value is not None:
+                heappush(waiting, (value, left, pair))
+        leading = before[left]
+        if leading >= 0:
+            pair = symbols[leading] + merged
+            value = cost(pair)
+            if value is not None:
+                heappush(waiting, (value, leading, pair))
     return [s for s in symbols if s]
 
 
 class Encoder(dict):
-    """Ids by part of a normalised text, worked out as they are asked for."""
+    """Ids (32-bit, as bytes) by part of a normalised text, worked out as they are asked for."""
 
     def __init__(self, proto: bytes):
         super().__init__()
         self.library = sp = sentencepiece.SentencePieceProcessor(model_proto=proto)
         n = sp.get_piece_size()
         special = {i for i in range(n) if sp.is_control(i) or sp.is_unknown(i) or sp.is_byte(i)}
-        self.ids = {sp.id_to_piece(i): i for i in range(n) if i not in special and not sp.is_unused(i)}
+        self.ids = {sp.id_to_piece(i): i for i in range(n) if i not in special}
         self.costs = {p: -sp.get_score(i) for p, i in self.ids.items()}
-        of_bytes = [sp.piece_to_id(f"<0x{b:02X}>") for b in range(256)]
-        if not all(map(sp.is_byte, of_bytes)) or any(map(sp.is_unused, range(n))):
+        self.bytes = [sp.piece_to_id(f"<0x{b:02X}>") for b in range(256)]
+        if not all(map(sp.is_byte, self.bytes)) or any(map(sp.is_unused, range(n))):
             raise ValueError("only vocabularies with byte fallback and without unused pieces are encoded")
-        self.bytes, self.older = of_bytes, {}
+        if [sp.normalize(x) for x in ("a", "a b", SPACE)] != [SPACE + "a", f"{SPACE}a{SPACE}b", 2 * SPACE]:
+            raise ValueError("only vocabularies that put a space before a text and keep all others are encoded")
         # a space sign behind another character begins a new part, unless a piece holds both
         across = any(re.search(f"[^{SPACE}]{SPACE}", p) for p in self.ids)
-        self.parts = re.compile("(?s).+" if across else f"{SPACE}*[^{SPACE}]+|{SPACE}+")
+        self.parts = re.compile("(?s).+" if across else f"{SPACE}+[^{SPACE}]*")
+        self.older: dict[str, bytes] = {}
+        self.fresh: dict[str, bytes] = {}
 
-    def __missing__(self, part: str) -> tuple[int, ...]:
+    def __missing__(self, part: str) -> bytes:
         ids = self.older.get(part)
         if ids is None:
             found: list[int] = []
             for symbol in agenda(list(part), self.costs.get):
                 known = self.ids.get(symbol)
                 found += [self.bytes[b] for b in symbol.encode()] if known is None else [known]
-            ids = tuple(found)
+            ids = self.fresh[part] = array("i", found).tobytes()
         if len(part) <= KNOWN_LENGTH:
             if len(self) >= KNOWN:  # parts not met since the last time are forgotten
                 self.older = dict(self)
@@ -99,11 +102,21 @@ class Encoder(dict):
             self[part] = ids
         return ids
 
-    def encode(self, text: str) -> list[int]:
-        """Ids of a whole text and the end id."""
-        ids = list(chain.from_iterable(map(self.__getitem__, self.parts.findall(self.library.normalize(text)))))
-        ids.append(self.library.eos_id())
-        return ids
+    def encode(self, texts: list[str]) -> list[list[int]]:
+        """Ids of whole texts, each with the end id."""
+        end = array("i", [self.library.eos_id()]).tobytes()
+        coded = [b"".join([*map(self.__getitem__, self.parts.findall(t)), end]) for t in self.library.normalize(texts)]
+        self.check()
+        return [array("i", ids).tolist() for ids in coded]
+
+    def check(self) -> None:
+        """Compares the parts worked out since the last time with the library, which
+        puts the space before a text itself (but before no empty one)."""
+        fresh, self.fresh = self.fresh, {}
+        alone = fresh.pop(SPACE, None)
+        expected = self.library.encode([part[1:] for part in fresh], num_threads=1)
+        if [array("i", x).tobytes() for x in expected] != list(fresh.values()) or alone not in (None, array("i", [self.library.piece_to_id(SPACE)]).tobytes()):
+            raise ValueError("the sentencepiece library gives other ids: no merge-type vocabulary, or one with user-defined pieces")
 
 
 #: The encoder of the last model that this worker used.
@@ -125,9 +138,7 @@ def encode_decode(text: Column | str, model: str, spark: SparkSession) -> Column
         ids, sizes, decoded = [np.empty(0, np.int32)], [np.zeros(1, np.int32)], [pa.array([], pa.string())]
         for _, some in chunks(batch):
             texts = pc.fill_null(some, "").to_pylist()
-            found = [encoder.encode(t) for t in texts]
-            if found != encoder.library.encode(texts, add_eos=True, num_threads=1):
-                raise ValueError("the sentencepiece library gives other ids: no merge-type vocabulary, or one with user-defined pieces")
+            found = encoder.encode(texts)
             lengths = np.fromiter(map(len, found), np.int32, len(found))
             ids.append(np.fromiter(chain.from_iterable(found), np.int32, int(lengths.sum())))
             sizes.append(lengths)

@@ -40,8 +40,8 @@ def test_texts_as_the_library(monkeypatch, known):
     library = sentencepiece.SentencePieceProcessor(model_file=MODEL)
     rng = random.Random(5)
     texts = ODD + ["".join(rng.choice("ab ▁é\n1日") for _ in range(rng.randint(1, 200))) for _ in range(100)]
-    for text in texts:
-        assert encoder.encode(text) == library.encode(text, add_eos=True)
+    assert encoder.encode(texts) == library.encode(texts, add_eos=True)
+    assert encoder.encode(texts[::-1]) == library.encode(texts[::-1], add_eos=True)
     assert len(encoder) <= known
 
 
@@ -57,8 +57,16 @@ def test_rows_of_a_table(spark):
     assert docs.where("false").select(sp.encode_decode("text", MODEL, spark).alias("x")).collect() == []
 
 
-def test_a_difference_from_the_library_is_an_error(spark, monkeypatch):
-    docs = spark.createDataFrame([("hello",)], "text string")
-    path = public_tokenizers.path("word_bpe_49k.json")
-    with pytest.raises(Exception):
-        docs.select(sp.encode_decode("text", path, spark)).collect()
+def test_all_given_documents(spark):
+    """Every text of the small tables, whole, against the library."""
+    library = sentencepiece.SentencePieceProcessor(model_file=MODEL)
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    for r in docs.select(F.col("text").alias("t"), sp.encode_decode("text", MODEL, spark).alias("x")).collect():
+        assert r.x.ids == library.encode(r.t or "", add_eos=True)
+
+
+def test_a_difference_from_the_library_is_an_error(monkeypatch):
+    monkeypatch.setattr(sp, "agenda", lambda symbols, cost: symbols)
+    encoder = sp.Encoder(open(MODEL, "rb").read())
+    with pytest.raises(ValueError):
+        encoder.encode(["a thing"])
