@@ -7,6 +7,8 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 import numpy as np
 import pyarrow as pa
@@ -27,27 +29,48 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-#: Folders staged so far by this process.
-STAGED: list[str] = []
+#: Folders staged within the innermost :func:`scratch` of this thread of work.
+_scope: ContextVar[list[str] | None] = ContextVar("scratch", default=None)
 
 
-def drop_staged(spark: SparkSession, since: int) -> None:
-    """Remove what was staged from the ``since``-th folder on, but the last."""
-    for path in STAGED[since:-1]:
-        p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
-    del STAGED[since:-1]
+def _remove(spark: SparkSession, path: str) -> None:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
+def stage(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
     """Write ``df`` into the shared checkpoint folder and read it back: cuts the
-    lineage, is computed once and survives lost executors."""
+    lineage, is computed once and survives lost executors. With ``keep`` it
+    outlives the :func:`scratch` around it."""
     spark = df.sparkSession
     root = ensure_checkpoint_dir(spark).rstrip("/")
     path = f"{root}/llm-{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    STAGED.append(path)
-    return spark.read.schema(df.schema).parquet(path)
+    if not keep and _scope.get() is not None:
+        _scope.get().append(path)
+    found = spark.read.schema(df.schema).parquet(path)
+    found.staged_at = path
+    return found
+
+
+def unstage(*frames: DataFrame) -> None:
+    """Remove what :func:`stage` wrote for ``frames``, once nothing will read it again."""
+    for df in frames:
+        path = getattr(df, "staged_at", None)
+        if path:
+            _remove(df.sparkSession, path)
+
+
+@contextmanager
+def scratch(spark: SparkSession):
+    """Removes at its end what was staged inside it by this thread of work, and nothing that others staged."""
+    token = _scope.set([])
+    try:
+        yield
+    finally:
+        for path in _scope.get():
+            _remove(spark, path)
+        _scope.reset(token)
 
 
 def numbered(rows: DataFrame, by: list[str], order: list[str]) -> DataFrame:

@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from crashlake.llm.common import chunks, numbered, split_words, stage
+from crashlake.llm.common import chunks, numbered, split_words, stage, unstage
 
 #: Fewest occurrences of a candidate, most words, share (percent) of a phrase's
 #: occurrences within a longer one from which it is dropped, phrases returned.
@@ -42,7 +42,7 @@ LEAST, LONGEST, COVERED, BEST = 10, 3, 50, 2000
 #: are dealt out in bands, and rows of cells in a band.
 TILE = 1024
 CELLS = TILE * TILE
-DENSE, PIECE, SLICE_BYTES, BUSY, BAND = CELLS // 16, 1024, 4 << 20, 4, 16
+DENSE, PIECE, SLICE_BYTES, BUSY, BAND = CELLS // 16, 256, 8 << 20, 4, 16
 #: Rows of tile pieces worked on at once.
 AT_ONCE = 1024
 #: Ends a piece; no word holds it.
@@ -50,40 +50,66 @@ BREAK = "."
 SCALE = 1_000_000
 
 SLICE = "lang string, words array<string>, counts array<bigint>, codes binary"
-CODED = "slice bigint, lang string, words binary, heads binary"
+CODED = "slice bigint, lang string, n bigint, words binary, heads binary"
+NO_SLICE = pa.table({"slice": pa.array([], pa.int64()), "lang": pa.array([], pa.string()), "n": pa.array([], pa.int64()), "words": pa.array([], pa.binary()), "heads": pa.array([], pa.binary())})
 PIECES = "lang string, tile bigint, band int, slice bigint, cells binary, counts binary"
 FOUND = "lang string, first bigint, last bigint, a bigint"
 LEARNT = "slice bigint, tile bigint, cells binary, ids binary"
 
 
+def _slice(lang: str, texts: pa.Array) -> Iterator[pa.RecordBatch]:
+    """A row of SLICE: its distinct words, their counts, and each place's word (-1: a break)."""
+    pieces = pc.replace_substring_regex(pc.ascii_lower(pc.fill_null(texts, "")), r"[.,;:!?\x0A-\x0D]+", f" {BREAK} ")
+    pieces = pc.binary_join_element_wise(pa.scalar(BREAK, pieces.type), pieces, pa.scalar(" ", pieces.type))
+    coded = split_words(pieces)[0].dictionary_encode()
+    place, words = np.asarray(coded.indices).astype(np.int32), coded.dictionary
+    real = np.asarray(pc.not_equal(words, BREAK))
+    if not real.any():
+        return
+    renumbered = np.where(real, np.cumsum(real) - 1, -1).astype(np.int32)
+    counts = np.bincount(place, minlength=len(words))[real]
+    yield pa.record_batch({"lang": pa.array([lang], pa.string()), "words": pa.array([words.filter(pa.array(real)).cast(pa.string())], pa.list_(pa.string())),
+                           "counts": pa.array([counts], pa.list_(pa.int64())), "codes": pa.array([renumbered[place].tobytes()], pa.binary())})
+
+
 def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows of SLICE: its distinct words, their counts, and each place's word (-1: a break)."""
+    """Rows of SLICE, of about SLICE_BYTES of one language's texts each, also from several batches."""
+    waiting: dict[str, tuple[list[pa.Array], int]] = {}
     for batch in batches:
         langs = batch.column("lang").dictionary_encode()
         codes = np.asarray(langs.indices)
         for k, lang in enumerate(langs.dictionary.to_pylist()):
-            for _, some in chunks(batch.column("text").filter(pa.array(codes == k)), SLICE_BYTES):
-                pieces = pc.replace_substring_regex(pc.ascii_lower(pc.fill_null(some, "")), r"[.,;:!?\x0A-\x0D]+", f" {BREAK} ")
-                pieces = pc.binary_join_element_wise(pa.scalar(BREAK, pieces.type), pieces, pa.scalar(" ", pieces.type))
-                coded = split_words(pieces)[0].dictionary_encode()
-                place, words = np.asarray(coded.indices).astype(np.int32), coded.dictionary
-                real = np.asarray(pc.not_equal(words, BREAK))
-                if not real.any():
-                    continue
-                renumbered = np.where(real, np.cumsum(real) - 1, -1).astype(np.int32)
-                counts = np.bincount(place, minlength=len(words))[real]
-                yield pa.record_batch({"lang": pa.array([lang], pa.string()), "words": pa.array([words.filter(pa.array(real)).cast(pa.string())], pa.list_(pa.string())),
-                                       "counts": pa.array([counts], pa.list_(pa.int64())), "codes": pa.array([renumbered[place].tobytes()], pa.binary())})
+            for _, some in chunks(batch.column("text").filter(pa.array(codes == k)), SLICE_BYTES // 8):
+                texts, size = waiting.pop(lang, ([], 0))
+                texts, size = [*texts, some], size + some.nbytes
+                if size < SLICE_BYTES and len(waiting) < 64:
+                    waiting[lang] = texts, size
+                else:
+                    yield from _slice(lang, pa.concat_arrays(texts))
+    for lang, (texts, _) in waiting.items():
+        yield from _slice(lang, pa.concat_arrays(texts))
+
+
+def _packed(numbers: np.ndarray) -> bytes:
+    """In 32 bits each where they fit."""
+    return numbers.astype(np.int32 if not len(numbers) or numbers.max() < 2**31 else np.int64).tobytes()
+
+
+def _unpacked(slices: pa.Table, row: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """(words, heads) of a row of CODED; no heads are those of single words, the words themselves."""
+    n, words, heads = (slices.column(c)[row].as_py() for c in ("n", "words", "heads"))
+    of = lambda x: np.frombuffer(x, np.int32 if len(x) == 4 * n else np.int64).astype(np.int64)
+    words = of(words)
+    return words, words if heads is None else of(heads)
 
 
 def _numbers(key, slices: pa.Table, found: pa.Table) -> pa.Table:
     """A row of CODED from a slice and the (code, id) of its frequent words."""
-    row = slices.to_pylist()[0]
-    codes = np.frombuffer(row["codes"], dtype=np.int32)
+    codes = np.frombuffer(slices.column("codes")[0].as_py(), dtype=np.int32)
     ids = np.zeros(int(codes.max()) + 2, dtype=np.int64)  # the last for code -1
     ids[found.column("code").to_numpy()] = found.column("id").to_numpy()
-    words = ids[codes].tobytes()
-    return pa.table({"slice": pa.array([row["slice"]], pa.int64()), "lang": pa.array([row["lang"]], pa.string()), "words": pa.array([words], pa.binary()), "heads": pa.array([words], pa.binary())})
+    return pa.table({"slice": slices.column("slice"), "lang": slices.column("lang"), "n": pa.array([len(codes)], pa.int64()),
+                     "words": pa.array([_packed(ids[codes])], pa.binary()), "heads": pa.array([None], pa.binary())})
 
 
 def _pairs(heads: np.ndarray, words: np.ndarray, level: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -162,7 +188,7 @@ def _count(level: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k in range(batch.num_rows):
-                words, heads = (np.frombuffer(batch.column(c)[k].as_py(), np.int64) for c in ("words", "heads"))
+                words, heads = _unpacked(batch, k)
                 _, left, right = _pairs(heads, words, level)
                 tile, cell = _address(left, right)
                 yield from _pieces(batch.column("lang")[k].as_py(), batch.column("slice")[k].as_py(), *add_up(cell, None, tile))
@@ -258,7 +284,7 @@ def _learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _heads(level: int):
     """The slice with the numbers of its frequent phrases of ``level`` words in place of its heads."""
     def run(key, slices: pa.Table, learnt: pa.Table) -> pa.Table:
-        words, heads = (np.frombuffer(slices.column(c)[0].as_py(), np.int64) for c in ("words", "heads"))
+        words, heads = _unpacked(slices)
         at, left, right = _pairs(heads, words, level)
         tile, cell = _address(left, right)
         own = learnt.combine_chunks()
@@ -271,7 +297,7 @@ def _heads(level: int):
         found = np.zeros(len(words), np.int64)
         hit = have[place] == want
         found[at[hit]] = ids[place[hit]]
-        return slices.set_column(slices.column_names.index("heads"), "heads", pa.array([found.tobytes()], pa.binary()))
+        return slices.set_column(slices.column_names.index("heads"), "heads", pa.array([_packed(found)], pa.binary()))
     return run
 
 
@@ -306,7 +332,7 @@ def _with_heads(coded: DataFrame, pieces: DataFrame, found: DataFrame, level: in
 def _guarded(join):
     """``join`` of a slice and what it learnt; a slice that learnt nothing has no candidate left."""
     def run(key, slices: pa.Table, learnt: pa.Table) -> pa.Table:
-        return join(key, slices, learnt) if slices.num_rows and learnt.num_rows else slices.slice(0, 0)
+        return join(key, slices, learnt) if slices.num_rows and learnt.num_rows else NO_SLICE
     return run
 
 
@@ -328,12 +354,13 @@ def phrases(docs: DataFrame, text: str = "text", lang: str = "lang", least: int
     and the number of words of each language (lang, n)."""
     rows = docs.select(F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("lang"), F.col(text).cast("string").alias("text"))
     slices = stage(rows.mapInArrow(_slices, SLICE).withColumn("slice", F.monotonically_increasing_id()), "slices")
-    totals = slices.groupBy("lang").agg(F.sum(F.aggregate("counts", F.lit(0).cast("long"), lambda x, y: x + y)).alias("n"))
+    totals = stage(slices.groupBy("lang").agg(F.sum(F.aggregate("counts", F.lit(0).cast("long"), lambda x, y: x + y)).alias("n")), "totals")
     each = slices.select("lang", F.inline(F.arrays_zip("words", "counts"))).groupBy(F.col("lang"), F.col("words").alias("phrase")).agg(F.sum("counts").alias("a"))
     single = stage(_ranked(each.where(F.col("a") >= least), "phrase"), "words")
     places = slices.select("slice", "lang", F.posexplode("words").alias("code", "phrase")).join(single.select("lang", "phrase", "id"), ["lang", "phrase"]).select(F.col("slice").alias("owner"), "code", "id")
     coded = slices.select("slice", "lang", "codes").groupBy("slice").cogroup(places.groupBy("owner")).applyInArrow(_guarded(_numbers), CODED)
     coded = stage(coded, "coded")
+    unstage(slices)
     ways = max(1, isqrt(coded.count()))
     word = single.select("lang", F.col("id").alias("last"), F.col("phrase").alias("__word"))
     levels = [single.withColumn("words", F.array("id"))]
@@ -341,11 +368,13 @@ def phrases(docs: DataFrame, text: str = "text", lang: str = "lang", least: int
         part = F.when(F.col("band") >= 0, F.pmod(F.xxhash64("slice"), F.lit(ways))).otherwise(0).cast("int")
         pieces = stage(coded.mapInArrow(_count(level), PIECES).withColumn("part", part), "pieces")
         found = stage(_ranked(_frequent(pieces, least), "first", "last"), "frequent")
-        before = levels[-1].select("lang", F.col("id").alias("first"), F.col("phrase").alias("__phrase"), F.col("words").alias("__words"))
-        named = found.join(before, ["lang", "first"]).join(word, ["lang", "last"])
+        shorter = levels[-1].select("lang", F.col("id").alias("first"), F.col("phrase").alias("__phrase"), F.col("words").alias("__words"))
+        named = found.join(shorter, ["lang", "first"]).join(word, ["lang", "last"])
         levels.append(stage(named.select("lang", "id", F.concat_ws(" ", "__phrase", "__word").alias("phrase"), F.concat("__words", F.array("last")).alias("words"), "a"), "phrases"))
         if level < longest:
-            coded = stage(_with_heads(coded, pieces, found, level), "coded")
+            before, coded = coded, stage(_with_heads(coded, pieces, found, level), "coded")
+            unstage(before)
+        unstage(pieces)
     return levels, totals
 
 

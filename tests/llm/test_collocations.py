@@ -73,6 +73,11 @@ def test_odd_rows(spark):
     assert mined(frame(spark, rows), best=3) == [r for r in got if r[1] <= 3]
 
 
+def test_a_language_without_frequent_words(spark):
+    rows = texts(12, 30) + [(900, "each word of it once", "it", "s", 0, "", "", "", "", "")]
+    assert mined(frame(spark, rows)) == [r for r in plain([(r[1], r[2]) for r in rows], 10, 3)]
+
+
 def test_no_rows_and_no_words(spark):
     docs = frame(spark, documents())
     assert mined(docs.where("false")) == []
