@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from crashlake.llm import op1_simhash, op5_packing, op7_rules, op8_mixing, op10_quality
-from crashlake.llm.common import STAGED, drop_staged, held_out, stage, table
+from crashlake.llm.common import held_out, scratch, stage, table, unstage
 
 #: Least quality score that stays.
 LEAST_QUALITY = 0.3
@@ -64,7 +64,8 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, step in STAGES[:-1]:
-        done = len(STAGED)
-        docs = stage(step(spark, docs, sf_dir), name)
-        drop_staged(spark, done)  # what the operator staged for itself
+        with scratch(spark):  # what the operator stages for itself goes with it
+            done = stage(step(spark, docs, sf_dir), name, keep=True)
+        unstage(docs)
+        docs = done
     return STAGES[-1][1](spark, docs, sf_dir)
