@@ -42,9 +42,9 @@ LEAST, LONGEST, COVERED, BEST = 10, 3, 50, 2000
 #: are dealt out in bands, and rows of cells in a band.
 TILE = 1024
 CELLS = TILE * TILE
-DENSE, PIECE, SLICE_BYTES, BUSY, BAND = CELLS // 16, 256, 8 << 20, 4, 16
-#: Rows of tile pieces worked on at once.
-AT_ONCE = 1024
+DENSE, PIECE, SLICE_BYTES, BUSY, BAND = CELLS // 16, 256, 4 << 20, 4, 16
+#: Rows of texts, or of tile pieces, worked on at once.
+AT_ONCE = 512
 #: Ends a piece; no word holds it.
 BREAK = "."
 SCALE = 1_000_000
@@ -75,7 +75,7 @@ def _slice(lang: str, texts: pa.Array) -> Iterator[pa.RecordBatch]:
 def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows of SLICE, of about SLICE_BYTES of one language's texts each, also from several batches."""
     waiting: dict[str, tuple[list[pa.Array], int]] = {}
-    for batch in batches:
+    for batch in (whole.slice(at, AT_ONCE) for whole in batches for at in range(0, whole.num_rows, AT_ONCE)):
         langs = batch.column("lang").dictionary_encode()
         codes = np.asarray(langs.indices)
         for k, lang in enumerate(langs.dictionary.to_pylist()):
@@ -86,6 +86,7 @@ def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     waiting[lang] = texts, size
                 else:
                     yield from _slice(lang, pa.concat_arrays(texts))
+                    pa.default_memory_pool().release_unused()
     for lang, (texts, _) in waiting.items():
         yield from _slice(lang, pa.concat_arrays(texts))
 
@@ -128,26 +129,38 @@ def _address(left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarra
 def add_up(cells: np.ndarray, counts: np.ndarray | None, tiles: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(tile, cell, count) in order, each pair once: tiles of DENSE entries or more in
     a dense array, all others as one sorted list."""
-    kinds, of, sizes = np.unique(tiles, return_inverse=True, return_counts=True)
-    out = []
-    for k in np.flatnonzero(sizes >= DENSE):
-        some = of == k
-        full = np.bincount(cells[some], None if counts is None else counts[some], CELLS)
+    order = np.argsort(tiles, kind="stable")
+    tiles, cells = tiles[order], cells[order]
+    counts = None if counts is None else counts[order]
+    begin = np.flatnonzero(np.concatenate([np.ones(min(1, len(tiles)), bool), tiles[1:] != tiles[:-1]]))
+    sizes = np.diff(np.append(begin, len(tiles)))
+    number = np.repeat(np.arange(len(begin)), sizes)
+    busy = sizes >= DENSE
+    sparse = ~busy[number]
+    keys = number[sparse] * CELLS + cells[sparse]
+    order = np.argsort(keys, kind="stable")
+    keys = keys[order]
+    first = np.flatnonzero(np.concatenate([np.ones(min(1, len(keys)), bool), keys[1:] != keys[:-1]]))
+    if counts is None:
+        n = np.diff(np.append(first, len(keys)))
+    else:
+        n = np.add.reduceat(counts[sparse][order], first) if len(first) else counts[:0]
+    found = [(keys[first] // CELLS, keys[first] % CELLS, n)]
+    for k in np.flatnonzero(busy):
+        own = slice(begin[k], begin[k] + sizes[k])
+        full = np.bincount(cells[own], None, CELLS) if counts is None else _filled(cells[own], counts[own])
         hit = np.flatnonzero(full)
-        out.append((np.full(len(hit), kinds[k]), hit, full[hit].astype(np.int64)))
-    sparse = sizes[of] < DENSE
-    if sparse.any():
-        keys = of[sparse] * (CELLS) + cells[sparse]
-        order = np.argsort(keys, kind="stable")
-        keys = keys[order]
-        first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
-        n = np.diff(np.append(first, len(keys))) if counts is None else np.add.reduceat(counts[sparse][order], first)
-        out.append((kinds[keys[first] // (CELLS)], keys[first] % (CELLS), n))
-    if not out:
-        return (np.empty(0, np.int64),) * 3
-    tile, cell, n = map(np.concatenate, zip(*out))
-    order = np.argsort(tile, kind="stable")
-    return tile[order], cell[order], n[order]
+        found.append((np.full(len(hit), k), hit, full[hit]))
+    number, cell, n = map(np.concatenate, zip(*found))
+    order = np.argsort(number, kind="stable")
+    return tiles[begin][number[order]], cell[order], n[order]
+
+
+def _filled(cells: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Sums by cell, exact (bincount's weighted sums are floating)."""
+    full = np.zeros(CELLS, np.int64)
+    np.add.at(full, cells, counts)
+    return full
 
 
 def _binary(values: np.ndarray, starts: np.ndarray) -> pa.Array:
