@@ -50,11 +50,13 @@ BREAK = "."
 SCALE = 1_000_000
 
 SLICE = "lang string, words array<string>, counts array<bigint>, codes binary"
-CODED = "slice bigint, lang string, n bigint, words binary, heads binary"
-NO_SLICE = pa.table({"slice": pa.array([], pa.int64()), "lang": pa.array([], pa.string()), "n": pa.array([], pa.int64()), "words": pa.array([], pa.binary()), "heads": pa.array([], pa.binary())})
-PIECES = "lang string, tile bigint, band int, slice bigint, cells binary, counts binary"
+#: A slice as numbers (words not null), or a piece of its counts in a tile.
+CODED = "slice bigint, lang string, n bigint, words binary, heads binary, tile bigint, band int, cells binary, counts binary"
+CODED_TYPES = pa.schema([("slice", pa.int64()), ("lang", pa.string()), ("n", pa.int64()), ("words", pa.binary()), ("heads", pa.binary()),
+                         ("tile", pa.int64()), ("band", pa.int32()), ("cells", pa.binary()), ("counts", pa.binary())])
+PIECES = "slice bigint, lang string, tile bigint, band int, cells binary, counts binary"
 FOUND = "lang string, first bigint, last bigint, a bigint"
-LEARNT = "slice bigint, tile bigint, cells binary, ids binary"
+LEARNT = "owner bigint, tile bigint, cells binary, ids binary"
 
 
 def _slice(lang: str, texts: pa.Array) -> Iterator[pa.RecordBatch]:
@@ -104,13 +106,19 @@ def _unpacked(slices: pa.Table, row: int = 0) -> tuple[np.ndarray, np.ndarray]:
     return words, words if heads is None else of(heads)
 
 
-def _numbers(key, slices: pa.Table, found: pa.Table) -> pa.Table:
-    """A row of CODED from a slice and the (code, id) of its frequent words."""
+def _numbers(slices: pa.Table, found: pa.Table) -> pa.Table:
+    """Rows of CODED from a slice and the (code, id) of its frequent words: its numbers, and its counts of pairs."""
     codes = np.frombuffer(slices.column("codes")[0].as_py(), dtype=np.int32)
     ids = np.zeros(int(codes.max()) + 2, dtype=np.int64)  # the last for code -1
     ids[found.column("code").to_numpy()] = found.column("id").to_numpy()
-    return pa.table({"slice": slices.column("slice"), "lang": slices.column("lang"), "n": pa.array([len(codes)], pa.int64()),
-                     "words": pa.array([_packed(ids[codes])], pa.binary()), "heads": pa.array([None], pa.binary())})
+    words = ids[codes]
+    own = {"slice": slices.column("slice"), "lang": slices.column("lang"), "n": pa.array([len(codes)], pa.int64()), "words": pa.array([_packed(words)], pa.binary())}
+    return _coded(pa.table(own), _counted(slices, words, words, 2))
+
+
+def _coded(*tables: pa.Table) -> pa.Table:
+    """The tables as rows of CODED."""
+    return pa.concat_tables([CODED_TYPES.empty_table(), *tables], promote_options="default").select(CODED_TYPES.names)
 
 
 def _pairs(heads: np.ndarray, words: np.ndarray, level: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -181,31 +189,22 @@ def _banded(tile: np.ndarray, cell: np.ndarray) -> np.ndarray:
     return np.where(busy, cell // (TILE * BAND), -1)
 
 
-def _pieces(lang: str, owner: int, tile: np.ndarray, cell: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
+def _pieces(lang: str, owner: int, tile: np.ndarray, cell: np.ndarray, n: np.ndarray) -> pa.Table:
     """Rows of PIECES from the ordered counts of one language and slice (or part)."""
-    if not len(tile):
-        return
     band = _banded(tile, cell)
-    new = np.concatenate([[True], (tile[1:] != tile[:-1]) | (band[1:] != band[:-1])])
-    begin = np.flatnonzero(new)
+    begin = np.flatnonzero(np.concatenate([np.ones(min(1, len(tile)), bool), (tile[1:] != tile[:-1]) | (band[1:] != band[:-1])]))
     within = np.arange(len(tile)) - np.repeat(begin, np.diff(np.append(begin, len(tile))))
     starts = np.flatnonzero(within % PIECE == 0)
-    rows = pa.table({
-        "lang": pa.array([lang] * len(starts), pa.string()), "tile": tile[starts], "band": band[starts].astype(np.int32), "slice": np.full(len(starts), owner),
+    return pa.table({
+        "slice": np.full(len(starts), owner), "lang": pa.array([lang] * len(starts), pa.string()), "tile": tile[starts], "band": band[starts].astype(np.int32),
         "cells": _binary(cell.astype(np.uint32), starts), "counts": _binary(n.astype(np.int64), starts)})
-    yield from rows.to_batches(max_chunksize=AT_ONCE)
 
 
-def _count(level: int):
-    """Rows of CODED to the pieces of their pairs at ``level``."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for k in range(batch.num_rows):
-                words, heads = _unpacked(batch, k)
-                _, left, right = _pairs(heads, words, level)
-                tile, cell = _address(left, right)
-                yield from _pieces(batch.column("lang")[k].as_py(), batch.column("slice")[k].as_py(), *add_up(cell, None, tile))
-    return run
+def _counted(slices: pa.Table, heads: np.ndarray, words: np.ndarray, level: int) -> pa.Table:
+    """A slice's rows of PIECES at ``level``."""
+    _, left, right = _pairs(heads, words, level)
+    tile, cell = _address(left, right)
+    return _pieces(slices.column("lang")[0].as_py(), slices.column("slice")[0].as_py(), *add_up(cell, None, tile))
 
 
 class _Runs:
@@ -234,7 +233,7 @@ def _add(least: int | None):
     def give(key, cell: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
         lang, tile, _, part = key
         if least is None:
-            yield from _pieces(lang, part, np.full(len(cell), tile), cell, n)
+            yield from _pieces(lang, part, np.full(len(cell), tile), cell, n).to_batches(max_chunksize=AT_ONCE)
             return
         some = n >= least
         if some.any():
@@ -288,15 +287,16 @@ def _learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 if len(hit):
                     rows, starts = np.unique(row[hit], return_index=True)
                     yield pa.record_batch({
-                        "slice": pieces.column("slice").take(pa.array(rows)), "tile": pieces.column("tile").take(pa.array(rows)),
+                        "owner": pieces.column("slice").take(pa.array(rows)), "tile": pieces.column("tile").take(pa.array(rows)),
                         "cells": _binary(cell[hit], starts), "ids": _binary(ids[place[hit]], starts)})
             last = of == len(runs.keys) - 1
             cells, ids = cells[last], ids[last]
 
 
-def _heads(level: int):
-    """The slice with the numbers of its frequent phrases of ``level`` words in place of its heads."""
-    def run(key, slices: pa.Table, learnt: pa.Table) -> pa.Table:
+def _heads(level: int, last: bool):
+    """The slice's counts of the next level, from the numbers of its frequent phrases of
+    ``level`` words; and, unless that is the last, those numbers as its heads."""
+    def run(slices: pa.Table, learnt: pa.Table) -> pa.Table:
         words, heads = _unpacked(slices)
         at, left, right = _pairs(heads, words, level)
         tile, cell = _address(left, right)
@@ -310,7 +310,10 @@ def _heads(level: int):
         found = np.zeros(len(words), np.int64)
         hit = have[place] == want
         found[at[hit]] = ids[place[hit]]
-        return slices.set_column(slices.column_names.index("heads"), "heads", pa.array([_packed(found)], pa.binary()))
+        counted = _counted(slices, found, words, level + 1)
+        if last:
+            return _coded(counted)
+        return _coded(slices.set_column(slices.column_names.index("heads"), "heads", pa.array([_packed(found)], pa.binary())), counted)
     return run
 
 
@@ -329,8 +332,8 @@ def _frequent(pieces: DataFrame, least: int) -> DataFrame:
     return _dealt(rows).mapInArrow(_add(least), FOUND)
 
 
-def _with_heads(coded: DataFrame, pieces: DataFrame, found: DataFrame, level: int) -> DataFrame:
-    """The slices that hold pairs of ``found`` (lang, first, last, id) with their numbers as heads."""
+def _learnt(pieces: DataFrame, found: DataFrame) -> DataFrame:
+    """Rows of LEARNT: what each slice's pieces hold of ``found`` (lang, first, last, id)."""
     tile = F.shiftleft(F.floor((F.col("first") - 1) / TILE), 32) + F.floor((F.col("last") - 1) / TILE)
     cell = (((F.col("first") - 1) % TILE) * TILE + (F.col("last") - 1) % TILE).cast("int")
     busy = (F.col("first") <= BUSY * TILE) & (F.col("last") <= BUSY * TILE)
@@ -338,15 +341,15 @@ def _with_heads(coded: DataFrame, pieces: DataFrame, found: DataFrame, level: in
     cells = cells.withColumn("band", F.when(F.col("busy"), F.floor(F.col("cell") / (TILE * BAND))).otherwise(-1).cast("int"))
     told = cells.join(pieces.select(*KEY).distinct(), ["lang", "tile", "band"]).select(*KEY, "cell", "id")
     rows = told.unionByName(pieces.select(*KEY, "slice", "cells"), allowMissingColumns=True).withColumn("last", F.coalesce("cell", F.lit(CELLS)))
-    learnt = _dealt(rows, "last").mapInArrow(_learn, LEARNT)
-    return coded.groupBy("slice").cogroup(learnt.groupBy("slice")).applyInArrow(_guarded(_heads(level)), CODED)
+    return _dealt(rows, "last").mapInArrow(_learn, LEARNT)
 
 
-def _guarded(join):
-    """``join`` of a slice and what it learnt; a slice that learnt nothing has no candidate left."""
-    def run(key, slices: pa.Table, learnt: pa.Table) -> pa.Table:
-        return join(key, slices, learnt) if slices.num_rows and learnt.num_rows else NO_SLICE
-    return run
+def _by_slice(slices: DataFrame, known: DataFrame, join) -> DataFrame:
+    """Rows of CODED: ``join`` of each slice and what is known of it (owner, ...), which is bounded
+    by the slice; one of which nothing is known has no candidate left."""
+    def run(key, one: pa.Table, own: pa.Table) -> pa.Table:
+        return join(one, own) if one.num_rows and own.num_rows else _coded()
+    return slices.groupBy("slice").cogroup(known.groupBy("owner")).applyInArrow(run, CODED)
 
 
 def _ranked(found: DataFrame, *order: str) -> DataFrame:
@@ -371,23 +374,23 @@ def phrases(docs: DataFrame, text: str = "text", lang: str = "lang", least: int
     each = slices.select("lang", F.inline(F.arrays_zip("words", "counts"))).groupBy(F.col("lang"), F.col("words").alias("phrase")).agg(F.sum("counts").alias("a"))
     single = stage(_ranked(each.where(F.col("a") >= least), "phrase"), "words")
     places = slices.select("slice", "lang", F.posexplode("words").alias("code", "phrase")).join(single.select("lang", "phrase", "id"), ["lang", "phrase"]).select(F.col("slice").alias("owner"), "code", "id")
-    coded = slices.select("slice", "lang", "codes").groupBy("slice").cogroup(places.groupBy("owner")).applyInArrow(_guarded(_numbers), CODED)
-    coded = stage(coded, "coded")
+    ways = max(1, isqrt(slices.count()))
+    part = F.when(F.col("band") >= 0, F.pmod(F.xxhash64("slice"), F.lit(ways))).otherwise(0).cast("int").alias("part")
+    coded = stage(_by_slice(slices.select("slice", "lang", "codes"), places, _numbers), "coded")
     unstage(slices)
-    ways = max(1, isqrt(coded.count()))
     word = single.select("lang", F.col("id").alias("last"), F.col("phrase").alias("__word"))
     levels = [single.withColumn("words", F.array("id"))]
     for level in range(2, longest + 1):
-        part = F.when(F.col("band") >= 0, F.pmod(F.xxhash64("slice"), F.lit(ways))).otherwise(0).cast("int")
-        pieces = stage(coded.mapInArrow(_count(level), PIECES).withColumn("part", part), "pieces")
+        pieces = coded.where("tile is not null").select("slice", "lang", "tile", "band", "cells", "counts", part)
         found = stage(_ranked(_frequent(pieces, least), "first", "last"), "frequent")
         shorter = levels[-1].select("lang", F.col("id").alias("first"), F.col("phrase").alias("__phrase"), F.col("words").alias("__words"))
         named = found.join(shorter, ["lang", "first"]).join(word, ["lang", "last"])
         levels.append(stage(named.select("lang", "id", F.concat_ws(" ", "__phrase", "__word").alias("phrase"), F.concat("__words", F.array("last")).alias("words"), "a"), "phrases"))
+        before = coded
         if level < longest:
-            before, coded = coded, stage(_with_heads(coded, pieces, found, level), "coded")
-            unstage(before)
-        unstage(pieces)
+            numbers = coded.where("words is not null").select("slice", "lang", "n", "words", "heads")
+            coded = stage(_by_slice(numbers, _learnt(pieces, found), _heads(level, level + 1 == longest)), "coded")
+        unstage(before)
     return levels, totals
 
 
