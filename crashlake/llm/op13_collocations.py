@@ -11,8 +11,8 @@ falling frequency in turn, the slices learn the numbers of the pairs they hold,
 and pairs of a phrase and the word behind it are counted in the same way, level by level.
 
 Every word and pair travels once for a slice, however often it occurs, and a slice
-is bounded. The busiest tiles are dealt out in bands of rows, and these first in as many
-parts as the square root of the slices, so that no key is hot. No group that is held at
+is bounded. The busiest tiles are dealt out in narrow bands of rows, and to be added up
+first in as many parts as the square root of the slices, so that no key is hot. No group that is held at
 once grows with the corpus. All counts are exact.
 
 Null texts are empty; a null language is ``und``, together with rows that say
@@ -42,7 +42,7 @@ LEAST, LONGEST, COVERED, BEST = 10, 3, 50, 2000
 #: are dealt out in bands, and rows of cells in a band.
 TILE = 1024
 CELLS = TILE * TILE
-DENSE, PIECE, SLICE_BYTES, BUSY, BAND = CELLS // 16, 256, 4 << 20, 4, 16
+DENSE, PIECE, SLICE_BYTES, BUSY, BAND = CELLS // 16, 256, 4 << 20, 4, 2
 #: Rows of texts, or of tile pieces, worked on at once.
 AT_ONCE = 512
 #: Ends a piece; no word holds it.
@@ -339,8 +339,9 @@ def _learnt(pieces: DataFrame, found: DataFrame) -> DataFrame:
     busy = (F.col("first") <= BUSY * TILE) & (F.col("last") <= BUSY * TILE)
     cells = found.select("lang", tile.alias("tile"), cell.alias("cell"), F.col("id"), busy.alias("busy"))
     cells = cells.withColumn("band", F.when(F.col("busy"), F.floor(F.col("cell") / (TILE * BAND))).otherwise(-1).cast("int"))
-    told = cells.join(pieces.select(*KEY).distinct(), ["lang", "tile", "band"]).select(*KEY, "cell", "id")
-    rows = told.unionByName(pieces.select(*KEY, "slice", "cells"), allowMissingColumns=True).withColumn("last", F.coalesce("cell", F.lit(CELLS)))
+    told = cells.select("lang", "tile", "band", F.lit(0).alias("part"), "cell", "id")
+    rows = told.unionByName(pieces.select("lang", "tile", "band", F.lit(0).alias("part"), "slice", "cells"), allowMissingColumns=True)
+    rows = rows.withColumn("last", F.coalesce("cell", F.lit(CELLS)))
     return _dealt(rows, "last").mapInArrow(_learn, LEARNT)
 
 
