@@ -227,20 +227,26 @@ class _Runs:
         return number if follows else number + 1
 
 
+def _sums(keys: list, number: np.ndarray, cell: np.ndarray, n: np.ndarray, least: int | None) -> pa.Table:
+    """Rows of FOUND of at least ``least``, or of PIECES, from the ordered sums of several runs."""
+    langs, tiles, bands, parts = zip(*[key or ("", 0, 0, 0) for key in keys])
+    if least is None:
+        begin = np.flatnonzero(np.concatenate([np.ones(min(1, len(number)), bool), number[1:] != number[:-1]]))
+        within = np.arange(len(number)) - np.repeat(begin, np.diff(np.append(begin, len(number))))
+        starts = np.flatnonzero(within % PIECE == 0)
+        of = pa.array(number[starts])
+        return pa.table({"slice": pa.array(parts, pa.int64()).take(of), "lang": pa.array(langs, pa.string()).take(of), "tile": pa.array(tiles, pa.int64()).take(of),
+                         "band": pa.array(bands, pa.int32()).take(of), "cells": _binary(cell.astype(np.uint32), starts), "counts": _binary(n, starts)})
+    some = n >= least
+    number, cell, n = number[some], cell[some], n[some]
+    tile = np.array(tiles, np.int64)[number]
+    return pa.table({"lang": pa.array(langs, pa.string()).take(pa.array(number)), "first": (tile >> 32) * TILE + cell // TILE + 1,
+                     "last": (tile & 0xFFFFFFFF) * TILE + cell % TILE + 1, "a": n})
+
+
 def _add(least: int | None):
     """Sums of pieces sorted by (lang, tile, band, part): rows of FOUND of at least
     ``least``, or, if None, pieces again, one set for each part."""
-    def give(key, cell: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
-        lang, tile, _, part = key
-        if least is None:
-            yield from _pieces(lang, part, np.full(len(cell), tile), cell, n).to_batches(max_chunksize=AT_ONCE)
-            return
-        some = n >= least
-        if some.any():
-            cell, n = cell[some], n[some]
-            yield pa.record_batch({"lang": pa.array([lang] * len(n), pa.string()), "first": (tile >> 32) * TILE + cell // TILE + 1,
-                                   "last": (tile & 0xFFFFFFFF) * TILE + cell % TILE + 1, "a": n})
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         runs, cells, sums = _Runs(), np.empty(0, np.int64), np.empty(0, np.int64)
         for whole in batches:
@@ -251,14 +257,11 @@ def _add(least: int | None):
                 n, _ = _values(batch.column("counts"), np.int64)
                 number = np.concatenate([np.zeros(len(cells), np.int64), np.repeat(number, sizes)])
                 number, cell, n = add_up(np.concatenate([cells, cell.astype(np.int64)]), np.concatenate([sums, n]), number)
-                last = len(runs.keys) - 1
-                ends = np.searchsorted(number, np.arange(last + 2))
-                for k in range(last):
-                    if ends[k] < ends[k + 1]:
-                        yield from give(runs.keys[k], cell[ends[k]:ends[k + 1]], n[ends[k]:ends[k + 1]])
-                cells, sums = cell[ends[last]:], n[ends[last]:]
+                done = np.searchsorted(number, len(runs.keys) - 1)  # the last run may go on
+                yield from _sums(runs.keys, number[:done], cell[:done], n[:done], least).to_batches(max_chunksize=10 * AT_ONCE)
+                cells, sums = cell[done:], n[done:]
         if len(cells):
-            yield from give(runs.key, cells, sums)
+            yield from _sums([runs.key], np.zeros(len(cells), np.int64), cells, sums, least).to_batches(max_chunksize=10 * AT_ONCE)
     return run
 
 
