@@ -205,6 +205,14 @@ def _read_back(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_feed(spark, paths).select(*FEED_COLUMNS, F.col("_corrupt_record").isNotNull().alias("broken"))
 
 
+def _read_one(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quoted feed written as one CSV file, which is read by many tasks."""
+    path = _scratch(spark, "feed")
+    writer = quoted_feed(spark, sf_dir).select(*FEED_COLUMNS).coalesce(1).write.option("header", True)
+    writer.options(escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(path)
+    return read_feed(spark, path).select(*FEED_COLUMNS, F.col("_corrupt_record").isNotNull().alias("broken"))
+
+
 def _append_new(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The feed's first rows loaded, loaded again, then the whole feed; what the store holds."""
     root, feed = _scratch(spark, "store"), fx_raw(spark, sf_dir)
@@ -286,6 +294,7 @@ QUERIES: dict[str, Query] = {
     "d9_default_window_chosen_start": _on_tables(lambda t: D.default_window(t, P.D9_END, start=P.D9_START)),
     "d9_default_window_chosen_end": _on_tables(lambda t: D.default_window(t, P.D9_END)),
     "s1_read_feed": _read_back,
+    "s1_read_one_file": _read_one,
     "s2_append_new": _append_new,
     "s3_create_tables": _create_and_fill,
     "s4_export_csv": _export,

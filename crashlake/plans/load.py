@@ -22,7 +22,6 @@ at a time, and a load that finds another's lock refuses to start.
 
 from __future__ import annotations
 
-import hashlib
 import uuid
 from concurrent.futures import ThreadPoolExecutor
 
@@ -40,6 +39,14 @@ def at_once(*jobs):
         return [f.result() for f in [pool.submit(job) for job in jobs]]
 
 
+def feed_id(spark: SparkSession, path: str) -> str:
+    """The load id of a path: a digest of its files' names, sizes and times, so that a
+    file delivered again with other content is another load."""
+    files = spark.read.format("binaryFile").load(path).select("path", "length", "modificationTime")
+    one = F.sha2(F.concat_ws("|", "path", F.col("length").cast("string"), F.unix_micros("modificationTime").cast("string")), 256)
+    return files.agg(F.sha2(F.array_join(F.sort_array(F.collect_list(one)), ""), 256)).first()[0][:32]
+
+
 def load_feed(spark: SparkSession, feed: DataFrame | str, root: str, mode: str = "quarantine",
               order_col: str = "_order", num_files: int | None = None, load_id: str | None = None) -> str:
     """Load one feed (a path to CSV, or an all-string DataFrame with an order
@@ -47,13 +54,12 @@ def load_feed(spark: SparkSession, feed: DataFrame | str, root: str, mode: str =
     the store at ``root``.  Returns the load id."""
     if mode not in ("quarantine", "fail"):
         raise ValueError("mode must be 'quarantine' or 'fail'")
-    if isinstance(feed, str):
-        feed = read_feed(spark, feed)
-        load_id = load_id or hashlib.sha256("\n".join(sorted(feed.inputFiles())).encode()).hexdigest()[:32]
-    load_id = load_id or uuid.uuid4().hex
+    load_id = load_id or (feed_id(spark, feed) if isinstance(feed, str) else uuid.uuid4().hex)
     with store.one_load(spark, root, load_id):
         staging = store.Staging(spark, root, load_id)
         try:
+            if isinstance(feed, str):
+                feed = read_feed(spark, feed, staging.write)
             _load(spark, feed, root, mode, order_col, num_files, load_id, staging)
         finally:
             staging.close()

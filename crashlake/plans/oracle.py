@@ -471,3 +471,4 @@ FROM fx_vehicles v LEFT JOIN fact f ON v.collision_id = f.collision_id""",
     + """SELECT x.collision_id, x.factor_order, x.factor_desc, f.date_key, f.borough_key, f.zip_code, f.on_street_name, f.cross_street_name, f.latitude, f.longitude
 FROM fx_factors x LEFT JOIN fact f ON x.collision_id = f.collision_id""",
 })
+ORACLE["s1_read_one_file"] = ORACLE["s1_read_feed"]

@@ -3,10 +3,14 @@
 Columns are taken by each file's own header, so column order does not matter,
 not even between the files of one feed; a column a file lacks is NULL (the
 reference reads rows with ``dict.get``).  Quoted fields may hold commas,
-doubled quotes and line ends.  A row with too many or too few fields keeps
-its text in ``_corrupt_record``, which the load turns into a reject.  A missing
-path, or a file whose header names no collision id, is an error.  Nothing is
-inferred: every column is text until the cleaning step types it.
+doubled quotes and line ends (sources.csv_records), and a large file is still
+read by many tasks.  A row with too many or too few fields keeps its text in
+``_corrupt_record``, which the load turns into a reject.  A missing path, or
+a file - also a single one - whose header names no collision id, is an error.
+Nothing is inferred: every column is text until the cleaning step types it.
+
+The text is read once and staged with what each line says about the
+records' borders; records, headers and fields come from that.
 
 ``_order`` records file order (path, split start, position inside the split),
 which "first row wins" needs: splits can be packed into tasks out of file
@@ -15,49 +19,60 @@ order, so the generated id alone is not enough.
 
 from __future__ import annotations
 
+import csv
+import uuid
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from crashlake.schema import FEED_COLUMNS
+from crashlake.session import ensure_checkpoint_dir
+from crashlake.sources.csv_records import read_lines, records
 
 ORDER_COL = "_order"
 CORRUPT_COL = "_corrupt_record"
 ID_COLUMN = "collision_id"
 #: Quoted CSV as spreadsheets and databases write it; every column is parsed, so that broken rows show.
 CSV_OPTIONS = {"quote": '"', "escape": '"', "mode": "PERMISSIVE", "columnPruning": False, "columnNameOfCorruptRecord": CORRUPT_COL}
-
-
-def header_files(spark: SparkSession, path: str | list[str]) -> list[list[str]]:
-    """The feed's files grouped by equal header line.  Headers are found by a
-    distributed scan for lines that name the id column at a file's start; the
-    driver gets a file name and a header per file, as for any file listing."""
-    text = spark.read.text(path)
-    files = sorted(text.inputFiles())
-    if len(files) < 2:
-        return [files]
-    lines = text.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
-                        F.monotonically_increasing_id().alias("row"), "value").where(F.col("value").contains(ID_COLUMN) & (F.col("block") == 0))
-    first = lines.groupBy("file").agg(F.min_by("value", "row").alias("header"))
-    groups = [sorted(r.files) for r in first.groupBy("header").agg(F.collect_list("file").alias("files")).collect()]
-    if sum(map(len, groups)) != len(files):
-        raise ValueError(f"some of the {len(files)} feed files have no header that names {ID_COLUMN}")
-    return sorted(groups)
-
-
-def read_feed(spark: SparkSession, path: str | list[str], multi_line: bool = True) -> DataFrame:
-    """``multi_line``: quoted fields may hold line ends, and a file is one split;
-    without it large files are split, and a record with a line end in a field
-    is reported as broken."""
-    found = []
-    for files in header_files(spark, path):
-        reader = spark.read.options(**CSV_OPTIONS).option("header", True).option("multiLine", multi_line)
-        names = [c for c in reader.csv(files[0]).columns if c != CORRUPT_COL]
-        schema = T.StructType([T.StructField(c, T.StringType()) for c in [*names, CORRUPT_COL]])
-        found.append(select_feed_columns(reader.schema(schema).csv(files), with_file_order=True))
-    return reduce(DataFrame.unionByName, found)
+#: Writes a frame under a label and reads it back.
+Write = Callable[[DataFrame, str], DataFrame]
+
+
+def _scratch_write(df: DataFrame, label: str) -> DataFrame:
+    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/crashlake-{label}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _parsed(rows: DataFrame, header: str) -> DataFrame:
+    """The fields of ``rows`` (value, ...) under the names of their header."""
+    names = [n for n in next(csv.reader([header]))]
+    taken = [n if names.index(n) == i and n != CORRUPT_COL else f"_again{i}" for i, n in enumerate(names)]
+    schema = ", ".join(f"`{n.replace('`', '``')}` string" for n in [*taken, CORRUPT_COL])
+    fields = rows.select(F.from_csv("value", schema, {k: str(v) for k, v in CSV_OPTIONS.items() if k != "columnPruning"}).alias("_f"), ORDER_COL)
+    has = set(taken)
+    cols = [(F.col("_f").getField(c) if c in has else F.lit(None).cast("string")).alias(c) for c in FEED_COLUMNS]
+    return fields.select(*cols, F.col("_f").getField(CORRUPT_COL).alias(CORRUPT_COL), ORDER_COL)
+
+
+def read_feed(spark: SparkSession, path: str | list[str], write: Write = _scratch_write) -> DataFrame:
+    """The feed's rows.  ``write`` stages the text; the driver gets a file
+    name's header per file, as for any file listing."""
+    text, n_files = read_lines(spark, path)
+    lines = write(text, "feed-lines")
+    found = records(lines).withColumn(ORDER_COL, F.struct("file", "block", "row"))
+    first = records(lines.filter(F.col("block") == 0)).groupBy("file").agg(F.min(F.struct("block", "row", "value")).alias("h"))
+    heads = write(first.select("file", F.col("h.block").alias("_block"), F.col("h.row").alias("_row"), F.col("h.value").alias("_header")), "feed-headers")
+    counted = {r._header: r["count"] for r in heads.groupBy("_header").count().collect()}
+    good = [h for h in counted if ID_COLUMN in next(csv.reader([h]))]
+    if sum(counted[h] for h in good) != n_files:
+        raise ValueError(f"some of the {n_files} feed files have no header that names {ID_COLUMN}")
+    body = found.join(heads, "file").filter((F.col("block") != F.col("_block")) | (F.col("row") != F.col("_row")))
+    if len(good) == 1:
+        return _parsed(body, good[0])
+    return reduce(DataFrame.unionByName, [_parsed(body.filter(F.col("_header") == h), h) for h in sorted(good)])
 
 
 def select_feed_columns(raw: DataFrame, with_file_order: bool = False) -> DataFrame:
