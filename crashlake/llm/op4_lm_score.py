@@ -1,7 +1,7 @@
 """Cross-entropy difference of matched n-gram models.
 
-The target model learns from target rows, the background model from every
-document. Both are interpolated word-bigram models over one shared vocabulary,
+The target model learns from target rows, the background model from all rows
+marked so. Both are interpolated word-bigram models over one shared vocabulary,
 all lower-cased words that occur. Background counts are scaled to the target's
 number of words, so both are smoothed alike. A document's score is the mean
 over its words of target loss minus background loss: lower is closer to the
@@ -9,225 +9,206 @@ target. The texts are dealt into two halves by a hash of the whole text, and a
 document is scored by the models of the half it is not in: no text, and no
 exact copy of it, is scored by counts it gave itself.
 
-:func:`score` counts words and pairs in Spark, in tables that grow with the
-corpus, and joins each text's pairs to them. :func:`train` and
-:func:`cross_entropy_difference` are the form for scoring a column by a model
-of constant size, over WORDS (PAIRS) hash classes that many words may share:
-its scores lose meaning as the corpus grows, and no query uses it."""
+Texts are cut into slices. A slice sends each distinct word and pair of words of
+its texts once for each half, under a 64-bit key and with its counts, to the
+bucket of that key; the number of buckets follows the number of words, so that
+one holds a bounded share. A bucket adds up what it got and answers each slice
+with the counts in the other half of what that slice sent; what does not occur there
+needs no answer. With the answers the slice scores its texts in place. No
+key travels more often than once a slice, so none is hot.
+
+A null or wordless text has 0 words and null losses. Repeated rows count, and are
+scored, each; a very long text is a slice of its own; without target rows the target is
+smoothing alone; an empty table gives none; columns of any other name are not looked at."""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark import TaskContext
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from crashlake.llm.common import chunks, split_words, stage
-from crashlake.llm.common import words as word_array
-
-#: Hash classes of words and of pairs, weight of the smoothing distribution, counts
-#: travelling together, and bytes of text counted at once.
-WORDS, PAIRS, PRIOR, PART, TEXT_BYTES = 1 << 18, 1 << 20, 4.0, 1 << 15, 4 << 20
-
-
-def word_classes(text: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """(class of each word, each text's number of words)."""
-    flat, sizes = split_words(pc.ascii_lower(text))
-    coded = flat.dictionary_encode()
-    known = np.fromiter((xxhash.xxh64_intdigest(w) & (WORDS - 1) for w in coded.dictionary.cast(pa.large_binary()).to_pylist()),
-                        dtype=np.int64, count=len(coded.dictionary))
-    return known[np.asarray(coded.indices)] if len(flat) else np.empty(0, np.int64), sizes
-
-
-def pair_classes(words: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(previous word, pair class) of each word; a text's first word follows class WORDS."""
-    before = np.concatenate([[WORDS], words[:-1]])[:len(words)]
-    starts = (np.cumsum(sizes) - sizes)[sizes > 0]
-    before[starts] = WORDS
-    mixed = (before.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + words.astype(np.uint64)) * np.uint64(0xC2B2AE3D27D4EB4F)
-    return before, (mixed >> np.uint64(44)).astype(np.int64)
-
-
-def halves(text: pa.Array) -> np.ndarray:
-    """0 or 1 for each text."""
-    return np.fromiter(((xxhash.xxh64_intdigest(t or b"") & 1) for t in text.cast(pa.large_binary()).to_pylist()), dtype=np.int64, count=len(text))
-
-
-#: Rows of the count table: the target, then the halves of the background.
-TABLES = 3
-
-
-def _counter(batches):
-    """Counts of one task, in parts of PART classes (words, then pairs) of all TABLES."""
-    sums = np.zeros((TABLES, WORDS + PAIRS), dtype=np.int64)
-    for batch in batches:
-        every = np.asarray(batch.column("target")).astype(bool)
-        for at, text in chunks(batch.column("text"), TEXT_BYTES):
-            words, sizes = word_classes(text)
-            pairs = pair_classes(words, sizes)[1]
-            table = np.repeat(np.where(every[at:at + len(text)], 0, 1 + halves(text)), sizes)
-            for k in range(TABLES):
-                sums[k, :WORDS] += np.bincount(words[table == k], minlength=WORDS)
-                sums[k, WORDS:] += np.bincount(pairs[table == k], minlength=PAIRS)
-    for part in range((WORDS + PAIRS) // PART):
-        own = sums[:, part * PART:(part + 1) * PART]
-        if own.any():
-            yield pa.record_batch({"part": [part], "counts": pa.array([own.tobytes()], pa.binary())})
-
-
-def _adder(batches):
-    """Sum of the counts of each part; rows sorted by part."""
-    part, total = None, None
-    for batch in batches:
-        for now, counts in zip(batch.column("part").to_pylist(), batch.column("counts").to_pylist()):
-            if now != part:
-                if part is not None:
-                    yield pa.record_batch({"part": [part], "counts": pa.array([total.tobytes()], pa.binary())})
-                part, total = now, np.zeros(TABLES * PART, dtype=np.int64)
-            total += np.frombuffer(counts, dtype=np.int64)
-    if part is not None:
-        yield pa.record_batch({"part": [part], "counts": pa.array([total.tobytes()], pa.binary())})
-
-
-class Models:
-    """Tables of the target model and of one half's background model."""
-
-    def __init__(self, counts: np.ndarray):
-        words, pairs = counts[:, :WORDS].astype(float), counts[:, WORDS:].astype(float)
-        total = words.sum(axis=1, keepdims=True)
-        scale = np.where(total > 0, np.where(total[0] > 0, total[0], total) / np.maximum(total, 1), 0.0)
-        words, pairs = words * scale, pairs * scale  # matched sizes
-        # add-one over the classes in use, and one class for all others
-        used = max(1, int((counts[1, :WORDS] > 0).sum())) + 1
-        self.single = ((words + 1) / (words.sum(axis=1, keepdims=True) + used)).astype(np.float32)
-        self.words = np.concatenate([words, np.zeros((2, 1))], axis=1).astype(np.float32)
-        self.pairs = pairs.astype(np.float32)
-
-    def losses(self, words: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-        """(2, words): negative log-probability of each word under either model."""
-        before, pair = pair_classes(words, sizes)
-        prob = (self.pairs[:, pair].astype(float) + PRIOR * self.single[:, words]) / (
-            np.maximum(self.words[:, before], self.pairs[:, pair]) + PRIOR)
-        return -np.log(prob)
-
-
-def train(docs: DataFrame, target: DataFrame, text: str = "text") -> list[Models]:
-    """Count the words and pairs of every row of ``target`` and ``docs`` in Spark;
-    the driver gets WORDS + PAIRS sums of each table, however many rows. Returns
-    the models that score each half, with the background of the other."""
-    rows = docs.select(F.col(text).alias("text"), F.lit(False).alias("target")).union(target.select(F.col(text), F.lit(True)))
-    parts = rows.mapInArrow(_counter, "part bigint, counts binary")
-    sums = parts.repartition("part").sortWithinPartitions("part").mapInArrow(_adder, "part bigint, counts binary")
-    counts = np.zeros((TABLES, WORDS + PAIRS), dtype=np.int64)
-    for part, own in sums.toLocalIterator():
-        counts[:, part * PART:(part + 1) * PART] = np.frombuffer(bytes(own), dtype=np.int64).reshape(TABLES, PART)
-    return [Models(counts[[0, 2]]), Models(counts[[0, 1]])]
-
-
-def cross_entropy_difference(text: Column | str, models: list[Models], spark) -> Column:
-    """struct(n_words, target_loss, background_loss, score) of a whole text; a null or
-    wordless text has 0 words and null losses and score."""
-    shared = spark.sparkContext.broadcast(models)
-
-    @F.arrow_udf("struct<n_words:bigint,target_loss:double,background_loss:double,score:double>")
-    def lm_loss(batch: pa.Array) -> pa.Array:
-        sizes_all, means = [np.empty(0, np.int64)], [np.empty((2, 0))]
-        for _, text in chunks(batch):
-            words, sizes = word_classes(text)
-            half = halves(text)
-            mean = np.full((2, len(text)), np.nan)
-            for h in (0, 1):
-                some = (sizes > 0) & (half == h)
-                if some.any():
-                    own = sizes[some]
-                    loss = shared.value[h].losses(words[np.repeat(some, sizes)], own)
-                    mean[:, some] = np.add.reduceat(loss, np.cumsum(own) - own, axis=1) / own
-            sizes_all.append(sizes)
-            means.append(mean)
-        sizes, mean = np.concatenate(sizes_all), np.concatenate(means, axis=1)
-        none = sizes == 0
-        cols = [pa.array(x, pa.float64(), mask=none) for x in (mean[0], mean[1], mean[0] - mean[1])]
-        return pa.StructArray.from_arrays([pa.array(sizes, pa.int64()), *cols], ["n_words", "target_loss", "background_loss", "score"])
-
-    return lm_loss(text)
-
+from crashlake.llm.common import chunks, split_words, stage, unstage
 
+#: Weight of the smoothing distribution, bytes of text in a slice, and of all texts for each bucket.
+PRIOR, SLICE_BYTES, BUCKET_BYTES = 4.0, 4 << 20, 12 << 20
 #: Stands before a text's first word; no word's key but by a chance of 1 in 2^64.
-START = 0
+START = np.uint64(0)
 #: Bits of a row's part in counting.
 BACKGROUND, TARGET = 1, 2
 #: Losses are summed in whole 1/FINE, so that sums do not depend on their order.
 FINE = 1 << 20
-GRAMS = "key bigint, part int, word bigint, prev bigint, n int"
-
-
-def _grams(batches):
-    """Rows of GRAMS: each pair of words of each text and part, once for all equal texts of a slice."""
-    for batch in batches:
-        keys, parts = np.asarray(batch.column("key")), np.asarray(batch.column("part"))
-        for at, text in chunks(batch.column("text"), TEXT_BYTES):
-            flat, sizes = split_words(pc.ascii_lower(text))
-            if not len(flat):
-                continue
-            coded = flat.dictionary_encode()
-            known = np.fromiter((xxhash.xxh64_intdigest(w) for w in coded.dictionary.cast(pa.large_binary()).to_pylist()), dtype=np.uint64, count=len(coded.dictionary)).view(np.int64)
-            known = np.append(known, START)
-            words = np.asarray(coded.indices).astype(np.int64)
-            before = np.concatenate([[len(known) - 1], words[:-1]])
-            before[(np.cumsum(sizes) - sizes)[sizes > 0]] = len(known) - 1
-            key, row = np.unique(keys[at:at + len(text)], return_inverse=True)
-            row = np.repeat(row * 4 + parts[at:at + len(text)], sizes)
-            code, n = np.unique((row * len(known) + words) * len(known) + before, return_counts=True)
-            code, prev = np.divmod(code, len(known))
-            row, word = np.divmod(code, len(known))
-            table = pa.table({"key": key[row >> 2], "part": (row & 3).astype(np.int32), "word": known[word], "prev": known[prev], "n": n.astype(np.int32)})
-            yield from table.to_batches(max_chunksize=1 << 16)
-
-
-def counts(grams: DataFrame, *by: str) -> DataFrame:
-    """``by`` and the words of the background (b) and target (t) of either half of the texts."""
-    sums = [F.sum(F.when((F.col("part").bitwiseAND(bit) != 0) & (F.col("key").bitwiseAND(F.lit(1)) == h), F.col("n").cast("long")).otherwise(0)).alias(f"{name}{h}")
-            for h in (0, 1) for name, bit in (("b", BACKGROUND), ("t", TARGET))]
-    return grams.groupBy(*by).agg(*sums)
-
-
-def pair_losses(grams: DataFrame) -> DataFrame:
-    """word, prev, and in 1/FINE the losses lb0, lt0, lb1, lt1 of that pair under the
-    background and the target model of each half. One row for each pair that occurs."""
-    words = stage(counts(grams, "word"), "words")
-    tables = [f"{m}{h}" for h in (0, 1) for m in "bt"]
-    total = words.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in tables], *[F.count(F.when(F.col(f"b{h}") > 0, 1)).alias(f"v{h}") for h in (0, 1)]).first()
-    first = counts(grams.where(F.col("prev") == START)).first()
-    pairs = counts(grams, "word", "prev")
-    pairs = pairs.join(words.select("word", *[F.col(c).alias(f"w{c}") for c in tables]), "word")
-    pairs = pairs.join(words.select(F.col("word").alias("prev"), *[F.col(c).alias(f"p{c}") for c in tables]), "prev", "left")
-    losses = []
-    for c in tables:
-        h, target = c[1], total[f"t{c[1]}"]
-        scale = (target or total[c]) / total[c] if total[c] else 0.0  # matched sizes
-        single = (scale * F.col(f"w{c}") + 1) / (scale * total[c] + max(1, total[f"v{h}"]) + 1)
-        before = F.coalesce(F.col(f"p{c}"), F.lit(first[c] or 0))
-        losses.append(F.round(-FINE * F.log((scale * F.col(c) + PRIOR * single) / (scale * before + PRIOR))).cast("long").alias(f"l{c}"))
-    return stage(pairs.select("word", "prev", *losses), "pairs")
-
-
-def score(docs: DataFrame, learn: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """doc_id, n_words, target_loss, background_loss, score of each row of ``docs``.
-
-    ``learn`` (text, part) holds the rows to learn from, those of ``docs`` among
-    them: ``part`` is BACKGROUND, TARGET or the sum of both. Words and pairs are
-    counted under 64-bit keys in written tables that grow with the corpus, and
-    each text's pairs are joined to them. A text is scored by the models of the
-    half it is not in. A null or wordless text has 0 words and null losses."""
-    key = F.xxhash64(F.col(text).cast("string"))
-    rows = learn.select(F.xxhash64(F.col("text")).alias("key"), F.col("part").cast("int").alias("part"), "text")
-    grams = stage(rows.mapInArrow(_grams, GRAMS), "grams")
-    other = lambda m: F.when(F.col("key").bitwiseAND(F.lit(1)) == 0, F.col(f"l{m}1")).otherwise(F.col(f"l{m}0"))
-    joined = grams.join(pair_losses(grams), ["word", "prev"])
-    n = F.col("n").cast("long")
-    sums = joined.groupBy("key").agg(F.sum(n).alias("n"), F.sum(n * other("t")).alias("t"), F.sum(n * other("b")).alias("b"))
-    means = sums.select("key", *[(F.col(m) / (F.col("n") * F.lit(float(FINE)))).alias(name) for m, name in (("t", "target_loss"), ("b", "background_loss"))])
-    out = docs.select(F.col(doc_id).alias("doc_id"), key.alias("key"), F.size(word_array(F.col(text))).cast("long").alias("n_words")).join(means, "key", "left")
-    return out.select("doc_id", "n_words", "target_loss", "background_loss", (F.col("target_loss") - F.col("background_loss")).alias("score"))
+#: A slice (ids not null): ids, halves, parts and words of its texts, its words' keys, each place's word,
+#: and totals; or what it asks a bucket.
+SLICE = "slice bigint, ids array<string>, halves binary, parts binary, sizes binary, keys binary, places binary, totals array<bigint>, bucket int, entries binary, counts binary"
+SLICE_TYPES = pa.schema([("slice", pa.int64()), ("ids", pa.list_(pa.string())), *[(c, pa.binary()) for c in ("halves", "parts", "sizes", "keys", "places")],
+                         ("totals", pa.list_(pa.int64())), ("bucket", pa.int32()), ("entries", pa.binary()), ("counts", pa.binary())])
+ANSWERS = "owner bigint, entries binary, counts binary, used array<bigint>"
+SCORES = "doc_id string, n_words bigint, target_loss double, background_loss double"
+#: Order of counts: background, then target.
+KINDS = (BACKGROUND, TARGET)
+
+
+def _slices(buckets: int):
+    """Rows of SLICE; totals: words, then texts with words, of the background and the target of either half."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = TaskContext.get().partitionId() << 32
+        for whole in batches:
+            for batch in (whole.slice(at, 512) for at in range(0, whole.num_rows, 512)):
+                for at, text in chunks(batch.column("text"), SLICE_BYTES):
+                    flat, sizes = split_words(pc.ascii_lower(text))
+                    coded = flat.dictionary_encode()
+                    keys = np.fromiter((xxhash.xxh64_intdigest(w) for w in coded.dictionary.cast(pa.large_binary()).to_pylist()), np.uint64, len(coded.dictionary))
+                    here = batch.slice(at, len(text))
+                    halves, parts = (here.column(c).to_numpy().astype(np.int8) for c in ("half", "part"))
+                    chosen = [(halves == h) & (parts & kind != 0) for h in (0, 1) for kind in KINDS]
+                    totals = [int(sizes[c].sum()) for c in chosen] + [int((sizes[c] > 0).sum()) for c in chosen]
+                    blobs = {"halves": halves, "parts": parts, "sizes": sizes.astype(np.int32), "keys": keys, "places": np.asarray(coded.indices).astype(np.int32)}
+                    blobs = {k: v.tobytes() for k, v in blobs.items()}
+                    own = pa.table({"slice": [number], "ids": pa.array([here.column("id").to_pylist()], pa.list_(pa.string())), **{k: pa.array([v], pa.binary()) for k, v in blobs.items()},
+                                    "totals": pa.array([totals], pa.list_(pa.int64()))})
+                    rows = pa.concat_tables([SLICE_TYPES.empty_table(), own, _asked(Texts(blobs), number, buckets)], promote_options="default")
+                    yield from rows.select(SLICE_TYPES.names).to_batches()
+                    number += 1
+                    pa.default_memory_pool().release_unused()
+    return run
+
+
+class Texts:
+    """A slice: the half, part and size of each text, and the entries of each word's place.
+
+    An entry is a key's upper bits, one for pairs, and the half of the text."""
+
+    def __init__(self, row: dict):
+        self.halves, self.parts = (np.frombuffer(row[c], np.int8) for c in ("halves", "parts"))
+        self.sizes = np.frombuffer(row["sizes"], np.int32).astype(np.int64)
+        words = np.frombuffer(row["keys"], np.uint64)[np.frombuffer(row["places"], np.int32)]
+        before = np.concatenate([[START], words[:-1]])[:len(words)]
+        self.first = (np.cumsum(self.sizes) - self.sizes)[self.sizes > 0]
+        before[self.first] = START
+        pairs = (before * np.uint64(0x9E3779B97F4A7C15)) ^ (words * np.uint64(0xC2B2AE3D27D4EB4F) + (before >> np.uint64(29)))
+        pairs = pairs * np.uint64(0x165667B19E3779F9)
+        half = np.repeat(self.halves, self.sizes).astype(np.uint64)
+        self.word, self.before = (self._entry(x, 0, half) for x in (words, before))
+        self.pair = self._entry(pairs ^ (pairs >> np.uint64(32)), 1, half)
+
+    @staticmethod
+    def _entry(keys: np.ndarray, pair: int, half: np.ndarray) -> np.ndarray:
+        return (keys & ~np.uint64(3)) | np.uint64(2 * pair) | half
+
+
+def _summed(entries: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(distinct entries in order, sums of the rows of ``counts``)."""
+    order = np.argsort(entries, kind="stable")
+    entries = entries[order]
+    first = np.flatnonzero(np.concatenate([np.ones(min(1, len(entries)), bool), entries[1:] != entries[:-1]]))
+    return entries[first], np.add.reduceat(counts[order], first) if len(first) else counts[:0]
+
+
+def _asked(texts: Texts, number: int, buckets: int) -> pa.Table:
+    """A slice's distinct entries by bucket, with their words in the background and the target."""
+    part = np.repeat(texts.parts, texts.sizes)
+    counts = np.stack([(part & kind != 0).astype(np.int64) for kind in KINDS], axis=1)
+    entries, sums = (np.concatenate(x) for x in zip(_summed(texts.word, counts), _summed(texts.pair, counts)))
+    bucket = (_spread(entries) % np.uint64(buckets)).astype(np.int32)
+    order = np.argsort(bucket, kind="stable")
+    entries, sums, bucket = entries[order], sums[order].astype(np.int32), bucket[order]
+    starts = np.flatnonzero(np.concatenate([np.ones(min(1, len(bucket)), bool), bucket[1:] != bucket[:-1]]))
+    return pa.table({"slice": np.full(len(starts), number), "bucket": bucket[starts], "entries": _binary(entries, starts, 8), "counts": _binary(sums, starts, 8)})
+
+
+def _spread(entries: np.ndarray) -> np.ndarray:
+    """The entry without its half, mixed."""
+    mixed = (entries >> np.uint64(1)) * np.uint64(0x9FB21C651E98DF25)
+    return mixed ^ (mixed >> np.uint64(35))
+
+
+def _binary(values: np.ndarray, starts: np.ndarray, size: int) -> pa.Array:
+    """One binary value from each start to the next; ``size`` bytes a row of ``values``."""
+    offsets = np.append(starts, len(values)).astype(np.int32) * size
+    return pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(values))])
+
+
+def _answer(asked: pa.Table) -> pa.Table:
+    """Rows of ANSWERS of one bucket: to each slice, its entries that occur in the other
+    half, with the counts there; and to none, the background's words of either half."""
+    blobs = asked.column("entries").to_pylist()
+    sizes = np.fromiter((len(b) // 8 for b in blobs), np.int64, len(blobs))
+    entries = np.frombuffer(b"".join(blobs), np.uint64)
+    counts = np.frombuffer(b"".join(asked.column("counts").to_pylist()), np.int32).reshape(-1, 2).astype(np.int64)
+    known, sums = _summed(entries, counts)
+    word = (known & np.uint64(2) == 0) & (sums[:, 0] > 0)
+    used = [int((word & (known & np.uint64(1) == h)).sum()) for h in (0, 1)]
+    place = np.minimum(np.searchsorted(known, entries ^ np.uint64(1)), len(known) - 1)
+    hit = np.flatnonzero((known[place] == entries ^ np.uint64(1)) & (sums[place].sum(axis=1) > 0))
+    row = np.repeat(np.arange(len(blobs)), sizes)[hit]
+    rows, starts = np.unique(row, return_index=True)
+    answers = pa.table({"owner": asked.column("slice").take(pa.array(rows)), "entries": _binary(entries[hit], starts, 8), "counts": _binary(sums[place[hit]], starts, 16)})
+    return pa.concat_tables([answers, pa.table({"used": pa.array([used], pa.list_(pa.int64()))})], promote_options="default").select(["owner", "entries", "counts", "used"])
+
+
+def _look_up(known: np.ndarray, counts: np.ndarray, entries: np.ndarray) -> np.ndarray:
+    """(entries, 2): the counts of ``entries`` in the other half."""
+    if not len(known):
+        return np.zeros((len(entries), 2))
+    place = np.minimum(np.searchsorted(known, entries), len(known) - 1)
+    return np.where((known[place] == entries)[:, None], counts[place], 0).astype(float)
+
+
+def _losses(totals: list[int], starts: list[int], used: list[int]):
+    """Scores the texts of a slice by what it was answered. ``totals`` and ``starts``: words and
+    texts with words of (half, kind); ``used``: words of the background of either half."""
+    def run(key, slices: pa.Table, answers: pa.Table) -> pa.Table:
+        row = slices.to_pylist()[0]
+        texts = Texts(row)
+        known = np.frombuffer(b"".join(answers.column("entries").to_pylist()), np.uint64)
+        counts = np.frombuffer(b"".join(answers.column("counts").to_pylist()), np.int64).reshape(-1, 2)
+        order = np.argsort(known)
+        known, counts = known[order], counts[order]
+        word, pair, before = (_look_up(known, counts, x) for x in (texts.word, texts.pair, texts.before))
+        other = 1 - np.repeat(texts.halves, texts.sizes).astype(np.int64)
+        before[texts.first] = np.array(starts, float).reshape(2, 2)[other[texts.first]]
+        means = []
+        sizes, some = texts.sizes, texts.sizes > 0
+        for k in range(2):
+            total = np.array(totals, float).reshape(2, 2)
+            scale = np.where(total[:, k] > 0, np.where(total[:, 1] > 0, total[:, 1], total[:, k]) / np.maximum(total[:, k], 1), 0.0)  # matched sizes
+            whole = scale * total[:, k] + np.maximum(1, used) + 1
+            single = (scale[other] * word[:, k] + 1) / whole[other]
+            loss = -np.log((scale[other] * pair[:, k] + PRIOR * single) / (scale[other] * before[:, k] + PRIOR))
+            fine = np.round(FINE * loss).astype(np.int64)
+            mean = np.full(len(sizes), np.nan)
+            if some.any():
+                mean[some] = np.add.reduceat(fine, texts.first) / (sizes[some] * float(FINE))
+            means.append(pa.array(mean, pa.float64(), mask=~some))
+        return pa.table({"doc_id": pa.array(row["ids"], pa.string()), "n_words": pa.array(sizes, pa.int64()), "target_loss": means[1], "background_loss": means[0]})
+
+    def guarded(key, slices: pa.Table, answers: pa.Table) -> pa.Table:
+        return run(key, slices, answers) if slices.num_rows else pa.table({f.split()[0]: pa.array([], t) for f, t in zip(SCORES.split(", "), (pa.string(), pa.int64(), pa.float64(), pa.float64()))})
+    return guarded
+
+
+def score(docs: DataFrame, part: str = "part", text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+    """doc_id, n_words, target_loss, background_loss, score of each row of ``docs``, whose
+    column ``part`` tells what it is learned for: BACKGROUND, TARGET, the sum of both, or nothing (0, null)."""
+    body = F.col(text).cast("string")
+    half = F.coalesce(F.xxhash64(body).bitwiseAND(F.lit(1)), F.lit(0)).cast("int")
+    rows = docs.select(F.col(doc_id).cast("string").alias("id"), half.alias("half"), F.coalesce(F.col(part).cast("int"), F.lit(0)).alias("part"), body.alias("text"))
+    size = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    made = stage(rows.mapInArrow(_slices(max(1, -(-size // BUCKET_BYTES))), SLICE), "slices")
+    slices = made.where("ids is not null").drop("bucket", "entries", "counts")
+    sums = list(slices.agg(*[F.coalesce(F.sum(F.get("totals", F.lit(i))), F.lit(0)) for i in range(8)]).first())
+    asked = made.where("bucket is not null").select("bucket", "slice", "entries", "counts")
+    answers = stage(asked.groupBy("bucket").applyInArrow(_answer, ANSWERS), "answers")
+    used = answers.where("used is not null").agg(*[F.coalesce(F.sum(F.get("used", F.lit(h))), F.lit(0)) for h in (0, 1)]).first()
+    told = answers.where("used is null").select("owner", "entries", "counts")
+    scored = slices.groupBy("slice").cogroup(told.groupBy("owner")).applyInArrow(_losses(sums[:4], sums[4:], list(used)), SCORES)
+    scored = stage(scored, "scores")
+    unstage(made, answers)
+    kind = docs.schema[doc_id].dataType
+    return scored.select(F.col("doc_id").cast(kind).alias("doc_id"), "n_words", "target_loss", "background_loss", (F.col("target_loss") - F.col("background_loss")).alias("score"))

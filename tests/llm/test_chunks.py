@@ -5,7 +5,7 @@ import pyarrow as pa
 import public_tokenizers
 import pytest
 
-from crashlake.llm import common, op1_simhash, op4_lm_score, op5_packing, op10_quality
+from crashlake.llm import common, op1_simhash, op5_packing, op10_quality
 from tests.llm.helpers import documents, word_list
 
 DEFINITION = open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8").read()
@@ -24,10 +24,8 @@ def test_cuts_change_nothing(monkeypatch, rows, size, form):
     def results(batch):
         parts = [some for _, some in common.chunks(batch)]
         flat = [w for p in parts for w in common.split_words(p)[0].to_pylist()]
-        classes = [op4_lm_score.word_classes(p) for p in parts]
         ids = [op5_packing.word_ids(p, DEFINITION) for p in parts]
-        return (flat, op1_simhash.fingerprints(batch).tolist(), np.concatenate([c[0] for c in classes]).tolist(), np.concatenate([c[1] for c in classes]).tolist(),
-                np.concatenate([op4_lm_score.halves(p) for p in parts]).tolist(), np.concatenate([i[0] for i in ids]).tolist(), np.concatenate([i[1] for i in ids]).tolist(),
+        return (flat, op1_simhash.fingerprints(batch).tolist(), np.concatenate([i[0] for i in ids]).tolist(), np.concatenate([i[1] for i in ids]).tolist(),
                 np.concatenate([op10_quality.counts(p) for p in parts]).tolist())
 
     want = results(whole)

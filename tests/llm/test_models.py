@@ -4,8 +4,8 @@ import random
 import zlib
 
 import numpy as np
-import pyarrow as pa
 import pytest
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from crashlake.llm import op3_langid, op4_lm_score, op10_quality
@@ -63,45 +63,6 @@ def test_language_counts_do_not_depend_on_slices():
     assert whole.tolist() == [x for h, _ in parts for x in h.tolist()]
 
 
-def test_lm_counts_and_losses(spark):
-    rows = documents()
-    docs = frame(spark, rows)
-    models = op4_lm_score.train(docs, docs.where("source = 's1'"))
-    texts = pa.array([r[1] for r in rows], pa.string())
-    words, sizes = op4_lm_score.word_classes(texts)
-    assert sizes.tolist() == [len(word_list(r[1])) for r in rows]
-    half = op4_lm_score.halves(texts)
-    target = sum(int(n) for n, r in zip(sizes, rows) if r[3] == "s1")
-    for h in (0, 1):  # the background of half h is every word of the other half, scaled to the target
-        other = np.bincount(words[np.repeat(half != h, sizes)], minlength=op4_lm_score.WORDS)
-        assert models[h].words[0].sum() == target
-        assert models[h].words[1][:-1] == pytest.approx(other * (target / other.sum()), rel=1e-5)
-    got = docs.select("doc_id", "text", op4_lm_score.cross_entropy_difference(F.col("text"), models, spark).alias("x")).collect()
-    for r in got:
-        n = len(word_list(r.text))
-        assert r.x.n_words == n
-        if not n:
-            assert r.x.score is None and r.x.target_loss is None
-        else:
-            w, s = op4_lm_score.word_classes(pa.array([r.text]))
-            loss = models[int(op4_lm_score.halves(pa.array([r.text]))[0])].losses(w, s).mean(axis=1)
-            assert r.x.target_loss == pytest.approx(loss[0]) and r.x.score == pytest.approx(loss[0] - loss[1])
-            assert (loss > 0).all()
-
-
-def test_lm_prefers_the_target(spark):
-    rng = random.Random(4)
-    rows = [(i, sentence(rng, 80, "en" if i % 2 else "fr"), None, None, 0, "", "", "", "", "") for i in range(200)]
-    docs = frame(spark, rows)
-    target = frame(spark, [(i, sentence(rng, 80, "en"), None, None, 0, "", "", "", "", "") for i in range(50)])
-    models = op4_lm_score.train(docs, target)
-    got = docs.select("doc_id", op4_lm_score.cross_entropy_difference(F.col("text"), models, spark).alias("x")).collect()
-    mean = [np.mean([r.x.score for r in got if r.doc_id % 2 == k]) for k in (0, 1)]
-    assert mean[1] < mean[0] - 0.2
-    empty = op4_lm_score.train(docs.limit(0), target.limit(0))
-    assert docs.select(op4_lm_score.cross_entropy_difference(F.col("text"), empty, spark).alias("x")).where("x.score <> 0").count() == 0
-
-
 def test_quality_held_out_accuracy(spark):
     labels = spark.read.parquet(f"{SF}/labels.parquet")
     got = QUERIES["op10_quality_classifier"](spark, SF)
@@ -165,12 +126,20 @@ def plain_scores(rows, spark):
     return out
 
 
-def test_lm_scores_rest_on_real_words_and_pairs(spark):
+@pytest.mark.parametrize("slice_bytes, bucket_bytes", [(4 << 20, 12 << 20), (20_000, 30_000)])
+def test_lm_scores_rest_on_real_words_and_pairs(spark, monkeypatch, slice_bytes, bucket_bytes):
     rows = documents()
     rng = random.Random(5)  # more pairs than a fixed number of classes could keep apart
     rows += [(5000 + i, " ".join(f"w{rng.randrange(10**6)}" for _ in range(3000)), "en", "s1", 0, "", "", "", "", "") for i in range(60)]
     parts = [(r[1], 3 if r[3] == "s1" else 1) for r in rows]
-    got = op4_lm_score.score(frame(spark, rows), spark.createDataFrame(parts, "text string, part int").repartition(5))
+    monkeypatch.setattr(op4_lm_score, "SLICE_BYTES", slice_bytes)
+    monkeypatch.setattr(op4_lm_score, "BUCKET_BYTES", bucket_bytes)
+    cloudpickle.register_pickle_by_value(op4_lm_score)
+    try:
+        docs = frame(spark, rows).repartition(5).withColumn("part", F.when(F.col("source") == "s1", 3).otherwise(1))
+        got = op4_lm_score.score(docs)
+    finally:
+        cloudpickle.unregister_pickle_by_value(op4_lm_score)
     want = plain_scores(parts, spark)
     plain = sorted((str(r[0]), want[r[1]][0], *(None if x is None else round(float(x), 4) for x in want[r[1]][1:])) for r in rows)
     found = sorted((str(r.doc_id), r.n_words, *(None if x is None else x for x in (r.target_loss, r.background_loss))) for r in got.collect())
@@ -181,7 +150,11 @@ def test_lm_scores_rest_on_real_words_and_pairs(spark):
 
 def test_lm_scores_of_no_rows(spark):
     docs = frame(spark, documents())
-    assert op4_lm_score.score(docs.limit(0), docs.limit(0).select("text", F.lit(1).alias("part"))).count() == 0
+    assert op4_lm_score.score(docs.limit(0).withColumn("part", F.lit(1))).count() == 0
+    nothing = op4_lm_score.score(docs.where("text is null or text = ''").withColumn("part", F.lit(3))).collect()
+    assert len(nothing) > 1 and all(r.n_words == 0 and r.score is None for r in nothing)
+    unlearned = op4_lm_score.score(docs.where("source = 's1'").withColumn("part", F.lit(None).cast("int"))).where("n_words > 0").collect()
+    assert unlearned and all(r.score == 0 and r.target_loss > 0 for r in unlearned)
 
 
 def test_lm_target_is_the_documents_labelled_good(spark, scratch):
