@@ -9,13 +9,14 @@ target. The texts are dealt into two halves by a hash of the whole text, and a
 document is scored by the models of the half it is not in: no text, and no
 exact copy of it, is scored by counts it gave itself.
 
-Texts are cut into slices. A slice sends each distinct word and pair of words of
-its texts once for each half, under a 64-bit key and with its counts, to the
-bucket of that key; the number of buckets follows the number of words, so that
-one holds a bounded share. A bucket adds up what it got and answers each slice
-with the counts in the other half of what that slice sent; what does not occur there
-needs no answer. With the answers the slice scores its texts in place. No
-key travels more often than once a slice, so none is hot.
+Texts are cut into slices of one half each. A slice sends each distinct word and
+pair of words of its texts once, as a 64-bit key with its counts, to the bucket
+of that key's leading bits; the number of buckets follows the size of the
+texts, so that one holds a bounded share. A bucket adds up what it got and
+answers each slice with the counts of its keys in the other half, in the order
+asked. With the answers the slice scores its texts in place. No key travels more
+often than once a slice, so none is hot. Numbers travel as differences and by
+byte planes, in which compression finds the zeros.
 
 A null or wordless text has 0 words and null losses. Repeated rows count, and are
 scored, each; a very long text is a slice of its own; without target rows the target is
@@ -36,161 +37,167 @@ from pyspark.sql import functions as F
 from crashlake.llm.common import chunks, split_words, stage, unstage
 
 #: Weight of the smoothing distribution, bytes of text in a slice, and of all texts for each bucket.
-PRIOR, SLICE_BYTES, BUCKET_BYTES = 4.0, 4 << 20, 12 << 20
-#: Stands before a text's first word; no word's key but by a chance of 1 in 2^64.
+PRIOR, SLICE_BYTES, BUCKET_BYTES = 4.0, 8 << 20, 12 << 20
+#: Stands before a text's first word; no word's key but by a chance of 1 in 2^63.
 START = np.uint64(0)
 #: Bits of a row's part in counting.
 BACKGROUND, TARGET = 1, 2
 #: Losses are summed in whole 1/FINE, so that sums do not depend on their order.
 FINE = 1 << 20
-#: A slice (ids not null): ids, halves, parts and words of its texts, its words' keys, each place's word,
-#: and totals; or what it asks a bucket.
-SLICE = "slice bigint, ids array<string>, halves binary, parts binary, sizes binary, keys binary, places binary, totals array<bigint>, bucket int, entries binary, counts binary"
-SLICE_TYPES = pa.schema([("slice", pa.int64()), ("ids", pa.list_(pa.string())), *[(c, pa.binary()) for c in ("halves", "parts", "sizes", "keys", "places")],
-                         ("totals", pa.list_(pa.int64())), ("bucket", pa.int32()), ("entries", pa.binary()), ("counts", pa.binary())])
-ANSWERS = "owner bigint, entries binary, counts binary, used array<bigint>"
+#: A slice: ids, parts and words of its texts, its words' keys, each place's word, and totals.
+SLICE = "half int, ids array<string>, parts binary, sizes binary, keys binary, places binary, totals array<bigint>"
+ASKED = "bucket int, slice bigint, half int, keys binary, counts binary"
+ANSWERS = "owner bigint, bucket int, width int, counts binary, used array<bigint>"
 SCORES = "doc_id string, n_words bigint, target_loss double, background_loss double"
+SCORE_TYPES = pa.schema([("doc_id", pa.string()), ("n_words", pa.int64()), ("target_loss", pa.float64()), ("background_loss", pa.float64())])
 #: Order of counts: background, then target.
 KINDS = (BACKGROUND, TARGET)
 
 
-def _slices(buckets: int):
-    """Rows of SLICE; totals: words, then texts with words, of the background and the target of either half."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number = TaskContext.get().partitionId() << 32
-        for whole in batches:
-            for batch in (whole.slice(at, 512) for at in range(0, whole.num_rows, 512)):
-                for at, text in chunks(batch.column("text"), SLICE_BYTES):
-                    flat, sizes = split_words(pc.ascii_lower(text))
-                    coded = flat.dictionary_encode()
-                    keys = np.fromiter((xxhash.xxh64_intdigest(w) for w in coded.dictionary.cast(pa.large_binary()).to_pylist()), np.uint64, len(coded.dictionary))
-                    here = batch.slice(at, len(text))
-                    halves, parts = (here.column(c).to_numpy().astype(np.int8) for c in ("half", "part"))
-                    chosen = [(halves == h) & (parts & kind != 0) for h in (0, 1) for kind in KINDS]
-                    totals = [int(sizes[c].sum()) for c in chosen] + [int((sizes[c] > 0).sum()) for c in chosen]
-                    blobs = {"halves": halves, "parts": parts, "sizes": sizes.astype(np.int32), "keys": keys, "places": np.asarray(coded.indices).astype(np.int32)}
-                    blobs = {k: v.tobytes() for k, v in blobs.items()}
-                    own = pa.table({"slice": [number], "ids": pa.array([here.column("id").to_pylist()], pa.list_(pa.string())), **{k: pa.array([v], pa.binary()) for k, v in blobs.items()},
-                                    "totals": pa.array([totals], pa.list_(pa.int64()))})
-                    rows = pa.concat_tables([SLICE_TYPES.empty_table(), own, _asked(Texts(blobs), number, buckets)], promote_options="default")
-                    yield from rows.select(SLICE_TYPES.names).to_batches()
-                    number += 1
+def planes(values: np.ndarray) -> bytes:
+    """The first bytes of all values, then the second ones, and so on."""
+    return np.ascontiguousarray(values).view(np.uint8).reshape(len(values), -1).T.tobytes() if len(values) else b""
+
+
+def unplaned(data: bytes, kind, columns: int = 1) -> np.ndarray:
+    """The values, in rows of ``columns`` if there are several."""
+    size = np.dtype(kind).itemsize * columns
+    values = np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(size, -1).T).view(kind)
+    return values if columns > 1 else values.reshape(-1)
+
+
+def _slice(half: int, rows: list[pa.RecordBatch]) -> pa.RecordBatch:
+    """A row of SLICE; totals: words, then texts with words, of the background and the target."""
+    some = pa.Table.from_batches(rows)
+    flat, sizes = split_words(pc.ascii_lower(some.column("text").combine_chunks()))
+    coded = flat.dictionary_encode()
+    keys = np.fromiter((xxhash.xxh64_intdigest(w) for w in coded.dictionary.cast(pa.large_binary()).to_pylist()), np.uint64, len(coded.dictionary))
+    places = np.asarray(coded.indices).astype(np.int32)
+    order = np.argsort(-np.bincount(places, minlength=len(keys)), kind="stable")  # small numbers for frequent words
+    rank = np.empty(len(keys), np.int32)
+    rank[order] = np.arange(len(keys), dtype=np.int32)
+    parts = some.column("part").to_numpy().astype(np.int8)
+    chosen = [parts & kind != 0 for kind in KINDS]
+    totals = [int(sizes[c].sum()) for c in chosen] + [int((sizes[c] > 0).sum()) for c in chosen]
+    blobs = {"parts": parts, "sizes": sizes.astype(np.int32), "keys": keys[order], "places": rank[places]}
+    return pa.record_batch({"half": pa.array([half], pa.int32()), "ids": pa.array([some.column("id").to_pylist()], pa.list_(pa.string())),
+                            **{k: pa.array([planes(v)], pa.binary()) for k, v in blobs.items()}, "totals": pa.array([totals], pa.list_(pa.int64()))})
+
+
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of SLICE, of about SLICE_BYTES of one half's texts each, also from several batches."""
+    waiting: dict[int, tuple[list[pa.RecordBatch], int]] = {0: ([], 0), 1: ([], 0)}
+    for batch in (whole.slice(at, 512) for whole in batches for at in range(0, whole.num_rows, 512)):
+        for half in (0, 1):
+            own = batch.filter(pc.equal(batch.column("half"), half))
+            own = own.set_column(own.schema.get_field_index("text"), "text", own.column("text").cast(pa.large_string()))
+            for at, text in chunks(own.column("text"), SLICE_BYTES // 4):
+                rows, size = waiting[half]
+                rows, size = [*rows, own.slice(at, len(text))], size + text.nbytes
+                if size < SLICE_BYTES:
+                    waiting[half] = rows, size
+                else:
+                    waiting[half] = [], 0
+                    yield _slice(half, rows)
                     pa.default_memory_pool().release_unused()
-    return run
+    for half, (rows, _) in waiting.items():
+        if rows:
+            yield _slice(half, rows)
 
 
 class Texts:
-    """A slice: the half, part and size of each text, and the entries of each word's place.
+    """A slice: the part and size of each text, where those with words begin, its distinct
+    keys in order, and the number of each place's word and pair among them.
 
-    An entry is a key's upper bits, one for pairs, and the half of the text."""
+    A key is 63 bits of a hash, and a last one for pairs."""
 
     def __init__(self, row: dict):
-        self.halves, self.parts = (np.frombuffer(row[c], np.int8) for c in ("halves", "parts"))
-        self.sizes = np.frombuffer(row["sizes"], np.int32).astype(np.int64)
-        words = np.frombuffer(row["keys"], np.uint64)[np.frombuffer(row["places"], np.int32)]
-        before = np.concatenate([[START], words[:-1]])[:len(words)]
+        self.parts, self.sizes = unplaned(row["parts"], np.int8), unplaned(row["sizes"], np.int32).astype(np.int64)
+        words = unplaned(row["keys"], np.uint64)[unplaned(row["places"], np.int32)]
         self.first = (np.cumsum(self.sizes) - self.sizes)[self.sizes > 0]
-        before[self.first] = START
-        pairs = (before * np.uint64(0x9E3779B97F4A7C15)) ^ (words * np.uint64(0xC2B2AE3D27D4EB4F) + (before >> np.uint64(29)))
-        pairs = pairs * np.uint64(0x165667B19E3779F9)
-        half = np.repeat(self.halves, self.sizes).astype(np.uint64)
-        self.word, self.before = (self._entry(x, 0, half) for x in (words, before))
-        self.pair = self._entry(pairs ^ (pairs >> np.uint64(32)), 1, half)
-
-    @staticmethod
-    def _entry(keys: np.ndarray, pair: int, half: np.ndarray) -> np.ndarray:
-        return (keys & ~np.uint64(3)) | np.uint64(2 * pair) | half
-
-
-def _summed(entries: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(distinct entries in order, sums of the rows of ``counts``)."""
-    order = np.argsort(entries, kind="stable")
-    entries = entries[order]
-    first = np.flatnonzero(np.concatenate([np.ones(min(1, len(entries)), bool), entries[1:] != entries[:-1]]))
-    return entries[first], np.add.reduceat(counts[order], first) if len(first) else counts[:0]
-
+        pairs = np.concatenate([[START], words[:-1]])[:len(words)]
+        pairs[self.first] = START
+        pairs = (pairs * np.uint64(0x9E3779B97F4A7C15)) ^ (words * np.uint64(0xC2B2AE3D27D4EB4F) + (pairs >> np.uint64(29)))
+        pairs *= np.uint64(0x165667B19E3779F9)
+        pairs ^= pairs >> np.uint64(32)
+        self.keys, numbers = np.unique(np.concatenate([words & ~np.uint64(1), pairs | np.uint64(1)]), return_inverse=True)
+        self.word, self.pair = numbers[:len(words)], numbers[len(words):]
 
-def _asked(texts: Texts, number: int, buckets: int) -> pa.Table:
-    """A slice's distinct entries by bucket, with their words in the background and the target."""
-    part = np.repeat(texts.parts, texts.sizes)
-    counts = np.stack([(part & kind != 0).astype(np.int64) for kind in KINDS], axis=1)
-    entries, sums = (np.concatenate(x) for x in zip(_summed(texts.word, counts), _summed(texts.pair, counts)))
-    bucket = (_spread(entries) % np.uint64(buckets)).astype(np.int32)
-    order = np.argsort(bucket, kind="stable")
-    entries, sums, bucket = entries[order], sums[order].astype(np.int32), bucket[order]
-    starts = np.flatnonzero(np.concatenate([np.ones(min(1, len(bucket)), bool), bucket[1:] != bucket[:-1]]))
-    return pa.table({"slice": np.full(len(starts), number), "bucket": bucket[starts], "entries": _binary(entries, starts, 8), "counts": _binary(sums, starts, 8)})
 
+def _binary(values: list[bytes]) -> pa.Array:
+    return pa.array(values, pa.binary())
 
-def _spread(entries: np.ndarray) -> np.ndarray:
-    """The entry without its half, mixed."""
-    mixed = (entries >> np.uint64(1)) * np.uint64(0x9FB21C651E98DF25)
-    return mixed ^ (mixed >> np.uint64(35))
 
-
-def _binary(values: np.ndarray, starts: np.ndarray, size: int) -> pa.Array:
-    """One binary value from each start to the next; ``size`` bytes a row of ``values``."""
-    offsets = np.append(starts, len(values)).astype(np.int32) * size
-    return pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(values))])
+def _ask(buckets: int):
+    """Rows of ASKED: a slice's distinct keys by bucket, with their words in the background and the target."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(batch.num_rows):
+                row = batch.slice(k, 1).to_pylist()[0]
+                texts = Texts(row)
+                part = np.repeat(texts.parts, texts.sizes)
+                counts = np.zeros((len(texts.keys), 2), np.int32)
+                for c, kind in enumerate(KINDS):
+                    for numbers in (texts.word, texts.pair):
+                        counts[:, c] += np.bincount(numbers[part & kind != 0], minlength=len(texts.keys)).astype(np.int32)
+                bucket = ((texts.keys >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int32)
+                own, starts = np.unique(bucket, return_index=True)
+                cuts = list(zip(starts, [*starts[1:], len(bucket)]))
+                yield pa.record_batch({
+                    "bucket": own, "slice": np.full(len(own), row["slice"]), "half": np.full(len(own), row["half"], np.int32),
+                    "keys": _binary([planes(np.diff(texts.keys[a:b], prepend=np.uint64(0))) for a, b in cuts]), "counts": _binary([planes(counts[a:b]) for a, b in cuts])})
+    return run
 
 
 def _answer(asked: pa.Table) -> pa.Table:
-    """Rows of ANSWERS of one bucket: to each slice, its entries that occur in the other
-    half, with the counts there; and to none, the background's words of either half."""
-    blobs = asked.column("entries").to_pylist()
-    sizes = np.fromiter((len(b) // 8 for b in blobs), np.int64, len(blobs))
-    entries = np.frombuffer(b"".join(blobs), np.uint64)
-    counts = np.frombuffer(b"".join(asked.column("counts").to_pylist()), np.int32).reshape(-1, 2).astype(np.int64)
-    known, sums = _summed(entries, counts)
-    word = (known & np.uint64(2) == 0) & (sums[:, 0] > 0)
-    used = [int((word & (known & np.uint64(1) == h)).sum()) for h in (0, 1)]
-    place = np.minimum(np.searchsorted(known, entries ^ np.uint64(1)), len(known) - 1)
-    hit = np.flatnonzero((known[place] == entries ^ np.uint64(1)) & (sums[place].sum(axis=1) > 0))
-    row = np.repeat(np.arange(len(blobs)), sizes)[hit]
-    rows, starts = np.unique(row, return_index=True)
-    answers = pa.table({"owner": asked.column("slice").take(pa.array(rows)), "entries": _binary(entries[hit], starts, 8), "counts": _binary(sums[place[hit]], starts, 16)})
-    return pa.concat_tables([answers, pa.table({"used": pa.array([used], pa.list_(pa.int64()))})], promote_options="default").select(["owner", "entries", "counts", "used"])
-
-
-def _look_up(known: np.ndarray, counts: np.ndarray, entries: np.ndarray) -> np.ndarray:
-    """(entries, 2): the counts of ``entries`` in the other half."""
-    if not len(known):
-        return np.zeros((len(entries), 2))
-    place = np.minimum(np.searchsorted(known, entries), len(known) - 1)
-    return np.where((known[place] == entries)[:, None], counts[place], 0).astype(float)
-
-
-def _losses(totals: list[int], starts: list[int], used: list[int]):
-    """Scores the texts of a slice by what it was answered. ``totals`` and ``starts``: words and
-    texts with words of (half, kind); ``used``: words of the background of either half."""
+    """Rows of ANSWERS of one bucket: to each slice the counts of its keys in the other half;
+    and to none, the background's words of either half."""
+    keys = [np.cumsum(unplaned(b, np.uint64), dtype=np.uint64) for b in asked.column("keys").to_pylist()]
+    counts = [unplaned(b, np.int32, 2) for b in asked.column("counts").to_pylist()]
+    halves = asked.column("half").to_numpy()
+    known, numbers = np.unique(np.concatenate(keys), return_inverse=True)
+    sums = np.zeros((2, len(known), 2), np.int64)
+    ends = np.cumsum([len(k) for k in keys])
+    own = [numbers[e - len(k):e] for k, e in zip(keys, ends)]
+    for half, number, count in zip(halves, own, counts):
+        sums[half, number] += count  # a slice's keys are distinct
+    used = [int(((known & np.uint64(1) == 0) & (sums[h, :, 0] > 0)).sum()) for h in (0, 1)]
+    told = [sums[1 - half, number] for half, number in zip(halves, own)]
+    width = np.array([4 if t.max() < 2**31 else 8 for t in told], np.int32)
+    told = [planes(t.astype(np.int32 if w == 4 else np.int64)) for t, w in zip(told, width)]
+    answers = pa.table({"owner": asked.column("slice"), "bucket": asked.column("bucket"), "width": width, "counts": _binary(told)})
+    return pa.concat_tables([answers, pa.table({"used": pa.array([used], pa.list_(pa.int64()))})], promote_options="default").select(["owner", "bucket", "width", "counts", "used"])
+
+
+def _losses(totals: np.ndarray, starts: np.ndarray, used: np.ndarray):
+    """Scores the texts of a slice by what it was answered. ``totals`` and ``starts``: words, and
+    texts with words, by half and kind; ``used``: words of the background by half."""
     def run(key, slices: pa.Table, answers: pa.Table) -> pa.Table:
+        if not slices.num_rows:
+            return SCORE_TYPES.empty_table()
         row = slices.to_pylist()[0]
-        texts = Texts(row)
-        known = np.frombuffer(b"".join(answers.column("entries").to_pylist()), np.uint64)
-        counts = np.frombuffer(b"".join(answers.column("counts").to_pylist()), np.int64).reshape(-1, 2)
-        order = np.argsort(known)
-        known, counts = known[order], counts[order]
-        word, pair, before = (_look_up(known, counts, x) for x in (texts.word, texts.pair, texts.before))
-        other = 1 - np.repeat(texts.halves, texts.sizes).astype(np.int64)
-        before[texts.first] = np.array(starts, float).reshape(2, 2)[other[texts.first]]
-        means = []
-        sizes, some = texts.sizes, texts.sizes > 0
+        texts, other = Texts(row), 1 - row["half"]
+        told = [np.zeros((0, 2), np.int64)]
+        for answer in answers.sort_by("bucket").to_pylist():
+            told.append(unplaned(answer["counts"], np.int32 if answer["width"] == 4 else np.int64, 2))
+        counts = np.concatenate(told)
+        if len(counts) != len(texts.keys):
+            raise ValueError("a slice got other answers than it asked for")
+        some, means = texts.sizes > 0, []
         for k in range(2):
-            total = np.array(totals, float).reshape(2, 2)
-            scale = np.where(total[:, k] > 0, np.where(total[:, 1] > 0, total[:, 1], total[:, k]) / np.maximum(total[:, k], 1), 0.0)  # matched sizes
-            whole = scale * total[:, k] + np.maximum(1, used) + 1
-            single = (scale[other] * word[:, k] + 1) / whole[other]
-            loss = -np.log((scale[other] * pair[:, k] + PRIOR * single) / (scale[other] * before[:, k] + PRIOR))
-            fine = np.round(FINE * loss).astype(np.int64)
-            mean = np.full(len(sizes), np.nan)
+            total = float(totals[other, k])
+            scale = (float(totals[other, 1]) or total) / total if total else 0.0  # matched sizes
+            single = counts[texts.word, k].astype(float)
+            before = np.concatenate([[0.0], single[:-1]])[:len(single)]
+            before[texts.first] = starts[other, k]
+            smooth = (scale * single + 1) / (scale * total + max(1, int(used[other])) + 1)
+            loss = -np.log((scale * counts[texts.pair, k] + PRIOR * smooth) / (scale * before + PRIOR))
+            mean = np.full(len(texts.sizes), np.nan)
             if some.any():
-                mean[some] = np.add.reduceat(fine, texts.first) / (sizes[some] * float(FINE))
+                mean[some] = np.add.reduceat(np.round(FINE * loss).astype(np.int64), texts.first) / (texts.sizes[some] * float(FINE))
             means.append(pa.array(mean, pa.float64(), mask=~some))
-        return pa.table({"doc_id": pa.array(row["ids"], pa.string()), "n_words": pa.array(sizes, pa.int64()), "target_loss": means[1], "background_loss": means[0]})
-
-    def guarded(key, slices: pa.Table, answers: pa.Table) -> pa.Table:
-        return run(key, slices, answers) if slices.num_rows else pa.table({f.split()[0]: pa.array([], t) for f, t in zip(SCORES.split(", "), (pa.string(), pa.int64(), pa.float64(), pa.float64()))})
-    return guarded
+        return pa.table([pa.array(row["ids"], pa.string()), pa.array(texts.sizes, pa.int64()), means[1], means[0]], schema=SCORE_TYPES)
+    return run
 
 
 def score(docs: DataFrame, part: str = "part", text: str = "text", doc_id: str = "doc_id") -> DataFrame:
@@ -200,15 +207,15 @@ def score(docs: DataFrame, part: str = "part", text: str = "text", doc_id: str =
     half = F.coalesce(F.xxhash64(body).bitwiseAND(F.lit(1)), F.lit(0)).cast("int")
     rows = docs.select(F.col(doc_id).cast("string").alias("id"), half.alias("half"), F.coalesce(F.col(part).cast("int"), F.lit(0)).alias("part"), body.alias("text"))
     size = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
-    made = stage(rows.mapInArrow(_slices(max(1, -(-size // BUCKET_BYTES))), SLICE), "slices")
-    slices = made.where("ids is not null").drop("bucket", "entries", "counts")
-    sums = list(slices.agg(*[F.coalesce(F.sum(F.get("totals", F.lit(i))), F.lit(0)) for i in range(8)]).first())
-    asked = made.where("bucket is not null").select("bucket", "slice", "entries", "counts")
+    slices = stage(rows.mapInArrow(_slices, SLICE).withColumn("slice", F.monotonically_increasing_id()), "slices")
+    sums = {r.half: r for r in slices.groupBy("half").agg(*[F.sum(F.get("totals", F.lit(i))).alias(f"t{i}") for i in range(4)]).collect()}
+    totals, starts = (np.array([[sums[h][f"t{i}"] if h in sums else 0 for i in own] for h in (0, 1)]) for own in ((0, 1), (2, 3)))
+    asked = slices.mapInArrow(_ask(max(1, -(-size // BUCKET_BYTES))), ASKED)
     answers = stage(asked.groupBy("bucket").applyInArrow(_answer, ANSWERS), "answers")
-    used = answers.where("used is not null").agg(*[F.coalesce(F.sum(F.get("used", F.lit(h))), F.lit(0)) for h in (0, 1)]).first()
-    told = answers.where("used is null").select("owner", "entries", "counts")
-    scored = slices.groupBy("slice").cogroup(told.groupBy("owner")).applyInArrow(_losses(sums[:4], sums[4:], list(used)), SCORES)
+    used = np.array(answers.where("used is not null").agg(*[F.coalesce(F.sum(F.get("used", F.lit(h))), F.lit(0)) for h in (0, 1)]).first())
+    told = answers.where("used is null").select("owner", "bucket", "width", "counts")
+    scored = slices.groupBy("slice").cogroup(told.groupBy("owner")).applyInArrow(_losses(totals, starts, used), SCORES)
     scored = stage(scored, "scores")
-    unstage(made, answers)
+    unstage(slices, answers)
     kind = docs.schema[doc_id].dataType
     return scored.select(F.col("doc_id").cast(kind).alias("doc_id"), "n_words", "target_loss", "background_loss", (F.col("target_loss") - F.col("background_loss")).alias("score"))
