@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from crashlake.llm.common import chunks, split_words, stage, unstage
 
 #: Weight of the smoothing distribution, bytes of text in a slice, and of all texts for each bucket.
-PRIOR, SLICE_BYTES, BUCKET_BYTES = 4.0, 8 << 20, 12 << 20
+PRIOR, SLICE_BYTES, BUCKET_BYTES = 4.0, 4 << 20, 6 << 20
 #: Stands before a text's first word; no word's key but by a chance of 1 in 2^63.
 START = np.uint64(0)
 #: Bits of a row's part in counting.
