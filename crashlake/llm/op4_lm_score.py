@@ -1,7 +1,7 @@
 """Cross-entropy difference of matched n-gram models.
 
-The target model learns from target rows, the background model from all rows
-marked so. Both are interpolated word-bigram models over one shared vocabulary,
+The target model learns from the rows of given ids, the background model from all
+rows. Both are interpolated word-bigram models over one shared vocabulary,
 all lower-cased words that occur. Background counts are scaled to the target's
 number of words, so both are smoothed alike. A document's score is the mean
 over its words of target loss minus background loss: lower is closer to the
@@ -30,7 +30,6 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -40,18 +39,15 @@ from crashlake.llm.common import chunks, split_words, stage, unstage
 PRIOR, SLICE_BYTES, BUCKET_BYTES = 4.0, 4 << 20, 6 << 20
 #: Stands before a text's first word; no word's key but by a chance of 1 in 2^63.
 START = np.uint64(0)
-#: Bits of a row's part in counting.
-BACKGROUND, TARGET = 1, 2
 #: Losses are summed in whole 1/FINE, so that sums do not depend on their order.
 FINE = 1 << 20
-#: A slice: ids, parts and words of its texts, its words' keys, each place's word, and totals.
-SLICE = "half int, ids array<string>, parts binary, sizes binary, keys binary, places binary, totals array<bigint>"
+#: A slice: ids and words of its texts, its words' keys and each place's word.
+SLICE = "half int, ids array<string>, sizes array<int>, keys binary, places binary"
 ASKED = "bucket int, slice bigint, half int, keys binary, counts binary"
+ASKED_TYPES = pa.schema([("bucket", pa.int32()), ("slice", pa.int64()), ("half", pa.int32()), ("keys", pa.binary()), ("counts", pa.binary())])
 ANSWERS = "owner bigint, bucket int, width int, counts binary, used array<bigint>"
 SCORES = "doc_id string, n_words bigint, target_loss double, background_loss double"
 SCORE_TYPES = pa.schema([("doc_id", pa.string()), ("n_words", pa.int64()), ("target_loss", pa.float64()), ("background_loss", pa.float64())])
-#: Order of counts: background, then target.
-KINDS = (BACKGROUND, TARGET)
 
 
 def planes(values: np.ndarray) -> bytes:
@@ -67,7 +63,7 @@ def unplaned(data: bytes, kind, columns: int = 1) -> np.ndarray:
 
 
 def _slice(half: int, rows: list[pa.RecordBatch]) -> pa.RecordBatch:
-    """A row of SLICE; totals: words, then texts with words, of the background and the target."""
+    """A row of SLICE."""
     some = pa.Table.from_batches(rows)
     flat, sizes = split_words(pc.ascii_lower(some.column("text").combine_chunks()))
     coded = flat.dictionary_encode()
@@ -76,12 +72,8 @@ def _slice(half: int, rows: list[pa.RecordBatch]) -> pa.RecordBatch:
     order = np.argsort(-np.bincount(places, minlength=len(keys)), kind="stable")  # small numbers for frequent words
     rank = np.empty(len(keys), np.int32)
     rank[order] = np.arange(len(keys), dtype=np.int32)
-    parts = some.column("part").to_numpy().astype(np.int8)
-    chosen = [parts & kind != 0 for kind in KINDS]
-    totals = [int(sizes[c].sum()) for c in chosen] + [int((sizes[c] > 0).sum()) for c in chosen]
-    blobs = {"parts": parts, "sizes": sizes.astype(np.int32), "keys": keys[order], "places": rank[places]}
-    return pa.record_batch({"half": pa.array([half], pa.int32()), "ids": pa.array([some.column("id").to_pylist()], pa.list_(pa.string())),
-                            **{k: pa.array([planes(v)], pa.binary()) for k, v in blobs.items()}, "totals": pa.array([totals], pa.list_(pa.int64()))})
+    return pa.record_batch({"half": pa.array([half], pa.int32()), "ids": pa.array([some.column("id").to_pylist()], pa.list_(pa.string())), "sizes": pa.array([sizes], pa.list_(pa.int32())),
+                            "keys": pa.array([planes(keys[order])], pa.binary()), "places": pa.array([planes(rank[places])], pa.binary())})
 
 
 def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -106,13 +98,12 @@ def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 class Texts:
-    """A slice: the part and size of each text, where those with words begin, its distinct
-    keys in order, and the number of each place's word and pair among them.
+    """A slice: the size of each text, where those with words begin, its distinct keys in order, and the number of each place's word and pair among them.
 
     A key is 63 bits of a hash, and a last one for pairs."""
 
     def __init__(self, row: dict):
-        self.parts, self.sizes = unplaned(row["parts"], np.int8), unplaned(row["sizes"], np.int32).astype(np.int64)
+        self.sizes = np.array(row["sizes"], dtype=np.int64)
         words = unplaned(row["keys"], np.uint64)[unplaned(row["places"], np.int32)]
         self.first = (np.cumsum(self.sizes) - self.sizes)[self.sizes > 0]
         pairs = np.concatenate([[START], words[:-1]])[:len(words)]
@@ -129,23 +120,24 @@ def _binary(values: list[bytes]) -> pa.Array:
 
 
 def _ask(buckets: int):
-    """Rows of ASKED: a slice's distinct keys by bucket, with their words in the background and the target."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for k in range(batch.num_rows):
-                row = batch.slice(k, 1).to_pylist()[0]
-                texts = Texts(row)
-                part = np.repeat(texts.parts, texts.sizes)
-                counts = np.zeros((len(texts.keys), 2), np.int32)
-                for c, kind in enumerate(KINDS):
-                    for numbers in (texts.word, texts.pair):
-                        counts[:, c] += np.bincount(numbers[part & kind != 0], minlength=len(texts.keys)).astype(np.int32)
-                bucket = ((texts.keys >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int32)
-                own, starts = np.unique(bucket, return_index=True)
-                cuts = list(zip(starts, [*starts[1:], len(bucket)]))
-                yield pa.record_batch({
-                    "bucket": own, "slice": np.full(len(own), row["slice"]), "half": np.full(len(own), row["half"], np.int32),
-                    "keys": _binary([planes(np.diff(texts.keys[a:b], prepend=np.uint64(0))) for a, b in cuts]), "counts": _binary([planes(counts[a:b]) for a, b in cuts])})
+    """Rows of ASKED: a slice's distinct keys by bucket, with their words in the background and in its ``members`` (pos)."""
+    def run(key, slices: pa.Table, members: pa.Table) -> pa.Table:
+        if not slices.num_rows:
+            return ASKED_TYPES.empty_table()
+        row = slices.to_pylist()[0]
+        texts = Texts(row)
+        member = np.zeros(len(texts.sizes), bool)
+        member[members.column("pos").to_numpy()] = True
+        counts = np.zeros((len(texts.keys), 2), np.int32)
+        for c, chosen in enumerate((np.ones(len(texts.word), bool), np.repeat(member, texts.sizes))):
+            for numbers in (texts.word, texts.pair):
+                counts[:, c] += np.bincount(numbers[chosen], minlength=len(texts.keys)).astype(np.int32)
+        bucket = ((texts.keys >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int32)
+        own, starts = np.unique(bucket, return_index=True)
+        cuts = list(zip(starts, [*starts[1:], len(bucket)]))
+        keys = [planes(np.diff(texts.keys[a:b], prepend=np.uint64(0))) for a, b in cuts]
+        return pa.table([pa.array(own, pa.int32()), pa.array([row["slice"]] * len(own), pa.int64()), pa.array([row["half"]] * len(own), pa.int32()),
+                         _binary(keys), _binary([planes(counts[a:b]) for a, b in cuts])], schema=ASKED_TYPES)
     return run
 
 
@@ -200,22 +192,28 @@ def _losses(totals: np.ndarray, starts: np.ndarray, used: np.ndarray):
     return run
 
 
-def score(docs: DataFrame, part: str = "part", text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """doc_id, n_words, target_loss, background_loss, score of each row of ``docs``, whose
-    column ``part`` tells what it is learned for: BACKGROUND, TARGET, the sum of both, or nothing (0, null)."""
+def score(docs: DataFrame, target: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+    """doc_id, n_words, target_loss, background_loss, score of each row of ``docs``. The rows
+    whose id is in ``target`` (``doc_id``) are what the target model learns from."""
     body = F.col(text).cast("string")
     half = F.coalesce(F.xxhash64(body).bitwiseAND(F.lit(1)), F.lit(0)).cast("int")
-    rows = docs.select(F.col(doc_id).cast("string").alias("id"), half.alias("half"), F.coalesce(F.col(part).cast("int"), F.lit(0)).alias("part"), body.alias("text"))
+    rows = docs.select(F.col(doc_id).cast("string").alias("id"), half.alias("half"), body.alias("text"))
     size = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     slices = stage(rows.mapInArrow(_slices, SLICE).withColumn("slice", F.monotonically_increasing_id()), "slices")
-    sums = {r.half: r for r in slices.groupBy("half").agg(*[F.sum(F.get("totals", F.lit(i))).alias(f"t{i}") for i in range(4)]).collect()}
-    totals, starts = (np.array([[sums[h][f"t{i}"] if h in sums else 0 for i in own] for h in (0, 1)]) for own in ((0, 1), (2, 3)))
-    asked = slices.mapInArrow(_ask(max(1, -(-size // BUCKET_BYTES))), ASKED)
+    # only ids meet the target's
+    texts = slices.select(F.col("slice").alias("owner"), "half", F.posexplode(F.arrays_zip("ids", "sizes")).alias("pos", "x"))
+    texts = texts.select("owner", "half", "pos", F.col("x.ids").alias("id"), F.col("x.sizes").alias("size"))
+    members = stage(texts.join(target.select(F.col(doc_id).cast("string").alias("id")), "id", "left_semi").drop("id"), "members")
+    totals, starts = np.zeros((2, 2), np.int64), np.zeros((2, 2), np.int64)
+    for k, some in enumerate((texts, members)):
+        for r in some.groupBy("half").agg(F.sum("size").alias("words"), F.count(F.when(F.col("size") > 0, 1)).alias("texts")).collect():
+            totals[r.half, k], starts[r.half, k] = r.words, r.texts
+    asked = slices.groupBy("slice").cogroup(members.select("owner", "pos").groupBy("owner")).applyInArrow(_ask(max(1, -(-size // BUCKET_BYTES))), ASKED)
     answers = stage(asked.groupBy("bucket").applyInArrow(_answer, ANSWERS), "answers")
     used = np.array(answers.where("used is not null").agg(*[F.coalesce(F.sum(F.get("used", F.lit(h))), F.lit(0)) for h in (0, 1)]).first())
     told = answers.where("used is null").select("owner", "bucket", "width", "counts")
     scored = slices.groupBy("slice").cogroup(told.groupBy("owner")).applyInArrow(_losses(totals, starts, used), SCORES)
     scored = stage(scored, "scores")
-    unstage(slices, answers)
+    unstage(slices, answers, members)
     kind = docs.schema[doc_id].dataType
     return scored.select(F.col("doc_id").cast(kind).alias("doc_id"), "n_words", "target_loss", "background_loss", (F.col("target_loss") - F.col("background_loss")).alias("score"))

@@ -29,10 +29,8 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    good = table(spark, sf_dir, "labels").where("quality = 1 and toxic = 0").select("doc_id").distinct().withColumn("good", F.lit(op4_lm_score.TARGET))
-    part = F.coalesce("good", F.lit(0)) + op4_lm_score.BACKGROUND
-    return op4_lm_score.score(docs.select("doc_id", "text").join(good, "doc_id", "left").withColumn("part", part))
+    good = table(spark, sf_dir, "labels").where("quality = 1 and toxic = 0").select("doc_id")
+    return op4_lm_score.score(table(spark, sf_dir, "documents"), good)
 
 
 def op5_packing_ffd(spark: SparkSession, sf_dir: str) -> DataFrame:

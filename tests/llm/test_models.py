@@ -136,8 +136,9 @@ def test_lm_scores_rest_on_real_words_and_pairs(spark, monkeypatch, slice_bytes,
     monkeypatch.setattr(op4_lm_score, "BUCKET_BYTES", bucket_bytes)
     cloudpickle.register_pickle_by_value(op4_lm_score)
     try:
-        docs = frame(spark, rows).repartition(5).withColumn("part", F.when(F.col("source") == "s1", 3).otherwise(1))
-        got = op4_lm_score.score(docs)
+        rows = [(i, *r[1:]) for i, r in enumerate(rows)]
+        docs = frame(spark, rows).repartition(5)
+        got = op4_lm_score.score(docs, docs.where("source = 's1'").select("doc_id"))
     finally:
         cloudpickle.unregister_pickle_by_value(op4_lm_score)
     want = plain_scores(parts, spark)
@@ -150,11 +151,11 @@ def test_lm_scores_rest_on_real_words_and_pairs(spark, monkeypatch, slice_bytes,
 
 def test_lm_scores_of_no_rows(spark):
     docs = frame(spark, documents())
-    assert op4_lm_score.score(docs.limit(0).withColumn("part", F.lit(1))).count() == 0
-    nothing = op4_lm_score.score(docs.where("text is null or text = ''").withColumn("part", F.lit(3))).collect()
+    assert op4_lm_score.score(docs.limit(0), docs).count() == 0
+    nothing = op4_lm_score.score(docs.where("text is null or text = ''"), docs).collect()
     assert len(nothing) > 1 and all(r.n_words == 0 and r.score is None for r in nothing)
-    unlearned = op4_lm_score.score(docs.where("source = 's1'").withColumn("part", F.lit(None).cast("int"))).where("n_words > 0").collect()
-    assert unlearned and all(r.score == 0 and r.target_loss > 0 for r in unlearned)
+    untaught = op4_lm_score.score(docs, docs.limit(0))
+    assert untaught.count() == len(documents()) and untaught.where("n_words > 0 and target_loss is null").count() == 0
 
 
 def test_lm_target_is_the_documents_labelled_good(spark, scratch):
