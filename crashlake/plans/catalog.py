@@ -24,7 +24,7 @@ from crashlake.plans import params as P
 from crashlake.plans.load import load_feed
 from crashlake.schema import COUNT_COLUMNS, FEED_COLUMNS
 from crashlake.session import ensure_checkpoint_dir
-from crashlake.sources import store
+from crashlake.sources import key_index, store
 from crashlake.sources.feed import read_feed
 from crashlake.sources.fixtures import fixture_tables, fx_raw
 from crashlake.tables import CollisionTables
@@ -230,6 +230,24 @@ def _append_new(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.union, parts).toDF(*shape)
 
 
+def _indexed_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D7 over a store: the bounds kept for its files."""
+    root = _scratch(spark, "store")
+    store.write_table("collisions", fixture_tables(spark, sf_dir).collisions, root)
+    key_index.refresh(spark, root)
+    return key_index.date_bounds(spark, root)
+
+
+def _touched_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored rows that an old and a new stretch of ids can conflict with, and no others."""
+    root, t = _scratch(spark, "store"), fixture_tables(spark, sf_dir)
+    store.write_table("collision_factors", t.collision_factors, root, num_files=16)
+    key_index.refresh(spark, root)
+    ends = t.collisions.agg(F.min("collision_id").alias("lo"), F.max("collision_id").alias("hi"))
+    ids = ends.select(F.explode(F.array(F.col("lo"), F.col("lo") + 1, F.col("hi"), F.col("hi") + 1)).alias("collision_id"))
+    return key_index.near(spark, root, "collision_factors", ids).join(ids, "collision_id", "left_semi").select("collision_id", "factor_order")
+
+
 def _create_and_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S3: six empty tables with their declared columns, then filled from the clean ones."""
     root = _scratch(spark, "store")
@@ -289,6 +307,7 @@ QUERIES: dict[str, Query] = {
     "d6_latest_collisions_borough": _on_tables(
         lambda t: D.latest_collisions(t, P.DASH_START, P.DASH_END, P.DASH_BOROUGH)),
     "d7_date_bounds": _on_tables(D.date_bounds),
+    "d7_date_bounds_indexed": _indexed_bounds,
     "d8_borough_list": _on_tables(D.borough_list),
     "d9_default_window": _on_tables(D.default_window),
     "d9_default_window_chosen_start": _on_tables(lambda t: D.default_window(t, P.D9_END, start=P.D9_START)),
@@ -296,6 +315,7 @@ QUERIES: dict[str, Query] = {
     "s1_read_feed": _read_back,
     "s1_read_one_file": _read_one,
     "s2_append_new": _append_new,
+    "s2_touched_rows": _touched_rows,
     "s3_create_tables": _create_and_fill,
     "s4_export_csv": _export,
     "s6_layout": _bucketed,

@@ -11,7 +11,7 @@ Order of work (each step one Spark job, parents before children):
 3. stage the first-wins collision candidates once; write the rejected ones
    to ``_rejects`` (partition = load id, replaced as a whole), append the
    accepted ones, then their vehicle and factor rows, skipping rejected ids;
-4. remove the run's staging folder.
+4. index the new files (sources.key_index) and remove the run's staging folder.
 
 The load id is a function of the input (a feed's file list, a stream's batch),
 every append is insert-if-absent, so a crashed load is repaired by running
@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from crashlake.operators import normalize as N
-from crashlake.sources import store
+from crashlake.sources import key_index, store
 from crashlake.sources.feed import compact_order, feed_files, has_file_order, read_feed
 
 
@@ -74,14 +74,10 @@ def _load(spark: SparkSession, feed: DataFrame, root: str, mode: str, order_col:
     if has_file_order(staged):
         staged = compact_order(staged, staging.write(feed_files(staged), "files"))
     before = store.read_tables(spark, root, missing_ok=True)  # a first load starts from nothing
-    # Stored rows can only conflict inside the feed's id range: two numbers
-    # come back to the driver and become a filter pushed into the parquet
-    # scans, so an incremental load skips the row groups of older ids
-    # instead of shuffling the whole history into the anti joins.
-    lo, hi = staged.agg(F.min("collision_id"), F.max("collision_id")).first()
-
-    def near(df: DataFrame) -> DataFrame:
-        return df.filter(F.col("collision_id").between(lo, hi)) if lo is not None else df.limit(0)
+    # Stored rows can only conflict in the files that share a block of ids with
+    # the feed: the index names them, also when one old id comes with new ones.
+    ids = staged.select("collision_id")
+    stored = dict(zip(store.FACT_TABLES, at_once(*[lambda name=name: key_index.near(spark, root, name, ids) for name in store.FACT_TABLES])))
 
     # 1. what several steps read is written once, tables that do not depend on
     #    each other at the same time
@@ -97,7 +93,7 @@ def _load(spark: SparkSession, feed: DataFrame, root: str, mode: str, order_col:
 
     # 3. collisions: first-wins candidates staged once, then split into
     #    rejects and accepted rows (no second aggregation of the feed)
-    candidates = staging.write(N.new_collision_candidates(staged, now.boroughs, near(before.collisions), repeated), "candidates")
+    candidates = staging.write(N.new_collision_candidates(staged, now.boroughs, stored["collisions"], repeated), "candidates")
     rejects = N.rejects_of(candidates).unionByName(broken)
     at_once(
         lambda: rejects.write.mode("overwrite").parquet(f"{store.table_path(root, '_rejects')}/load_id={load_id}"),
@@ -107,6 +103,9 @@ def _load(spark: SparkSession, feed: DataFrame, root: str, mode: str, order_col:
     # 4. children of accepted collisions
     at_once(
         lambda: store.write_table("collision_vehicles", N.new_vehicle_rows(
-            staged, now.vehicle_types, near(before.collision_vehicles), bad_ids, repeated, vehicles), root, num_files=num_files),
+            staged, now.vehicle_types, stored["collision_vehicles"], bad_ids, repeated, vehicles), root, num_files=num_files),
         lambda: store.write_table("collision_factors", N.new_factor_rows(
-            staged, now.factors, near(before.collision_factors), bad_ids, repeated, factors), root, num_files=num_files))
+            staged, now.factors, stored["collision_factors"], bad_ids, repeated, factors), root, num_files=num_files))
+
+    # 5. the files just written join the index (those of a load that died here are indexed by the next one)
+    key_index.refresh(spark, root)

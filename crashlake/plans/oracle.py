@@ -472,3 +472,6 @@ FROM fx_vehicles v LEFT JOIN fact f ON v.collision_id = f.collision_id""",
 FROM fx_factors x LEFT JOIN fact f ON x.collision_id = f.collision_id""",
 })
 ORACLE["s1_read_one_file"] = ORACLE["s1_read_feed"]
+ORACLE["d7_date_bounds_indexed"] = ORACLE["d7_date_bounds"]
+ORACLE["s2_touched_rows"] = with_fixtures("fx_collisions", "fx_factors") + """SELECT f.collision_id, f.factor_order FROM fx_factors f
+WHERE f.collision_id IN (SELECT unnest([MIN(collision_id), MIN(collision_id) + 1, MAX(collision_id), MAX(collision_id) + 1]) FROM fx_collisions)"""
