@@ -6,15 +6,24 @@ hosts with allowed pages along the links, and distrust from the hosts with
 blocked pages against the links; a host with more distrust than THRESHOLD
 times its trust is blocked, any other allowed. Host edges are the links to
 absolute addresses in the pages, and, both ways, those between a host and
-its parent domain, over which hosts without links to each other are related.
+its parent domain, over which hosts without links to each other are related
+(a top-level domain is no parent: it would join hosts that have nothing in common).
 
-Ranks are whole numbers that start as MASS units over the seeds, and each
-share is rounded down before it is added, so results do not depend on the
-order of addition. DataFrame functions only."""
+Ranks are whole numbers that start as a mass over the seeds, in proportion to
+their number, and each share is rounded down before it is added, so results do not
+depend on the order of addition. Rounds go on until no more than TOLERANCE of
+the mass can still move - each passes on DAMPING of what the last one moved, which
+gives ROUNDS - and beyond that for as long as they reach further hosts; ranks
+that a round leaves as they are end them at once, as all further rounds would.
+
+Null or very long urls and pages, and repeated rows, are judged like any other;
+columns of any name stay inside ``doc``; an empty table gives none. DataFrame
+functions only."""
 
 from __future__ import annotations
 
 import string
+from math import ceil, log
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -29,7 +38,10 @@ RULES = (
     ("block", "net", "/es/"),
     ("block", "net", "/fr/"),
 )
-MASS, DAMPING, ROUNDS, THRESHOLD = 10**12, 0.85, 12, 1.0
+DAMPING, THRESHOLD, TOLERANCE = 0.85, 1.0, 0.001
+#: Units of mass for each seed page, of which at least as many are taken to be; rounds in a job, and all.
+UNIT, SEEDS, STEP = 10**6, 10**6, 4
+ROUNDS = STEP * ceil(log(TOLERANCE) / log(DAMPING) / STEP)
 LINK = r"""(?i)\bhref\s*=\s*["']?\s*(?:[a-z][a-z0-9+.\-]*:)?//([^/?#"'\s>]+)"""
 
 
@@ -54,10 +66,10 @@ def rule(host: Column, path: Column, rules=RULES) -> Column:
 
 
 def _parents(host: Column) -> Column:
-    """A host and its parent domains, as (child, parent) pairs."""
+    """A host and its parent domains of two labels or more, as (child, parent) pairs."""
     labels = F.split(host, r"\.")
     names = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
-    return F.transform(F.slice(names, 1, F.size(names) - 1), lambda x, i: F.struct(x.alias("child"), F.get(names, i + 1).alias("parent")))
+    return F.transform(F.slice(names, 1, F.greatest(F.size(names) - 2, F.lit(0))), lambda x, i: F.struct(x.alias("child"), F.get(names, i + 1).alias("parent")))
 
 
 def edges(pages: DataFrame, domains: bool = True) -> DataFrame:
@@ -75,20 +87,35 @@ def edges(pages: DataFrame, domains: bool = True) -> DataFrame:
 
 
 def propagate(links: DataFrame, seeds: DataFrame) -> DataFrame:
-    """host, trust, distrust (long) after ROUNDS rounds. ``seeds``: host, trusted,
+    """host, trust, distrust (long) once the rounds end. ``seeds``: host, trusted,
     blocked (counts). Trust follows the links, distrust runs against them;
     what a host without outgoing edges would pass on is lost."""
     ways = links.select(F.lit(0).alias("kind"), "src", "dst", "weight").union(links.select(F.lit(1), F.col("dst"), F.col("src"), F.col("weight")))
     out = ways.groupBy("kind", "src").agg(F.sum("weight").alias("all"))
     steps = stage(ways.join(out, ["kind", "src"]).select("kind", F.col("src").alias("host"), "dst", (F.col("weight") / F.col("all")).alias("share")), "host-edges")
-    given = seeds.select(F.lit(0).alias("kind"), "host", F.col("trusted").alias("n")).union(seeds.select(F.lit(1), F.col("host"), F.col("blocked"))).where("n > 0")
-    start = stage(given.join(given.groupBy("kind").agg(F.sum("n").alias("all")), "kind").select(
-        "kind", "host", F.floor(MASS * (F.col("n") / F.col("all"))).alias("rank")), "seeds")
-    rank = start
+    given = stage(seeds.select(F.lit(0).alias("kind"), "host", F.col("trusted").alias("n")).union(seeds.select(F.lit(1), F.col("host"), F.col("blocked"))).where("n > 0"), "seeds")
+    totals = given.groupBy("kind").agg(F.sum("n").alias("all"))
+    mass = UNIT * max(SEEDS, given.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0])
+    start = stage(given.join(totals, "kind").select("kind", "host", F.floor(F.lit(float(mass)) * (F.col("n") / F.col("all"))).alias("rank")), "start")
     base = start.select("kind", "host", F.floor((1 - DAMPING) * F.col("rank")).alias("rank"))
-    for _ in range(ROUNDS):
-        passed = rank.join(steps, ["kind", "host"]).select("kind", F.col("dst").alias("host"), F.floor(DAMPING * (F.col("rank") * F.col("share"))).alias("rank"))
-        rank = stage(passed.union(base).groupBy("kind", "host").agg(F.sum("rank").alias("rank")), "ranks")
+
+    def passed(rank: DataFrame) -> DataFrame:
+        moved = rank.join(steps, ["kind", "host"]).select("kind", F.col("dst").alias("host"), F.floor(DAMPING * (F.col("rank") * F.col("share"))).alias("rank"))
+        return moved.union(base).groupBy("kind", "host").agg(F.sum("rank").alias("rank"))
+
+    def state(rank: DataFrame):
+        """(hosts reached, the same for equal ranks)."""
+        return tuple(rank.agg(F.count(F.when(F.col("rank") > 0, 1)), F.sum(F.xxhash64("kind", "host", "rank").cast("decimal(38,0)"))).first())
+
+    rank, seen, rounds = start, None, 0
+    while True:
+        for _ in range(STEP - 1):
+            rank = passed(rank)
+        rank, rounds = stage(passed(rank), "ranks"), rounds + STEP
+        now = state(rank)
+        if now == seen or (rounds >= ROUNDS and seen and now[0] <= seen[0]):
+            break
+        seen = now
     return rank.groupBy("host").agg(F.sum(F.when(F.col("kind") == 0, F.col("rank")).otherwise(0)).alias("trust"),
                                     F.sum(F.when(F.col("kind") == 1, F.col("rank")).otherwise(0)).alias("distrust"))
 

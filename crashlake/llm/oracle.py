@@ -50,16 +50,16 @@ with page as (
 ), found as (select src, dst, count(*) as weight from links where src <> dst group by 1, 2
 ), names as (select host from one where host <> '' union select dst from found
 ), cut as (select distinct string_split(host, '.') as l from names
-), levels as (select l, unnest(range(1, len(l))) as i from cut
+), levels as (select l, unnest(range(1, len(l) - 1)) as i from cut
 ), tree as (select distinct array_to_string(l[i:len(l)], '.') as child, array_to_string(l[i + 1:len(l)], '.') as parent from levels
 ), edges as (
   select src, dst, sum(weight) as weight from (
     select * from found union all select child, parent, 1 from tree union all select parent, child, 1 from tree) group by 1, 2
 ), ways as (select 0 as kind, src, dst, weight from edges union all select 1, dst, src, weight from edges
-), steps as (select kind, src, dst, cast(weight as double) / cast(sum(weight) over (partition by kind, src) as double) as share from ways
+), steps as materialized (select kind, src, dst, cast(weight as double) / cast(sum(weight) over (partition by kind, src) as double) as share from ways
 ), given as (
   select case verdict when 'allow' then 0 else 1 end as kind, host, count(*) as n from one where rule is not null group by 1, 2
-), r0 as (select kind, host, cast(floor({url.MASS}::double * (cast(n as double) / cast(sum(n) over (partition by kind) as double))) as bigint) as rank from given
+), r0 as materialized (select kind, host, cast(floor(({url.UNIT} * greatest({url.SEEDS}, sum(n) over ()))::double * (cast(n as double) / cast(sum(n) over (partition by kind) as double))) as bigint) as rank from given
 ), {', '.join(steps)}
 , known as (
   select host, cast(coalesce(sum(rank) filter (where kind = 0), 0) as bigint) as trust, cast(coalesce(sum(rank) filter (where kind = 1), 0) as bigint) as distrust

@@ -104,7 +104,7 @@ def test_links_carry_trust_and_distrust(spark):
 
 def plain_ranks(edges, seeds, rounds):
     total = sum(seeds.values())
-    start = {h: int(url.MASS * (n / total)) for h, n in seeds.items() if n}
+    start = {h: int(url.UNIT * url.SEEDS * (n / total)) for h, n in seeds.items() if n}
     out = Counter()
     for (s, _), w in edges.items():
         out[s] += w
@@ -127,6 +127,23 @@ def test_ranks_equal_the_plain_iteration(spark):
     assert {r.host: r.distrust for r in got if r.distrust} == plain_ranks({(d, s): w for (s, d), w in edges.items()}, {"d": 2, "e": 5}, url.ROUNDS)
 
 
+@pytest.mark.parametrize("n", [40, 70])
+def test_a_chain_of_hosts_ends_in_one_verdict(spark, n):
+    """Each host links to the next, the last is blocked; a branch of trusted hosts stays allowed."""
+    link = '<a href="https://{}/x">'
+    rows = [(i, f"http://h{i}.org/", link.format(f"h{i + 1}.org")) for i in range(n)] + [(n, f"http://h{n}.org/", link.format("bad.net")), (n + 1, "http://bad.net/es/1", None)]
+    rows += [(1000, "http://shop.com/", link.format("friend.org")), (1001, "http://friend.org/", "x" * 300_000)]
+    got = {r.doc.page_id: r.verdict for r in url.judge(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()}
+    assert {got[i] for i in range(n + 2)} == {"block"} and got[1000] == got[1001] == "allow"
+
+
+def test_a_top_level_domain_joins_no_hosts(spark):
+    pages = spark.createDataFrame([("a.b.example.com", ""), ("www.other.com", ""), ("com", ""), ("example.com", "")], "host string, html string")
+    got = {(r.src, r.dst) for r in url.edges(pages).collect()}
+    pairs = {("a.b.example.com", "b.example.com"), ("b.example.com", "example.com"), ("www.other.com", "other.com")}
+    assert got == pairs | {(b, a) for a, b in pairs}
+
+
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_matches_sql(spark, name):
     con = duckdb.connect()
