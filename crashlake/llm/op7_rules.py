@@ -3,10 +3,21 @@
 Base statistics of each whole text become a vector of transformed measures,
 in whole 1/UNIT steps so that every sum below is exact and reruns agree. Per
 language and source a minimum-covariance-determinant estimate is sought: from
-the coordinate-wise medians and median deviations, the SUPPORT share of rows
-nearest to the estimate gives the next mean and covariance (STEPS
-concentration steps). A row is rejected if its Mahalanobis distance from its
-group's estimate is beyond CUTOFF."""
+each of several starts, the half of the texts nearest to the estimate gives the
+next mean and covariance (STEPS concentration steps); the start that ends in
+the least determinant wins, and all texts that it finds near give the final
+estimate. A row is rejected if its Mahalanobis distance from the estimate is
+beyond CUTOFF.
+
+Copies of a text count once in the estimate, so that no text, however often it was
+copied, can make itself the rule; texts that differ break it down only from
+half of a group on. The half is exact: of the distance bin at its border only the
+share that is missing counts. A group of fewer than LEAST different texts is judged
+by its language's estimate, and that by the whole corpus's.
+
+Null texts are empty and fail the base rules; null languages and sources are
+values of their own; very long texts and repeated rows are judged like any other;
+columns of any name stay inside ``doc``; an empty table gives none."""
 
 from __future__ import annotations
 
@@ -55,16 +66,21 @@ def statistics(text: Column) -> dict[str, Column]:
 
 
 #: Measures in 1/UNIT steps; the least standard deviation each may have (of the
-#: measure itself); share of rows in the estimate's support, the factor that
-#: makes its covariance consistent for four normal measures, concentration
-#: steps, bins of the distance (a factor of exp(1/BINS) each), and the squared
-#: distance beyond which a row is rejected: what one in a thousand rows of four
-#: normal measures exceeds (chi-square). Floor i lets measure i deviate by at most
+#: measure itself); the factor that makes the covariance of the nearer half, and of the
+#: rows within NEAR, consistent for four normal measures; concentration steps, bins
+#: of the distance (a factor of exp(1/BINS) each), the squared distance that one in
+#: forty rows of four normal measures exceeds (chi-square), and the one that one
+#: in a thousand does, beyond which a row is rejected. Floor i lets measure i deviate by at most
 #: sqrt(CUTOFF) * FLOORS[i] in a tight group, within what each measure can reach.
 UNIT = 256
 FLOORS = (0.3, 0.25, 0.08, 0.35)
-SUPPORT, CONSISTENT, STEPS, BINS, CUTOFF = 0.75, 1.486, 4, 16, 18.467
+CONSISTENT, CONSISTENT_NEAR, STEPS, BINS, NEAR, CUTOFF = 2.109, 1.0645, 3, 16, 11.143, 18.467
 P = len(FLOORS)
+#: Centres of the starts: a quantile of each measure. Signs and repeats err upwards only.
+STARTS = ((0.5, 0.5, 0.5, 0.5), (0.25, 0.5, 0.25, 0.25))
+#: Different texts that a group needs for an estimate of its own.
+LEAST = 40
+GROUP = ["level", "lang", "source"]
 
 
 def measures() -> list[Column]:
@@ -75,79 +91,104 @@ def measures() -> list[Column]:
 
 
 def with_statistics(docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:
-    """``doc`` (the whole row), lang, source, the base statistics, base_failed and the measures g0..g3."""
-    rows = docs.select(F.struct("*").alias("doc"), F.col(lang).alias("lang"), F.col(source).alias("source"),
+    """``doc`` (the whole row), lang, source, a hash of the text, the base statistics, base_failed and the measures g0..g3."""
+    rows = docs.select(F.struct("*").alias("doc"), F.col(lang).cast("string").alias("lang"), F.col(source).cast("string").alias("source"), F.xxhash64(F.col(text)).alias("text_hash"),
                        *[c.alias(name) for name, c in statistics(F.col(text)).items()]).select("*", "__w.*").drop("__w")
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEATED * F.col("n_words"))
     return rows.withColumn("base_failed", failed).select("*", *measures())
 
 
-def _on_group(rows: DataFrame, groups: DataFrame) -> DataFrame:
-    groups = groups.withColumnsRenamed({"lang": "__lang", "source": "__source"})
-    joined = rows.join(groups, F.col("lang").eqNullSafe(F.col("__lang")) & F.col("source").eqNullSafe(F.col("__source")))
-    return joined.drop("__lang", "__source")
+def _on_group(rows: DataFrame, groups: DataFrame, *more: str) -> DataFrame:
+    names = [*GROUP, *more]
+    groups = groups.withColumnsRenamed({c: f"__{c}" for c in names})
+    same = F.lit(True)
+    for c in names:
+        same = same & F.col(c).eqNullSafe(F.col(f"__{c}"))
+    return rows.join(groups, same).drop(*[f"__{c}" for c in names])
 
 
 def _first_distance() -> Column:
-    """Squared distance from the medians in units of the median deviations."""
+    """Squared distance from a start's centre in units of the median deviations."""
     return sum((((F.col(f"g{i}") - F.col(f"m{i}")) / F.greatest(1.4826 * F.col(f"d{i}"), F.lit(FLOORS[i] * UNIT))) ** 2 for i in range(P)), F.lit(0.0))
 
 
-def distance() -> Column:
-    """Squared Mahalanobis distance: forward substitution with the group's Cholesky factor."""
-    def solve(i: int, done: Column) -> Column:
-        rest = sum((F.col(f"l{i}{j}") * F.get(done, j) for j in range(i)), F.lit(0.0))
-        return F.concat(done, F.array((F.col(f"g{i}") - F.col(f"m{i}") - rest) / F.col(f"l{i}{i}")))
-
-    def chain(i: int, done: Column) -> Column:
-        return F.aggregate(done, F.lit(0.0), lambda a, y: a + y * y) if i == P else let(solve(i, done), lambda y: chain(i + 1, y))
-
-    return chain(0, F.array().cast("array<double>"))
-
-
-def _estimate(rows: DataFrame) -> DataFrame:
-    """Mean m_i and Cholesky factor l_ij per group of the SUPPORT share of rows
-    with the least d2 (whole bins of it), from exact sums per distance bin."""
-    binned = rows.withColumn("bin", F.floor(BINS * F.log1p("d2")))
-    pairs = [(i, j) for i in range(P) for j in range(i + 1)]
-    sums = binned.groupBy("lang", "source", "bin").agg(
-        F.count("*").alias("n"), *[F.sum(f"g{i}").alias(f"s{i}") for i in range(P)],
-        *[F.sum(F.col(f"g{i}") * F.col(f"g{j}")).alias(f"s{i}{j}") for i, j in pairs])
-    whole = Window.partitionBy("lang", "source")
-    upto = whole.orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
-    inner = sums.withColumn("before", F.coalesce(F.sum("n").over(upto), F.lit(0))).withColumn("all", F.sum("n").over(whole))
-    inner = inner.where(F.col("before") < SUPPORT * F.col("all")).groupBy("lang", "source").agg(
-        *[F.sum(c).cast("double").alias(c) for c in ["n", *(f"s{i}" for i in range(P)), *(f"s{i}{j}" for i, j in pairs)]])
-    out = inner.select("lang", "source", *[(F.col(f"s{i}") / F.col("n")).alias(f"m{i}") for i in range(P)], *[
-        (CONSISTENT * (F.col(f"s{i}{j}") / F.col("n") - F.col(f"s{i}") / F.col("n") * (F.col(f"s{j}") / F.col("n"))) + (
-            (FLOORS[i] * UNIT) ** 2 if i == j else 0.0)).alias(f"a{i}{j}") for i, j in pairs])
-    for i, j in pairs:
+def with_distance(rows: DataFrame) -> DataFrame:
+    """``rows`` with d2, the squared Mahalanobis distance: forward substitution with the Cholesky factor."""
+    for i in range(P):
+        rest = sum((F.col(f"l{i}{j}") * F.col(f"y{j}") for j in range(i)), F.lit(0.0))
+        rows = rows.withColumn(f"y{i}", (F.col(f"g{i}") - F.col(f"m{i}") - rest) / F.col(f"l{i}{i}"))
+    return rows.withColumn("d2", sum((F.col(f"y{i}") * F.col(f"y{i}") for i in range(P)), F.lit(0.0))).drop(*[f"y{i}" for i in range(P)])
+
+
+PAIRS = [(i, j) for i in range(P) for j in range(i + 1)]
+SUMS = ["n", *(f"s{i}" for i in range(P)), *(f"s{i}{j}" for i, j in PAIRS)]
+
+
+def _sums() -> list[Column]:
+    return [F.count("*").alias("n"), *[F.sum(f"g{i}").alias(f"s{i}") for i in range(P)], *[F.sum(F.col(f"g{i}") * F.col(f"g{j}")).alias(f"s{i}{j}") for i, j in PAIRS]]
+
+
+def _factor(sums: DataFrame, keys: list[str], consistent: float) -> DataFrame:
+    """Mean m_i and Cholesky factor l_ij of the covariance from SUMS (double)."""
+    out = sums.select(*keys, *[(F.col(f"s{i}") / F.col("n")).alias(f"m{i}") for i in range(P)], *[
+        (consistent * (F.col(f"s{i}{j}") / F.col("n") - F.col(f"s{i}") / F.col("n") * (F.col(f"s{j}") / F.col("n"))) + (
+            (FLOORS[i] * UNIT) ** 2 if i == j else 0.0)).alias(f"a{i}{j}") for i, j in PAIRS])
+    for i, j in PAIRS:
         less = sum((F.col(f"l{i}{k}") * F.col(f"l{j}{k}") for k in range(j)), F.lit(0.0))
         out = out.withColumn(f"l{i}{j}", F.sqrt(F.col(f"a{i}{i}") - less) if i == j else (F.col(f"a{i}{j}") - less) / F.col(f"l{j}{j}"))
-    return out.select("lang", "source", *[f"m{i}" for i in range(P)], *[f"l{i}{j}" for i, j in pairs])
+    return out.select(*keys, *[f"m{i}" for i in range(P)], *[f"l{i}{j}" for i, j in PAIRS])
+
+
+def _half(rows: DataFrame) -> DataFrame:
+    """The estimate of every group and start from the half of its rows with the least
+    d2: whole bins of it, and of the one at the border the share that is missing."""
+    keys = [*GROUP, "start"]
+    sums = rows.groupBy(*keys, F.floor(BINS * F.log1p("d2")).alias("bin")).agg(*_sums())
+    whole = Window.partitionBy(*keys)
+    before = F.coalesce(F.sum("n").over(whole.orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    half = F.least(F.floor((F.sum("n").over(whole) + P + 1) / 2), F.sum("n").over(whole))
+    sums = sums.withColumn("before", before).withColumn("left", half - F.col("before")).where("left > 0")
+    full = F.col("left") >= F.col("n")
+    # one bin a group at most is taken in part, so that the sums below are exact but for one product
+    parts = [(F.coalesce(F.sum(F.when(full, F.col(c))), F.lit(0)) + F.coalesce(F.max(F.when(~full, F.col(c) * (F.col("left") / F.col("n")))), F.lit(0.0))).alias(c) for c in SUMS]
+    return _factor(sums.groupBy(*keys).agg(*parts), keys, CONSISTENT)
 
 
 def estimates(rows: DataFrame) -> DataFrame:
-    """One row per language and source (null is a value of its own): the robust
-    mean and Cholesky factor over the rows that pass the base rules."""
-    rows = rows.where(~F.col("base_failed")).select("lang", "source", *[f"g{i}" for i in range(P)])
-    middle = lambda x, name: F.expr(f"percentile_disc(0.5) within group (order by {x})").alias(name)
-    centre = stage(rows.groupBy("lang", "source").agg(*[middle(f"g{i}", f"m{i}") for i in range(P)]), "medians")
-    spread = stage(_on_group(rows, centre).groupBy("lang", "source", *[f"m{i}" for i in range(P)]).agg(
-        *[middle(f"abs(g{i} - m{i})", f"d{i}") for i in range(P)]), "deviations")
-    found = stage(_estimate(_on_group(rows, spread).withColumn("d2", _first_distance())), "estimate")
+    """lang, source, m_i, l_ij: the estimate that judges each group, from the different
+    texts that pass the base rules."""
+    null = F.lit(None).cast("string")
+    levels = F.array(*[F.struct(F.lit(k).alias("level"), (F.col("lang") if k < 2 else null).alias("lang"), (F.col("source") if k < 1 else null).alias("source")) for k in range(3)])
+    measures = [f"g{i}" for i in range(P)]
+    rows = rows.where(~F.col("base_failed")).select(F.inline(levels), "text_hash", *measures).distinct().drop("text_hash")
+    rows = stage(rows, "vectors")
+    quantile = lambda q, x, name: F.expr(f"percentile_disc({q}) within group (order by {x})").alias(name)
+    wanted = sorted({(start[i], i) for start in STARTS for i in range(P)})
+    centre = rows.groupBy(*GROUP).agg(F.count("*").alias("texts"), *[quantile(q, f"g{i}", f"q{i}_{int(100 * q)}") for q, i in wanted])
+    starts = F.array(*[F.struct(F.lit(k).alias("start"), *[F.col(f"q{i}_{int(100 * start[i])}").alias(f"m{i}") for i in range(P)]) for k, start in enumerate(STARTS)])
+    centre = stage(centre.select(*GROUP, "texts", F.inline(starts)), "centres")
+    means = [f"m{i}" for i in range(P)]
+    spread = stage(_on_group(rows, centre).groupBy(*GROUP, "start", *means).agg(*[quantile(0.5, f"abs(g{i} - m{i})", f"d{i}") for i in range(P)]), "deviations")
+    found = stage(_half(_on_group(rows, spread).withColumn("d2", _first_distance())), "estimate")
     for _ in range(STEPS):
-        found = stage(_estimate(_on_group(rows, found).withColumn("d2", distance())), "estimate")
-    return found
+        found = stage(_half(with_distance(_on_group(rows, found))), "estimate")
+    values = [c for c in found.columns if c not in (*GROUP, "start")]
+    volume = F.col("l00") * F.col("l11") * F.col("l22") * F.col("l33")
+    best = found.groupBy(*GROUP).agg(F.min(F.struct(volume.alias("volume"), "start", *values)).alias("x")).select(*GROUP, "x.*").select(*GROUP, *values)
+    near = with_distance(_on_group(rows, best)).where(F.col("d2") <= NEAR).groupBy(*GROUP).agg(*[c.cast("double").alias(n) for c, n in zip(_sums(), SUMS)])
+    final = stage(_factor(near, GROUP, CONSISTENT_NEAR), "final")
+    # which level judges a group: the first one of LEAST different texts
+    texts = centre.where("start = 0").select(*GROUP, "texts")
+    own, langs = texts.where("level = 0"), texts.where("level = 1").select(F.col("lang").alias("__l"), F.col("texts").alias("in_lang"))
+    picked = own.join(langs, F.col("lang").eqNullSafe(F.col("__l")))
+    level = F.when(F.col("texts") >= LEAST, 0).when(F.col("in_lang") >= LEAST, 1).otherwise(2)
+    picked = picked.select(F.col("lang").alias("for_lang"), F.col("source").alias("for_source"), level.alias("level"), F.when(level < 2, F.col("lang")).alias("lang"), F.when(level < 1, F.col("source")).alias("source"))
+    return _on_group(picked, final).select(F.col("for_lang").alias("lang"), F.col("for_source").alias("source"), *values)
 
 
 def judge(rows: DataFrame) -> DataFrame:
-    """``rows`` of :func:`with_statistics`, written once, with ``kept``.
-
-    Null texts are empty and fail the base rules; groups of few or equal rows
-    rest on the least deviations; repeated rows are judged alike; an empty table
-    gives none."""
+    """``rows`` of :func:`with_statistics`, written once, with d2 and ``kept``."""
     rows = stage(rows, "statistics")
     found = estimates(rows).withColumnsRenamed({"lang": "__lang", "source": "__source"})
     joined = rows.join(found, F.col("lang").eqNullSafe(F.col("__lang")) & F.col("source").eqNullSafe(F.col("__source")), "left")
-    return joined.withColumn("d2", distance()).withColumn("kept", ~F.col("base_failed") & F.coalesce(F.col("d2") <= CUTOFF, F.lit(False)))
+    return with_distance(joined).withColumn("kept", ~F.col("base_failed") & F.coalesce(F.col("d2") <= CUTOFF, F.lit(False)))

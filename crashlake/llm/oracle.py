@@ -73,39 +73,46 @@ from one o left join known k on o.host = k.host"""
 def quality_rules() -> str:
     p = range(rules.P)
     pairs = [(i, j) for i in p for j in range(i + 1)]
-    group = "a.lang is not distinct from b.lang and a.source is not distinct from b.source"
+    same = " and ".join(f"a.{c} is not distinct from b.{c}" for c in rules.GROUP)
+    keys, each = "level, lang, source", "level, lang, source, start"
     floors = [f * rules.UNIT for f in rules.FLOORS]
+    names = ["n", *(f"s{i}" for i in p), *(f"s{i}{j}" for i, j in pairs)]
+    sums = ", ".join(["count(*) as n"] + [f"sum(g{i}) as s{i}" for i in p] + [f"sum(g{i} * g{j}) as s{i}{j}" for i, j in pairs])
 
-    def estimate(k: int) -> str:
-        """Mean and Cholesky factor of the nearest rows, by the distances of step k."""
-        sums = ", ".join([f"cast(sum(g{i}) as double) as s{i}" for i in p] + [f"cast(sum(g{i} * g{j}) as double) as s{i}{j}" for i, j in pairs])
+    def factor(k: str, source: str, by: str, consistent: float) -> str:
+        """Mean and Cholesky factor e<k> from the sums in ``source``."""
         cov = ", ".join([f"s{i} / n as m{i}" for i in p] + [
-            f"{rules.CONSISTENT}::double * (s{i}{j} / n - s{i} / n * (s{j} / n)) + {floors[i] ** 2 if i == j else 0.0}::double as a{i}{j}" for i, j in pairs])
-        factor, layer = "", f"c{k}"
+            f"{consistent}::double * (s{i}{j} / n - s{i} / n * (s{j} / n)) + {floors[i] ** 2 if i == j else 0.0}::double as a{i}{j}" for i, j in pairs])
+        out, layer = f"c{k} as (select {by}, {cov} from {source})", f"c{k}"
         for i, j in pairs:
             less = "(0.0::double" + "".join(f" + l{i}{t} * l{j}{t}" for t in range(j)) + ")"
             value = f"sqrt(a{i}{i} - {less})" if i == j else f"(a{i}{j} - {less}) / l{j}{j}"
-            factor += f", f{k}_{i}{j} as (select *, {value} as l{i}{j} from {layer})"
+            out += f", f{k}_{i}{j} as (select *, {value} as l{i}{j} from {layer})"
             layer = f"f{k}_{i}{j}"
-        return f"""b{k} as (select *, cast(floor({rules.BINS} * ln(1 + d2)) as bigint) as bin from d{k}
-), n{k} as (select lang, source, bin, count(*) as n from b{k} group by 1, 2, 3
-), u{k} as (select lang, source, bin, coalesce(sum(n) over (partition by lang, source order by bin rows between unbounded preceding and 1 preceding), 0) as before, sum(n) over (partition by lang, source) as whole from n{k}
-), s{k} as (
-  select a.lang, a.source, cast(count(*) as double) as n, {sums} from b{k} a join u{k} b on {group} and a.bin = b.bin where b.before < {rules.SUPPORT} * b.whole group by 1, 2
-), c{k} as (select lang, source, {cov} from s{k}){factor}, e{k} as (select * from {layer})"""
-
-    def distances(k: int, rows: str) -> str:
-        """Distances by the estimate of step k - 1, as step k."""
+        kept = ", ".join([f"m{i}" for i in p] + [f"l{i}{j}" for i, j in pairs])
+        return out + f", e{k} as materialized (select {by}, {kept} from {layer})"
+
+    def half(k: str) -> str:
+        """The estimate e<k> of the nearer half, by the distances d<k>."""
+        parts = ", ".join(f"cast(coalesce(sum({c}) filter (where rest >= n), 0) as double) + coalesce(max({c} * (rest::double / n::double)) filter (where rest < n), 0.0) as {c}" for c in names)
+        return f"""b{k} as (select {each}, cast(floor({rules.BINS} * ln(1 + d2)) as bigint) as bin, {sums} from d{k} group by {each}, bin
+), w{k} as (select *, sum(n) over (partition by {each}) as whole, coalesce(sum(n) over (partition by {each} order by bin rows between unbounded preceding and 1 preceding), 0) as before from b{k}
+), r{k} as (select *, least((whole + {rules.P + 1}) // 2, whole) - before as rest from w{k}
+), t{k} as (select {each}, {parts} from r{k} where rest > 0 group by {each}), {factor(k, f't{k}', each, rules.CONSISTENT)}"""
+
+    def distances(k: str, rows: str, estimate: str, on: str, hide: str) -> str:
         out, layer = "", f"y{k}"
         for i in p:
             rest = "(0.0::double" + "".join(f" + l{i}{t} * y{t}" for t in range(i)) + ")"
             out += f", y{k}_{i} as (select *, (g{i} - m{i} - {rest}) / l{i}{i} as y{i} from {layer})"
             layer = f"y{k}_{i}"
         total = "0.0::double" + "".join(f" + y{i} * y{i}" for i in p)
-        return f"""y{k} as (select a.*, b.* exclude (lang, source) from {rows} a left join e{k - 1} b on {group}){out}, d{k} as (select *, {total} as d2 from {layer})"""
+        return f"""y{k} as (select a.*, b.* exclude ({hide}) from {rows} a left join {estimate} b on {on}){out}, d{k} as (select *, {total} as d2 from {layer})"""
 
     first = " + ".join(f"pow((g{i} - m{i}) / greatest(1.4826::double * q{i}, {floors[i]}::double), 2)" for i in p)
-    steps = ", ".join(f"{distances(k, 'good')}, {estimate(k)}" for k in range(1, rules.STEPS + 1))
+    steps = ", ".join(f"{distances(str(k), 'good', f'e{k - 1}', same, keys)}, {half(str(k))}" for k in range(1, rules.STEPS + 1))
+    begin = " union all ".join(f"select {keys}, {k} as start, count(*) as texts, {', '.join(f'quantile_disc(g{i}, {start[i]}) as m{i}' for i in p)} from good group by {keys}" for k, start in enumerate(rules.STARTS))
+    levels = " union all ".join(f"select {k} as level, {'lang' if k < 2 else 'null'} as lang, {'source' if k < 1 else 'null'} as source, text, g0, g1, g2, g3 from g where not base_failed" for k in range(3))
     measure = {
         0: "ln(1 + 100 * n_symbols / n)", 1: "word_chars / n", 2: "n_repeat_words / n", 3: "ln(1 + 100 * n_dup_lines / n)"}
     return f"""
@@ -120,20 +127,32 @@ with t as (select row_number() over () as k, doc_id, lang, source, coalesce(text
 ), line as (select k, unnest(string_split(text, chr(10))) as l from t
 ), lines as (select k, count(*) - count(distinct l) as n_dup_lines from line where regexp_matches(l, '{WORD}') group by k
 ), base as (
-  select doc_id, lang, source, coalesce(n_words, 0) as n_words, cast(coalesce(word_chars, 0) as bigint) as word_chars,
+  select doc_id, lang, source, text, coalesce(n_words, 0) as n_words, cast(coalesce(word_chars, 0) as bigint) as word_chars,
     cast(length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) as bigint) as n_symbols, coalesce(n_dup_lines, 0) as n_dup_lines, coalesce(n_repeat_words, 0) as n_repeat_words
   from t left join chars using (k) left join lines using (k) left join rep using (k)
 ), marked as (select *, n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_failed, cast(greatest(n_words, 1) as double) as n from base
 ), g as (select *, {', '.join(f'cast(floor(({x}) * {rules.UNIT} + 0.5) as bigint) as g{i}' for i, x in measure.items())} from marked
-), good as (select lang, source, g0, g1, g2, g3 from g where not base_failed
-), med as (select lang, source, {', '.join(f'quantile_disc(g{i}, 0.5) as m{i}' for i in p)} from good group by 1, 2
+), alike as (select distinct * from ({levels})
+), good as materialized (select level, lang, source, g0, g1, g2, g3 from alike
+), med as materialized ({begin}
 ), dev as (
-  select a.lang, a.source, {', '.join(f'm{i}' for i in p)}, {', '.join(f'quantile_disc(abs(g{i} - m{i}), 0.5) as q{i}' for i in p)}
-  from good a join med b on {group} group by a.lang, a.source, {', '.join(f'm{i}' for i in p)}
-), d0 as (select a.*, {first} as d2 from good a join dev b on {group}
-), {estimate(0)}, {steps}, {distances(rules.STEPS + 1, 'g')}
+  select a.level, a.lang, a.source, b.start, {', '.join(f'm{i}' for i in p)}, {', '.join(f'quantile_disc(abs(g{i} - m{i}), 0.5) as q{i}' for i in p)}
+  from good a join med b on {same} group by a.level, a.lang, a.source, b.start, {', '.join(f'm{i}' for i in p)}
+), d0 as (select a.*, b.start, {first} as d2 from good a join dev b on {same}
+), {half('0')}, {steps}, best as (
+  select * from e{rules.STEPS} qualify row_number() over (partition by {keys} order by l00 * l11 * l22 * l33, start) = 1
+), {distances('n', 'good', 'best', same, keys)}, near as (
+  select {keys}, {', '.join(f'cast({c} as double) as {c}' for c in names)} from (select {keys}, {sums} from dn where d2 <= {rules.NEAR} group by {keys})
+), {factor('z', 'near', keys, rules.CONSISTENT_NEAR)}, size as (select distinct level, lang, source, texts from med
+), pick as (
+  select a.lang as for_lang, a.source as for_source, case when a.texts >= {rules.LEAST} then 0 when b.texts >= {rules.LEAST} then 1 else 2 end as level
+  from size a join size b on a.level = 0 and b.level = 1 and a.lang is not distinct from b.lang
+), judge as (
+  select p.for_lang as lang, p.for_source as source, z.* exclude ({keys}) from pick p join ez z on p.level = z.level
+    and (p.level = 2 or p.for_lang is not distinct from z.lang) and (p.level > 0 or p.for_source is not distinct from z.source)
+), {distances('q', 'g', 'judge', 'a.lang is not distinct from b.lang and a.source is not distinct from b.source', 'lang, source')}
 select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-  not base_failed and coalesce(d2 <= {rules.CUTOFF}, false) as kept, round(d2, 6) as distance2 from d{rules.STEPS + 1}"""
+  not base_failed and coalesce(d2 <= {rules.CUTOFF}, false) as kept, round(d2, 6) as distance2 from dq"""
 
 
 def mixing() -> str:

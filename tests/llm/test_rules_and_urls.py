@@ -1,3 +1,4 @@
+import random
 import re
 from collections import Counter
 
@@ -10,7 +11,7 @@ from crashlake.llm import op6_url_filter as url
 from crashlake.llm import op7_rules as rules
 from crashlake.llm.oracle import ORACLE
 from crashlake.llm.queries import QUERIES
-from tests.llm.helpers import documents, frame, word_list
+from tests.llm.helpers import documents, frame, sentence, word_list
 
 SF = "/root/testdata/sf0.001"
 
@@ -62,6 +63,44 @@ def test_each_measure_can_reject_alone(spark):
     assert {k for k, r in out.items() if not r.kept} == set(texts)
 
 
+def plain_rows(seed, n, source, first=0):
+    """Different plain texts of one language and source."""
+    rng = random.Random(seed)
+    return [(first + i, sentence(rng, rng.randint(60, 150)), "en", source, 0, "", "", "", "", "") for i in range(n)]
+
+
+@pytest.mark.parametrize("share", [5, 20, 26, 33, 45, 70])
+def test_copies_of_a_junk_text_do_not_make_the_rule(spark, share):
+    clean = plain_rows(share, 300, "s")
+    copies = 300 * share // (100 - share)
+    junk = " ".join(w + "#$" for w in word_list(clean[0][1]))
+    got = rules.judge(rules.with_statistics(frame(spark, clean + [(10_000 + k, junk, *clean[0][2:]) for k in range(copies)])))
+    kept = {r.doc_id: r.kept for r in got.select("doc.doc_id", "kept").collect()}
+    assert not any(k for i, k in kept.items() if i >= 10_000)
+    assert sum(k for i, k in kept.items() if i < 10_000) >= 297
+
+
+@pytest.mark.parametrize("share", [5, 20, 33, 45])
+def test_different_junk_texts_up_to_near_half(spark, share):
+    clean, bad = plain_rows(share, 300, "s"), plain_rows(share + 1, 300 * share // (100 - share), "s", 10_000)
+    bad = [(r[0], " ".join(w + "#$" for w in word_list(r[1])), *r[2:]) for r in bad]
+    kept = {r.doc_id: r.kept for r in rules.judge(rules.with_statistics(frame(spark, clean + bad))).select("doc.doc_id", "kept").collect()}
+    assert not any(k for i, k in kept.items() if i >= 10_000)
+    assert sum(k for i, k in kept.items() if i < 10_000) >= 295
+
+
+def test_small_groups_rest_on_their_language(spark):
+    rows = plain_rows(1, 200, "big")
+    for n in (1, 2, 3):
+        for k in range(n):
+            text = plain_rows(50 * n + k, 1, "x")[0][1]
+            rows.append((1000 + 10 * n + k, text, "en", f"clean{n}", 0, "", "", "", "", ""))
+            rows.append((2000 + 10 * n + k, " ".join(w + "%%" for w in word_list(text)), "en", f"junk{n}", 0, "", "", "", "", ""))
+            rows.append((3000 + 10 * n + k, " ".join(w + "%%" for w in word_list(text)), None, None, 0, "", "", "", "", ""))
+    kept = {r.doc_id: r.kept for r in rules.judge(rules.with_statistics(frame(spark, rows))).select("doc.doc_id", "kept").collect()}
+    assert all(k for i, k in kept.items() if 1000 <= i < 2000) and not any(k for i, k in kept.items() if i >= 2000)
+
+
 def test_rules_on_few_rows_and_none(spark):
     docs = frame(spark, documents())
     assert rules.judge(rules.with_statistics(docs.limit(0))).count() == 0
