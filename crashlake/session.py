@@ -37,14 +37,17 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster that setting names shared storage and is used as is; only
-    when it is unset (local tests) and the context has no folder of its own, a
-    fresh scratch folder is chosen, once for the context."""
+    On a cluster that setting names shared storage and is used as is, and it is an
+    error if it is unset: a folder of the driver's own is none that executors
+    can read. Only a local session without one is given a fresh scratch folder,
+    once for the context."""
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     known = conf_dir or spark.sparkContext.getCheckpointDir()
     if known:
         if conf_dir:
             spark.sparkContext.setCheckpointDir(conf_dir)
         return known
+    if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="crashlake-ckpt-"))
     return spark.sparkContext.getCheckpointDir()
