@@ -183,7 +183,8 @@ def estimates(rows: DataFrame) -> DataFrame:
     picked = own.join(langs, F.col("lang").eqNullSafe(F.col("__l")))
     level = F.when(F.col("texts") >= LEAST, 0).when(F.col("in_lang") >= LEAST, 1).otherwise(2)
     picked = picked.select(F.col("lang").alias("for_lang"), F.col("source").alias("for_source"), level.alias("level"), F.when(level < 2, F.col("lang")).alias("lang"), F.when(level < 1, F.col("source")).alias("source"))
-    return _on_group(picked, final).select(F.col("for_lang").alias("lang"), F.col("for_source").alias("source"), *values)
+    # written, so that its size, a row for each group, is known where rows are joined to it
+    return stage(_on_group(picked, final).select(F.col("for_lang").alias("lang"), F.col("for_source").alias("source"), *values), "judges")
 
 
 def judge(rows: DataFrame) -> DataFrame:
