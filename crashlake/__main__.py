@@ -24,6 +24,7 @@ import sys
 from crashlake.operators import dashboard as D
 from crashlake.operators import quality as K
 from crashlake.operators import rankings as R
+from crashlake.operators import rollup as U
 from crashlake.schema import ALL_BOROUGHS, RANKING_FROM, RANKING_TO, TOP_FACTORS_DEFAULT
 
 
@@ -44,6 +45,16 @@ def _queries(a):
     }
 
 
+def _rolled(a):
+    """What a store's daily rollup answers."""
+    return {
+        "kpi": lambda days, b: U.kpi_summary(days, b, a.start, a.end, a.borough),
+        "trend": lambda days, b: U.daily_trend(days, b, a.start, a.end, a.borough),
+        "metric": lambda days, b: U.trend_metric(days, b, a.start, a.end, a.borough, a.metric),
+        "by-borough": lambda days, b: U.crashes_by_borough(days, b, a.start, a.end),
+    }
+
+
 def main(argv=None) -> int:
     p = argparse.ArgumentParser(prog="crashlake")
     sub = p.add_subparsers(dest="cmd", required=True)
@@ -90,7 +101,7 @@ def main(argv=None) -> int:
         report = K.validate(store.read_tables(spark, a.store))
         report.groupBy("table_name", "rule").sum("n_rows").show(100, truncate=False)
     elif a.cmd == "query":
-        queries = _queries(a)
+        queries, rolled = _queries(a), _rolled(a)
         if a.name not in queries:
             p.error(f"unknown query {a.name!r}; one of {sorted(queries)}")
         tables = store.read_tables(spark, a.store) if a.store else store.read_bucketed(spark, a.database)
@@ -100,6 +111,9 @@ def main(argv=None) -> int:
         if a.name == "bounds" and a.store:  # no scan: the bounds kept for the store's files
             from crashlake.sources import key_index
             df = key_index.date_bounds(spark, a.store)
+        elif a.name in rolled and a.store:  # the daily rollup, not the collisions
+            from crashlake.sources import day_index
+            df = rolled[a.name](day_index.daily(spark, a.store, a.start, a.end), tables.boroughs)
         else:
             df = queries[a.name](tables)
         if a.csv:

@@ -18,13 +18,14 @@ from crashlake.operators import dashboard as D
 from crashlake.operators import normalize as N
 from crashlake.operators import quality as K
 from crashlake.operators import rankings
+from crashlake.operators import rollup as U
 from crashlake.operators import star as T
 from crashlake.operators.lookup import lookup_ids
 from crashlake.plans import params as P
 from crashlake.plans.load import load_feed
 from crashlake.schema import COUNT_COLUMNS, FEED_COLUMNS
 from crashlake.session import ensure_checkpoint_dir
-from crashlake.sources import key_index, store
+from crashlake.sources import day_index, key_index, store
 from crashlake.sources.feed import read_feed
 from crashlake.sources.fixtures import fixture_tables, fx_raw
 from crashlake.tables import CollisionTables
@@ -238,6 +239,17 @@ def _indexed_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return key_index.date_bounds(spark, root)
 
 
+def _on_rollup(fn) -> Query:
+    """D1-D4 over the daily rollup of a store written in two loads."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        root, t = _scratch(spark, "store"), fixture_tables(spark, sf_dir)
+        for half in (0, 1):
+            store.write_table("collisions", t.collisions.filter(F.col("collision_id") % 2 == half), root)
+            day_index.refresh(spark, root)
+        return fn(day_index.daily(spark, root, P.DASH_START, P.DASH_END), t.boroughs)
+    return run
+
+
 def _touched_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stored rows that an old and a new stretch of ids can conflict with, and no others."""
     root, t = _scratch(spark, "store"), fixture_tables(spark, sf_dir)
@@ -306,6 +318,10 @@ QUERIES: dict[str, Query] = {
         lambda t: D.latest_collisions(t, P.DASH_START, P.DASH_END, "All")),
     "d6_latest_collisions_borough": _on_tables(
         lambda t: D.latest_collisions(t, P.DASH_START, P.DASH_END, P.DASH_BOROUGH)),
+    "d1_kpi_summary_rollup": _on_rollup(lambda days, b: U.kpi_summary(days, b, P.DASH_START, P.DASH_END, P.DASH_BOROUGH)),
+    "d2_daily_trend_rollup": _on_rollup(lambda days, b: U.daily_trend(days, b, P.DASH_START, P.DASH_END)),
+    "d3_trend_metric_rollup": _on_rollup(lambda days, b: U.trend_metric(days, b, P.DASH_START, P.DASH_END, P.DASH_BOROUGH, "Persons Injured")),
+    "d4_crashes_by_borough_rollup": _on_rollup(lambda days, b: U.crashes_by_borough(days, b, P.DASH_START, P.DASH_END)),
     "d7_date_bounds": _on_tables(D.date_bounds),
     "d7_date_bounds_indexed": _indexed_bounds,
     "d8_borough_list": _on_tables(D.borough_list),

@@ -11,7 +11,8 @@ Order of work (each step one Spark job, parents before children):
 3. stage the first-wins collision candidates once; write the rejected ones
    to ``_rejects`` (partition = load id, replaced as a whole), append the
    accepted ones, then their vehicle and factor rows, skipping rejected ids;
-4. index the new files (sources.key_index) and remove the run's staging folder.
+4. index the new files (sources.key_index), add them to the daily rollup
+   (sources.day_index) and remove the run's staging folder.
 
 The load id is a function of the input (a feed's file list, a stream's batch),
 every append is insert-if-absent, so a crashed load is repaired by running
@@ -29,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from crashlake.operators import normalize as N
-from crashlake.sources import key_index, store
+from crashlake.sources import day_index, key_index, store
 from crashlake.sources.feed import compact_order, feed_files, has_file_order, read_feed
 
 
@@ -107,5 +108,5 @@ def _load(spark: SparkSession, feed: DataFrame, root: str, mode: str, order_col:
         lambda: store.write_table("collision_factors", N.new_factor_rows(
             staged, now.factors, stored["collision_factors"], bad_ids, repeated, factors), root, num_files=num_files))
 
-    # 5. the files just written join the index (those of a load that died here are indexed by the next one)
-    key_index.refresh(spark, root)
+    # 5. the files just written join the index and the rollup (those of a load that died here are indexed by the next one)
+    at_once(lambda: key_index.refresh(spark, root), lambda: day_index.refresh(spark, root))

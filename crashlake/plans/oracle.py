@@ -475,3 +475,6 @@ ORACLE["s1_read_one_file"] = ORACLE["s1_read_feed"]
 ORACLE["d7_date_bounds_indexed"] = ORACLE["d7_date_bounds"]
 ORACLE["s2_touched_rows"] = with_fixtures("fx_collisions", "fx_factors") + """SELECT f.collision_id, f.factor_order FROM fx_factors f
 WHERE f.collision_id IN (SELECT unnest([MIN(collision_id), MIN(collision_id) + 1, MAX(collision_id), MAX(collision_id) + 1]) FROM fx_collisions)"""
+ORACLE |= {f"{name}_rollup": ORACLE[plain] for name, plain in (
+    ("d1_kpi_summary", "d1_kpi_summary_borough"), ("d2_daily_trend", "d2_daily_trend"),
+    ("d3_trend_metric", "d3_trend_metric"), ("d4_crashes_by_borough", "d4_crashes_by_borough"))}

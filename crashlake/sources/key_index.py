@@ -53,7 +53,8 @@ def stored_files(spark: SparkSession, root: str, name: str) -> list[str]:
     return sorted(_within(name, f) for f in spark.read.schema(S.TABLES[name]).parquet(path).inputFiles())
 
 
-def _read_files(spark: SparkSession, root: str, name: str, files: list[str]) -> DataFrame:
+def read_files(spark: SparkSession, root: str, name: str, files: list[str]) -> DataFrame:
+    """The rows of some of a table's files."""
     base = store.table_path(root, name)
     schema = S.TABLES[name]
     if name == "collisions":
@@ -78,7 +79,7 @@ def _index_new(spark: SparkSession, root: str, name: str) -> None:
     new = unknown_files(spark, root, name)
     if not new:
         return
-    rows = _read_files(spark, root, name, new)
+    rows = read_files(spark, root, name, new)
     file = F.regexp_extract(F.col("_metadata.file_path"), f"/{name}/(.+)$", 1)
     date = F.col("crash_date") if name == "collisions" else F.lit(None).cast("date")
     seen = rows.select(file.alias("file"), "collision_id", date.alias("date"))
@@ -102,11 +103,11 @@ def near(spark: SparkSession, root: str, name: str, ids: DataFrame) -> DataFrame
     """The stored rows of ``name`` in the files that may hold one of ``ids`` (collision_id)."""
     stored = stored_files(spark, root, name)
     if not stored:
-        return _read_files(spark, root, name, [])
+        return read_files(spark, root, name, [])
     asked = ids.select(F.floor(F.col("collision_id") / BLOCK).alias("block")).distinct()
     hit = _read(spark, root, name, "blocks", BLOCKS).join(asked, "block", "left_semi").select("file").distinct()
     wanted = {r.file for r in hit.collect()} | set(unknown_files(spark, root, name))
-    return _read_files(spark, root, name, [f for f in stored if f in wanted])
+    return read_files(spark, root, name, [f for f in stored if f in wanted])
 
 
 def date_bounds(spark: SparkSession, root: str) -> DataFrame:
@@ -115,6 +116,6 @@ def date_bounds(spark: SparkSession, root: str) -> DataFrame:
     gone = F.col("file").isin(sorted(unknown)) if unknown else F.lit(False)
     stored = spark.createDataFrame([(f,) for f in stored_files(spark, root, "collisions")], "file string")
     known = known_files(spark, root, "collisions").filter(~gone).join(stored, "file", "left_semi").select("min_date", "max_date")
-    rest = _read_files(spark, root, "collisions", sorted(unknown)).select(F.col("crash_date").alias("min_date"), F.col("crash_date").alias("max_date"))
+    rest = read_files(spark, root, "collisions", sorted(unknown)).select(F.col("crash_date").alias("min_date"), F.col("crash_date").alias("max_date"))
     every = known.unionByName(rest) if unknown else known
     return every.agg(F.min("min_date").alias("min_date"), F.max("max_date").alias("max_date"))
