@@ -164,3 +164,30 @@ def test_shards_of_equal_rows(spark):
     rows = [(1, "same text", "en", "a", 0, "", "", "", "", "")] * 240
     got = op9_sharding.shard_by_bytes(frame(spark, rows)).groupBy("shard").count().collect()
     assert sorted(r["count"] for r in got) == [10] * 24
+
+
+def plain_shards(texts, shards):
+    """Sorted (checksum, size) -> shard: prefix sums, equal targets, cuts moved out of small groups."""
+    rows = sorted((zlib.crc32(t.encode()), len(t.encode()) + 8) for t in texts)
+    starts = [0]
+    for _, size in rows:
+        starts.append(starts[-1] + size)
+    total, cuts = starts[-1], []
+    for k in range(1, shards):
+        cut = total * k / shards
+        for key in set(rows):
+            a, b = starts[rows.index(key)], starts[rows.index(key) + rows.count(key)]
+            if a < cut < b and (b - a) * shards * op9_sharding.WIDEST <= total:
+                cut = a if cut - a <= b - cut else b
+        cuts.append(cut)
+    return sorted((*row, sum(at + row[1] / 2 >= c for c in cuts)) for row, at in zip(rows, starts))
+
+
+def test_shards_against_plain_cuts(spark):
+    rng = random.Random(7)
+    texts = [sentence(rng, rng.randint(1, 30)) for _ in range(150)]
+    texts += [t for t in texts for _ in range(rng.choice([0, 0, 1, 3]))] + ["x" * 900] * 30  # a group of over a shard
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    for shards in (1, 2, 3, 5):
+        got = op9_sharding.shard_by_bytes(docs, shards=shards).collect()
+        assert sorted((r.text_crc32, r.size, r.shard) for r in got) == plain_shards(texts, shards)
