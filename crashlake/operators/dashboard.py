@@ -8,6 +8,7 @@ top-N)."""
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -160,7 +161,17 @@ def default_window(t: CollisionTables, end: str | dt.date | None = None,
 
 
 def run_sql(spark: SparkSession, t: CollisionTables, sql: str, params: dict | None = None) -> DataFrame:
-    """Named-parameter SQL over the six tables (``:name`` markers)."""
+    """A named-parameter query over the six tables (``:name`` markers).
+
+    The tables are named in a WITH clause around the query, over views that are
+    dropped once it is analysed: the caller's own views, also of these names,
+    stay as they are, and the query sees its other ones."""
+    views = {name: f"crashlake_{uuid.uuid4().hex}" for name, _ in t.items()}
     for name, df in t.items():
-        df.createOrReplaceTempView(name)
-    return spark.sql(sql, args=params or {})
+        df.createOrReplaceTempView(views[name])
+    named = ", ".join(f"{name} AS (SELECT * FROM {view})" for name, view in views.items())
+    try:
+        return spark.sql(f"WITH {named} (\n{sql.strip().rstrip(';')}\n)", args=params or {})
+    finally:
+        for view in views.values():
+            spark.catalog.dropTempView(view)

@@ -68,3 +68,17 @@ def test_run_sql_params(spark, t):
     out = D.run_sql(spark, t, "SELECT count(*) AS n FROM collisions WHERE crash_date >= :d LIMIT :k",
                     {"d": dt.date(2023, 1, 3), "k": 1})
     assert rows(out) == [(3,)]
+
+
+def test_sql_leaves_the_callers_views(spark):
+    t = tables(spark, boroughs=[(1, "BRONX"), (2, "QUEENS")])
+    spark.range(3).createOrReplaceTempView("boroughs")
+    spark.range(5).createOrReplaceTempView("own")
+    sql = """WITH named AS (SELECT borough_name FROM boroughs WHERE borough_id >= :least)
+             SELECT borough_name, (SELECT count(*) FROM own) AS n FROM named ORDER BY borough_name DESC LIMIT :k; """
+    got = D.run_sql(spark, t, sql, {"least": 1, "k": 5})
+    assert rows(got) == [("QUEENS", 5), ("BRONX", 5)]
+    assert spark.table("boroughs").count() == 3
+    assert not [v.name for v in spark.catalog.listTables() if v.name.startswith("crashlake_")]
+    for name in ("boroughs", "own"):
+        spark.catalog.dropTempView(name)
