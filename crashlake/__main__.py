@@ -84,6 +84,11 @@ def main(argv=None) -> int:
     st = sub.add_parser("star")
     st.add_argument("--store", required=True)
     st.add_argument("--out", required=True)
+    for name in ("compact", "cluster", "vacuum"):
+        sub.add_parser(name).add_argument("--store", required=True)
+    de = sub.add_parser("delete")
+    de.add_argument("--store", required=True)
+    de.add_argument("--ids", required=True, help="CSV with a header and a column collision_id")
     a = p.parse_args(argv)
 
     from pyspark.sql import SparkSession
@@ -124,6 +129,20 @@ def main(argv=None) -> int:
         print(f"{shown} of {rows} rows")
     elif a.cmd == "bucket":
         store.write_bucketed(spark, store.read_tables(spark, a.store), a.database, a.buckets)
+    elif a.cmd in ("compact", "cluster", "vacuum", "delete"):
+        from crashlake.sources import rewrites
+        if a.cmd == "vacuum":
+            print(rewrites.vacuum(spark, a.store), "removed")
+            return 0
+        if a.cmd == "compact":
+            done = rewrites.compact(spark, a.store)
+        elif a.cmd == "cluster":
+            done = {name: rewrites.cluster(spark, a.store, name) for name in store.FACT_TABLES}
+        else:
+            ids = spark.read.option("header", True).csv(a.ids).selectExpr("try_cast(collision_id AS bigint) AS collision_id")
+            done = rewrites.delete_collisions(spark, a.store, ids)
+        for name, (new, old) in done.items():
+            print(f"{name}: {old} files became {new}")
     elif a.cmd == "star":
         from crashlake.plans.star_build import build_star, grain_ok
         for name, path in build_star(spark, a.store, a.out).items():

@@ -25,7 +25,7 @@ from crashlake.plans import params as P
 from crashlake.plans.load import load_feed
 from crashlake.schema import COUNT_COLUMNS, FEED_COLUMNS
 from crashlake.session import ensure_checkpoint_dir
-from crashlake.sources import day_index, key_index, store
+from crashlake.sources import day_index, key_index, rewrites, store
 from crashlake.sources.feed import read_feed
 from crashlake.sources.fixtures import fixture_tables, fx_raw
 from crashlake.tables import CollisionTables
@@ -162,15 +162,52 @@ def _planted(t: CollisionTables) -> CollisionTables:
         factors=t.factors, collision_factors=t.collision_factors.unionByName(again))
 
 
-def _delete_cascade_rows(t) -> DataFrame:
-    gone = t.collisions.filter(F.col("crash_date") < F.lit(P.DELETE_BEFORE).cast("date"))
-    kept = K.delete_cascade(t, gone)
+def _gone(t) -> DataFrame:
+    return t.collisions.filter(F.col("crash_date") < F.lit(P.DELETE_BEFORE).cast("date"))
+
+
+def _keys_of(kept) -> DataFrame:
     slots = {"collisions": F.lit(0), "collision_vehicles": F.col("vehicle_order"), "collision_factors": F.col("factor_order")}
     return reduce(DataFrame.unionByName, [
         getattr(kept, name).select(F.lit(name).alias("table_name"), "collision_id", slot.cast("int").alias("slot"))
         for name, slot in slots.items()])
 
 
+def _filled(spark: SparkSession, sf_dir: str, loads: int = 1) -> str:
+    """A store of the clean tables, written and indexed in some loads that share out the collisions."""
+    root, t = _scratch(spark, "store"), _stored(fixture_tables(spark, sf_dir))
+    for k in range(loads):
+        for name, df in t.items():
+            if name in store.FACT_TABLES:
+                store.write_table(name, df.filter(F.pmod("collision_id", F.lit(loads)) == k), root)
+            elif k == 0:
+                store.write_table(name, df, root)
+        key_index.refresh(spark, root)
+    return root
+
+
+def _deleted_in_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K5 over a store: only the files that hold a deleted collision are written anew."""
+    root = _filled(spark, sf_dir)
+    rewrites.delete_collisions(spark, root, _gone(store.read_tables(spark, root)))
+    return _keys_of(store.read_tables(spark, root))
+
+
+def _compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q2 over a store whose small files were merged."""
+    root = _filled(spark, sf_dir, loads=4)
+    rewrites.compact(spark, root)
+    return rankings.factor_fatality_rank(store.read_tables(spark, root))
+
+
+def _clustered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D5 of a borough over a store whose tables lie along a curve through the columns it filters by."""
+    root = _filled(spark, sf_dir)
+    for name in store.FACT_TABLES:
+        rewrites.cluster(spark, root, name, target_bytes=1 << 20)
+    return D.top_factors(store.read_tables(spark, root), P.DASH_START, P.DASH_END, P.DASH_BOROUGH, 5)
+
+
 def _located(t, facts: DataFrame) -> DataFrame:
     """Facts with the natural columns of their location in place of its key."""
     return facts.join(T.dim_location(T.stg_tables(t).collisions), "location_key", "left").drop("location_key")
@@ -335,6 +372,8 @@ QUERIES: dict[str, Query] = {
     "s3_create_tables": _create_and_fill,
     "s4_export_csv": _export,
     "s6_layout": _bucketed,
+    "s6_compacted": _compacted,
+    "s6_clustered": _clustered,
     "s5_run_sql": lambda spark, sf_dir: D.run_sql(
         spark, fixture_tables(spark, sf_dir),
         "SELECT b.borough_name, count(*) AS crashes FROM collisions c "
@@ -357,7 +396,8 @@ QUERIES: dict[str, Query] = {
     "k1_k4_validate_planted": _on_tables(lambda t: K.validate(_stored(_planted(t)))),
     "k1_k4_validate_raw": _on_feed(lambda f: K.validate(_stored(_unchecked(f)))),
     "k1_k4_validate_fixture": _on_tables(K.validate),
-    "k5_delete_cascade": _on_tables(_delete_cascade_rows),
+    "k5_delete_cascade": _on_tables(lambda t: _keys_of(K.delete_cascade(t, _gone(t)))),
+    "k5_delete_cascade_store": _deleted_in_store,
     "t1_dim_date": _on_tables(lambda t: T.dim_date(t.collisions)),
     "t2_dim_borough": _on_tables(T.dim_borough),
     "t3_dim_location": _on_tables(

@@ -478,3 +478,4 @@ WHERE f.collision_id IN (SELECT unnest([MIN(collision_id), MIN(collision_id) + 1
 ORACLE |= {f"{name}_rollup": ORACLE[plain] for name, plain in (
     ("d1_kpi_summary", "d1_kpi_summary_borough"), ("d2_daily_trend", "d2_daily_trend"),
     ("d3_trend_metric", "d3_trend_metric"), ("d4_crashes_by_borough", "d4_crashes_by_borough"))}
+ORACLE |= {"k5_delete_cascade_store": ORACLE["k5_delete_cascade"], "s6_compacted": ORACLE["s6_layout"], "s6_clustered": ORACLE["d5_top_factors_borough"]}

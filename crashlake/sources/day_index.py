@@ -48,9 +48,8 @@ def refresh(spark: SparkSession, root: str) -> None:
     if not new:
         return
     run = uuid.uuid4().hex
-    rows = key_index.read_files(spark, root, "collisions", new)
-    file = F.regexp_extract(F.col("_metadata.file_path"), "/collisions/(.+)$", 1)
-    days = daily_rollup(rows.withColumn("file", file), "file").withColumn("run", F.lit(run)).withColumn(YEAR_PARTITION, F.year("crash_date"))
+    rows = key_index.read_files(spark, root, "collisions", new, "file")
+    days = daily_rollup(rows, "file").withColumn("run", F.lit(run)).withColumn(YEAR_PARTITION, F.year("crash_date"))
     by_day = days.repartitionByRange("crash_date").sortWithinPartitions("crash_date", "borough_id")
     by_day.write.mode("append").partitionBy(YEAR_PARTITION).parquet(store.table_path(root, "_rollup/days"))
     names = spark.createDataFrame([(f, run) for f in new], FILES)

@@ -19,11 +19,9 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from crashlake import schema as S
-from crashlake.operators.filters import YEAR_PARTITION
 from crashlake.sources import store
+from crashlake.sources.files import read_files, stored_files
 
 #: Neighbouring ids in a block.
 BLOCK = 4096
@@ -40,49 +38,24 @@ def _read(spark: SparkSession, root: str, name: str, part: str, schema: str) ->
     return spark.read.schema(schema).parquet(path) if store.path_exists(spark, path) else spark.createDataFrame([], schema)
 
 
-def _within(name: str, path: str) -> str:
-    """A file's path below its table's folder."""
-    return path.rsplit(f"/{name}/", 1)[1]
-
-
-def stored_files(spark: SparkSession, root: str, name: str) -> list[str]:
-    """The table's files, as paths below its folder."""
-    path = store.table_path(root, name)
-    if not store.path_exists(spark, path):
-        return []
-    return sorted(_within(name, f) for f in spark.read.schema(S.TABLES[name]).parquet(path).inputFiles())
-
-
-def read_files(spark: SparkSession, root: str, name: str, files: list[str]) -> DataFrame:
-    """The rows of some of a table's files."""
-    base = store.table_path(root, name)
-    schema = S.TABLES[name]
-    if name == "collisions":
-        schema = T.StructType([*schema.fields, T.StructField(YEAR_PARTITION, T.IntegerType())])
-    if not files:
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).option("basePath", base).parquet(*[f"{base}/{f}" for f in files])
-
-
 def known_files(spark: SparkSession, root: str, name: str) -> DataFrame:
     """One row for each indexed file, also if two runs indexed it."""
     return _read(spark, root, name, "files", FILES).dropDuplicates(["file"])
 
 
-def unknown_files(spark: SparkSession, root: str, name: str) -> list[str]:
+def unknown_files(spark: SparkSession, root: str, name: str, stored: list[str] | None = None) -> list[str]:
     """Files not indexed yet; the driver gets file names, as from any listing."""
     known = {r.file for r in known_files(spark, root, name).select("file").collect()}
-    return [f for f in stored_files(spark, root, name) if f not in known]
+    return [f for f in (stored_files(spark, root, name) if stored is None else stored) if f not in known]
 
 
 def _index_new(spark: SparkSession, root: str, name: str) -> None:
     new = unknown_files(spark, root, name)
     if not new:
         return
-    rows = read_files(spark, root, name, new)
-    file = F.regexp_extract(F.col("_metadata.file_path"), f"/{name}/(.+)$", 1)
+    rows = read_files(spark, root, name, new, "file")
     date = F.col("crash_date") if name == "collisions" else F.lit(None).cast("date")
-    seen = rows.select(file.alias("file"), "collision_id", date.alias("date"))
+    seen = rows.select("file", "collision_id", date.alias("date"))
     blocks = seen.select("file", F.floor(F.col("collision_id") / BLOCK).alias("block")).distinct()
     blocks.coalesce(1 + len(new) // 64).write.mode("append").parquet(_index_path(root, name, "blocks"))
     # the files' rows last: a file is known once all its blocks are
@@ -99,15 +72,20 @@ def refresh(spark: SparkSession, root: str) -> None:
             done.result()
 
 
-def near(spark: SparkSession, root: str, name: str, ids: DataFrame) -> DataFrame:
-    """The stored rows of ``name`` in the files that may hold one of ``ids`` (collision_id)."""
-    stored = stored_files(spark, root, name)
+def near_files(spark: SparkSession, root: str, name: str, ids: DataFrame, log: list | None = None) -> list[str]:
+    """The files of ``name`` that may hold one of ``ids`` (collision_id)."""
+    stored = stored_files(spark, root, name, log)
     if not stored:
-        return read_files(spark, root, name, [])
+        return []
     asked = ids.select(F.floor(F.col("collision_id") / BLOCK).alias("block")).distinct()
     hit = _read(spark, root, name, "blocks", BLOCKS).join(asked, "block", "left_semi").select("file").distinct()
-    wanted = {r.file for r in hit.collect()} | set(unknown_files(spark, root, name))
-    return read_files(spark, root, name, [f for f in stored if f in wanted])
+    wanted = {r.file for r in hit.collect()} | set(unknown_files(spark, root, name, stored))
+    return [f for f in stored if f in wanted]
+
+
+def near(spark: SparkSession, root: str, name: str, ids: DataFrame) -> DataFrame:
+    """The stored rows of ``name`` in the files that may hold one of ``ids``."""
+    return read_files(spark, root, name, near_files(spark, root, name, ids))
 
 
 def date_bounds(spark: SparkSession, root: str) -> DataFrame:

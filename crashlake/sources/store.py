@@ -12,6 +12,9 @@ Layout (S6, in place of the reference's B-tree indexes):
   range, so the loader's id-range filter and id lookups skip the rest.  ``write_bucketed`` additionally
   offers catalog tables bucketed on ``collision_id`` (same bucket count for
   the three tables) for shuffle-free joins where a metastore is available.
+* ``sources/rewrites.py`` merges small files, orders a table along a curve
+  through two columns (date and borough; collision id and factor or vehicle
+  type), and deletes by rewriting only the files concerned.
 * dimensions are hash-partitioned on their id (few, adaptive-sized files).
 
 Appends are insert-if-absent (S2): the normaliser only emits keys the store
@@ -26,19 +29,15 @@ from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from crashlake import schema as S
 from crashlake.operators.filters import YEAR_PARTITION
+from crashlake.sources.files import path_exists, read_files, rewritten, stored_files, table_path, table_schema
 from crashlake.tables import CollisionTables
 
 FACT_TABLES = ("collisions", "collision_vehicles", "collision_factors")
 
 
-def table_path(root: str, name: str) -> str:
-    return f"{root.rstrip('/')}/{name}"
-
-
 def _by_range(df: DataFrame, cols, num_files: int | None) -> DataFrame:
     # Without an explicit count the shuffle uses spark.sql.shuffle.partitions
     # and adaptive execution merges small ranges, so file count follows data size.
@@ -73,6 +72,7 @@ def write_table(name: str, df: DataFrame, root: str, mode: str = "append",
 def create_tables(spark: SparkSession, root: str) -> None:
     """S3: drop and recreate the six tables empty (children first, as the
     schema script does).  Only ever called for an explicit reset."""
+    remove(spark, table_path(root, "_rewrites"))  # what it names goes too
     for name in reversed(S.LOAD_ORDER):
         empty = spark.createDataFrame([], S.TABLES[name])
         if name == "collisions":
@@ -82,12 +82,6 @@ def create_tables(spark: SparkSession, root: str) -> None:
             empty.write.mode("overwrite").parquet(table_path(root, name))
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
-
-
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a folder of this run's own making."""
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
@@ -97,14 +91,16 @@ def remove(spark: SparkSession, path: str) -> None:
 def read_tables(spark: SparkSession, root: str, missing_ok: bool = False) -> CollisionTables:
     """The six tables with their declared schemas (``collisions`` also
     carries the ``crash_year`` partition column).  With ``missing_ok`` a
-    table not written yet reads as empty."""
+    table not written yet reads as empty.  All tables show one state of the
+    store's rewrites."""
+    log = rewritten(spark, root)
+
     def read(name: str) -> DataFrame:
-        sch = S.TABLES[name]
-        if name == "collisions":  # a new StructType: .add() would modify the shared one
-            sch = T.StructType(sch.fields + [T.StructField(YEAR_PARTITION, T.IntegerType())])
-        path = table_path(root, name)
+        sch, path = table_schema(name), table_path(root, name)
         if missing_ok and not path_exists(spark, path):
             return spark.createDataFrame([], sch)
+        if any(r.table_name == name for r in log):
+            return read_files(spark, root, name, stored_files(spark, root, name, log))
         return spark.read.schema(sch).parquet(path)
     return CollisionTables(**{name: read(name) for name in S.TABLES})
 
