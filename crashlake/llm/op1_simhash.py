@@ -261,9 +261,12 @@ def deduplicate(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", shi
     of each component the row with the smallest id stays; of rows that repeat
     its id and fingerprint one stays. A null id stays only where its whole
     component has no other."""
-    rows = stage(docs.select(F.struct("*").alias("doc"), F.col(doc_id).alias("id"), fingerprint(F.col(text), shingle).alias("fp")), "documents")
-    # one struct key, in which nulls are equal, serves the join and the grouping: the rows are shuffled once
-    key = F.struct("id", "fp").alias("key")
+    rows = stage(docs.select(F.struct("*").alias("doc"), F.col(doc_id).alias("id"), fingerprint(F.col(text), shingle).alias("fp"),
+                             F.monotonically_increasing_id().alias("row")), "documents")
+    # of rows that repeat an id and a fingerprint the first, found on narrow columns and combined before the
+    # shuffle; whole rows meet only their own number, so no group of copies comes together
+    key = F.struct("id", "fp").alias("key")  # in a struct nulls are equal
+    first = rows.groupBy("id", "fp").agg(F.min("row").alias("row")).select("row", key)
     keep = classes(rows.select("id", "fp"), radius).where(F.col("first_id").eqNullSafe(F.col("component_id"))).groupBy("class", "component_id").agg(F.min("fp").alias("kept_fp"))
-    stay = rows.select("doc", key).join(keep.select(F.struct(F.col("component_id").alias("id"), F.col("kept_fp").alias("fp")).alias("key")), "key", "left_semi")
-    return stay.groupBy("key").agg(F.first("doc").alias("doc")).select("doc.*")
+    chosen = first.join(keep.select(F.struct(F.col("component_id").alias("id"), F.col("kept_fp").alias("fp")).alias("key")), "key", "left_semi").select("row")
+    return rows.join(chosen, "row", "left_semi").select("doc.*")

@@ -94,6 +94,20 @@ def test_groups_and_deduplication(spark):
         (least.get(c) is None, least.get(c) or 0) for c in set(root.values()))
 
 
+def test_a_row_repeated_in_half_of_the_table(spark):
+    rows = documents()
+    rows += [rows[3]] * len(rows) + [(None, *rows[3][1:])] * 5
+    docs = frame(spark, rows).repartition(4)
+    kept = op.deduplicate(docs)
+    prints = [(r[0], plain_fingerprint(r[1])) for r in rows]
+    root = plain_components({f for _, f in prints})
+    assert kept.count() == len(set(root.values()))
+    # no exchange or sort holds whole rows by id and fingerprint: texts move by row number alone
+    plan = kept._jdf.queryExecution().sparkPlan().toString()
+    assert not [x for x in plan.splitlines() if "Aggregate" in x and "doc#" in x]
+    assert [x for x in plan.splitlines() if "Join" in x and "LeftSemi" in x and "[row#" in x]
+
+
 def test_long_chain_is_one_component(spark):
     fps, f = [], 0
     for k in range(30):
