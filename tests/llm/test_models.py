@@ -4,7 +4,9 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
+import xxhash
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
@@ -88,6 +90,57 @@ def test_quality_votes_are_exact_cosines():
         assert s == pytest.approx((vote * labels[best]).sum() / vote.sum(), abs=1e-4)
 
 
+def test_quality_ties_and_cuts_change_nothing():
+    rng = np.random.default_rng(2)
+    some = rng.integers(0, 4, (10, op10_quality.FEATURES))
+    rows = np.concatenate([some, some, some])  # each vector three times: equal similarities throughout
+    labels = np.array([1] * 10 + [0] * 20)
+    model = op10_quality.Neighbours(rows, labels, {0: 0.5, 1: 0.5})
+    ask = np.concatenate([some, rng.integers(0, 4, (600, op10_quality.FEATURES))])
+    whole = model.quality(ask)
+    for cut in (1, 7, 513):
+        assert np.array_equal(whole, np.concatenate([model.quality(ask[i:i + cut]) for i in range(0, len(ask), cut)]))
+    # in plain whole numbers: the smaller index votes among equals
+    latent, held = model._latent(model.weigh(ask[:20]))
+    vectors = model.vectors.T
+    for v, h, q in zip(latent, held, whole):
+        whole_products = [sum(int(a) * int(b) for a, b in zip(v * op10_quality.FINE, w * op10_quality.FINE)) for w in vectors]
+        best = sorted(range(30), key=lambda i: (-whole_products[i], i))[:op10_quality.NEIGHBOURS]
+        vote = [max(0, whole_products[i] / op10_quality.FINE**2) ** op10_quality.POWER * model.weight[i] for i in best]
+        assert q == pytest.approx(sum(x * labels[i] for x, i in zip(vote, best)) / sum(vote) * h / (h + op10_quality.UNHELD), abs=1e-12)
+
+
+def test_quality_fit_and_counts_by_hand():
+    text = "The cat. The CAT\nsat\u2588 5 \u0436\u0301"
+    row = op10_quality.counts(pa.array([text, None, ""], pa.large_string()))
+    assert row.shape == (3, op10_quality.FEATURES) and row[1].sum() == row[2].sum() == 0
+    words = word_list(text.translate({c: c + 32 for c in range(65, 91)}))
+    want = np.bincount([xxhash.xxh32_intdigest(w) % op10_quality.WORDS for w in words], minlength=op10_quality.WORDS)
+    assert row[0, op10_quality.FORMS:].tolist() == want.tolist() and row[0, op10_quality.FORMS - 3] == len(words)
+    kind = op10_quality._kinds()
+    assert [kind[ord(c)] for c in "a\u0436\u4e2d\u0301Z\u04167 \u3000\n"] == [1, 1, 1, 1, 2, 2, 3, 4, 4, 5] and kind[0x2588] != kind[0xFFFD] != 1
+    rng = np.random.default_rng(3)
+    rows = rng.integers(0, 3, (40, op10_quality.FEATURES))
+    model = op10_quality.Neighbours(rows, np.arange(40) % 2, {0: 0.2, 1: 0.8})
+    weighted = model.weigh(rows)
+    assert np.allclose(np.linalg.norm(weighted, axis=1), 1, atol=1e-3)
+    directions = np.linalg.svd(weighted)[2][:op10_quality.DIRECTIONS]  # 40 rows: as many directions carry weight
+    assert np.allclose(np.abs(np.sum(directions[:39] * model.project.T[:39], axis=1)), 1, atol=1e-2)
+    assert model.weight[0] == pytest.approx(0.25) and model.weight[1] == 1
+
+
+def test_quality_sees_words_and_all_scripts(spark):
+    docs, labels = spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/labels.parquet")
+    model = op10_quality.train(docs, labels.where(~held_out(F.col("doc_id"))))
+    good = [r.text for r in docs.join(labels.where("quality = 1"), "doc_id").where(held_out(F.col("doc_id"))).limit(60).collect()]
+    rng = random.Random(7)
+    garbled = ["".join(chr(rng.randrange(97, 123)) if c.islower() else c for c in t) for t in good]
+    blocks = ["".join(c if c.isspace() else "\u2588" for c in t) for t in good]
+    score = lambda texts: model.quality(op10_quality.counts(pa.array(texts, pa.large_string())))
+    assert score(good).min() > 0.5 and score(garbled).mean() < score(good).mean()
+    assert np.quantile(score(blocks), 0.9) < 0.3
+
+
 def test_quality_odd_texts_and_no_labels(spark):
     docs = frame(spark, documents())
     labels = spark.createDataFrame([(i, i % 2) for i in range(60)] + [(3, 0), (None, 1), (61, None), (62, 7)], "doc_id bigint, quality int")
