@@ -8,6 +8,7 @@ found in a tournament tree of the sequences' free room."""
 from __future__ import annotations
 
 import functools
+import json
 import os
 import re
 import zlib
@@ -26,6 +27,22 @@ LENGTH, END, GROUP_PIECES, REMEMBERED, TOGETHER, TEXT_BYTES = 2048, 1, 8192, 400
 LETTERS = re.compile("[a-zß-öø-ÿ]+")
 
 
+def check_definition(definition: str) -> None:
+    """Raise unless the tokenizer lower-cases, drops white space and marks word ends:
+    for others the ids of a text are not those of its words."""
+    known = json.loads(definition)
+
+    def steps(part: str, inner: str) -> list[dict]:
+        step = known.get(part) or {}
+        return step.get(inner, [step])
+
+    cuts = steps("pre_tokenizer", "pretokenizers")
+    lower = any(s.get("type") == "Lowercase" for s in steps("normalizer", "normalizers"))
+    dropped = any(s.get("type") == "Split" and s.get("behavior") == "Removed" for s in cuts) and not any(s.get("add_prefix_space") for s in cuts)
+    if not (lower and dropped and (known.get("model") or {}).get("end_of_word_suffix") == "</w>"):
+        raise ValueError("packing needs a tokenizer that lower-cases, drops white space and ends words with </w>")
+
+
 @functools.lru_cache(maxsize=2)
 def _tokenizer(definition: str):
     """The tokenizer, which of its ids end a word, and the ids of the words seen so far."""
@@ -167,13 +184,15 @@ def _packer(length: int):
 
 def pack(docs: DataFrame, tokenizer: str, text: str = "text", doc_id: str = "doc_id", length: int = LENGTH) -> DataFrame:
     """doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset of every
-    piece. ``tokenizer``: path of the tokenizer's file, read on the driver.
+    piece. ``tokenizer``: path of the tokenizer's file, read on the driver; it must
+    lower-case, drop white space and mark word ends, any other is an error.
 
     Null and empty texts have the closing id alone; repeated rows are packed
     each for itself; an empty table gives none. A group is as large as chance
     makes it around GROUP_PIECES, so no piece is left out and memory is bounded."""
     with open(tokenizer, encoding="utf-8") as f:
         shared = f.read()
+    check_definition(shared)
     cut = docs.select(F.col(doc_id).alias("doc_id"), pieces(F.col(text), shared, length).alias("t"))
     rows = stage(cut.select("doc_id", F.col("t.doc_tokens").alias("doc_tokens"), F.inline("t.pieces")), "pieces")
     groups = max(1, round(rows.count() / GROUP_PIECES))

@@ -191,3 +191,8 @@ def test_shards_against_plain_cuts(spark):
     for shards in (1, 2, 3, 5):
         got = op9_sharding.shard_by_bytes(docs, shards=shards).collect()
         assert sorted((r.text_crc32, r.size, r.shard) for r in got) == plain_shards(texts, shards)
+
+
+def test_packing_refuses_other_tokenizers(spark):
+    with pytest.raises(ValueError, match="lower-cases"):
+        op5_packing.pack(frame(spark, documents()), public_tokenizers.path("byte_bpe_50k.json"))
