@@ -36,7 +36,11 @@ def na_to_null(c: Column | str) -> Column:
 
 
 def strip_ws(c: Column | str) -> Column:
-    return F.regexp_replace(_c(c), _EDGE_WS, "")
+    """Without white space at both ends.  Blanks go without a pattern, which is
+    run only where another sign than plain ASCII is left at an end."""
+    t = F.trim(_c(c))
+    plain = F.substring(t, 1, 1).between("!", "~") & F.substring(t, -1, 1).between("!", "~")
+    return F.when(plain, t).otherwise(F.regexp_replace(t, _EDGE_WS, ""))
 
 
 def stripped_or_null(c: Column | str) -> Column:
@@ -52,22 +56,33 @@ def number_text(c: Column | str) -> Column:
     return F.when(c.rlike(r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"), c)
 
 
+def _whole(c: Column | str) -> Column:
+    """The text if it begins and ends with a digit and has no point, else NULL: where
+    that is a whole number to a cast, ``number_text`` need not be asked."""
+    c = _c(c)
+    return F.when(F.substring(c, 1, 1).between("0", "9") & F.substring(c, -1, 1).between("0", "9") & ~c.contains("."), c)
+
+
 def parse_id(c: Column | str) -> Column:
     """Integer ids; decimals are truncated ('12.0' -> 12, '3.7' -> 3),
     anything non-numeric is NULL.  The exact integer parse is tried first so
     ids above 2^53 keep every digit."""
-    c = number_text(c)
-    return F.coalesce(c.try_cast("bigint"), c.try_cast("double").try_cast("bigint"))
+    n = number_text(c)
+    return F.coalesce(_whole(c).try_cast("bigint"), n.try_cast("bigint"), n.try_cast("double").try_cast("bigint"))
 
 
 def _tried(c: Column, formats) -> Column:
     """The first format that parses.  A failed parse costs an exception, so a
     format is tried only on text with as many slashes, colons and letters as
-    it writes itself."""
+    it writes itself.  Without letters, that is what is left of the text when
+    digits and the format's other signs are taken away."""
     def like(f: str) -> Column:
-        marks = "".join(m for m in re.sub("'T'", "T", f) if m in "/:T-")
-        letters = " a" in f
-        return (F.regexp_replace(c, "[^/:T-]", "") == marks) & (c.rlike("[A-Za-z]$") if letters else ~c.rlike("[A-SU-Za-z]"))
+        written = re.sub("'T'", "T", f)
+        marks = "".join(m for m in written if m in "/:T-")
+        if " a" in f:
+            return c.rlike("[A-Za-z]$") & (F.regexp_replace(c, "[^/:T-]", "") == marks)
+        other = {m for m in written if not m.isalnum()} - set("/:T-")
+        return F.translate(c, "".join(sorted(other | set("0123456789+"))), "") == marks
 
     return F.coalesce(*[F.when(like(f), F.try_to_timestamp(c, F.lit(f))) for f in formats])
 
@@ -91,12 +106,13 @@ def parse_coordinate(c: Column | str) -> Column:
 def parse_count(c: Column | str) -> Column:
     """Integer count; '2.0' -> 2, halves round away from zero as the
     database does when a decimal meets an integer column."""
-    return F.round(number_text(c).try_cast("double")).try_cast("int")
+    return F.coalesce(_whole(c).try_cast("int"), F.round(number_text(c).try_cast("double")).try_cast("int"))
 
 
 def parse_zip(c: Column | str) -> Column:
     """Zip as text; a float rendering such as '11201.0' loses the '.0'."""
-    return F.regexp_replace(_c(c), r"^(\d+)\.0+$", "$1")
+    c = _c(c)
+    return F.when(c.contains(".0"), F.regexp_replace(c, r"^(\d+)\.0+$", "$1")).otherwise(c)
 
 
 def invalid(raw: Column, parsed: Column) -> Column:

@@ -22,7 +22,9 @@ Nothing is iterated on the driver.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -79,7 +81,10 @@ def clean_feed(raw: DataFrame, order_col: str = ORDER_COL,
     for c in COUNT_COLUMNS:
         checks.append((C.invalid(F.col(f"_raw_{c}"), F.col(c)), f"{c}_invalid"))
         checks.append((F.col(c) < 0, f"{c}_negative"))
-    issues = F.array_compact(F.array(*[F.when(cond, F.lit(code)) for cond, code in checks]))
+    # most rows break no rule: the list, which is not compiled code, is made for the others only
+    found = F.array_compact(F.array(*[F.when(cond, F.lit(code)) for cond, code in checks]))
+    none = reduce(lambda a, b: a & b, [~F.coalesce(cond, F.lit(False)) for cond, _ in checks])
+    issues = F.when(none, F.array().cast("array<string>")).otherwise(found)
     return typed.select(
         "collision_id", "crash_date", "crash_time", "borough", "zip_code", "latitude", "longitude",
         "location", "on_street_name", "off_street_name", "cross_street_name", *COUNT_COLUMNS,
@@ -247,8 +252,8 @@ def new_dimension_rows(feed: DataFrame, existing: CollisionTables, vehicles: Dat
     }
 
 
-def normalize_feed(feed: DataFrame, existing: CollisionTables | None = None,
-                   mode: str = "quarantine") -> LoadResult:
+def normalize_feed(feed: DataFrame, existing: CollisionTables | None = None, mode: str = "quarantine",
+                   write: Callable[[DataFrame, str], DataFrame] | None = None) -> LoadResult:
     """The whole load in dependency order - boroughs, collisions,
     vehicles, factors - against the tables already stored (``existing``).
 
@@ -256,20 +261,26 @@ def normalize_feed(feed: DataFrame, existing: CollisionTables | None = None,
     same feed twice adds nothing.  ``mode='quarantine'`` diverts collisions
     that break a table rule (and their vehicle/factor rows) to ``rejects``;
     ``mode='fail'`` raises instead, like the reference's aborted transaction.
+    ``write`` (a frame and a label) stages what several of the tables are made of.
     (plans.load runs the same steps against a store, materialising each
     table before the next one reads it.)"""
     if mode not in ("quarantine", "fail"):
         raise ValueError("mode must be 'quarantine' or 'fail'")
     ex = existing
-    boroughs, vehicle_types, factors = dimensions(feed, ex)
-    candidates = new_collision_candidates(feed, boroughs, ex and ex.collisions)
+    write = write or (lambda df, label: df)
+    repeated = write(repeated_ids(feed), "repeated")
+    vehicle_texts, factor_texts = write(vehicle_values(feed), "vehicle-values"), write(factor_values(feed), "factor-values")
+    boroughs = write(extend_dimension(ex and ex.boroughs, borough_names(feed), "borough_name", "borough_id"), "boroughs")
+    vehicle_types = write(extend_dimension(ex and ex.vehicle_types, vehicle_texts, "vehicle_type_desc", "vehicle_type_id"), "vehicle-types")
+    factors = write(extend_dimension(ex and ex.factors, factor_texts, "factor_desc", "factor_id"), "factors")
+    candidates = write(new_collision_candidates(feed, boroughs, ex and ex.collisions, repeated), "candidates")
     rejects = rejects_of(candidates)
     if mode == "fail":
         raise_on_rejects(rejects_of(feed))
     bad_ids = candidates.filter(F.size(ISSUES_COL) > 0).select("collision_id")
     collisions = accepted(candidates)
-    vehicles = new_vehicle_rows(feed, vehicle_types, ex and ex.collision_vehicles, bad_ids)
-    factor_rows = new_factor_rows(feed, factors, ex and ex.collision_factors, bad_ids)
+    vehicles = new_vehicle_rows(feed, vehicle_types, ex and ex.collision_vehicles, bad_ids, repeated, vehicle_texts)
+    factor_rows = new_factor_rows(feed, factors, ex and ex.collision_factors, bad_ids, repeated, factor_texts)
 
     def only_new(dim: DataFrame, old: DataFrame | None, key: str) -> DataFrame:
         return _anti(dim, old, [key])

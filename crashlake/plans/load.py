@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from crashlake.operators import normalize as N
+from crashlake.session import small_methods
 from crashlake.sources import day_index, key_index, store
 from crashlake.sources.feed import compact_order, feed_files, has_file_order, read_feed
 
@@ -69,7 +70,9 @@ def load_feed(spark: SparkSession, feed: DataFrame | str, root: str, mode: str =
 
 def _load(spark: SparkSession, feed: DataFrame, root: str, mode: str, order_col: str, num_files: int | None,
           load_id: str, staging: store.Staging) -> None:
-    staged, broken = N.whole_rows(staging.write(N.clean_feed(feed, order_col=order_col), "feed"))
+    with small_methods(spark):  # before any step that runs beside another
+        cleaned = staging.write(N.clean_feed(feed, order_col=order_col), "feed")
+    staged, broken = N.whole_rows(cleaned)
     if mode == "fail":
         N.raise_on_rejects(broken.unionByName(N.rejects_of(staged)))
     if has_file_order(staged):

@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -34,6 +35,20 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     return spark
 
 
+@contextmanager
+def small_methods(spark: SparkSession):
+    """While many expressions are worked out at once (a wide feed): generated methods
+    stay within the 8,000 bytes up to which the JVM compiles them, longer ones would be
+    interpreted for every row. The session's setting comes back afterwards."""
+    key = "spark.sql.codegen.hugeMethodLimit"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "8000")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by ``spark.checkpoint.dir``.
 
