@@ -15,11 +15,14 @@ the oracle statements (plans/oracle.py) build the very same inputs.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from crashlake.operators.ids import extend_dimension
 from crashlake.operators.lookup import lookup_ids
+from crashlake.schema import FACTOR_COLUMNS, VEHICLE_COLUMNS
 from crashlake.tables import CollisionTables
 
 # --- clean tables (fx_*) ------------------------------------------------------
@@ -142,26 +145,30 @@ RAW_COLUMNS = (
 )
 
 
+def _vehicle_text(p: str) -> str:
+    return (f"CASE WHEN {p}_partkey IS NULL THEN CAST(NULL AS STRING) "
+            f"WHEN {p}_partkey % 5 = 0 THEN {p}_brand "
+            f"WHEN {p}_partkey % 7 = 0 THEN '   ' "
+            f"ELSE concat(' ', {p}_type, ' ') END")
+
+
+def _factor_text(p: str) -> str:
+    return (f"CASE WHEN {p}_partkey IS NULL THEN CAST(NULL AS STRING) "
+            f"WHEN {p}_partkey % 9 = 0 THEN 'Unspecified' "
+            f"WHEN {p}_partkey % 10 = 0 THEN ' UNSPECIFIED ' "
+            f"WHEN {p}_partkey % 11 = 0 THEN '' "
+            f"WHEN {p}_name LIKE 'blue%' THEN 'unspecified' "
+            f"ELSE concat({p}_name, ' ') END")
+
+
 def raw_vehicle_value(slot: int) -> str:
     """Dirty vehicle text for one slot, from that slot's part columns."""
-    p = f"s{slot}"
-    value = (f"CASE WHEN {p}_partkey IS NULL THEN CAST(NULL AS STRING) "
-             f"WHEN {p}_partkey % 5 = 0 THEN {p}_brand "
-             f"WHEN {p}_partkey % 7 = 0 THEN '   ' "
-             f"ELSE concat(' ', {p}_type, ' ') END")
-    return _blank_first_slot(slot, value)
+    return _blank_first_slot(slot, _vehicle_text(f"s{slot}"))
 
 
 def raw_factor_value(slot: int) -> str:
     """Dirty factor text for one slot."""
-    p = f"s{slot}"
-    value = (f"CASE WHEN {p}_partkey IS NULL THEN CAST(NULL AS STRING) "
-             f"WHEN {p}_partkey % 9 = 0 THEN 'Unspecified' "
-             f"WHEN {p}_partkey % 10 = 0 THEN ' UNSPECIFIED ' "
-             f"WHEN {p}_partkey % 11 = 0 THEN '' "
-             f"WHEN {p}_name LIKE 'blue%' THEN 'unspecified' "
-             f"ELSE concat({p}_name, ' ') END")
-    return _blank_first_slot(slot, value)
+    return _blank_first_slot(slot, _factor_text(f"s{slot}"))
 
 
 def _blank_first_slot(slot: int, value: str) -> str:
@@ -172,7 +179,6 @@ def _blank_first_slot(slot: int, value: str) -> str:
 
 
 def raw_slot_columns():
-    from crashlake.schema import FACTOR_COLUMNS, VEHICLE_COLUMNS
     cols = [(VEHICLE_COLUMNS[i - 1], raw_vehicle_value(i)) for i in range(1, 6)]
     cols += [(FACTOR_COLUMNS[i - 1], raw_factor_value(i)) for i in range(1, 6)]
     return tuple(cols)
@@ -203,7 +209,8 @@ def _orders_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = _read(spark, sf_dir, "orders")
     customer = _read(spark, sf_dir, "customer")
     nation = _read(spark, sf_dir, "nation")
-    return (orders.join(customer, orders.o_custkey == customer.c_custkey)
+    # customers grow with the data: a compressed file's size must not have them sent to the driver
+    return (orders.join(customer.hint("merge"), orders.o_custkey == customer.c_custkey)
             .join(nation, customer.c_nationkey == nation.n_nationkey))
 
 
@@ -220,11 +227,16 @@ def fx_collisions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _select(_collisions_wide(spark, sf_dir), COLLISION_COLUMNS)
 
 
-def fx_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(collision_id, slot, p_partkey, p_name, p_brand, p_type), one row per line."""
+def _line_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     lineitem = _read(spark, sf_dir, "lineitem")
     part = _read(spark, sf_dir, "part")
-    placed = lineitem.join(part, lineitem.l_partkey == part.p_partkey).withColumn("position", F.expr(LINE_POSITION))
+    # parts grow with the data, as customers do
+    return lineitem.join(part.hint("merge"), lineitem.l_partkey == part.p_partkey)
+
+
+def fx_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(collision_id, slot, p_partkey, p_name, p_brand, p_type), one row per line."""
+    placed = _line_parts(spark, sf_dir).withColumn("position", F.expr(LINE_POSITION))
     return placed.select(*[F.expr(sql).alias(name) for name, sql in LINE_COLUMNS], *LINE_PAYLOAD)
 
 
@@ -240,14 +252,16 @@ def fx_factors(spark: SparkSession, sf_dir: str, lines: DataFrame | None = None)
         "collision_id", F.col("slot").alias("factor_order"), F.expr(FACTOR_DESC).alias("factor_desc"))
 
 
-def fixture_tables(spark: SparkSession, sf_dir: str) -> CollisionTables:
+def fixture_tables(spark: SparkSession, sf_dir: str, write: Callable[[DataFrame, str], DataFrame] | None = None) -> CollisionTables:
     """The six normalised tables; dimension ids come from the get-or-create
-    operator (ids are never compared, only the names they lead back to)."""
-    lines = fx_lines(spark, sf_dir)
+    operator (ids are never compared, only the names they lead back to).
+    ``write`` (a frame and a label) stages what several tables are made of."""
+    write = write or (lambda df, label: df)
+    lines = write(fx_lines(spark, sf_dir), "lines")
     vehicles = fx_vehicles(spark, sf_dir, lines)
     factors = fx_factors(spark, sf_dir, lines)
-    vehicle_types = extend_dimension(None, vehicles, "vehicle_type_desc", "vehicle_type_id")
-    factor_dim = extend_dimension(None, factors, "factor_desc", "factor_id")
+    vehicle_types = write(extend_dimension(None, vehicles, "vehicle_type_desc", "vehicle_type_id"), "vehicle-types")
+    factor_dim = write(extend_dimension(None, factors, "factor_desc", "factor_id"), "factors")
     return CollisionTables(
         boroughs=fx_boroughs(spark, sf_dir),
         collisions=fx_collisions(spark, sf_dir),
@@ -262,12 +276,26 @@ def fixture_tables(spark: SparkSession, sf_dir: str) -> CollisionTables:
     )
 
 
+def _raw_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(collision_id, v1 .. v5, f1 .. f5): a row per collision with lines.  Its
+    five lines follow each other in their order's window, which is read once."""
+    lines = _line_parts(spark, sf_dir).select(
+        "l_orderkey", *LINE_ORDER, F.expr(_vehicle_text("p")).alias("v1"), F.expr(_factor_text("p")).alias("f1"))
+    window = Window.partitionBy("l_orderkey").orderBy(*LINE_ORDER)
+    behind = {f"s{i}": F.lead(F.struct("v1", "f1"), i - 1).over(window) for i in range(2, 6)}
+    placed = lines.withColumns({"position": F.expr(LINE_POSITION), **behind}).filter("position % 5 = 0")
+    name, sql = LINE_COLUMNS[0]
+    texts = [F.col(f"s{i}.{t}1").alias(f"{t}{i}") for i in range(2, 6) for t in "vf"]
+    return placed.select(F.expr(sql).alias(name), "v1", "f1", *texts)
+
+
 def fx_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The dirty wide feed: all strings plus ``src_seq`` (file order)."""
-    slots = fx_lines(spark, sf_dir).groupBy("collision_id").agg(
-        *[F.expr(sql).alias(name) for name, sql in SLOT_PIVOT])
+    slots = _raw_slots(spark, sf_dir)
     region = _read(spark, sf_dir, "region")
     wide = _collisions_wide(spark, sf_dir).join(region, F.col("n_regionkey") == region.r_regionkey)
     wide = wide.join(slots, F.expr(COLLISION_ID) == slots.collision_id, "left").drop("collision_id")
     wide = wide.withColumn("c", F.explode(F.expr(RAW_COPIES)))
-    return _select(wide, RAW_COLUMNS + raw_slot_columns())
+    texts = [(c, _blank_first_slot(i, f"{t}{i}")) for t, columns in (("v", VEHICLE_COLUMNS), ("f", FACTOR_COLUMNS))
+             for i, c in enumerate(columns, start=1)]
+    return _select(wide, (*RAW_COLUMNS, *texts))
