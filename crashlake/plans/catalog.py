@@ -267,10 +267,16 @@ def _read_back(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_feed(spark, paths).select(*FEED_COLUMNS, F.col("_corrupt_record").isNotNull().alias("broken"))
 
 
+def _one_partition(feed: DataFrame) -> DataFrame:
+    """The rows in one partition, to be written as one file: made by many tasks and staged,
+    so that the single task holds no sort or join, only the rows that pass through it."""
+    return _staged(feed, "quoted").coalesce(1)
+
+
 def _read_one(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The quoted feed written as one CSV file, which is read by many tasks."""
     path = _scratch(spark, "feed")
-    writer = quoted_feed(spark, sf_dir).select(*FEED_COLUMNS).coalesce(1).write.option("header", True)
+    writer = _one_partition(quoted_feed(spark, sf_dir).select(*FEED_COLUMNS)).write.option("header", True)
     writer.options(escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(path)
     return read_feed(spark, path).select(*FEED_COLUMNS, F.col("_corrupt_record").isNotNull().alias("broken"))
 

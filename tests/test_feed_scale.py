@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from crashlake.functions import clean as C
 from crashlake.operators import normalize as N
+from crashlake.plans import catalog
 from crashlake.session import small_methods
 from crashlake.sources import fixtures as fx
 
@@ -53,6 +54,11 @@ def test_raw_slots_are_the_lines_of_each_collision(spark, source):
     assert (raw[40].vehicle_type_code1, raw[41].vehicle_type_code1) == (None, " T1 ")
 
 
+def test_one_file_is_written_by_a_task_without_join_or_sort(spark, source):
+    plan = _plan(catalog._one_partition(catalog.quoted_feed(spark, source)))
+    assert "Coalesce" in plan and not any(x in plan for x in ("Join", "Sort", "Window", "Aggregate"))
+
+
 def test_what_several_tables_are_made_of_is_staged_once(spark):
     raw = feed(spark, [base_row(1, zip_code="1" * 11), base_row(2), base_row(2, borough="QUEENS")])
     clean, seen = N.clean_feed(raw), []
