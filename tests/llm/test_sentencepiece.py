@@ -1,5 +1,6 @@
 """Merges against a plain search for the best pair, and whole texts against the library."""
 
+import itertools
 import random
 
 import public_tokenizers
@@ -70,3 +71,38 @@ def test_a_difference_from_the_library_is_an_error(monkeypatch):
     encoder = sp.Encoder(open(MODEL, "rb").read())
     with pytest.raises(ValueError):
         encoder.encode(["a thing"])
+
+
+def test_a_word_is_worked_out_once_whatever_signs_follow_it(monkeypatch):
+    encoder = sp.Encoder(open(MODEL, "rb").read())
+    library = sentencepiece.SentencePieceProcessor(model_file=MODEL)
+    worked, agenda = [], sp.agenda
+    monkeypatch.setattr(sp, "agenda", lambda symbols, cost: worked.append("".join(symbols)) or agenda(symbols, cost))
+    words = ["".join(w) for w in itertools.product("stb", "aeo", "rnl", "tk")]
+    texts = [w + sign for w in words for sign in [".", ",", ";\n", "!?", ".\nAnd", "\n\n", ")", " (", "日"]]
+    assert encoder.encode(texts) == library.encode(texts, add_eos=True)
+    assert sorted(x for x in worked if x[1:] in words) == sorted(sp.SPACE + w for w in words)
+    assert len(worked) == len(set(worked)) < len(words) + 20
+
+
+def test_no_piece_reaches_across_a_cut():
+    """Pieces of all scripts, in any order and with signs between them."""
+    encoder = sp.Encoder(open(MODEL, "rb").read())
+    library = sentencepiece.SentencePieceProcessor(model_file=MODEL)
+    for piece in encoder.ids:
+        assert len(encoder.parts.findall(piece)) == 1
+    rng, pieces = random.Random(7), list(encoder.ids)
+    texts = ["".join(rng.choice(pieces) + rng.choice(["", "", ".", "\n", " ", "\x00", "e\u0301"]) for _ in range(40)) for _ in range(1500)]
+    assert encoder.encode(texts) == library.encode(texts, add_eos=True)
+
+
+def test_characters_linked_by_pieces():
+    assert sp.linked(["ab", "c", "bd", "ee", "xy", ""]) == [{"a", "b", "d"}, {"x", "y"}, {"e"}]
+
+
+def test_a_difference_in_a_part_without_a_space_is_an_error(monkeypatch):
+    encoder = sp.Encoder(open(MODEL, "rb").read())
+    agenda = sp.agenda
+    monkeypatch.setattr(sp, "agenda", lambda symbols, cost: symbols if "." in symbols else agenda(symbols, cost))
+    with pytest.raises(ValueError):
+        encoder.encode(["a thing..."])
