@@ -6,7 +6,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
-from helpers import documents, frame
+from tests.llm.helpers import documents, frame
 
 from crashlake.llm import op13_collocations as co
 

@@ -4,7 +4,7 @@ import hashlib
 import zlib
 
 import pytest
-from helpers import documents, frame
+from tests.llm.helpers import documents, frame
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
 

@@ -190,5 +190,5 @@ def test_matches_sql(spark, name):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     got = QUERIES[name](spark, SF).toPandas()
     want = con.execute(ORACLE[name]).df()[list(got.columns)]
-    order = [c for c in ("doc_id", "page_id", "query_id", "rank") if c in got.columns]
+    order = [c for c in ("doc_id", "page_id", "query_id", "lang", "rank") if c in got.columns]
     pd.testing.assert_frame_equal(got.sort_values(order).reset_index(drop=True), want.sort_values(order).reset_index(drop=True), check_dtype=False, rtol=1e-9)

@@ -6,7 +6,7 @@ import random
 import public_tokenizers
 import pytest
 import sentencepiece
-from helpers import documents, frame
+from tests.llm.helpers import documents, frame
 from pyspark.sql import functions as F
 
 from crashlake.llm import op11_sentencepiece as sp
