@@ -55,13 +55,15 @@ def factor_fatality_rank(t: CollisionTables, min_count: int = MIN_RANKED_OCCURRE
     Counts rows of collision_factors (one factor in two slots counts twice).
     Aggregates by factor id before touching the factor dimension (map-side
     partial aggregation collapses a hot factor), then names, filters >=
-    min_count and ranks globally through the bounded-domain rank."""
+    min_count and ranks globally through the bounded-domain rank.  Collisions
+    are joined by sorting: two columns of a compressed file pass for a table
+    small enough to be sent to the driver when they hold millions of rows."""
     fatal = t.collisions.select(
         "collision_id", (F.col("number_of_persons_killed") > 0).alias("_fatal")
     )
     per_factor = (
         t.collision_factors.select("collision_id", "factor_id")
-        .join(fatal, "collision_id")
+        .join(fatal.hint("merge"), "collision_id")
         .groupBy("factor_id")
         .agg(
             F.count(F.lit(1)).alias("factor_collision_count"),

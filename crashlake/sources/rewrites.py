@@ -121,7 +121,8 @@ def compact(spark: SparkSession, root: str, target_bytes: int = TARGET_BYTES) ->
                 continue
             bin_of = spark.createDataFrame([(f, k) for k, b in enumerate(merged) for f in b], "file string, bin int")
             old = sorted(f for b in merged for f in b)
-            rows = files.read_files(spark, root, name, old, "file").join(bin_of, "file").drop("file")
+            # one row a file is sent, never the rows, which Spark would take for the smaller side
+            rows = files.read_files(spark, root, name, old, "file").join(F.broadcast(bin_of), "file").drop("file")
             sort = [YEAR_PARTITION, "crash_date"] if name == "collisions" else ["collision_id"]
             # a bin, of at most the target's size, lies whole in one task and becomes one file
             out[name] = _put(spark, root, run, name, rows.repartition(len(merged), "bin").sortWithinPartitions("bin", *sort), ["bin"]), old

@@ -10,6 +10,7 @@ from crashlake import schema as S
 from crashlake.__main__ import main
 from crashlake.functions.curve import interleave
 from crashlake.operators import quality as K
+from crashlake.operators import rankings as Q
 from crashlake.operators import rollup as U
 from crashlake.plans.load import load_feed
 from crashlake.sources import day_index, files, key_index, rewrites, store
@@ -192,3 +193,23 @@ def test_command_line(spark, scratch, root, capsys):
     out = capsys.readouterr().out
     assert "became" in out and "removed" in out
     assert store.read_tables(spark, root).collisions.count() == 23
+
+
+def test_compacting_and_ranking_a_store_send_no_collisions_to_the_driver(spark, root, monkeypatch):
+    put, plans = rewrites._put, []
+
+    def seen(spark, root, run, name, rows, by):
+        plans.append(rows._jdf.queryExecution().sparkPlan().toString())
+        return put(spark, root, run, name, rows, by)
+    monkeypatch.setattr(rewrites, "_put", seen)
+    late = spark.createDataFrame([(2, 2, 1)], "collision_id bigint, factor_order int, factor_id int")
+    store.write_table("collision_factors", late, root, num_files=1)
+    store.write_table("collisions", store.read_tables(spark, root).collisions.where("collision_id = 2").withColumn("collision_id", F.lit(9).cast("bigint")), root, num_files=1)
+    before = keys(store.read_tables(spark, root))
+    assert set(rewrites.compact(spark, root)) == set(store.FACT_TABLES)
+    assert len(plans) == 3 and all("BroadcastHashJoin" in p and "BuildRight" in p and "BuildLeft" not in p for p in plans)
+    t = store.read_tables(spark, root)
+    assert keys(t) == before
+    plan = Q.factor_fatality_rank(t, 1)._jdf.queryExecution().sparkPlan().toString()
+    assert "SortMergeJoin [collision_id" in plan and "BroadcastHashJoin [collision_id" not in plan
+    assert [tuple(r) for r in Q.factor_fatality_rank(t, 1).collect()] == [("Speeding", 25, 0, 0.0, 1)]
