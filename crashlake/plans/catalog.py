@@ -24,7 +24,7 @@ from crashlake.operators.lookup import lookup_ids
 from crashlake.plans import params as P
 from crashlake.plans.load import load_feed
 from crashlake.schema import COUNT_COLUMNS, FEED_COLUMNS
-from crashlake.session import ensure_checkpoint_dir, small_methods
+from crashlake.session import ensure_checkpoint_dir, shuffles_end, small_methods
 from crashlake.sources import day_index, key_index, rewrites, store
 from crashlake.sources.feed import read_feed
 from crashlake.sources.fixtures import fixture_tables, fx_raw
@@ -250,11 +250,11 @@ def _star_child(t, kind: str) -> DataFrame:
     return _located(t, rows)
 
 
-def quoted_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+def quoted_feed(spark: SparkSession, sf_dir: str, write: Callable[[DataFrame, str], DataFrame] | None = None) -> DataFrame:
     """The dirty feed with commas, quotes and line ends inside a street name."""
     street = F.expr("CASE WHEN src_seq % 3 = 0 THEN concat(on_street_name, ' \"A\", \"\"') "
                     "WHEN src_seq % 3 = 1 THEN concat(on_street_name, ',\n', on_street_name) ELSE on_street_name END")
-    return fx_raw(spark, sf_dir).withColumn("on_street_name", street)
+    return fx_raw(spark, sf_dir, write).withColumn("on_street_name", street)
 
 
 def _read_back(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -267,17 +267,25 @@ def _read_back(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_feed(spark, paths).select(*FEED_COLUMNS, F.col("_corrupt_record").isNotNull().alias("broken"))
 
 
-def _one_partition(feed: DataFrame) -> DataFrame:
+def _one_partition(feed: DataFrame, write: Callable[[DataFrame, str], DataFrame] = _staged) -> DataFrame:
     """The rows in one partition, to be written as one file: made by many tasks and staged,
     so that the single task holds no sort or join, only the rows that pass through it."""
-    return _staged(feed, "quoted").coalesce(1)
+    return write(feed, "quoted").coalesce(1)
 
 
 def _read_one(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The quoted feed written as one CSV file, which is read by many tasks."""
-    path = _scratch(spark, "feed")
-    writer = _one_partition(quoted_feed(spark, sf_dir).select(*FEED_COLUMNS)).write.option("header", True)
-    writer.options(escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(path)
+    """The quoted feed written as one CSV file, which is read by many tasks.  What was
+    staged to make the file is removed once it is written."""
+    path, staging = _scratch(spark, "feed"), store.Staging(spark, _scratch(spark, "made"), "quoted")
+
+    def write(df: DataFrame, label: str) -> DataFrame:
+        with small_methods(spark), shuffles_end(spark):
+            return staging.write(df, label)
+    try:
+        writer = _one_partition(quoted_feed(spark, sf_dir, write).select(*FEED_COLUMNS), write).write.option("header", True)
+        writer.options(escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(path)
+    finally:
+        staging.close()
     return read_feed(spark, path).select(*FEED_COLUMNS, F.col("_corrupt_record").isNotNull().alias("broken"))
 
 

@@ -36,17 +36,27 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 
 
 @contextmanager
+def _held(spark: SparkSession, key: str, value: str):
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
 def small_methods(spark: SparkSession):
     """While many expressions are worked out at once (a wide feed): generated methods
     stay within the 8,000 bytes up to which the JVM compiles them, longer ones would be
     interpreted for every row. The session's setting comes back afterwards."""
-    key = "spark.sql.codegen.hugeMethodLimit"
-    before = spark.conf.get(key)
-    spark.conf.set(key, "8000")
-    try:
-        yield
-    finally:
-        spark.conf.set(key, before)
+    return _held(spark, "spark.sql.codegen.hugeMethodLimit", "8000")
+
+
+def shuffles_end(spark: SparkSession):
+    """While a result is staged: the shuffle files of the write go as it ends, and do not
+    wait on disk until the driver happens to collect its garbage. The session's setting
+    comes back afterwards."""
+    return _held(spark, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:

@@ -8,7 +8,8 @@ a split by a running window over its lines (a split is what one task reads),
 over the splits of a file by the same window over one row a split. That tells
 the state in which every split starts, and the lines of records that run on,
 also over the border of splits, are joined; all other lines are records by
-themselves and are not moved again.
+themselves and are not moved again. How far back the record of a line begins
+is kept with the line for either state, so its lines are moved once more only.
 
 Quotes count where a CSV reader counts them: at the start of a field, and inside
 a quoted one, where two stand for one. A quote inside a plain field is text. An
@@ -60,14 +61,19 @@ def _effects(rows: DataFrame, by: list[str], order: list[str]) -> DataFrame:
 
 
 def read_lines(spark: SparkSession, path: str | list[str]) -> tuple[DataFrame, int]:
-    """(file, block, row, value, before, after) for every line, and the number of files."""
+    """(file, block, row, value, before, after, back_closed, back_open) for every line, and the number
+    of files. Back: how many rows further up the line's record begins in its split if that starts
+    outside or inside a quoted field (null: in an earlier split)."""
     text = spark.read.option("lineSep", "\n").text(path)
     lines = text.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row"), "value")
     inside = F.regexp_replace("value", CLOSING, "")
     closes = F.col("value").rlike(CLOSING)
     quoted = F.col("value").contains('"')
     lines = lines.withColumn("if_closed", quoted & _opens(F.col("value"))).withColumn("if_open", ~(quoted & closes) | _opens(F.concat(F.lit("x"), inside)))
-    return _effects(lines, ["file", "block"], ["row"]).drop("if_closed", "if_open"), len(text.inputFiles())
+    lines = _effects(lines, ["file", "block"], ["row"]).drop("if_closed", "if_open")
+    upto = Window.partitionBy("file", "block").orderBy("row")
+    begin = {name: F.last(F.when(~_state(F.col("before"), F.lit(name == "open")), F.col("row")), ignorenulls=True).over(upto) for name in ("closed", "open")}
+    return lines.withColumns({f"back_{name}": F.col("row") - at for name, at in begin.items()}), len(text.inputFiles())
 
 
 def records(lines: DataFrame) -> DataFrame:
@@ -82,13 +88,14 @@ def records(lines: DataFrame) -> DataFrame:
     begin = F.when(F.col("start"), F.col("begin_open")).otherwise(F.col("begin_closed"))
     earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     splits = splits.withColumn("begin", begin).withColumn("carried", F.last("begin", ignorenulls=True).over(earlier)).select("file", "block", "start", "carried")
-    known = lines.join(splits, ["file", "block"])
-    known = known.select("file", "block", "row", "value", "carried", _state(F.col("before"), F.col("start")).alias("opened"), _state(F.col("after"), F.col("start")).alias("open"))
+    # one row a split is sent, so that the lines stay where they are read
+    known = lines.join(F.broadcast(splits), ["file", "block"])
+    back = F.when(F.col("start"), F.col("back_open")).otherwise(F.col("back_closed"))
+    first = F.coalesce(F.when(back.isNotNull(), F.struct("block", (F.col("row") - back).alias("row"))), F.col("carried"))
+    known = known.select("file", "block", "row", "value", first.alias("first"), _state(F.col("before"), F.col("start")).alias("opened"), _state(F.col("after"), F.col("start")).alias("open"))
     alone = known.filter(~F.col("opened") & ~F.col("open")).select("file", "block", "row", "value")
     parts = known.filter(F.col("opened") | F.col("open"))
-    within = Window.partitionBy("file", "block").orderBy("row")
-    first = F.coalesce(F.last(F.when(~F.col("opened"), at), ignorenulls=True).over(within), F.col("carried"))
-    parts = parts.withColumn("first", first).groupBy("file", "first").agg(F.sort_array(F.collect_list(F.struct("block", "row", "value"))).alias("all"))
+    parts = parts.groupBy("file", "first").agg(F.sort_array(F.collect_list(F.struct("block", "row", "value"))).alias("all"))
     joined = parts.select("file", "first.block", "first.row", F.array_join(F.transform("all", lambda x: x["value"]), "\n").alias("value"))
     text = F.regexp_replace(F.regexp_replace("value", r"\r$", ""), "^\ufeff", "")
     return alone.unionByName(joined).withColumn("value", text).filter(F.col("value") != "")

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from crashlake.schema import FEED_COLUMNS
-from crashlake.session import ensure_checkpoint_dir
+from crashlake.session import ensure_checkpoint_dir, shuffles_end
 from crashlake.sources.csv_records import read_lines, records
 
 ORDER_COL = "_order"
@@ -42,7 +42,8 @@ Write = Callable[[DataFrame, str], DataFrame]
 
 def _scratch_write(df: DataFrame, label: str) -> DataFrame:
     path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/crashlake-{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    with shuffles_end(df.sparkSession):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

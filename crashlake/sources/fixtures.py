@@ -289,9 +289,11 @@ def _raw_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select(F.expr(sql).alias(name), "v1", "f1", *texts)
 
 
-def fx_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The dirty wide feed: all strings plus ``src_seq`` (file order)."""
+def fx_raw(spark: SparkSession, sf_dir: str, write: Callable[[DataFrame, str], DataFrame] | None = None) -> DataFrame:
+    """The dirty wide feed: all strings plus ``src_seq`` (file order).  ``write`` (a
+    frame and a label) stages the slots, so that lines and orders are not shuffled at once."""
     slots = _raw_slots(spark, sf_dir)
+    slots = write(slots, "slots") if write else slots
     region = _read(spark, sf_dir, "region")
     wide = _collisions_wide(spark, sf_dir).join(region, F.col("n_regionkey") == region.r_regionkey)
     wide = wide.join(slots, F.expr(COLLISION_ID) == slots.collision_id, "left").drop("collision_id")

@@ -1,4 +1,7 @@
 import datetime as dt
+import glob
+import os
+import re
 
 import pytest
 from helpers import base_row, feed, rows
@@ -7,8 +10,9 @@ from pyspark.sql import functions as F
 from crashlake.functions import clean as C
 from crashlake.operators import normalize as N
 from crashlake.plans import catalog
-from crashlake.session import small_methods
+from crashlake.session import ensure_checkpoint_dir, shuffles_end, small_methods
 from crashlake.sources import fixtures as fx
+from crashlake.sources.csv_records import read_lines, records
 
 
 def _plan(df) -> str:
@@ -92,3 +96,45 @@ def test_the_sessions_setting_comes_back(spark):
         assert spark.conf.get(key) == "8000"
         raise ValueError
     assert spark.conf.get(key) == before
+
+
+def _shuffle_files(spark):
+    found = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {found.apply(i).getName() for i in range(found.size()) if found.apply(i).getName().startswith("shuffle_")}
+
+
+def test_shuffle_files_go_with_the_write_that_made_them(spark, scratch):
+    before, df = _shuffle_files(spark), spark.range(100).repartition(3)
+    with shuffles_end(spark):
+        df.write.parquet(f"{scratch}/a")
+    assert not _shuffle_files(spark) - before
+    df.write.parquet(f"{scratch}/b")
+    assert _shuffle_files(spark) - before
+
+
+def test_one_file_keeps_the_file_and_its_lines_only(spark, source):
+    here = ensure_checkpoint_dir(spark).removeprefix("file://").rstrip("/")
+    files, shuffles = set(glob.glob(f"{here}/**/part-*", recursive=True)), _shuffle_files(spark)
+    got = catalog._read_one(spark, source)
+    left = {os.path.relpath(f, here).split("/")[0].rsplit("-", 1)[0] for f in set(glob.glob(f"{here}/**/part-*", recursive=True)) - files}
+    assert left == {"crashlake-feed", "crashlake-feed-lines", "crashlake-feed-headers"}
+    assert len({f.split("_")[1] for f in _shuffle_files(spark) - shuffles}) <= 1  # of counting the headers
+    want = catalog.quoted_feed(spark, source).select(*got.columns[:-1])
+    assert sorted(map(str, rows(got.drop("broken")))) == sorted(map(str, rows(want))) and got.count() == 5
+
+
+def test_lines_are_moved_once_and_only_those_of_records_that_run_on(spark, scratch):
+    with open(f"{scratch}/a.csv", "w") as f:
+        f.write('collision_id,on_street_name\n1,"a\nb"\n2,c\n')
+    lines, _ = read_lines(spark, f"{scratch}/a.csv")
+    lines.write.parquet(f"{scratch}/lines")
+    found, key = records(spark.read.parquet(f"{scratch}/lines")), "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "-1")  # however many lines there are
+    try:
+        plan = _plan(found)
+    finally:
+        spark.conf.set(key, before)
+    assert "BroadcastHashJoin [file" in plan and "SortMergeJoin" not in plan
+    assert "Window" in plan and not re.search(r"Window .*\[file#\d+, block#\d+L?\]", plan)  # over one row a split only
+    assert [r.value for r in found.orderBy("row").collect()] == ["collision_id,on_street_name", '1,"a\nb"', "2,c"]
